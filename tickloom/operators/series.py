@@ -59,12 +59,12 @@ def split_hot(df: DataFrame, keys: Sequence[str], hot: list) -> tuple[DataFrame,
     return df.join(names, on, "left_anti"), df.join(names, on, "left_semi")
 
 
-def lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], max_rows: int = MAX_ROWS) -> DataFrame:
+def lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], max_rows: int | None = None) -> DataFrame:
     """Left join to a table with one row per key, where ``left`` may hold hot keys.
 
     Hot keys meet a broadcast of just their own right-hand rows; all others join as Spark decides.
     """
-    _, hot = group_sizes(left, keys, max_rows)
+    _, hot = group_sizes(left, keys, MAX_ROWS if max_rows is None else max_rows)
     if not hot:
         return left.join(right, list(keys), "left")
     cold_rows, hot_rows = split_hot(left, keys, hot)
@@ -74,9 +74,14 @@ def lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], max_rows: int
     )
 
 
+def sort_columns(order: Sequence[str]) -> list[Column]:
+    """Sort order from column names; a leading ``-`` means descending."""
+    return [F.col(n[1:]).desc() if n.startswith("-") else F.col(n).asc() for n in order]
+
+
 @dataclass(frozen=True)
 class Running:
-    """A running aggregate: ``kind`` is sum, product, max or last (non-null)."""
+    """A running aggregate: ``kind`` is sum, product, max, or first / last (non-null)."""
 
     kind: str
     value: Column
@@ -86,20 +91,23 @@ class Running:
 
 
 def _window_aggregate(kind: str, value: Column) -> Column:
-    if kind == "last":
-        return F.last(value, ignorenulls=True)
+    if kind in ("first", "last"):
+        return (F.first if kind == "first" else F.last)(value, ignorenulls=True)
     return {"sum": F.sum, "product": F.product, "max": F.max}[kind](value)
 
 
-def _segment_total(kind: str, value: Column, order: Sequence[str]) -> Column:
-    if kind == "last":
-        return F.max_by(value, F.when(value.isNotNull(), F.struct(*order)))
+def _segment_total(kind: str, value: Column) -> Column:
+    if kind in ("first", "last"):
+        pick = F.min_by if kind == "first" else F.max_by
+        return pick(value, F.when(value.isNotNull(), F.col(_INDEX)))
     return _window_aggregate(kind, value)
 
 
 def _combine(kind: str, carried: Column, local: Column) -> Column:
     if kind == "last":
         return F.coalesce(local, carried)
+    if kind == "first":
+        return F.coalesce(carried, local)
     if kind == "max":
         return F.greatest(carried, local)
     if kind == "product":
@@ -120,10 +128,10 @@ class Series:
     longest: int
 
     def window(self) -> WindowSpec:
-        return Window.partitionBy(*self.keys).orderBy(*self.order)
+        return Window.partitionBy(*self.keys).orderBy(*sort_columns(self.order))
 
     def _segment_window(self) -> WindowSpec:
-        return Window.partitionBy(*self.keys, _SEGMENT).orderBy(*self.order)
+        return Window.partitionBy(*self.keys, _SEGMENT).orderBy(*sort_columns(self.order))
 
     def rows(self, fn: Callable[[DataFrame], DataFrame]) -> Series:
         """Apply a row-wise step."""
@@ -163,7 +171,7 @@ class Series:
         )
         totals = (
             hot.groupBy(*by)
-            .agg(*[_segment_total(a.kind, a.value, self.order).alias(carried[n]) for n, a in aggregates.items()])
+            .agg(*[_segment_total(a.kind, a.value).alias(carried[n]) for n, a in aggregates.items()])
             .withColumns(
                 {carried[n]: _window_aggregate(a.kind, F.col(carried[n])).over(before) for n, a in aggregates.items()}
             )
@@ -197,7 +205,7 @@ def lay_out(
     max_rows: int | None = None,
     segment_rows: int | None = None,
 ) -> Series:
-    """Lay ``df`` out as series. ``order`` must be total within a key."""
+    """Lay ``df`` out as series. ``order`` must be total within a key; keys must not be null."""
     max_rows = MAX_ROWS if max_rows is None else max_rows
     segment_rows = SEGMENT_ROWS if segment_rows is None else segment_rows
     keys, order = tuple(keys), tuple(order)
@@ -207,8 +215,8 @@ def lay_out(
     cold_rows, hot_rows = split_hot(df, keys, hot)
     segments = sum(-(-r["_rows"] // segment_rows) for r in hot)
     placed = cut(
-        hot_rows.repartitionByRange(segments, *keys, *order)
-        .sortWithinPartitions(*keys, *order)
+        hot_rows.repartitionByRange(segments, *keys, *sort_columns(order))
+        .sortWithinPartitions(*keys, *sort_columns(order))
         .withColumn(_ID, F.monotonically_increasing_id())
     )
     part, at = F.shiftright(_ID, 33), F.col(_ID).bitwiseAND(F.lit((1 << 33) - 1))
