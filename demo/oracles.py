@@ -434,7 +434,7 @@ ORACLES: dict[str, str] = {
            concat_ws('; ', CASE WHEN tier IS NULL THEN 'holder concentration data unavailable' END,
              CASE WHEN outflow IS NULL THEN 'dev-wallet outflow data unavailable' END,
              CASE WHEN mint IS NULL THEN 'mint authority status unavailable' END,
-             CASE WHEN frozen IS NULL THEN 'frozen authority status unavailable' END) AS data_gaps FROM scored""",
+             CASE WHEN frozen IS NULL THEN 'freeze authority status unavailable' END) AS data_gaps FROM scored""",
     ),
     "news_events": _sql("classified", f"SELECT doc_id, event_type, {_MATCHED} AS matched_keywords FROM classified"),
     "news_credibility": _sql("classified", "SELECT doc_id, credibility FROM classified"),

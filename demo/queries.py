@@ -19,7 +19,7 @@ from tickloom.operators import discovery, features, holders, labels, ledger, pri
 from tickloom.operators.scoring import classifier_metrics, score
 from tickloom.operators.series import lay_out
 from tickloom.plans import jobs, models, signals
-from tickloom.session import checkpoint_root
+from tickloom.session import checkpoint_root, cut
 from tickloom.sources import backfill, tables
 from tickloom.streaming import alerts, ingest
 
@@ -157,7 +157,7 @@ def classifier_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _train(spark: SparkSession, sf: str, kind: models.ModelKind) -> DataFrame:
-    runs = models.train(features.token_features(views.candles(spark, sf)), kind).runs
+    runs = models.train(cut(features.token_features(views.candles(spark, sf))), kind).runs
     return rounded(runs.select("token_address", "model_type", "n_train", "n_test", *models.METRICS))
 
 

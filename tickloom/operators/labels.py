@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from tickloom import constants as K
-from tickloom.operators.series import Series, lay_out, lookup
+from tickloom.operators.series import Series, lay_out
 
 
 def _ahead(w: WindowSpec, horizon: int) -> Column:
@@ -83,9 +83,7 @@ def chronological_split(
     **layout,
 ) -> DataFrame:
     """Add ``is_train``: the first int(n * (1 - test_fraction)) rows of each key."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    numbered = lay_out(df, keys, order, **layout).index("_at").frame()
-    sized = lookup(numbered, counts, keys, layout.get("max_rows"))
+    sized = lay_out(df, keys, order, **layout).index("_at").size("_n").frame()
     return sized.withColumn("is_train", F.col("_at") <= F.floor(F.col("_n") * (1 - test_fraction))).drop("_at", "_n")
 
 

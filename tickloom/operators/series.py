@@ -110,9 +110,8 @@ def _combine(kind: str, carried: Column, local: Column) -> Column:
         return F.coalesce(carried, local)
     if kind == "max":
         return F.greatest(carried, local)
-    if kind == "product":
-        return F.coalesce(carried, F.lit(1.0)) * local
-    return F.coalesce(carried, F.lit(0)) + local
+    both = carried * local if kind == "product" else carried + local
+    return F.coalesce(both, local, carried)
 
 
 @dataclass(frozen=True)
@@ -126,6 +125,7 @@ class Series:
     segment_rows: int
     segments: int
     longest: int
+    hot_sizes: tuple = ()
 
     def window(self) -> WindowSpec:
         return Window.partitionBy(*self.keys).orderBy(*sort_columns(self.order))
@@ -191,6 +191,17 @@ class Series:
         hot = None if self.hot is None else self.hot.withColumn(name, F.col(_INDEX) + 1)
         return replace(self, cold=cold, hot=hot)
 
+    def size(self, name: str) -> Series:
+        """Add the number of rows of the key."""
+        cold = self.cold.withColumn(name, F.count(F.lit(1)).over(Window.partitionBy(*self.keys)))
+        if self.hot is None:
+            return replace(self, cold=cold)
+        schema = self.hot.select(*self.keys).schema.add(name, "long")
+        sizes = [(*(r[k] for k in self.keys), r["_rows"]) for r in self.hot_sizes]
+        known = F.broadcast(self.hot.sparkSession.createDataFrame(sizes, schema))  # bounded, see group_sizes
+        hot = self.hot.join(known, list(self.keys), "left")
+        return replace(self, cold=cold, hot=hot)
+
     def frame(self) -> DataFrame:
         if self.hot is None:
             return self.cold
@@ -236,7 +247,7 @@ def lay_out(
         .drop("_part", "_at")
         .withColumn(_SEGMENT, F.floor(F.col(_INDEX) / segment_rows).cast("long"))
     )
-    return Series(cold_rows, indexed, keys, order, segment_rows, segments, longest)
+    return Series(cold_rows, indexed, keys, order, segment_rows, segments, longest, tuple(hot))
 
 
 def _same_place(keys: Sequence[str]) -> Column:

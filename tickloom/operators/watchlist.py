@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tickloom.constants import SEVERITY_ORDER
 from tickloom.functions.rules import report_severity
 from tickloom.operators.series import lay_out
+from tickloom.session import cut
 
 GLOBAL_RANK_ROWS = 100_000
 
@@ -20,10 +21,11 @@ def with_severity(decisions: DataFrame) -> DataFrame:
 def rank(decisions: DataFrame, max_rows: int = GLOBAL_RANK_ROWS, **layout) -> DataFrame:
     """Add ``severity`` and ``rank``: by severity, then confidence (highest first), then token.
 
-    A short list is numbered in one task; a long one by a range-partitioned sort.
+    The decisions are written once, then counted: a short list is numbered in one task, a long one
+    by a range-partitioned sort.
     """
     place = F.array_position(F.array(*[F.lit(s) for s in SEVERITY_ORDER]), F.col("severity"))
-    rows = with_severity(decisions).withColumn("_place", place)
+    rows = cut(with_severity(decisions).withColumn("_place", place))
     return lay_out(rows, (), ("_place", "-confidence", "token_address"), max_rows=max_rows, **layout).index("rank").frame().drop("_place")
 
 

@@ -69,10 +69,10 @@ def train(
 ) -> Training:
     """Fit one model per token on its earlier rows and measure it on its later rows.
 
-    Tokens with too few rows or a single label class are left out. The split rows are written once
-    to the shared folder: fitting, scoring and measuring all read them.
+    Tokens with too few rows or a single label class are left out. The labelled and the split rows
+    are each written once to the shared folder: counting, fitting, scoring and measuring read them.
     """
-    split = cut(labels.chronological_split(labelled(gold, kind, **layout), **layout))
+    split = cut(labels.chronological_split(cut(labelled(gold, kind, **layout)), **layout))
     ready = labels.trainable(split, kind.label)
     usable = split.join(ready.select("token_address"), "token_address", "left_semi")
     models = cut(fit_models(usable.where("is_train"), kind.features, kind.label, max_group_rows=max_group_rows))
