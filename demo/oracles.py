@@ -329,7 +329,7 @@ ORACLES: dict[str, str] = {
         2 * count(*) AS events FROM events GROUP BY ALL""",
     "latest_partition": """SELECT event_id, strftime(ts, '%Y-%m-%d') AS dt, value FROM events
         WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)""",
-    "returns": _sql("moved", f"SELECT event_id, {_places('return_1h', 'return_4h', 'return_24h')} FROM moved"),
+    "returns": _sql("moved", "SELECT event_id, return_1h, return_4h, return_24h FROM moved"),
     "sma": _sql("featured", f"SELECT event_id, {_places('sma_20')} FROM featured"),
     "volatility": _sql("featured", f"SELECT event_id, {_places('volatility_20')} FROM featured"),
     "rsi": _sql("featured", f"SELECT event_id, {_places('rsi_14')} FROM featured"),
@@ -340,7 +340,7 @@ ORACLES: dict[str, str] = {
     ),
     "token_features": _sql(
         "featured averaged",
-        f"""SELECT f.event_id, f.token_address, {_micros("event_timestamp")}, {_places("close", "volume", "return_1h", "return_4h", "return_24h", "sma_20", "volatility_20", "rsi_14", "ema_fast", "ema_slow", "macd_signal")},
+        f"""SELECT f.event_id, f.token_address, {_micros("event_timestamp")}, return_1h, return_4h, return_24h, {_places("close", "volume", "sma_20", "volatility_20", "rsi_14", "ema_fast", "ema_slow", "macd_signal")},
             round(ema_fast - ema_slow, 6) AS macd FROM featured f JOIN averaged a USING (event_id)""",
     ),
     "rsi_signals": _sql("signalled", "SELECT event_id, signal FROM signalled"),
@@ -358,8 +358,8 @@ ORACLES: dict[str, str] = {
     ),
     "simulated_position_features": _sql(
         "lagged",
-        """SELECT event_id, round((close - l4) / l4, 6) AS unrealized_return, CAST(4 AS BIGINT) AS periods_held,
-           round((close - max(close) OVER h) / max(close) OVER h, 6) AS drawdown_from_high
+        """SELECT event_id, (close - l4) / l4 AS unrealized_return, CAST(4 AS BIGINT) AS periods_held,
+           (close - max(close) OVER h) / max(close) OVER h AS drawdown_from_high
            FROM lagged WINDOW h AS (PARTITION BY token_address ORDER BY event_timestamp, event_id ROWS 3 PRECEDING)""",
     ),
     "chronological_split": _sql(

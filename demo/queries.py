@@ -24,6 +24,7 @@ from tickloom.sources import backfill, tables
 from tickloom.streaming import alerts, ingest
 
 ALERT_WINDOW = timedelta(hours=6)
+RETURNS = ("return_1h", "return_4h", "return_24h")
 
 
 def micros(df: DataFrame) -> DataFrame:
@@ -31,10 +32,15 @@ def micros(df: DataFrame) -> DataFrame:
     return df.withColumns({n: F.unix_micros(n) for n, kind in df.dtypes if kind == "timestamp"})
 
 
-def rounded(df: DataFrame) -> DataFrame:
-    """Doubles to six places, times as microseconds since 1970, for comparison."""
+def rounded(df: DataFrame, exact: tuple[str, ...] = ()) -> DataFrame:
+    """Doubles to six places, times as microseconds since 1970, for comparison.
+
+    ``exact`` names columns that are one division away from the data: they are compared as they are.
+    """
     changed = {}
     for name, kind in df.dtypes:
+        if name in exact:
+            continue
         if kind == "double":
             changed[name] = F.round(name, 6)
         elif kind == "timestamp":
@@ -80,7 +86,7 @@ def _series(spark: SparkSession, sf: str):
 
 def returns(spark: SparkSession, sf: str) -> DataFrame:
     df = features.add_returns(views.candles(spark, sf), [1, 4, 24])
-    return rounded(df.select("event_id", "return_1h", "return_4h", "return_24h"))
+    return df.select("event_id", *RETURNS)
 
 
 def sma(spark: SparkSession, sf: str) -> DataFrame:
@@ -103,7 +109,7 @@ def ema_macd(spark: SparkSession, sf: str) -> DataFrame:
 
 def token_features(spark: SparkSession, sf: str) -> DataFrame:
     df = features.token_features(views.candles(spark, sf))
-    return rounded(df.select("event_id", "token_address", "event_timestamp", "close", "volume", *K.ENTRY_FEATURES))
+    return rounded(df.select("event_id", "token_address", "event_timestamp", "close", "volume", *K.ENTRY_FEATURES), RETURNS)
 
 
 def _signals(spark: SparkSession, sf: str):
@@ -139,7 +145,7 @@ def exit_label(spark: SparkSession, sf: str) -> DataFrame:
 def simulated_position_features(spark: SparkSession, sf: str) -> DataFrame:
     df = labels.with_position_features(_series(spark, sf)).frame()
     held = F.col("periods_held").cast("long").alias("periods_held")
-    return rounded(df.select("event_id", "unrealized_return", held, "drawdown_from_high"))
+    return df.select("event_id", "unrealized_return", held, "drawdown_from_high")
 
 
 def chronological_split(spark: SparkSession, sf: str) -> DataFrame:

@@ -71,19 +71,17 @@ def market_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("value") - 5).cast("decimal(18,2)").cast("string"), F.lit(',"c":'), _text("value"),
         F.lit(',"v":'), F.get_json_object("props", "$.k"), F.lit(',"currency":"usd"}'),
     )
-    delivered = table(spark, sf_dir, "events").withColumn(
-        "delay", F.explode(F.array(F.expr("interval 1 minute"), F.expr("interval 1 hour")))
-    )
-    rows = to_envelope(
-        delivered,
+    sent = to_envelope(
+        table(spark, sf_dir, "events"),
         source="birdeye",
         domain="market",
         token=_text("user_id"),
         event_timestamp=F.col("ts"),
         payload=payload,
-        ingested=F.col("ts") + F.col("delay"),
+        ingested=F.col("ts"),
     )
-    return rows
+    delays = F.array(F.expr("interval 1 minute"), F.expr("interval 1 hour"))
+    return sent.withColumn("ingestion_timestamp", F.explode(F.transform(delays, lambda d: F.col("event_timestamp") + d)))
 
 
 def holdings(spark: SparkSession, sf_dir: str) -> DataFrame:

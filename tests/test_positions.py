@@ -67,6 +67,9 @@ def test_open_positions_view(spark, tmp_path):
     assert view[2]["current_price"] is None and view[2]["unrealized_pnl"] is None
     assert prices.latest_prices(ticks).first()["price"] == 15.0
     assert spark.read.parquet(f"{tmp_path}/sales").count() == 1
+    jobs.positions(events(spark, rows[:2]), str(tmp_path))
+    again = {r["position_id"]: r["status"] for r in jobs.current_positions(spark, str(tmp_path)).collect()}
+    assert again == {1: "OPEN", 2: "OPEN", 3: "CLOSED"}
     manual = jobs.manual_watchlist(spark)
     found = spark.createDataFrame([("T1",)], "token_address string")
     decided = spark.createDataFrame([("T1", "HOLD")], "token_address string, action string")

@@ -30,26 +30,34 @@ def _joined(*texts: Column) -> Column:
     return F.concat_ws(" ", *[F.coalesce(t, F.lit("")) for t in texts])
 
 
+def _classified(text: Column) -> Column:
+    """(event_type, matched_keywords) of a lower-case text; lists are tried in order, the first match wins."""
+    chain = F.when(F.lit(False), F.lit(None))
+    for name, words in NEWS_KEYWORDS:
+        found = [F.contains(text, F.lit(w)) for w in words]
+        matched = F.array_compact(F.array(*[F.when(hit, F.lit(w)) for hit, w in zip(found, words, strict=True)]))
+        row = F.struct(F.lit(name).alias("event_type"), matched.alias("matched_keywords"))
+        chain = chain.when(reduce(lambda a, b: a | b, found), row)
+    nothing = F.array().cast("array<string>").alias("matched_keywords")
+    return chain.otherwise(F.struct(F.lit("other").alias("event_type"), nothing))
+
+
 def classify(df: DataFrame, title: str = "title", domain: str = "domain", description: str | None = None) -> DataFrame:
     """Add ``event_type``, ``matched_keywords`` and ``credibility``.
 
     The text is title, a space, then the description, so a keyword that ends in a space matches at
-    the end of a title. Lists are tried in order and the first list with a match wins.
+    the end of a title. It enters the rules as the single element of an array: it is then built and
+    lowered once per row, wherever the optimizer moves the expression.
     """
     text = F.lower(_joined(F.col(title), F.col(description) if description else F.lit("")))
-    df = df.withColumn("_text", text)
-
-    def hit(keyword: str) -> Column:
-        return F.contains(F.col("_text"), F.lit(keyword))
-
-    kind = matched = F.when(F.lit(False), F.lit(None))
-    for name, keywords in NEWS_KEYWORDS:
-        kind = kind.when(reduce(lambda a, b: a | b, [hit(k) for k in keywords]), name)
-        found = F.array_compact(F.array(*[F.when(hit(k), F.lit(k)) for k in keywords]))
-        matched = matched.when(F.col("event_type") == name, found)
     return (
-        df.withColumn("event_type", kind.otherwise("other"))
-        .withColumn("matched_keywords", matched.otherwise(F.array().cast("array<string>")))
-        .withColumn("credibility", credibility(F.col(domain)))
-        .drop("_text")
+        df.withColumn("_class", F.transform(F.array(text), _classified)[0])
+        .withColumns(
+            {
+                "event_type": F.col("_class.event_type"),
+                "matched_keywords": F.col("_class.matched_keywords"),
+                "credibility": credibility(F.col(domain)),
+            }
+        )
+        .drop("_class")
     )

@@ -21,46 +21,39 @@ def add_rsi_signals(df: DataFrame, oversold: float = 30.0, overbought: float = 7
     return df.withColumn("signal", rsi_signal(oversold, overbought))
 
 
+_WORK = ("_late_1", "_late_2", "_late_position", "_peak")
+
+
 def with_positions(series: Series) -> Series:
     """Position 1 after a BUY until a SELL, effective on the row after the signal.
 
-    The latch is the last signal that was not HOLD, read one row late; ``_previous_position`` is
-    the same latch two rows late.
+    The latch is the last signal that was not HOLD, read one row late. ``_late_position`` is the
+    same latch two rows late, the position of the row before.
     """
     side = F.when(F.col("signal") == "BUY", 1).when(F.col("signal") == "SELL", 0)
-    late = series.bounded(
-        lambda d, w: d.withColumns({"_late_1": F.lag(side, 1).over(w), "_late_2": F.lag(side, 2).over(w)}),
-        before=2,
-    ).running(position=Running("last", F.col("_late_1")), _previous_position=Running("last", F.col("_late_2")))
-    return late.rows(
-        lambda d: d.withColumns(
-            {n: F.coalesce(F.col(n), F.lit(0)) for n in ("position", "_previous_position")}
-        ).drop("_late_1", "_late_2")
-    )
+    series = series.bounded(
+        lambda d, w: d.withColumns({"_late_1": F.lag(side, 1).over(w), "_late_2": F.lag(side, 2).over(w)}), before=2
+    ).running(position=Running("last", F.col("_late_1")), _late_position=Running("last", F.col("_late_2")))
+    return series.with_columns({n: F.coalesce(F.col(n), F.lit(0)) for n in ("position", "_late_position")})
 
 
 def with_equity(series: Series, fee_bps: float = 10.0, initial_capital: float = 1000.0) -> Series:
     """Cost on every position change, strategy return, equity and buy-and-hold curves."""
-    earned = F.coalesce(F.col("return_1h"), F.lit(0.0))
-    series = series.rows(
-        lambda d: d.withColumn("position_changed", F.col("position") != F.col("_previous_position"))
-        .withColumn("cost", F.when(F.col("position_changed"), fee_bps / 10_000).otherwise(0.0))
-        .withColumn("strategy_return", F.col("position") * earned - F.col("cost"))
-        .drop("_previous_position")
-    ).running(
-        equity=Running("product", 1 + F.col("strategy_return")),
-        buy_hold_equity=Running("product", 1 + earned),
-    )
-    return series.rows(
-        lambda d: d.withColumns({n: F.col(n) * initial_capital for n in ("equity", "buy_hold_equity")})
+    held = F.coalesce(F.col("return_1h"), F.lit(0.0))
+    changed = F.col("position") != F.col("_late_position")
+    cost = F.when(changed, fee_bps / 10_000).otherwise(0.0)
+    strategy = F.col("position") * held - cost
+    series = series.with_columns({"position_changed": changed, "cost": cost, "strategy_return": strategy}).running(
+        equity=Running("product", 1 + F.col("strategy_return")), buy_hold_equity=Running("product", 1 + held)
     )
+    return series.with_columns({n: F.col(n) * initial_capital for n in ("equity", "buy_hold_equity")})
 
 
 def with_drawdown(series: Series) -> Series:
+    """Distance of equity below its running peak; also drops the work columns of the steps before."""
+    peak = F.col("_peak")
     series = series.running(_peak=Running("max", F.col("equity")))
-    return series.rows(
-        lambda d: d.withColumn("drawdown", F.try_divide(F.col("equity") - F.col("_peak"), F.col("_peak"))).drop("_peak")
-    )
+    return series.rows(lambda d: d.withColumn("drawdown", F.try_divide(F.col("equity") - peak, peak)).drop(*_WORK))
 
 
 def _annualised(mean: Column, deviation: Column) -> Column:

@@ -38,16 +38,18 @@ def volatility(w: WindowSpec, rows: int) -> dict[str, Column]:
     return {f"volatility_{rows}": _full(F.stddev_samp(r).over(_trailing(w, rows)), r, w, rows)}
 
 
-def rsi(df: DataFrame, w: WindowSpec, rows: int = 14) -> DataFrame:
-    """RSI with simple-mean smoothing; the first row counts as no change, a flat window gives 0."""
-    change = F.col("close") - F.lag("close", 1).over(w)
-    df = df.withColumn("_change", F.coalesce(change, F.lit(0.0)))
-    gain = F.greatest(F.col("_change"), F.lit(0.0))
-    loss = F.greatest(-F.col("_change"), F.lit(0.0))
-    up, down = F.avg(gain).over(_trailing(w, rows)), F.avg(loss).over(_trailing(w, rows))
+def change(w: WindowSpec) -> dict[str, Column]:
+    """Price change since the row before; the first row counts as no change."""
+    return {"_change": F.coalesce(F.col("close") - F.lag("close", 1).over(w), F.lit(0.0))}
+
+
+def rsi(w: WindowSpec, rows: int = 14) -> dict[str, Column]:
+    """RSI with simple-mean smoothing, from ``change``; a flat window gives 0."""
+    moved = F.col("_change")
+    up = F.avg(F.greatest(moved, F.lit(0.0))).over(_trailing(w, rows))
+    down = F.avg(F.greatest(-moved, F.lit(0.0))).over(_trailing(w, rows))
     strength = up / F.when(down == 0, F.lit(1e-9)).otherwise(down)
-    value = 100 - 100 / (1 + strength)
-    return df.withColumn(f"rsi_{rows}", _full(value, F.col("_change"), w, rows)).drop("_change")
+    return {f"rsi_{rows}": _full(100 - 100 / (1 + strength), moved, w, rows)}
 
 
 def _block_rows(spans: Sequence[int]) -> int:
@@ -144,7 +146,10 @@ def add_volatility(df: DataFrame, window: int, **layout) -> DataFrame:
 
 
 def add_rsi(df: DataFrame, window: int = 14, **layout) -> DataFrame:
-    return lay_out(df, **layout).bounded(lambda d, w: rsi(d, w, window), before=window).frame()
+    series = lay_out(df, **layout)
+    return series.bounded(
+        lambda d, w: d.withColumns(change(w)).withColumns(rsi(w, window)).drop("_change"), before=window
+    ).frame()
 
 
 def add_ema_macd(df: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, **layout) -> DataFrame:
@@ -166,8 +171,8 @@ def with_window_features(series: Series) -> Series:
     """Returns over 1, 4 and 24 rows, 20-row average and volatility, 14-row RSI: one sort for all."""
 
     def step(d: DataFrame, w: WindowSpec) -> DataFrame:
-        d = d.withColumns({**returns(w, (1, 4, 24)), **sma(w, 20)})
-        return rsi(d.withColumns(volatility(w, 20)), w, 14)
+        d = d.withColumns({**returns(w, (1, 4, 24)), **sma(w, 20), **change(w)})
+        return d.withColumns({**volatility(w, 20), **rsi(w, 14)}).drop("_change")
 
     return series.bounded(step, before=24)
 

@@ -22,8 +22,10 @@ def concentration(holders: DataFrame, tokens: DataFrame | None = None, top: int
     """Holder count, share of the ten largest, HHI and tier. No or non-positive holdings give 0 and LOW.
 
     The totals are partial sums; the ten largest are cut down before the shuffle (window group
-    limit), so one widely held token does not weigh on one task.
+    limit), so one widely held token does not weigh on one task. Null tokens are dropped on both
+    sides alike, which lets Spark reuse the shuffle when ``holders`` is itself an aggregate.
     """
+    holders = holders.where(F.col("token_address").isNotNull())
     totals = holders.groupBy("token_address").agg(
         F.count(F.lit(1)).alias("holder_count"),
         F.sum("amount").alias("_total"),

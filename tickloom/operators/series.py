@@ -26,6 +26,7 @@ from tickloom.session import cut
 MAX_ROWS = 4_000_000
 SEGMENT_ROWS = 1_000_000
 BROADCAST_SEGMENTS = 200_000
+RANGE_PARTITIONS = 20_000
 
 _ID, _INDEX, _SEGMENT, _HOME = "_row_id", "_row_index", "_segment", "_home_segment"
 
@@ -96,13 +97,6 @@ def _window_aggregate(kind: str, value: Column) -> Column:
     return {"sum": F.sum, "product": F.product, "max": F.max}[kind](value)
 
 
-def _segment_total(kind: str, value: Column) -> Column:
-    if kind in ("first", "last"):
-        pick = F.min_by if kind == "first" else F.max_by
-        return pick(value, F.when(value.isNotNull(), F.col(_INDEX)))
-    return _window_aggregate(kind, value)
-
-
 def _combine(kind: str, carried: Column, local: Column) -> Column:
     if kind == "last":
         return F.coalesce(local, carried)
@@ -114,9 +108,16 @@ def _combine(kind: str, carried: Column, local: Column) -> Column:
     return F.coalesce(both, local, carried)
 
 
+Step = Callable[[DataFrame, WindowSpec], DataFrame]
+
+
 @dataclass(frozen=True)
 class Series:
-    """Rows per key in a total order; hot keys are held apart, by segment."""
+    """Rows per key in a total order; hot keys are held apart, by segment.
+
+    Steps on the hot rows are collected and applied together, so that a chain of them costs one
+    shuffle; ``before`` and ``after`` say how far the chain looks over a segment edge.
+    """
 
     cold: DataFrame
     hot: DataFrame | None
@@ -126,6 +127,9 @@ class Series:
     segments: int
     longest: int
     hot_sizes: tuple = ()
+    steps: tuple[Step, ...] = ()
+    before: int = 0
+    after: int = 0
 
     def window(self) -> WindowSpec:
         return Window.partitionBy(*self.keys).orderBy(*sort_columns(self.order))
@@ -134,78 +138,105 @@ class Series:
         return Window.partitionBy(*self.keys, _SEGMENT).orderBy(*sort_columns(self.order))
 
     def rows(self, fn: Callable[[DataFrame], DataFrame]) -> Series:
-        """Apply a row-wise step."""
-        return replace(self, cold=fn(self.cold), hot=None if self.hot is None else fn(self.hot))
+        """Apply a step to each row by itself; it must keep all rows."""
+        return self.bounded(lambda d, _: fn(d))
 
     def with_columns(self, columns: dict[str, Column]) -> Series:
         return self.rows(lambda df: df.withColumns(columns))
 
-    def bounded(
-        self, fn: Callable[[DataFrame, WindowSpec], DataFrame], before: int = 0, after: int = 0
-    ) -> Series:
+    def keep(self, *names: str) -> Series:
+        """Keep the key, the order and ``names``. Worth saying before ``running``, which writes hot rows."""
+        own = [*self.keys, *[n.removeprefix("-") for n in self.order]]
+        wanted = list(dict.fromkeys([*own, *names]))
+        inner = (_INDEX, _SEGMENT, _HOME)
+        return self.rows(lambda d: d.select(*wanted, *[c for c in inner if c in d.columns]))
+
+    def bounded(self, fn: Step, before: int = 0, after: int = 0) -> Series:
         """Apply window steps that look at most ``before`` rows back and ``after`` rows ahead."""
         cold = fn(self.cold, self.window())
         if self.hot is None:
             return replace(self, cold=cold)
+        return replace(
+            self, cold=cold, steps=(*self.steps, fn), before=self.before + before, after=self.after + after
+        )
+
+    def _hot_rows(self) -> DataFrame:
+        """The hot rows with all collected steps applied."""
+        w = self._segment_window()
+        if not self.before and not self.after:
+            return reduce(lambda d, fn: fn(d, w), self.steps, self.hot)
         index, size = F.col(_INDEX), F.lit(self.segment_rows)
-        first = F.greatest(F.lit(0), F.floor((index - after) / size))
-        last = F.floor((index + before) / size)
+        first = F.greatest(F.lit(0), F.floor((index - self.after) / size))
+        last = F.floor((index + self.before) / size)
         spread = self.hot.withColumn(_HOME, F.col(_SEGMENT)).withColumn(
             _SEGMENT, F.explode(F.sequence(first.cast("long"), last.cast("long")))
         )
-        hot = fn(spread, self._segment_window()).where(F.col(_SEGMENT) == F.col(_HOME)).drop(_HOME)
-        return replace(self, cold=cold, hot=hot)
+        done = reduce(lambda d, fn: fn(d, w), self.steps, spread)
+        return done.where(F.col(_SEGMENT) == F.col(_HOME)).drop(_HOME)
 
     def running(self, **aggregates: Running) -> Series:
-        """Add running aggregates from the first row of the key to the current row."""
+        """Add running aggregates from the first row of the key to the current row.
+
+        Hot rows: the aggregate within the segment comes with the collected steps and is written;
+        the values at the ends of full segments then give what each later segment starts from.
+        """
         up_to_here = (Window.unboundedPreceding, Window.currentRow)
         frame = self.window().rowsBetween(*up_to_here)
         cold = self.cold.withColumns({n: a.over(frame) for n, a in aggregates.items()})
         if self.hot is None:
             return replace(self, cold=cold)
         by = [*self.keys, _SEGMENT]
-        hot = cut(self.hot)
+        local = self._segment_window().rowsBetween(*up_to_here)
+        hot = cut(self._hot_rows().withColumns({n: a.over(local) for n, a in aggregates.items()}))
         carried = {n: f"_carried_{n}" for n in aggregates}
-        before = (
-            Window.partitionBy(*self.keys).orderBy(_SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
-        )
-        totals = (
-            hot.groupBy(*by)
-            .agg(*[_segment_total(a.kind, a.value).alias(carried[n]) for n, a in aggregates.items()])
-            .withColumns(
-                {carried[n]: _window_aggregate(a.kind, F.col(carried[n])).over(before) for n, a in aggregates.items()}
+        so_far = Window.partitionBy(*self.keys).orderBy(_SEGMENT).rowsBetween(*up_to_here)
+        ends = (
+            hot.where(F.col(_INDEX) % self.segment_rows == self.segment_rows - 1)
+            .select(*by, *aggregates)
+            .select(
+                *self.keys,
+                (F.col(_SEGMENT) + 1).alias(_SEGMENT),
+                *[_window_aggregate(a.kind, F.col(n)).over(so_far).alias(carried[n]) for n, a in aggregates.items()],
             )
         )
         if self.segments <= BROADCAST_SEGMENTS:
-            totals = F.broadcast(totals)  # one row per segment, counted when the layout was made
-        local = self._segment_window().rowsBetween(*up_to_here)
-        hot = hot.withColumns({n: a.over(local) for n, a in aggregates.items()}).join(totals, by, "left")
-        hot = hot.withColumns(
-            {n: _combine(a.kind, F.col(carried[n]), F.col(n)) for n, a in aggregates.items()}
-        ).drop(*carried.values())
-        return replace(self, cold=cold, hot=hot)
+            ends = F.broadcast(ends)  # one row per segment, counted when the layout was made
+        hot = (
+            hot.join(ends, by, "left")
+            .withColumns({n: _combine(a.kind, F.col(carried[n]), F.col(n)) for n, a in aggregates.items()})
+            .drop(*carried.values())
+        )
+        return replace(self, cold=cold, hot=hot, steps=(), before=0, after=0)
 
     def index(self, name: str) -> Series:
         """Add the 1-based position of each row in its key."""
-        cold = self.cold.withColumn(name, F.row_number().over(self.window()).cast("long"))
-        hot = None if self.hot is None else self.hot.withColumn(name, F.col(_INDEX) + 1)
-        return replace(self, cold=cold, hot=hot)
+
+        def step(d: DataFrame, w: WindowSpec) -> DataFrame:
+            position = F.col(_INDEX) + 1 if _INDEX in d.columns else F.row_number().over(w).cast("long")
+            return d.withColumn(name, position)
+
+        return self.bounded(step)
 
     def size(self, name: str) -> Series:
         """Add the number of rows of the key."""
-        cold = self.cold.withColumn(name, F.count(F.lit(1)).over(Window.partitionBy(*self.keys)))
         if self.hot is None:
-            return replace(self, cold=cold)
+            return replace(self, cold=self._with_size(self.cold, name))
         schema = self.hot.select(*self.keys).schema.add(name, "long")
         sizes = [(*(r[k] for k in self.keys), r["_rows"]) for r in self.hot_sizes]
         known = F.broadcast(self.hot.sparkSession.createDataFrame(sizes, schema))  # bounded, see group_sizes
-        hot = self.hot.join(known, list(self.keys), "left")
-        return replace(self, cold=cold, hot=hot)
+
+        def step(d: DataFrame, _: WindowSpec) -> DataFrame:
+            return d.join(known, list(self.keys), "left") if _INDEX in d.columns else self._with_size(d, name)
+
+        return self.bounded(step)
+
+    def _with_size(self, df: DataFrame, name: str) -> DataFrame:
+        return df.withColumn(name, F.count(F.lit(1)).over(Window.partitionBy(*self.keys)))
 
     def frame(self) -> DataFrame:
         if self.hot is None:
             return self.cold
-        return self.cold.unionByName(self.hot.drop(_INDEX, _SEGMENT))
+        return self.cold.unionByName(self._hot_rows().drop(_INDEX, _SEGMENT))
 
 
 def lay_out(
@@ -226,7 +257,7 @@ def lay_out(
     cold_rows, hot_rows = split_hot(df, keys, hot)
     segments = sum(-(-r["_rows"] // segment_rows) for r in hot)
     placed = cut(
-        hot_rows.repartitionByRange(segments, *keys, *sort_columns(order))
+        hot_rows.repartitionByRange(min(segments, RANGE_PARTITIONS), *keys, *sort_columns(order))
         .sortWithinPartitions(*keys, *sort_columns(order))
         .withColumn(_ID, F.monotonically_increasing_id())
     )

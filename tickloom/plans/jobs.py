@@ -168,6 +168,12 @@ def positions(events: DataFrame, out_path: str | None = None) -> DataFrame:
     return state
 
 
+def current_positions(spark: SparkSession, out_path: str) -> DataFrame:
+    """The newest state of every position ever written by ``positions``."""
+    written = tables.read_table(spark, f"{out_path}/positions")
+    return tables.latest_versions(written, ["position_id"], F.col("version")).drop("version")
+
+
 def open_positions_view(state: DataFrame, ticks: DataFrame) -> DataFrame:
     return ledger.mark_to_market(state.where(F.col("status") == "OPEN"), prices.latest_prices(ticks))
 
@@ -178,6 +184,6 @@ def price_moves(ticks: DataFrame, window: timedelta = timedelta(minutes=5)) -> D
 
 def flagship(candles: DataFrame, fee_bps: float = 10.0) -> DataFrame:
     """Candles to performance metrics per token: features, RSI signals, backtest, in one shuffle."""
-    series = with_window_features(lay_out(candles)).rows(bt.add_rsi_signals)
+    series = with_window_features(lay_out(candles)).rows(bt.add_rsi_signals).keep("return_1h", "signal")
     return bt.metrics(bt.simulate(series, fee_bps).frame())
 

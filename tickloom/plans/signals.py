@@ -22,13 +22,13 @@ def news_signals(items: DataFrame) -> DataFrame:
 
     Items: topic, title, domain, feed_rank, item_rank. Only the title is classified.
     """
-    place = F.struct("feed_rank", "item_rank")
+    place = F.when(F.col("event_type") != "other", F.struct("feed_rank", "item_rank"))
     first = F.min_by(F.struct("event_type", "credibility"), place).alias("_n")
     return (
         classify(items)
-        .where(F.col("event_type") != "other")
         .groupBy("topic")
         .agg(first)
+        .where(F.col("_n").isNotNull())
         .select("topic", F.col("_n.event_type").alias("news_event_type"), F.col("_n.credibility").alias("news_credibility"))
     )
 
