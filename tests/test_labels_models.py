@@ -183,7 +183,26 @@ def test_promotion_rule(spark):
         assert got[token]["reasons"], token
     table = {r["token_address"]: r["run_id"] for r in models.next_champions(champions, decided).collect()}
     assert table["better"] == "new" and table["worse"] == "champ" and table["first"] == "new" and table["other"] == "champ"
-    assert len(table) == len(cases) + 1 - 0
+    assert len(table) == len(cases) + 1
+
+
+def test_promotion_job(spark, tmp_path):
+    from tickloom.plans import jobs
+
+    gold = str(tmp_path / "gold")
+    from demo.views import candles
+    from tickloom.operators.features import token_features
+
+    rows = token_features(candles(spark, "/root/testdata/sf0.001")).withColumn("event_date", F.to_date("event_timestamp"))
+    rows.write.partitionBy("event_date").parquet(gold)
+    jobs.train(spark, gold, str(tmp_path / "models"), str(tmp_path / "runs"))
+    first = jobs.promote(spark, str(tmp_path / "runs"), None, str(tmp_path / "champions" / "1"))
+    assert first.where("not promote").count() == 0
+    champions = spark.read.parquet(str(tmp_path / "champions" / "1"))
+    assert champions.count() == first.count() and "f1" in champions.columns
+    again = jobs.promote(spark, str(tmp_path / "runs"), champions, str(tmp_path / "champions" / "2"))
+    assert again.where("promote").count() == 0
+    assert spark.read.parquet(str(tmp_path / "models")).where("model_type = 'exit'").count() > 5
 
 
 def test_training_end_to_end(spark):

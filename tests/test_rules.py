@@ -140,6 +140,8 @@ def test_candidates_and_momentum(spark):
     assert {r[0]: r[1] for r in bad.select("token_address", "problem").collect()} == {
         "wash": "volume_to_liquidity", "dry": "bad_liquidity", "noliq": "bad_liquidity", "neg": "bad_volume", "novol": "bad_volume",
     }
+    line = discovery.display_rows(df.withColumn("symbol", F.lit(None).cast("string"))).where("token_address = 'novol'").first()
+    assert tuple(line) == ("novol", "novol", "?", 0.0, 10.0)
     tiers = {r["token_address"]: r["momentum_tier"] for r in discovery.with_momentum(df).collect()}
     assert tiers["strong"] == "STRONG" and tiers["ok"] == "MODERATE" and tiers["thin"] is None and tiers["gap"] is None
     top = discovery.top_by_volume(df, 2).collect()

@@ -93,15 +93,12 @@ def top_by_volume(candidates: DataFrame, limit: int = MAX_DISCOVERED) -> DataFra
 
 
 def display_rows(candidates: DataFrame) -> DataFrame:
-    """Report line per candidate: symbol (or the address head) and its metrics."""
-    head = F.substring("token_address", 1, 8)
+    """Report line per candidate; a missing symbol shows as ``?`` and a missing amount as 0."""
     return candidates.select(
-        F.coalesce("symbol", head).alias("symbol"),
-        head.alias("token"),
-        "liquidity",
-        "volume_24h_usd",
-        "holder",
-        "trade_24h_count",
+        "token_address",
+        F.substring("token_address", 1, 8).alias("label"),
+        F.coalesce("symbol", F.lit("?")).alias("symbol"),
+        *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("volume_24h_usd", "liquidity")],
     )
 
 

@@ -74,7 +74,7 @@ def promote(spark: SparkSession, runs_path: str, champions: DataFrame | None, ou
     """Decide on the newest run of every token and model type and write the next champion snapshot."""
     challengers = models.latest_runs(tables.read_table(spark, runs_path))
     if champions is None:
-        champions = challengers.select("token_address", "model_type", "run_id", "roc_auc", "brier_score").where(F.lit(False))
+        champions = challengers.select("token_address", "model_type", "run_id", *models.METRICS).where(F.lit(False))
     decided = models.promotion_decisions(challengers, champions)
     models.next_champions(champions, decided).write.mode("errorifexists").parquet(out_path)
     return decided
@@ -105,10 +105,10 @@ def security_report(
 
 
 def news_report(spark: SparkSession, feed_paths: dict[str, str], topic: str | None = None, limit_per_feed: int = 10) -> DataFrame:
-    """Classified news items; title and summary both count."""
+    """Recent items of the feeds, classified by title."""
     rows = feeds.feed_envelopes(feeds.read_feeds(spark, feed_paths), topic, limit_per_feed)
-    fields = rows.withColumns({f: F.get_json_object("payload", f"$.{f}") for f in ("title", "summary", "domain", "link")})
-    return classify(fields, description="summary")
+    fields = ("title", "summary", "domain", "link")
+    return classify(rows.withColumns({f: F.get_json_object("payload", f"$.{f}") for f in fields}))
 
 
 def discover(spark: SparkSession, landed_path: str, bronze_path: str) -> tuple[DataFrame, DataFrame]:

@@ -116,5 +116,5 @@ def promotion_decisions(challengers: DataFrame, champions: DataFrame) -> DataFra
 
 def next_champions(champions: DataFrame, decided: DataFrame) -> DataFrame:
     """Champion table after the promoted challengers replaced theirs."""
-    promoted = decided.where("promote").select("token_address", "model_type", "run_id", "roc_auc", "brier_score")
-    return upsert(champions.select(*promoted.columns), promoted, ["token_address", "model_type"])
+    kept = ["token_address", "model_type", "run_id", *[m for m in METRICS if m in decided.columns]]
+    return upsert(champions, decided.where("promote").select(*kept), ["token_address", "model_type"])
