@@ -46,7 +46,7 @@ CTES = {
         FROM signalled""",
     "charged": """
         SELECT *, CASE WHEN position <> coalesce(lag(position) OVER (
-            PARTITION BY token_address ORDER BY event_timestamp, event_id), 0) THEN 0.001 ELSE 0 END AS cost
+            PARTITION BY token_address ORDER BY event_timestamp, event_id), 0) THEN CAST(0.001 AS DOUBLE) ELSE 0 END AS cost
         FROM latched""",
     "earned": """
         SELECT *, position * coalesce(return_1h, 0) - cost AS strategy_return FROM charged""",
@@ -314,6 +314,10 @@ _MATCHED = (
     + " ELSE '' END"
 )
 
+_RISKS = """CASE act WHEN 'tier' THEN 'Rug-risk tier: ' || risk_tier WHEN 'news' THEN 'News event: ' || news_event_type
+             ELSE concat_ws('; ', CASE WHEN risk_tier IN ('HIGH', 'MODERATE') THEN 'Rug-risk tier is ' || risk_tier || ' (score ' || points || '/100)' END,
+               CASE WHEN act = 'weak' AND prob <= 0.3 THEN 'Entry model probability is ' || printf('%.2f', CAST(prob AS DOUBLE)) || ' (bearish)' END) END"""
+
 ORACLES: dict[str, str] = {
     "silver_valid": f"""SELECT token_address, event_timestamp, value AS open, value AS high, low, value AS close, volume, 'usd' AS currency
         FROM ({_MARKET}) WHERE value > 0 AND low > 0 AND volume >= 0""",
@@ -461,13 +465,11 @@ ORACLES: dict[str, str] = {
     ),
     "decisions": _sql(
         "decided",
-        """SELECT token_address, action, round(CAST(confidence AS DOUBLE), 6) AS confidence, override_triggered,
+        f"""SELECT token_address, action, round(CAST(confidence AS DOUBLE), 6) AS confidence, override_triggered,
            CAST(CASE WHEN act IN ('tier', 'news') THEN 1 ELSE
              CASE WHEN risk_tier = 'LOW' THEN 1 ELSE 0 END + CASE WHEN prob IS NULL THEN 1 ELSE 0 END
              + CASE WHEN act = 'WATCHLIST' OR act = 'BUY' OR (act = 'HOLD' AND prob IS NOT NULL) THEN 1 ELSE 0 END END AS BIGINT) AS n_reasons,
-           CASE act WHEN 'tier' THEN 'Rug-risk tier: ' || risk_tier WHEN 'news' THEN 'News event: ' || news_event_type
-             ELSE concat_ws('; ', CASE WHEN risk_tier IN ('HIGH', 'MODERATE') THEN 'Rug-risk tier is ' || risk_tier || ' (score ' || points || '/100)' END,
-               CASE WHEN act = 'weak' AND prob <= 0.3 THEN 'Entry model probability is ' || printf('%.2f', CAST(prob AS DOUBLE)) || ' (bearish)' END) END AS risks
+           {_RISKS} AS risks
            FROM decided""",
     ),
     "watchlist_ranked": _sql(
@@ -515,4 +517,53 @@ ORACLES: dict[str, str] = {
                               CAST(epoch(max(o_orderdate)) AS BIGINT) AS b FROM orders GROUP BY 1)
         SELECT token_address, '4H' AS interval, i AS chunk, a + i * 12960000 AS time_from, least(a + (i + 1) * 12960000, b) AS time_to
         FROM spans, unnest(range(0, CAST(ceil((b - a) / 12960000.0) AS BIGINT))) AS t(i) WHERE a < b""",
+    "landed_candles": """SELECT 'birdeye' AS source, 'market' AS domain, CAST(user_id AS VARCHAR) AS token_address,
+        CAST(epoch_us(date_trunc('second', ts)) AS BIGINT) AS event_timestamp, value AS close FROM events""",
+    "landed_prices": """SELECT CAST(user_id AS VARCHAR) AS token_address,
+        CASE WHEN event_type = 'signup' THEN epoch_us(ts) + 60000000 ELSE epoch_us(date_trunc('second', ts)) END AS event_timestamp,
+        value AS price FROM events WHERE event_type <> 'error'""",
+    "screened_tokens": f"""SELECT 'discovery' AS domain, CAST(s_suppkey AS VARCHAR) AS token_address,
+        epoch_us(TIMESTAMP '{NOW}') + 60000000 AS event_timestamp,
+        '{{"address":"' || s_suppkey || '","extensions":null,"liquidity":' || CAST(round(s_acctbal * 100) AS BIGINT) || '}}' AS payload FROM supplier""",
+    "decoded_ticks": """SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS token_address,
+        CASE WHEN event_type <> 'signup' THEN epoch_us(date_trunc('second', ts)) END AS event_timestamp,
+        CASE WHEN event_type <> 'error' THEN value END AS price,
+        CASE event_type WHEN 'signup' THEN 'time' WHEN 'error' THEN 'price' END AS problem FROM events""",
+    "feed_items": """SELECT doc_id, feed, CAST(item_rank AS INTEGER) AS item_rank
+        FROM (SELECT doc_id, source AS feed, text, lang, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS item_rank FROM documents)
+        WHERE item_rank <= 10 AND contains(lower(text || ' ' || lang), 'en')""",
+    "latest_prices": """SELECT event_type AS token_address, arg_max(value, ts) AS price, epoch_us(max(ts)) AS price_time FROM events GROUP BY 1""",
+    "latest_runs": _sql(
+        "latest", f"SELECT token_address, model_type, run_id, {_micros('start_time')}, {_places('roc_auc', 'brier_score')} FROM latest"
+    ),
+    "outflow_report": _sql(
+        "flows",
+        f"""SELECT CAST(p_size AS VARCHAR) AS wallet, CAST(p_partkey AS VARCHAR) AS token_address, round(coalesce(total_outflow, 0), 6) AS total_outflow,
+            coalesce(outflow_count, 0) AS outflow_count, {_micros("latest_outflow")}, coalesce(has_recent_outflow, false) AS has_recent_outflow
+            FROM part LEFT JOIN flows ON wallet = CAST(p_size AS VARCHAR) AND token_address = CAST(p_partkey AS VARCHAR)""",
+    ),
+    "candidate_lines": _sql(
+        "candidates",
+        """SELECT token_address, substr(token_address, 1, 8) AS label, coalesce(symbol, '?') AS symbol,
+           round(coalesce(volume_24h_usd, 0), 6) AS volume_24h_usd, round(coalesce(liquidity, 0), 6) AS liquidity FROM candidates""",
+    ),
+    "watchlist_records": _sql(
+        "decided",
+        f"""SELECT epoch_us(TIMESTAMP '{NOW}') AS scan_timestamp, token_address,
+            CASE WHEN override_triggered AND confidence >= 0.85 THEN 'CRITICAL' WHEN override_triggered THEN 'HIGH'
+                 WHEN action = 'BUY' AND confidence >= 0.7 THEN 'WATCH' ELSE 'INFO' END AS severity,
+            action, round(CAST(confidence AS DOUBLE), 6) AS confidence, override_triggered,
+            override_triggered AS would_emergency_exit_if_held, {_RISKS} AS risks FROM decided""",
+    ),
+    "watchlist_view": _sql(
+        "decided judged candles",
+        """SELECT w.token_address, source, price, action
+           FROM (SELECT CAST(n_nationkey AS VARCHAR) AS token_address, 'manual' AS source FROM nation
+                 UNION ALL
+                 SELECT token_address, 'discovered' FROM
+                   (SELECT token_address FROM judged WHERE outcome = 'valid' ORDER BY volume_24h_usd DESC, token_address LIMIT 10)
+                 WHERE token_address NOT IN (SELECT CAST(n_nationkey AS VARCHAR) FROM nation)) w
+           LEFT JOIN (SELECT token_address, arg_max(close, event_timestamp) AS price FROM candles GROUP BY 1) c USING (token_address)
+           LEFT JOIN decided d USING (token_address)""",
+    ),
 }

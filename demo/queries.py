@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from demo import views
 from tickloom import constants as K
 from tickloom.functions.canonical import event_id
-from tickloom.functions.news import classify, credibility, url_domain
+from tickloom.functions.news import classify, credibility, mentions, url_domain
 from tickloom.functions.rules import mint_flags
 from tickloom.operators import backtest as bt
 from tickloom.operators import discovery, features, holders, labels, ledger, prices, silver, wallets, watchlist
@@ -20,7 +20,7 @@ from tickloom.operators.scoring import classifier_metrics, score
 from tickloom.operators.series import lay_out
 from tickloom.plans import jobs, models, signals
 from tickloom.session import checkpoint_root, cut
-from tickloom.sources import backfill, tables
+from tickloom.sources import backfill, feeds, landed, tables
 from tickloom.streaming import alerts, ingest
 
 ALERT_WINDOW = timedelta(hours=6)
@@ -377,6 +377,65 @@ def backfill_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return backfill.request_chunks(spans, "4H")
 
 
+def landed_candles(spark: SparkSession, sf: str) -> DataFrame:
+    rows = landed.candles(views.candle_responses(spark, sf))
+    close = F.get_json_object("payload", "$.c").try_cast("double").alias("close")
+    return micros(rows.select("source", "domain", "token_address", "event_timestamp", close))
+
+
+def landed_prices(spark: SparkSession, sf: str) -> DataFrame:
+    rows = landed.latest_prices(views.price_responses(spark, sf))
+    price = F.get_json_object("payload", "$.value").try_cast("double").alias("price")
+    return micros(rows.select("token_address", "event_timestamp", price))
+
+
+def screened_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    rows = landed.screened_tokens(views.screener_responses(spark, sf))
+    return micros(rows.select("domain", "token_address", "event_timestamp", "payload"))
+
+
+def decoded_ticks(spark: SparkSession, sf: str) -> DataFrame:
+    decoded = ingest.decode(views.tick_messages(spark, sf))
+    return micros(decoded.select("event_id", "token_address", "event_timestamp", "price", "problem"))
+
+
+def feed_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Of the first ten items of each feed, those that mention a topic."""
+    first = feeds.first_items(views.feed_items(spark, sf), 10)
+    return first.where(mentions(F.lit("EN"), F.col("title"), F.col("summary"))).select("doc_id", "feed", "item_rank")
+
+
+def latest_prices(spark: SparkSession, sf: str) -> DataFrame:
+    return micros(prices.latest_prices(views.ticks(spark, sf)))
+
+
+def latest_runs(spark: SparkSession, sf: str) -> DataFrame:
+    rows = models.latest_runs(views.model_runs(spark, sf))
+    return rounded(rows.select("token_address", "model_type", "run_id", "start_time", "roc_auc", "brier_score"))
+
+
+def outflow_report(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(wallets.outflow_report(views.monitored_wallets(spark, sf), _outflows(spark, sf)))
+
+
+def candidate_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(discovery.display_rows(views.candidates(spark, sf)))
+
+
+def watchlist_records(spark: SparkSession, sf: str) -> DataFrame:
+    record = watchlist.flat_record(watchlist.with_severity(_decided(spark, sf)), F.lit(views.NOW).cast("timestamp"))
+    return rounded(record.drop("reasons"))
+
+
+def watchlist_view(spark: SparkSession, sf: str) -> DataFrame:
+    """Nations and the busiest valid candidates, with latest price and recommendation where known."""
+    manual = views.table(spark, sf, "nation").select(F.col("n_nationkey").cast("string").alias("token_address"))
+    valid, _ = discovery.split_candidates(views.candidates(spark, sf))
+    quotes = views.candles(spark, sf).withColumnRenamed("close", "price")
+    view = jobs.watchlist_view(manual, discovery.top_by_volume(valid), quotes, _decided(spark, sf))
+    return view.select("token_address", "source", "price", "action")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -430,5 +489,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         price_alerts,
         price_alerts_stream,
         backfill_chunks,
+        landed_candles,
+        landed_prices,
+        screened_tokens,
+        decoded_ticks,
+        feed_items,
+        latest_prices,
+        latest_runs,
+        outflow_report,
+        candidate_lines,
+        watchlist_records,
+        watchlist_view,
     )
 } | {"classifier_metrics": classifier_report, "mint_flags": mint_authority}

@@ -249,3 +249,55 @@ def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("value") / (F.col("value") + 40)).alias("probability"),
         (F.get_json_object("props", "$.k").cast("int") % 3 == 0).cast("int").alias("label"),
     )
+
+
+def candle_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event as a landed OHLCV response of two candles, one of them without a time."""
+    seconds = F.unix_timestamp("ts").cast("string")
+    parts = ('{"data":{"items":[{"unixTime":', seconds, ',"c":', _text("value"), '},{"c":', _text("value"), "}]}}")
+    return _landed(table(spark, sf_dir, "events"), _text("user_id"), parts)
+
+
+def price_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event as a landed price response; errors have no value, signups no update time."""
+    value = F.when(F.col("event_type") == "error", F.lit("null")).otherwise(_text("value"))
+    updated = F.when(F.col("event_type") == "signup", F.lit("0")).otherwise(F.unix_timestamp("ts").cast("string"))
+    parts = ('{"data":{"value":', value, ',"updateUnixTime":', updated, "}}")
+    return _landed(table(spark, sf_dir, "events"), _text("user_id"), parts)
+
+
+def screener_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each supplier as a landed screener page with one address and one row without."""
+    cents = F.round(F.col("s_acctbal") * 100).cast("long").cast("string")
+    parts = ('{"data":{"items":[{"liquidity":', cents, ',"extensions":{},"address":"', _text("s_suppkey"), '"},{"symbol":"none"}]}}')
+    rows = table(spark, sf_dir, "supplier").withColumn("ts", F.lit(NOW).cast("timestamp"))
+    return _landed(rows, F.lit("scan"), parts)
+
+
+def _landed(df: DataFrame, key: Column, parts: tuple) -> DataFrame:
+    text = F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
+    return df.select(
+        key.alias("request_key"), (F.col("ts") + F.expr("interval 1 minute")).alias("received_at"), text.alias("response")
+    )
+
+
+def tick_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event as a stream message; errors have no price, signups no readable time."""
+    price = F.when(F.col("event_type") == "error", F.lit("null")).otherwise(_text("value"))
+    when = F.when(F.col("event_type") == "signup", F.lit("soon")).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    parts = ('{"event_id":"', _text("event_id"), '","token_address":"', _text("user_id"), '","event_timestamp":"', when, '","payload":{"value":', price, "}}")
+    return table(spark, sf_dir, "events").select(F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts]).alias("value"))
+
+
+def feed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents as feed items, one feed per source."""
+    return table(spark, sf_dir, "documents").select(
+        "doc_id", F.col("source").alias("feed"), F.col("doc_id").alias("place"), F.col("text").alias("title"), F.col("lang").alias("summary")
+    )
+
+
+def monitored_wallets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A wallet to watch for every part."""
+    return table(spark, sf_dir, "part").select(
+        _text("p_size").alias("wallet"), _text("p_partkey").alias("token_address")
+    )

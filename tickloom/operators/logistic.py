@@ -2,13 +2,12 @@
 
 The objective is half the squared weights plus the summed log-loss, intercept not penalised.
 A key with few enough rows is fitted in one task (Newton steps in numpy). A key with more is fitted
-by the whole cluster: each Newton step is one aggregate of gradient and curvature sums over its
-rows, and only the small sums reach the driver.
+by the whole cluster: each Newton step is one aggregate of gradient and curvature sums over its rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -17,8 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.operators.series import group_sizes, split_hot
+from tickloom.session import cut
 
-MAX_GROUP_ROWS = 500_000
+MAX_GROUP_ROWS = 2_000_000
+BROADCAST_MODELS = 10_000
 STEPS, TOLERANCE = 50, 1e-10
 
 
@@ -62,58 +63,66 @@ def _fit_small(train: DataFrame, keys: list[str], features: list[str], label: st
     return train.select(*keys, *features, label).groupBy(*keys).applyInPandas(fit, schema)
 
 
-def _fit_large(train: DataFrame, keys: list[str], features: list[str], label: str, schema: T.StructType) -> DataFrame:
-    spark, k = train.sparkSession, len(features)
+def _solve(keys: list[str], size: int):
+    """Newton step for each row of sums; runs on the executors."""
+    cells = [(i, j) for i in range(size) for j in range(i, size)]
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            weights, moves = [], []
+            for w, g, h in zip(pdf["w"], pdf["g"], pdf["h"], strict=True):
+                curvature = np.zeros((size, size))
+                for (a, b), v in zip(cells, h, strict=True):
+                    curvature[a, b] = curvature[b, a] = v
+                nxt = newton_step(np.asarray(w), np.asarray(g), curvature)
+                weights.append(nxt)
+                moves.append(float(np.max(np.abs(nxt - np.asarray(w)))))
+            yield pdf[[*keys, "mean", "scale", "n_train"]].assign(w=weights, move=moves)
+
+    return solve
+
+
+def _fit_large(train: DataFrame, keys: list[str], features: list[str], label: str, hot: list) -> DataFrame:
+    """Newton steps over the whole cluster. The state, one row per hot key, is a table between steps;
+    the driver only learns how far the weights moved."""
+    size = len(features) + 1
     xs = [F.col(f).cast("double") for f in features]
-    stats = (
+    spread = F.array(*[F.stddev_pop(x) for x in xs])
+    state = cut(
         train.groupBy(*keys)
-        .agg(
-            F.array(*[F.avg(x) for x in xs]).alias("mean"),
-            F.array(*[F.stddev_pop(x) for x in xs]).alias("scale"),
-            F.count(F.lit(1)).alias("n_train"),
-        )
-        .collect()  # one row per hot key
-    )
-    models = {
-        tuple(r[c] for c in keys): [np.array(r["mean"]), np.array([s if s > 0 else 1.0 for s in r["scale"]]), np.zeros(k + 1), r["n_train"]]
-        for r in stats
-    }
-    state = T.StructType(
-        [*train.select(*keys).schema.fields, *[T.StructField(n, T.ArrayType(T.DoubleType())) for n in ("_mean", "_scale", "_w")]]
+        .agg(F.array(*[F.avg(x) for x in xs]).alias("mean"), spread.alias("scale"), F.count(F.lit(1)).alias("n_train"))
+        .withColumn("scale", F.transform("scale", lambda s: F.when(s > 0, s).otherwise(1.0)))
+        .withColumn("w", F.array_repeat(F.lit(0.0), size))
+        .withColumn("move", F.lit(float("inf")))
     )
-    z = [(x - F.col("_mean")[i]) / F.col("_scale")[i] for i, x in enumerate(xs)] + [F.lit(1.0)]
-    cells = [(i, j) for i in range(k + 1) for j in range(i, k + 1)]
-    zc = [F.col(f"_z{i}") for i in range(k + 1)]
-    running = set(models)
+    z = [(x - F.col("mean")[i]) / F.col("scale")[i] for i, x in enumerate(xs)] + [F.lit(1.0)]
+    zc = [F.col(f"_z{i}") for i in range(size)]
+    p = F.col("_p")
+    gradient = [F.sum((p - F.col("_y")) * c) for c in zc]
+    curvature = [F.sum(p * (1 - p) * zc[i] * zc[j]) for i in range(size) for j in range(i, size)]
+    known = ["mean", "scale", "n_train", "w"]
     for _ in range(STEPS):
-        weights = spark.createDataFrame([(*key, *(m.tolist() for m in models[key][:3])) for key in running], state)
-        rows = train.join(F.broadcast(weights), keys).select(
-            *keys, F.col(label).cast("double").alias("_y"), "_w", *[c.alias(f"_z{i}") for i, c in enumerate(z)]
+        current = F.broadcast(state) if len(hot) <= BROADCAST_MODELS else state
+        rows = train.join(current, keys).select(
+            *keys, *known, F.col(label).cast("double").alias("_y"), *[c.alias(f"_z{i}") for i, c in enumerate(z)]
         )
-        margin = sum((F.col("_w")[i] * zc[i] for i in range(k + 1)), F.lit(0.0))
-        rows = rows.withColumn("_p", 1 / (1 + F.exp(-margin)))
-        p = F.col("_p")
+        margin = sum((F.col("w")[i] * zc[i] for i in range(size)), F.lit(0.0))
         sums = (
-            rows.groupBy(*keys)
-            .agg(
-                F.array(*[F.sum((p - F.col("_y")) * c) for c in zc]).alias("g"),
-                F.array(*[F.sum(p * (1 - p) * zc[i] * zc[j]) for i, j in cells]).alias("h"),
-            )
-            .collect()  # one row of sums per hot key
+            rows.withColumn("_p", 1 / (1 + F.exp(-margin)))
+            .groupBy(*keys)
+            .agg(F.array(*gradient).alias("g"), F.array(*curvature).alias("h"), *[F.first(c).alias(c) for c in known])
         )
-        for r in sums:
-            key = tuple(r[c] for c in keys)
-            h = np.zeros((k + 1, k + 1))
-            for (i, j), v in zip(cells, r["h"], strict=True):
-                h[i, j] = h[j, i] = v
-            nxt = newton_step(models[key][2], np.array(r["g"]), h)
-            if np.max(np.abs(nxt - models[key][2])) < TOLERANCE:
-                running.discard(key)
-            models[key][2] = nxt
-        if not running:
+        state = cut(sums.mapInPandas(_solve(keys, size), state.select(*keys, "mean", "scale", "n_train", "w", "move").schema))
+        if state.agg(F.max("move")).first()[0] < TOLERANCE:
             break
-    out = [(*key, m.tolist(), s.tolist(), w[:-1].tolist(), float(w[-1]), n) for key, (m, s, w, n) in models.items()]
-    return spark.createDataFrame(out, schema)
+    return state.select(
+        *keys,
+        "mean",
+        "scale",
+        F.slice("w", 1, size - 1).alias("coef"),
+        F.col("w")[size - 1].alias("intercept"),
+        "n_train",
+    )
 
 
 def fit_models(
@@ -127,5 +136,5 @@ def fit_models(
         return _fit_small(train, keys, features, label, schema)
     small, large = split_hot(train, keys, hot)
     return _fit_small(small, keys, features, label, schema).unionByName(
-        _fit_large(large, keys, features, label, schema)
+        _fit_large(large, keys, features, label, hot)
     )

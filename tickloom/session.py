@@ -22,9 +22,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="tickloom-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tickloom-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def cut(df: DataFrame) -> DataFrame:
