@@ -135,3 +135,58 @@ MANUAL_WATCHLIST = ("So11111111111111111111111111111111111111112",)
 MAX_DISCOVERED = 10
 # Default news feeds, in reading order.
 DEFAULT_FEEDS = ("cointelegraph.com", "coindesk.com")
+
+# Texts of rug-risk reasons and of missing signals.
+RISK_TEXTS = {
+    "concentration": "Holder concentration is %s (+%d points)",
+    "outflow": "Monitored wallet sent tokens out within the last 24h (+25 points)",
+    "mint": "Mint authority is still active - supply can be increased at will (+20 points)",
+    "freeze": "Freeze authority is still active - holder accounts can be frozen (+15 points)",
+    "clean": "No red flags detected in the signals that were available",
+    "no_concentration": "holder concentration data unavailable",
+    "no_outflow": "dev-wallet outflow data unavailable",
+    "no_mint": "mint authority status unavailable",
+    "no_freeze": "freeze authority status unavailable",
+}
+# Texts of recommendation reasons and risks.
+DECISION_TEXTS = {
+    "tier_override": (
+        "SECURITY OVERRIDE: rug-risk tier is %s (score %s/100) - this overrides any other bullish signal"
+    ),
+    "news_override": (
+        "SECURITY OVERRIDE: recent news classified as '%s'%s - this overrides any other bullish signal, regardless "
+        "of source credibility, since even an unconfirmed report of this severity warrants caution until verified"
+    ),
+    "credibility": " (source credibility: %s)",
+    "tier_risk": "Rug-risk tier: %s",
+    "news_risk": "News event: %s",
+    "tier": "Rug-risk tier is %s (score %s/100)",
+    "no_model": "Entry model probability unavailable",
+    "momentum": (
+        "Discovery screening metrics (volume, liquidity, holders, trade count) are strong - this is a raw-data "
+        "heuristic, NOT a model prediction, and does not by itself justify BUY"
+    ),
+    "bullish": "Entry model probability is %.2f (bullish)",
+    "bearish": "Entry model probability is %.2f (bearish)",
+    "neutral": "Entry model probability is %.2f (not strongly bullish or bearish)",
+    "silent": "No strong signals in either direction",
+}
+# Texts of promotion reasons.
+PROMOTION_TEXTS = {
+    "first": "No existing champion - promoting first model",
+    "incomparable": "Cannot compare: roc_auc missing from champion or challenger metrics",
+    "weak": (
+        "ROC-AUC improvement (%+.4f) is below the required minimum (0.02) - challenger is not clearly better, "
+        "keeping current champion"
+    ),
+    "ahead": "ROC-AUC improved by %+.4f (%.4f -> %.4f)",
+    "worse": (
+        "REJECTED despite ROC-AUC improvement: calibration (Brier score) regressed by %+.4f, exceeding the allowed "
+        "tolerance (0.01) - the challenger may be gaming ROC-AUC via overconfident predictions"
+    ),
+    "calibrated": "Calibration (Brier score) did not regress meaningfully (%+.4f)",
+    "uncalibrated": (
+        "Brier score unavailable for one or both models - calibration check skipped, promotion decision based on "
+        "ROC-AUC alone"
+    ),
+}

@@ -39,37 +39,29 @@ def mint_flags(rpc_json: Column) -> tuple[Column, Column]:
     )
 
 
-def _texts(*texts: Column) -> Column:
-    return F.array_compact(F.array(*texts))
+def _texts(table: dict[str, str], *entries: tuple) -> Column:
+    """The texts whose condition holds: (condition, name in ``table``, arguments of the text)."""
+    return F.array_compact(
+        F.array(*[F.when(test, F.format_string(table[name], *args)) for test, name, *args in entries])
+    )
 
 
 def rug_risk(tier: Column, outflow: Column, mint: Column, freeze: Column) -> dict[str, Column]:
     """Rug-risk score 0..100 with its tier, reasons and the signals that were missing."""
-    points = reduce(lambda c, kv: c.when(tier == kv[0], kv[1]), K.TIER_POINTS.items(), F.when(F.lit(False), 0))
-    points = points.otherwise(0)
-    flags = (
-        (outflow, K.OUTFLOW_POINTS, "Monitored wallet sent tokens out within the last 24h (+{} points)"),
-        (mint, K.MINT_POINTS, "Mint authority is still active - supply can be increased at will (+{} points)"),
-        (freeze, K.FREEZE_POINTS, "Freeze authority is still active - holder accounts can be frozen (+{} points)"),
-    )
-    total = reduce(lambda a, b: a + b, [F.when(f, p).otherwise(0) for f, p, _ in flags], points)
+    chain = reduce(lambda c, kv: c.when(tier == kv[0], kv[1]), K.TIER_POINTS.items(), F.when(F.lit(False), 0))
+    points = chain.otherwise(0)
+    flags = ((outflow, K.OUTFLOW_POINTS), (mint, K.MINT_POINTS), (freeze, K.FREEZE_POINTS))
+    total = reduce(lambda a, b: a + b, [F.when(flag, p).otherwise(0) for flag, p in flags], points)
     score = F.least(total, F.lit(K.MAX_SCORE)).cast("int")
     found = _texts(
-        F.when(points > 0, F.format_string("Holder concentration is %s (+%d points)", tier, points)),
-        *[F.when(f, F.lit(text.format(p))) for f, p, text in flags],
-    )
-    clean = F.array(F.lit("No red flags detected in the signals that were available"))
-    gaps = (
-        (tier, "holder concentration data unavailable"),
-        (outflow, "dev-wallet outflow data unavailable"),
-        (mint, "mint authority status unavailable"),
-        (freeze, "freeze authority status unavailable"),
+        K.RISK_TEXTS, (points > 0, "concentration", tier, points), (outflow, "outflow"), (mint, "mint"), (freeze, "freeze")
     )
+    signals = {"no_concentration": tier, "no_outflow": outflow, "no_mint": mint, "no_freeze": freeze}
     return {
         "rug_risk_score": score,
         "risk_tier": score_tier(score),
-        "reasons": F.when(F.size(found) > 0, found).otherwise(clean),
-        "data_gaps": _texts(*[F.when(c.isNull(), F.lit(text)) for c, text in gaps]),
+        "reasons": F.when(F.size(found) > 0, found).otherwise(F.array(F.lit(K.RISK_TEXTS["clean"]))),
+        "data_gaps": _texts(K.RISK_TEXTS, *[(signal.isNull(), name) for name, signal in signals.items()]),
     }
 
 
@@ -118,58 +110,31 @@ def recommendation(
         .when(bearish, outcome("AVOID", 0.6))
         .otherwise(outcome("HOLD", 0.4))
     )
-    of_score = F.concat(F.lit(" (score "), F.coalesce(score.cast("string"), F.lit("None")), F.lit("/100)"))
-    shown = F.format_string("Entry model probability is %.2f", probability)
-    source_note = F.coalesce(F.concat(F.lit(" (source credibility: "), credibility, F.lit(")")), F.lit(""))
-    scored = ~override & ~unknown
+    shown = F.coalesce(score.cast("string"), F.lit("None"))
+    note = F.when(credibility.isNull(), "").otherwise(F.format_string(K.DECISION_TEXTS["credibility"], credibility))
+    calm, scored = ~override, ~override & ~unknown
     reasons = _texts(
-        F.when(
-            tier_override,
-            F.concat(
-                F.lit("SECURITY OVERRIDE: rug-risk tier is "),
-                tier,
-                of_score,
-                F.lit(" - this overrides any other bullish signal"),
-            ),
-        ),
-        F.when(
-            news_override,
-            F.concat(
-                F.lit("SECURITY OVERRIDE: recent news classified as '"),
-                news_type,
-                F.lit("'"),
-                source_note,
-                F.lit(
-                    " - this overrides any other bullish signal, regardless of source credibility, since even an "
-                    "unconfirmed report of this severity warrants caution until verified"
-                ),
-            ),
-        ),
-        F.when(~override & (tier == "LOW"), F.concat(F.lit("Rug-risk tier is LOW"), of_score)),
-        F.when(~override & unknown, F.lit("Entry model probability unavailable")),
-        F.when(
-            ~override & strong,
-            F.lit(
-                "Discovery screening metrics (volume, liquidity, holders, trade count) are strong - this is a "
-                "raw-data heuristic, NOT a model prediction, and does not by itself justify BUY"
-            ),
-        ),
-        F.when(scored & bullish, F.concat(shown, F.lit(" (bullish)"))),
-        F.when(scored & ~bullish & ~bearish, F.concat(shown, F.lit(" (not strongly bullish or bearish)"))),
+        K.DECISION_TEXTS,
+        (tier_override, "tier_override", tier, shown),
+        (news_override, "news_override", news_type, note),
+        (calm & (tier == "LOW"), "tier", tier, shown),
+        (calm & unknown, "no_model"),
+        (calm & strong, "momentum"),
+        (scored & bullish, "bullish", probability),
+        (scored & ~bullish & ~bearish, "neutral", probability),
     )
     risks = _texts(
-        F.when(tier_override, F.concat(F.lit("Rug-risk tier: "), tier)),
-        F.when(news_override, F.concat(F.lit("News event: "), news_type)),
-        F.when(
-            ~override & tier.isin("HIGH", "MODERATE"), F.concat(F.lit("Rug-risk tier is "), tier, of_score)
-        ),
-        F.when(scored & ~bullish & low, F.concat(shown, F.lit(" (bearish)"))),
+        K.DECISION_TEXTS,
+        (tier_override, "tier_risk", tier),
+        (news_override, "news_risk", news_type),
+        (calm & tier.isin("HIGH", "MODERATE"), "tier", tier, shown),
+        (scored & ~bullish & low, "bearish", probability),
     )
-    silent = F.array(F.lit("No strong signals in either direction"))
+    nothing = (F.size(reasons) == 0) & (F.size(risks) == 0)
     return {
         "action": chosen["action"],
         "confidence": chosen["confidence"],
-        "reasons": F.when((F.size(reasons) == 0) & (F.size(risks) == 0), silent).otherwise(reasons),
+        "reasons": F.when(nothing, F.array(F.lit(K.DECISION_TEXTS["silent"]))).otherwise(reasons),
         "risks": risks,
         "override_triggered": override,
         "would_emergency_exit_if_held": override,
@@ -199,36 +164,13 @@ def promotion(
     ahead = has_champion & F.coalesce(gain >= K.MIN_AUC_GAIN, F.lit(False))
     worse = ahead & F.coalesce(loss > K.MAX_BRIER_LOSS, F.lit(False))
     reasons = _texts(
-        F.when(first, F.lit("No existing champion - promoting first model")),
-        F.when(incomparable, F.lit("Cannot compare: roc_auc missing from champion or challenger metrics")),
-        F.when(
-            weak,
-            F.format_string(
-                f"ROC-AUC improvement (%+.4f) is below the required minimum ({K.MIN_AUC_GAIN}) - challenger is not "
-                "clearly better, keeping current champion",
-                gain,
-            ),
-        ),
-        F.when(ahead, F.format_string("ROC-AUC improved by %+.4f (%.4f -> %.4f)", gain, champion_auc, auc)),
-        F.when(
-            worse,
-            F.format_string(
-                "REJECTED despite ROC-AUC improvement: calibration (Brier score) regressed by %+.4f, exceeding the "
-                f"allowed tolerance ({K.MAX_BRIER_LOSS}) - the challenger may be gaming ROC-AUC via overconfident "
-                "predictions",
-                loss,
-            ),
-        ),
-        F.when(
-            ahead & ~worse & loss.isNotNull(),
-            F.format_string("Calibration (Brier score) did not regress meaningfully (%+.4f)", loss),
-        ),
-        F.when(
-            ahead & loss.isNull(),
-            F.lit(
-                "Brier score unavailable for one or both models - calibration check skipped, promotion decision "
-                "based on ROC-AUC alone"
-            ),
-        ),
+        K.PROMOTION_TEXTS,
+        (first, "first"),
+        (incomparable, "incomparable"),
+        (weak, "weak", gain),
+        (ahead, "ahead", gain, champion_auc, auc),
+        (worse, "worse", loss),
+        (ahead & ~worse & loss.isNotNull(), "calibrated", loss),
+        (ahead & loss.isNull(), "uncalibrated"),
     )
     return {"promote": first | (ahead & ~worse), "reasons": reasons}
