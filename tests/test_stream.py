@@ -75,7 +75,7 @@ def test_stream_equals_batch_over_restarts(spark, tmp_path):
         part = series[i * third : (i + 1) * third]
         lines = [message(t, s, p, event_id=f"{i * third + j:04d}") for j, (t, s, p) in enumerate(part)] + ["junk"]
         (folder / f"{i}.txt").write_text("\n".join(lines))
-        for q in alerts.run_alert_stream(spark, ingest.file_messages(spark, str(folder)), out, str(tmp_path / "cp"), every=None):
+        for q in alerts.run_alert_stream(ingest.file_messages(spark, str(folder)), out, str(tmp_path / "cp"), every=None):
             q.awaitTermination()
     rows = [(t, f"{i:04d}", at(s), p) for i, (t, s, p) in enumerate(series)]
     want = price_alerts(spark.createDataFrame(rows, TICK))
@@ -94,6 +94,6 @@ def test_late_ticks_are_dropped(spark, tmp_path):
     batches = [[("A", 0, 100), ("A", 1000, 100)], [("B", 1001, 5)], [("A", 10, 200), ("A", 990, 103)]]
     for i, batch in enumerate(batches):
         (folder / f"{i}.txt").write_text("\n".join(message(*m) for m in batch))
-        for q in alerts.run_alert_stream(spark, ingest.file_messages(spark, str(folder)), out, str(tmp_path / "cp"), every=None):
+        for q in alerts.run_alert_stream(ingest.file_messages(spark, str(folder)), out, str(tmp_path / "cp"), every=None):
             q.awaitTermination()
     assert spark.read.schema(alerts.ALERT_SCHEMA).parquet(f"{out}/alerts").count() == 0

@@ -6,6 +6,7 @@ run again after a failure.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -28,15 +29,26 @@ def ingest(spark: SparkSession, source: str, domain: str, landed_path: str, bron
     tables.write_bronze(adapter(landed.read_landed(spark, landed_path)), bronze_path)
 
 
-def silver(spark: SparkSession, bronze_path: str, silver_path: str, partition_by=("event_date",)) -> dict[str, int]:
+def silver(
+    spark: SparkSession,
+    bronze_path: str,
+    silver_path: str,
+    partition_by: Sequence[str] = ("event_date",),
+    days: tuple[str, str] | None = None,
+) -> dict[str, int]:
     """Bronze market events to silver; valid and quarantined rows go out in one pass and are counted on the way.
 
+    ``days`` (first and last, inclusive) reads and replaces only those days: copies of an event share
+    its time, so they are on the same day and deduplication stays exact.
+
     Pass ``("token_address", "event_date")`` for folders per token; the default keeps the number of
     folders independent of the number of tokens and sorts by token, so reads skip by file statistics.
     """
-    events = tables.read_bronze(spark, bronze_path).where(F.col("domain") == "market").drop("dt", "token")
+    events = tables.read_bronze(spark, bronze_path).where(F.col("domain") == "market")
+    if days is not None:
+        events = events.where(F.col("dt").between(*[F.lit(d).cast("date") for d in days]))
     seen = Observation()
-    marked = mark(events).observe(
+    marked = mark(events.drop("dt", "token")).observe(
         seen, F.count_if("is_valid").alias("valid"), F.count_if(~F.col("is_valid")).alias("quarantined")
     )
     rows = marked.withColumn(tables.QUALITY, F.when(F.col("is_valid"), "valid").otherwise("quarantine"))
@@ -46,7 +58,10 @@ def silver(spark: SparkSession, bronze_path: str, silver_path: str, partition_by
     return seen.get
 
 
-def features(spark: SparkSession, silver_path: str, gold_path: str, partition_by=("event_date",)) -> dict[str, int]:
+def features(
+    spark: SparkSession, silver_path: str, gold_path: str, partition_by: Sequence[str] = ("event_date",)
+) -> dict[str, int]:
+    """Silver to the gold feature table."""
     seen = Observation()
     gold = token_features(tables.read_silver(spark, silver_path)).observe(seen, F.count(F.lit(1)).alias("rows"))
     tables.write_partitioned(gold, gold_path, partition_by, sort_by=["token_address", "event_timestamp"])
@@ -54,7 +69,12 @@ def features(spark: SparkSession, silver_path: str, gold_path: str, partition_by
 
 
 def backtest(
-    spark: SparkSession, gold_path: str, out_path: str, oversold: float = 30.0, overbought: float = 70.0, fee_bps: float = 10.0
+    spark: SparkSession,
+    gold_path: str,
+    out_path: str,
+    oversold: float = 30.0,
+    overbought: float = 70.0,
+    fee_bps: float = 10.0,
 ) -> DataFrame:
     """Backtest rows to ``out_path``; returns the metrics per token read from them."""
     rows = bt.run_backtest(tables.read_gold(spark, gold_path), oversold, overbought, fee_bps)
@@ -63,6 +83,7 @@ def backtest(
 
 
 def train(spark: SparkSession, gold_path: str, models_path: str, runs_path: str) -> None:
+    """Entry and exit models of every token to the model table, their metrics to the runs table."""
     gold = tables.read_gold(spark, gold_path)
     for kind in (models.ENTRY, models.EXIT):
         result = models.train(gold, kind)
@@ -81,30 +102,38 @@ def promote(spark: SparkSession, runs_path: str, champions: DataFrame | None, ou
 
 
 def holder_report(holder_envelopes: DataFrame) -> DataFrame:
+    """Concentration and verdict of every token that has a holder envelope."""
     sample = holders.concentration(holders.explode_holders(holder_envelopes), holder_envelopes)
     return holders.verdicts(sample, holders.supply_figures(holder_envelopes))
 
 
-def outflow_report(wallet_envelopes: DataFrame, monitored: DataFrame, now: Column, recency_hours: float = 24.0) -> DataFrame:
+def outflow_report(
+    wallet_envelopes: DataFrame, monitored: DataFrame, now: Column, recency_hours: float = 24.0
+) -> DataFrame:
+    """Outflows of every monitored (wallet, token_address)."""
     moves = wallets.transfers(wallets.parse_transactions(wallet_envelopes))
     return wallets.outflow_report(monitored, wallets.outflows(moves, now, recency_hours))
 
 
 def security_report(
-    tokens: DataFrame, holder_envelopes: DataFrame, wallet_envelopes: DataFrame, mint_envelopes: DataFrame, monitored: DataFrame, now: Column
+    tokens: DataFrame,
+    holder_envelopes: DataFrame,
+    wallet_envelopes: DataFrame,
+    mint_envelopes: DataFrame,
+    monitored: DataFrame,
+    now: Column,
 ) -> DataFrame:
     """Rug-risk score of every token from raw envelopes; ``monitored`` pairs tokens with wallets to watch."""
-    tiers = holders.verdicts(
-        holders.concentration(holders.explode_holders(holder_envelopes), holder_envelopes),
-        holders.supply_figures(holder_envelopes),
-    )
+    tiers = holder_report(holder_envelopes)
     seen = wallet_envelopes.select(F.col("token_address").alias("wallet")).distinct()
     answered = monitored.join(seen, "wallet", "left_semi")
     flags = signals.dev_outflow_flags(answered, outflow_report(wallet_envelopes, answered, now))
     return signals.security_scores(tokens, tiers, flags, signals.mint_signals(mint_envelopes))
 
 
-def news_report(spark: SparkSession, feed_paths: dict[str, str], topic: str | None = None, limit_per_feed: int = 10) -> DataFrame:
+def news_report(
+    spark: SparkSession, feed_paths: dict[str, str], topic: str | None = None, limit_per_feed: int = 10
+) -> DataFrame:
     """Recent items of the feeds, classified by title."""
     rows = feeds.feed_envelopes(feeds.read_feeds(spark, feed_paths), topic, limit_per_feed)
     fields = ("title", "summary", "domain", "link")

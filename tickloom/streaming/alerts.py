@@ -12,7 +12,7 @@ from datetime import timedelta
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from tickloom.constants import MOVE_SEVERITIES
@@ -114,7 +114,11 @@ def price_alerts(ticks: DataFrame, window: timedelta = timedelta(minutes=5), lat
 
 
 def run_alert_stream(
-    spark: SparkSession, messages: DataFrame, out_path: str, checkpoint: str, window: timedelta = timedelta(minutes=5), every: str | None = "20 seconds"
+    messages: DataFrame,
+    out_path: str,
+    checkpoint: str,
+    window: timedelta = timedelta(minutes=5),
+    every: str | None = "20 seconds",
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Alerts to ``out_path/alerts`` and messages that are no ticks to ``out_path/dead_letters``."""
     decoded = ingest.decode(messages)
