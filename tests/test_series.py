@@ -109,6 +109,12 @@ def test_lookup_with_hot_keys(spark, mixed):
     assert {tuple(r) for r in got.collect()} == {("hot", 1, 400), ("warm", None, 90), ("cold", 2, 30), ("one", None, 1)}
 
 
+def test_hot_null_key_is_refused(spark):
+    df = spark.range(50).selectExpr("cast(null as string) as token_address", "id as event_id", "id as event_timestamp")
+    with pytest.raises(ValueError, match="null key"):
+        lay_out(df, **SPLIT)
+
+
 def test_hot_group_is_found_and_bounded(mixed):
     series = lay_out(mixed, **SPLIT)
     assert series.longest == 400

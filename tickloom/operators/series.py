@@ -254,6 +254,8 @@ def lay_out(
     longest, hot = group_sizes(df, keys, max_rows)
     if not hot:
         return Series(df, None, keys, order, segment_rows, 0, longest)
+    if any(r[k] is None for r in hot for k in keys):
+        raise ValueError(f"more than {max_rows} rows have a null key among {keys}")
     cold_rows, hot_rows = split_hot(df, keys, hot)
     segments = sum(-(-r["_rows"] // segment_rows) for r in hot)
     placed = cut(

@@ -198,7 +198,7 @@ def positions(events: DataFrame, out_path: str | None = None) -> DataFrame:
 
 
 def current_positions(spark: SparkSession, out_path: str) -> DataFrame:
-    """The newest state of every position ever written by ``positions``."""
+    """The newest state of every position ever written by ``positions``; filter on status or position_id."""
     written = tables.read_table(spark, f"{out_path}/positions")
     return tables.latest_versions(written, ["position_id"], F.col("version")).drop("version")
 
