@@ -106,6 +106,25 @@ def test_fit_is_the_minimum_of_its_objective():
         assert loss(w) <= loss(w + rng.normal(size=5) * 1e-3)
 
 
+@pytest.mark.parametrize("case", ["separable", "rare", "outlier", "correlated"])
+def test_hard_fits_reach_the_optimum(case):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(2000, 3))
+    y = (x[:, 0] > 0).astype(float)
+    if case == "rare":
+        y = np.zeros(2000)
+        y[:2] = 1
+    if case == "outlier":
+        x[0] = [1e6, -1e6, 1e6]
+    if case == "correlated":
+        x[:, 1] = x[:, 0] + rng.normal(size=2000) * 1e-9
+    mean, scale, w = fit_array(x, y)
+    z = np.hstack([(x - mean) / scale, np.ones((2000, 1))])
+    p = 1 / (1 + np.exp(-(z @ w)))
+    gradient = z.T @ (p - y) + np.append(w[:-1], 0)
+    assert np.max(np.abs(gradient)) < 1e-5
+
+
 def test_constant_feature_does_not_break_the_fit():
     mean, scale, w = fit_array(np.array([[1.0, 4.0], [2.0, 4.0], [3.0, 4.0], [4.0, 4.0]]), np.array([0.0, 0, 1, 1]))
     assert scale[1] == 1 and np.isfinite(w).all() and w[0] > 0

@@ -20,14 +20,20 @@ from tickloom.session import cut
 
 MAX_GROUP_ROWS = 2_000_000
 BROADCAST_MODELS = 10_000
-STEPS, TOLERANCE = 50, 1e-10
+STEPS, TOLERANCE, MAX_MOVE = 100, 1e-10, 2.0
 
 
 def newton_step(weights: np.ndarray, gradient: np.ndarray, curvature: np.ndarray) -> np.ndarray:
-    """Next weights from log-loss sums; the last weight is the intercept."""
+    """Next weights from log-loss sums; the last weight is the intercept.
+
+    A step is cut to MAX_MOVE in its largest weight: full steps can run away where the classes
+    separate, and near the optimum steps are small anyway.
+    """
     penalty = np.ones(len(weights))
     penalty[-1] = 0.0
-    return weights - np.linalg.solve(curvature + np.diag(penalty), gradient + penalty * weights)
+    ridge = np.diag(np.where(penalty > 0, penalty, 1e-12))
+    step = np.linalg.solve(curvature + ridge, gradient + penalty * weights)
+    return weights - step * min(1.0, MAX_MOVE / max(np.max(np.abs(step)), 1e-300))
 
 
 def fit_array(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -37,7 +43,7 @@ def fit_array(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     z = np.hstack([(x - mean) / scale, np.ones((len(x), 1))])
     w = np.zeros(z.shape[1])
     for _ in range(STEPS):
-        p = 1 / (1 + np.exp(-(z @ w)))
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -700, 700)))
         nxt = newton_step(w, z.T @ (p - y), (z * (p * (1 - p))[:, None]).T @ z)
         done = np.max(np.abs(nxt - w)) < TOLERANCE
         w = nxt
