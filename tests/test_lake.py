@@ -171,7 +171,7 @@ def test_bronze_is_append_only_and_prunes(spark, tmp_path):
     batch = market(spark, rows)
     assert tables.partition_counts(batch).count() == 3
     for _ in range(2):
-        tables.write_bronze(batch, path)
+        tables.write_bronze(batch, path, by_token=True)
     back = tables.read_bronze(spark, path)
     assert back.count() == 8 and {r[0] for r in back.select("token").distinct().collect()} == {"A", "001"}
     assert tables.table_files(back).count() == 6
@@ -180,11 +180,12 @@ def test_bronze_is_append_only_and_prunes(spark, tmp_path):
     scan = newest._jdf.queryExecution().executedPlan().toString()
     assert any("FileScan" in line and "= Subquery" in line.split("PartitionFilters")[1] for line in scan.splitlines() if "PartitionFilters" in line)
     assert tables.latest_partition(back.where("false")).count() == 0
-    tables.write_bronze(batch.where("false"), path)
+    tables.write_bronze(batch.where("false"), path, by_token=True)
     assert tables.read_bronze(spark, path).count() == 8
     flat = str(tmp_path / "flat")
-    tables.write_bronze(batch, flat, by_token=False)
-    assert spark.read.parquet(flat).count() == 4
+    tables.write_bronze(batch, flat)
+    assert tables.read_bronze(spark, flat).where("token = '001'").first()["event_id"] == "d"
+    assert tables.table_files(tables.read_bronze(spark, flat)).count() == 2
 
 
 def test_plain_writers(spark, tmp_path):

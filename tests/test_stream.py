@@ -97,3 +97,14 @@ def test_late_ticks_are_dropped(spark, tmp_path):
         for q in alerts.run_alert_stream(ingest.file_messages(spark, str(folder)), out, str(tmp_path / "cp"), every=None):
             q.awaitTermination()
     assert spark.read.schema(alerts.ALERT_SCHEMA).parquet(f"{out}/alerts").count() == 0
+
+
+def test_state_of_idle_tokens_is_cleared(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for i, batch in enumerate([[("A", 0, 100), ("A", 100, 100)], [("B", 1000, 5)], [("C", 4000, 5)]]):
+        (folder / f"{i}.txt").write_text("\n".join(message(*m) for m in batch))
+        for q in alerts.run_alert_stream(ingest.file_messages(spark, str(folder)), str(tmp_path / "out"), str(tmp_path / "cp"), every=None):
+            q.awaitTermination()
+    state = spark.read.format("statestore").option("path", str(tmp_path / "cp" / "alerts")).option("stateVarName", "ticks").load()
+    assert {r["key"]["token_address"] for r in state.collect()} == {"C"}

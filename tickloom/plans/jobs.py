@@ -23,10 +23,12 @@ from tickloom.plans import models, signals
 from tickloom.sources import feeds, landed, tables
 
 
-def ingest(spark: SparkSession, source: str, domain: str, landed_path: str, bronze_path: str) -> None:
+def ingest(
+    spark: SparkSession, source: str, domain: str, landed_path: str, bronze_path: str, by_token: bool = False
+) -> None:
     """Landed responses of one source to bronze."""
     adapter = landed.ADAPTERS[(source, domain)]
-    tables.write_bronze(adapter(landed.read_landed(spark, landed_path)), bronze_path)
+    tables.write_bronze(adapter(landed.read_landed(spark, landed_path)), bronze_path, by_token)
 
 
 def silver(

@@ -60,16 +60,15 @@ def write_partitioned(
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
-def write_bronze(envelopes: DataFrame, path: str, by_token: bool = True) -> None:
-    """Append to bronze under domain / dt / token. File names never collide, so nothing is lost.
+def write_bronze(envelopes: DataFrame, path: str, by_token: bool = False) -> None:
+    """Append to bronze under domain / dt, sorted by token. File names never collide, so nothing is lost.
 
-    ``by_token=False`` leaves the token out of the folders (for very many tokens) and sorts by it.
+    ``by_token`` adds a folder per token, which suits some thousands of tokens; without it the number
+    of folders does not grow with the tokens, and a read for one token skips by file statistics.
     """
     rows = envelopes.withColumns({"dt": F.to_date("event_timestamp"), "token": F.col("token_address")})
-    if by_token:
-        write_partitioned(rows, path, ["domain", "dt", "token"], append=True)
-    else:
-        write_partitioned(rows, path, ["domain", "dt"], append=True, sort_by=["token_address"])
+    folders = ["domain", "dt", "token"] if by_token else ["domain", "dt"]
+    write_partitioned(rows, path, folders, append=True, sort_by=["token_address", "event_timestamp"])
 
 
 def partition_counts(envelopes: DataFrame) -> DataFrame:
