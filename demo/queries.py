@@ -19,7 +19,7 @@ from tickloom.operators import discovery, features, holders, labels, ledger, pri
 from tickloom.operators.scoring import classifier_metrics, score
 from tickloom.operators.series import lay_out
 from tickloom.plans import jobs, models, signals
-from tickloom.session import checkpoint_root, cut
+from tickloom.session import checkpoint_root, cut, pin_utc
 from tickloom.sources import backfill, feeds, landed, tables
 from tickloom.streaming import alerts, ingest
 
@@ -355,7 +355,7 @@ def price_alerts(spark: SparkSession, sf: str) -> DataFrame:
 def price_alerts_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The same alerts from a stream over the event file, run until it is read."""
     run = f"{checkpoint_root(spark).rstrip('/')}/tickloom-stream/{uuid.uuid4().hex}"
-    schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    schema = pin_utc(spark).read.parquet(f"{sf}/events.parquet").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     stream = events.select(
         F.col("event_type").alias("token_address"),

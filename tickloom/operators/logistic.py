@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.operators.series import group_sizes, split_hot
-from tickloom.session import cut
+from tickloom.session import cut, ship
+
+ship(__name__)
 
 MAX_GROUP_ROWS = 2_000_000
 BROADCAST_MODELS = 10_000

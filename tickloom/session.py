@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -32,3 +34,11 @@ def cut(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_root(spark).rstrip('/')}/tickloom/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship(module: str) -> None:
+    """Send the functions and classes of a module to Python workers by value.
+
+    Executors then need no copy of this package, wherever the driver found it.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[module])

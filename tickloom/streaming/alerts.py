@@ -16,8 +16,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from tickloom.constants import MOVE_SEVERITIES
+from tickloom.session import pin_utc, ship
 from tickloom.streaming import ingest
 
+ship(__name__)
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 ALERT_SCHEMA = (
     "token_address string, event_id string, severity string, pct_change double, window_start_price double, "
@@ -103,7 +106,8 @@ class MoveTracker(StatefulProcessor):
 
 def price_alerts(ticks: DataFrame, window: timedelta = timedelta(minutes=5), lateness: str = "1 minute") -> DataFrame:
     """Streaming alerts of a tick stream (token_address, event_timestamp, event_id, price)."""
-    ticks.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    spark = pin_utc(ticks.sparkSession)  # state compares tick times with the watermark
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return (
         ticks.withWatermark("event_timestamp", lateness)
         .groupBy("token_address")
