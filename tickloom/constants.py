@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# Event domains.
 DOMAINS = (
     "market",
     "transaction",
@@ -38,10 +39,12 @@ GOLD_SCHEMA = (
     "volatility_20 double, rsi_14 double, ema_fast double, ema_slow double, macd double, "
     "macd_signal double"
 )
+# One landed response per line.
 LANDED_SCHEMA = "request_key string, received_at timestamp, response string"
 
 HOURS_PER_YEAR = 24 * 365
 
+# Model features and the default label parameters.
 ENTRY_FEATURES = (
     "return_1h",
     "return_4h",
