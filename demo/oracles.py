@@ -60,6 +60,21 @@ CTES = {
         SELECT *, (equity - max(equity) OVER w) / max(equity) OVER w AS drawdown FROM curved
         WINDOW w AS (PARTITION BY token_address ORDER BY event_timestamp, event_id
                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+    "standard": """
+        SELECT token_address, (close - avg(close) OVER t) / stddev_pop(close) OVER t AS z, avg(close) OVER t AS mean,
+               stddev_pop(close) OVER t AS scale, count(*) OVER t AS n_train,
+               CASE WHEN CAST(volume AS BIGINT) % 3 = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS y
+        FROM candles WINDOW t AS (PARTITION BY token_address)""",
+    "newton": """
+        SELECT DISTINCT token_address, mean, scale, n_train, 0 AS step, 0.0::DOUBLE AS w, 0.0::DOUBLE AS b FROM standard
+        UNION ALL
+        SELECT token_address, mean, scale, n_train, step + 1,
+               w - (hbb * (w + sw) - hwb * gb) / (hww * hbb - hwb * hwb), b - (hww * gb - hwb * (w + sw)) / (hww * hbb - hwb * hwb)
+        FROM (SELECT token_address, mean, scale, n_train, step, w, b, sum((p - y) * z) AS sw, sum(p - y) AS gb,
+                     1 + sum(p * (1 - p) * z * z) AS hww, sum(p * (1 - p) * z) AS hwb, sum(p * (1 - p)) AS hbb
+              FROM (SELECT n.token_address, n.mean, n.scale, n.n_train, n.step, n.w, n.b, s.z, s.y, 1 / (1 + exp(-(n.w * s.z + n.b))) AS p
+                    FROM newton n JOIN standard s ON s.token_address = n.token_address WHERE n.step < 40)
+              GROUP BY ALL)""",
     "holdings": """
         SELECT CAST(l_partkey AS VARCHAR) AS token_address, CAST(l_suppkey AS VARCHAR) AS owner,
                sum(l_quantity) AS amount
@@ -221,6 +236,8 @@ NEEDS = {
     "earned": ["charged"],
     "curved": ["earned"],
     "drawn": ["curved"],
+    "standard": ["candles"],
+    "newton": ["standard"],
     "shares": ["holdings"],
     "concentration": ["shares"],
     "verdicts": ["concentration"],
@@ -379,6 +396,11 @@ ORACLES: dict[str, str] = {
                   WHERE label IS NOT NULL AND return_24h IS NOT NULL AND sma_20 IS NOT NULL AND volatility_20 IS NOT NULL AND rsi_14 IS NOT NULL)
             GROUP BY token_address HAVING count(*) >= 20 AND count(DISTINCT label) FILTER (place <= last_train) = 2""",
     ),
+    "fit_model": _sql(
+        "newton",
+        """SELECT token_address, round(mean, 9) AS mean, round(scale, 6) AS scale, round(w, 6) AS coef, round(b, 6) AS intercept, n_train
+           FROM newton WHERE step = 40""",
+    ),
     "score_model": _sql(
         "candles",
         """SELECT event_id, round(1 / (1 + exp(-(0.1 + 0.5 * (close - avg(close) OVER t) / stddev_pop(close) OVER t

@@ -16,6 +16,7 @@ from tickloom.functions.news import classify, credibility, mentions, url_domain
 from tickloom.functions.rules import mint_flags
 from tickloom.operators import backtest as bt
 from tickloom.operators import discovery, features, holders, labels, ledger, prices, silver, wallets, watchlist
+from tickloom.operators.logistic import fit_models
 from tickloom.operators.scoring import classifier_metrics, score
 from tickloom.operators.series import lay_out
 from tickloom.plans import jobs, models, signals
@@ -175,6 +176,14 @@ def train_exit(spark: SparkSession, sf: str) -> DataFrame:
     return _train(spark, sf, models.EXIT)
 
 
+def fit_model(spark: SparkSession, sf: str) -> DataFrame:
+    """A one-feature model per user: does ``k`` divide by three, given the price?"""
+    rows = views.candles(spark, sf).withColumn("label", (F.col("volume") % 3 == 0).cast("double"))
+    fitted = fit_models(rows, ["close"], "label")
+    first = {n: F.col(n)[0].alias(n) for n in ("mean", "scale", "coef")}
+    return rounded(fitted.select("token_address", *first.values(), "intercept", "n_train"), ("mean",)).withColumn("mean", F.round("mean", 9))
+
+
 def score_model(spark: SparkSession, sf: str) -> DataFrame:
     scored = score(views.candles(spark, sf), views.simple_models(spark, sf), ("close", "volume"))
     return rounded(scored.select("event_id", "probability"))
@@ -462,6 +471,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         training_ready,
         train_entry,
         train_exit,
+        fit_model,
         score_model,
         promotion_decisions,
         champion_upsert,

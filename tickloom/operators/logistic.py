@@ -11,9 +11,11 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tickloom.operators.series import group_sizes, split_hot
 from tickloom.session import cut, ship
@@ -62,13 +64,24 @@ def _model_schema(df: DataFrame, keys: Sequence[str]) -> T.StructType:
 
 
 def _fit_small(train: DataFrame, keys: list[str], features: list[str], label: str, schema: T.StructType) -> DataFrame:
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        mean, scale, w = fit_array(pdf[features].to_numpy("float64"), pdf[label].to_numpy("float64"))
-        row = {k: pdf[k].iloc[0] for k in keys}
-        row |= {"mean": mean, "scale": scale, "coef": w[:-1], "intercept": w[-1], "n_train": len(pdf)}
-        return pd.DataFrame([row])
+    """One Arrow table per key in, one row out.
 
-    return train.select(*keys, *features, label).groupBy(*keys).applyInPandas(fit, schema)
+    Fitting costs far more than its bytes suggest, so the keys are spread over all shuffle partitions
+    instead of being merged by size.
+    """
+    arrow = to_arrow_schema(schema)
+
+    def fit(table: pa.Table) -> pa.Table:
+        x = np.column_stack([table.column(f).to_numpy() for f in features])
+        mean, scale, w = fit_array(x, table.column(label).to_numpy())
+        row = {k: table.column(k)[0].as_py() for k in keys}
+        row |= {"mean": mean, "scale": scale, "coef": w[:-1], "intercept": float(w[-1]), "n_train": len(x)}
+        return pa.Table.from_pydict({n: [v] for n, v in row.items()}, schema=arrow)
+
+    doubles = [F.col(c).cast("double").alias(c) for c in (*features, label)]
+    partitions = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = train.select(*keys, *doubles).repartition(partitions, *keys)
+    return spread.groupBy(*keys).applyInArrow(fit, schema)
 
 
 def _solve(keys: list[str], size: int):

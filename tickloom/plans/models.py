@@ -69,14 +69,18 @@ def train(
 ) -> Training:
     """Fit one model per token on its earlier rows and measure it on its later rows.
 
-    Tokens with too few rows or a single label class are left out. The labelled and the split rows
-    are each written once to the shared folder: counting, fitting, scoring and measuring read them.
+    Tokens with too few rows or a single label class are left out. Labelled, split and scored rows
+    are each written once to the shared folder, since each is read several times.
     """
     split = cut(labels.chronological_split(cut(labelled(gold, kind, **layout)), **layout))
     ready = labels.trainable(split, kind.label)
     usable = split.join(ready.select("token_address"), "token_address", "left_semi")
     models = cut(fit_models(usable.where("is_train"), kind.features, kind.label, max_group_rows=max_group_rows))
-    scored = score(usable.where("not is_train"), models, kind.features)
+    scored = cut(
+        score(usable.where("not is_train"), models, kind.features).select(
+            "token_address", "event_timestamp", "event_id", kind.label, "probability"
+        )
+    )
     positive_rate = usable.where("is_train").groupBy("token_address").agg(F.avg(kind.label).alias("positive_rate_train"))
     measured = classifier_metrics(scored, kind.label, **layout).join(positive_rate, "token_address")
     params = F.map_from_arrays(
