@@ -109,6 +109,15 @@ def test_lookup_with_hot_keys(spark, mixed):
     assert {tuple(r) for r in got.collect()} == {("hot", 1, 400), ("warm", None, 90), ("cold", 2, 30), ("one", None, 1)}
 
 
+def test_few_range_partitions_and_shuffled_segment_ends(mixed, monkeypatch):
+    from tickloom.operators import series
+
+    monkeypatch.setattr(series, "RANGE_PARTITIONS", 2)
+    monkeypatch.setattr(series, "BROADCAST_SEGMENTS", 0)
+    gold = features.with_window_features(lay_out(mixed)).frame()
+    same(backtest.run_backtest(gold), backtest.run_backtest(gold, **SPLIT))
+
+
 def test_hot_null_key_is_refused(spark):
     df = spark.range(50).selectExpr("cast(null as string) as token_address", "id as event_id", "id as event_timestamp")
     with pytest.raises(ValueError, match="null key"):
