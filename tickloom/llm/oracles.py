@@ -1,6 +1,58 @@
 """DuckDB SQL for the queries of this folder that SQL can express."""
 
 ORACLES = {
+    "op3_near_vectors": """
+        WITH RECURSIVE usable AS (
+            SELECT vec_id, embedding::DOUBLE[] AS v
+            FROM embeddings
+            WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), links AS (
+            SELECT x.vec_id AS a, y.vec_id AS b
+            FROM usable x JOIN usable y ON x.vec_id <> y.vec_id
+            WHERE round(list_cosine_similarity(x.v, y.v), 12) >= 0.9
+        ), reach AS (
+            SELECT vec_id AS id, vec_id AS other FROM embeddings
+            UNION
+            SELECT reach.id, links.b FROM reach JOIN links ON reach.other = links.a
+        ), component AS (
+            SELECT id, min(other) AS component_id FROM reach GROUP BY id
+        ), counted AS (
+            SELECT a, count(*) AS n FROM links GROUP BY a
+        )
+        SELECT id AS vec_id, coalesce(n, 0) AS n_links, component_id, id = component_id AS kept
+        FROM component LEFT JOIN counted ON id = a
+    """,
+    "op4_near_copies": r"""
+        WITH RECURSIVE split AS (
+            SELECT doc_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+            FROM documents
+        ), sets AS (
+            SELECT doc_id, list_distinct(CASE
+                WHEN w IS NULL OR len(w) = 0 THEN []
+                WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+            FROM split
+        ), shingles AS (
+            SELECT doc_id, unnest(s) AS shingle FROM sets
+        ), common AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+            FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+            GROUP BY ALL
+        ), links AS (
+            SELECT a, b
+            FROM common JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b
+            WHERE 100 * n >= 75 * (len(x.s) + len(y.s) - n)
+        ), reach AS (
+            SELECT doc_id AS id, doc_id AS other FROM documents
+            UNION
+            SELECT reach.id, links.b FROM reach JOIN links ON reach.other = links.a
+        ), component AS (
+            SELECT id, min(other) AS component_id FROM reach GROUP BY id
+        )
+        SELECT sets.doc_id, len(s)::BIGINT AS n_shingles, component_id, sets.doc_id = component_id AS kept
+        FROM sets JOIN component ON id = sets.doc_id
+    """,
     "op7_exact_top_k": """
         WITH whole AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
