@@ -169,19 +169,19 @@ def train(labelled: DataFrame) -> Model | None:
     return learn([r.text for r in sample], [r.lang for r in sample])
 
 
-def scorer(shared: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def scorer(shared: Broadcast, called: tuple[str, str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
             names, scores = judge(shared.value, batch.column("text").to_pylist())
             columns = [*batch.columns, pa.array(names, pa.string()), pa.array(scores)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *called])
 
     return score
 
 
-def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``; only ``text`` is looked at."""
-    docs = docs.drop("lang_pred", "score")
+def predict(docs: DataFrame, model: Model | None, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with the language and score of each text, as columns ``names``; only ``text`` is looked at."""
+    docs = docs.drop(*names)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    fields = [*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    return docs.mapInArrow(scorer(shared), T.StructType(fields))
+    fields = [*docs.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())]
+    return docs.mapInArrow(scorer(shared, names), T.StructType(fields))

@@ -55,12 +55,10 @@ def train_dictionary(docs: DataFrame, tokenizer: str) -> bytes:
     """A dictionary from a bounded sample; empty if the sample is too small for one."""
     import zstandard
 
-    sample = (
-        docs.select(F.substring("text", 1, SAMPLE_CHARS).alias("text"), F.xxhash64("doc_id", "text").alias("h"))
-        .orderBy("h")
-        .limit(SAMPLE_DOCUMENTS)
-        .collect()
-    )
+    marked = docs.withColumn("h", F.xxhash64("doc_id"))
+    last = marked.select("h").orderBy("h").limit(SAMPLE_DOCUMENTS).agg(F.max("h")).first()[0]
+    low = marked.filter(F.col("h") <= F.lit(last)).select(F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+    sample = sorted(low.limit(2 * SAMPLE_DOCUMENTS).collect(), key=lambda r: r.text or "")
     try:
         ids = worker_encoder(tokenizer).encode([r.text for r in sample], END_ID)
         return zstandard.train_dictionary(DICTIONARY_BYTES, ids).as_bytes()
