@@ -534,6 +534,11 @@ ORACLES: dict[str, str] = {
     ),
     "price_alerts": _sql("alerts", _ALERTS),
     "price_alerts_stream": _sql("alerts", _ALERTS),
+    "late_ticks": """
+        WITH s AS (SELECT event_type, ts, floor((epoch_us(ts) - min(epoch_us(ts)) OVER ()) * 4
+                          / (max(epoch_us(ts)) OVER () - min(epoch_us(ts)) OVER () + 1)) AS part FROM events)
+        SELECT event_type AS token_address, count(*) AS late FROM s
+        WHERE part = 2 AND ts < (SELECT max(ts) FROM s WHERE part <> 2) - INTERVAL 1 MINUTE GROUP BY 1""",
     "backfill_chunks": """
         WITH spans AS (SELECT CAST(o_custkey AS VARCHAR) AS token_address, CAST(epoch(min(o_orderdate)) AS BIGINT) AS a,
                               CAST(epoch(max(o_orderdate)) AS BIGINT) AS b FROM orders GROUP BY 1)

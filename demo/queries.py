@@ -231,7 +231,7 @@ def _scores(spark: SparkSession, sf: str) -> DataFrame:
         F.col("p_partkey").cast("string").alias("token_address"),
         F.concat(F.lit("src"), (F.col("p_partkey") % 23).cast("string")).alias("symbol"),
     )
-    tiers = holders.verdicts(holders.concentration(views.holdings(spark, sf)), views.supply(spark, sf))
+    tiers = signals.supply_tiers(views.supply(spark, sf))
     flags = _outflows(spark, sf).groupBy("token_address").agg(F.bool_or("has_recent_outflow").alias("dev_outflow"))
     mints = signals.mint_signals(views.mint_documents(spark, sf))
     return signals.security_scores(parts, tiers, flags, mints)
@@ -361,22 +361,38 @@ def price_alerts(spark: SparkSession, sf: str) -> DataFrame:
     return micros(prices.price_alerts(views.ticks(spark, sf), ALERT_WINDOW))
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_root(spark).rstrip('/')}/tickloom-{name}/{uuid.uuid4().hex}"
+
+
+def _fed(spark: SparkSession, sf: str, order: tuple[int, ...], run: str, start: Callable) -> None:
+    """Lands the four time slices of the ticks in ``order`` and lets the stream catch up after each, from its checkpoint."""
+    slices = views.tick_slices(spark, sf)
+    ticks = slices.drop("slice")
+    for part in order:
+        slices.where(F.col("slice") == part).drop("slice").write.mode("append").parquet(f"{run}/in")
+        start(pin_utc(spark).readStream.schema(ticks.schema).parquet(f"{run}/in")).awaitTermination()
+
+
 def price_alerts_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The same alerts from a stream over the event file, run until it is read."""
-    run = f"{checkpoint_root(spark).rstrip('/')}/tickloom-stream/{uuid.uuid4().hex}"
-    schema = pin_utc(spark).read.parquet(f"{sf}/events.parquet").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    stream = events.select(
-        F.col("event_type").alias("token_address"),
-        F.col("ts").cast("timestamp").alias("event_timestamp"),
-        F.col("event_id").cast("string").alias("event_id"),
-        F.col("value").alias("price"),
-    )
-    found = alerts.price_alerts(stream, ALERT_WINDOW)
-    ingest.start_table_sink(found, f"{run}/alerts", f"{run}/checkpoint", None).awaitTermination()
+    """The same alerts from a stream that gets the ticks in four parts and is started again for each."""
+    run = _scratch(spark, "stream")
+
+    def start(ticks: DataFrame):
+        return ingest.start_table_sink(alerts.price_alerts(ticks, ALERT_WINDOW), f"{run}/alerts", f"{run}/checkpoint", None)
+
+    _fed(spark, sf, (0, 1, 2, 3), run, start)
     return micros(spark.read.schema(alerts.ALERT_SCHEMA).parquet(f"{run}/alerts"))
 
 
+def late_ticks(spark: SparkSession, sf: str) -> DataFrame:
+    """Ticks that come too late when the third of four parts comes last, by token."""
+    run = _scratch(spark, "late")
+    _fed(spark, sf, (0, 1, 3, 2), run, lambda ticks: alerts.count_late(ticks, run, f"{run}/checkpoint", every=None))
+    late = spark.read.schema("token_address string, batch bigint").parquet(f"{run}/late")
+    return late.groupBy("token_address").agg(F.count(F.lit(1)).alias("late"))
+
+
 def backfill_chunks(spark: SparkSession, sf: str) -> DataFrame:
     spans = (
         views.table(spark, sf, "orders")
@@ -498,6 +514,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         prices_as_of,
         price_alerts,
         price_alerts_stream,
+        late_ticks,
         backfill_chunks,
         landed_candles,
         landed_prices,

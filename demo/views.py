@@ -64,6 +64,14 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tick_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ticks with the quarter of the whole time span they are in."""
+    rows = ticks(spark, sf_dir)
+    span = rows.agg(F.min(F.unix_micros("event_timestamp")).alias("low"), F.max(F.unix_micros("event_timestamp")).alias("high")).first()
+    low, length = span.low or 0, (span.high or 0) - (span.low or 0) + 1
+    return rows.withColumn("slice", F.floor((F.unix_micros("event_timestamp") - low) * 4 / F.lit(length)).cast("int"))
+
+
 def market_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a market envelope, delivered twice: a minute and an hour after it happened."""
     payload = F.concat(
@@ -102,8 +110,11 @@ def supply(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def wallet_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem as wallet history: a supplier sends open lines and receives the others."""
+def wallet_transactions(spark: SparkSession, sf_dir: str, signed: bool = False) -> DataFrame:
+    """lineitem as wallet history: a supplier sends open lines and receives the others.
+
+    ``signed`` adds a signature to each transaction, and its line number beside it.
+    """
     wallet = _text("l_suppkey")
     other = F.concat(F.lit("order-"), _text("l_orderkey"))
     outgoing = F.col("l_linestatus") == "O"
@@ -119,8 +130,10 @@ def wallet_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         transfer(_text("l_partkey"), F.when(outgoing, wallet).otherwise(other), F.when(outgoing, other).otherwise(wallet), amount),
         transfer(F.lit("fee"), wallet, other, F.col("l_tax")),
     )
-    tx = F.struct(when.alias("timestamp"), moves.alias("tokenTransfers"))
-    return table(spark, sf_dir, "lineitem").select(wallet.alias("wallet"), F.array(tx).alias("transactions"))
+    signature = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    tx = F.struct(*[signature.alias("signature")] * signed, when.alias("timestamp"), moves.alias("tokenTransfers"))
+    line = [F.col("l_linenumber").alias("line")] * signed
+    return table(spark, sf_dir, "lineitem").select(wallet.alias("wallet"), F.array(tx).alias("transactions"), *line)
 
 
 def mint_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -118,10 +118,14 @@ def test_few_range_partitions_and_shuffled_segment_ends(mixed, monkeypatch):
     same(backtest.run_backtest(gold), backtest.run_backtest(gold, **SPLIT))
 
 
-def test_hot_null_key_is_refused(spark):
+def test_null_key_is_the_same_hot_or_not(spark):
     df = spark.range(50).selectExpr("cast(null as string) as token_address", "id as event_id", "id as event_timestamp")
-    with pytest.raises(ValueError, match="null key"):
-        lay_out(df, **SPLIT)
+
+    def rows(**layout):
+        series = lay_out(df, **layout).running(upto=Running("sum", F.col("event_id"))).size("n").index("i")
+        return sorted(tuple(r) for r in series.frame().select("event_id", "upto", "n", "i").collect())
+
+    assert rows() == rows(**SPLIT) == [(i, i * (i + 1) // 2, 50, i + 1) for i in range(50)]
 
 
 def test_hot_group_is_found_and_bounded(mixed):

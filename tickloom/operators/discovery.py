@@ -10,13 +10,11 @@ from pyspark.sql import functions as F
 
 from tickloom.constants import MAX_DISCOVERED
 from tickloom.functions.rules import candidate_problem, momentum_tier
-
-MAX_PAGE = 100
-
+from tickloom.sources.tables import latest_versions
 
 @dataclass(frozen=True)
 class ScreenFilters:
-    """Screener bounds, all inclusive; None means no such filter. A page holds at most 100 tokens."""
+    """Screener bounds, all inclusive; None means no such filter, as limit None means all rows."""
 
     sort_by: str = "volume_24h_usd"
     sort_type: str = "desc"
@@ -25,7 +23,7 @@ class ScreenFilters:
     min_volume_24h_usd: float | None = 10_000
     min_holder: int | None = 50
     min_trade_24h_count: int | None = 50
-    limit: int = 50
+    limit: int | None = 50
     offset: int = 0
 
     def predicate(self) -> Column:
@@ -44,10 +42,11 @@ class ScreenFilters:
 
 
 def screen(tokens: DataFrame, filters: ScreenFilters | None = None) -> DataFrame:
-    """One page of the screener."""
+    """The rows from ``offset`` on, ``limit`` of them."""
     f = filters or ScreenFilters()
     page = tokens.where(f.predicate()).orderBy(*f.order())
-    return page.offset(f.offset).limit(min(f.limit, MAX_PAGE))
+    page = page.offset(f.offset)
+    return page if f.limit is None else page.limit(f.limit)
 
 
 def parse_candidates(envelopes: DataFrame) -> DataFrame:
@@ -81,15 +80,26 @@ def quality_counts(candidates: DataFrame) -> DataFrame:
     return judge(candidates).groupBy(F.coalesce("problem", F.lit("valid")).alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def scan_counts(candidates: DataFrame) -> DataFrame:
+    """Tokens received by each scan, and how many of them are valid."""
+    judged = judge(candidates)
+    return judged.groupBy("event_timestamp").agg(F.count(F.lit(1)).alias("received"), F.count_if(F.col("problem").isNull()).alias("valid"))
+
+
 def with_momentum(candidates: DataFrame) -> DataFrame:
     metrics = [F.col(c) for c in ("volume_24h_usd", "liquidity", "holder", "trade_24h_count")]
     return candidates.withColumn("momentum_tier", momentum_tier(*metrics))
 
 
-def top_by_volume(candidates: DataFrame, limit: int = MAX_DISCOVERED) -> DataFrame:
-    """The busiest candidates; a missing volume counts as 0."""
+def newest(candidates: DataFrame) -> DataFrame:
+    """One row per token, that of its newest scan."""
+    return latest_versions(candidates, ["token_address"], F.col("event_timestamp")).select(*candidates.columns)
+
+
+def top_by_volume(candidates: DataFrame, limit: int | None = MAX_DISCOVERED) -> DataFrame:
+    """The busiest candidates, all of them without a limit; a missing volume counts as 0."""
     volume = F.coalesce("volume_24h_usd", F.lit(0.0))
-    return candidates.orderBy(volume.desc(), "token_address").limit(limit)
+    return candidates if limit is None else candidates.orderBy(volume.desc(), "token_address").limit(limit)
 
 
 def display_rows(candidates: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ def replay(events: DataFrame, **layout) -> DataFrame:
     """Every event with the state of its position and, if it was not accepted, the reason."""
     good_open = _kind("open") & _in("price", F.col("price") > 0) & _in("size", F.col("size") > 0)
     fraction = F.col("sell_fraction")
-    good_sell = _kind("sell") & _in("sell_fraction", (fraction > 0) & (fraction <= 1)) & F.col("price").isNotNull()
+    good_sell = _kind("sell") & _in("sell_fraction", (fraction > 0) & (fraction <= 1)) & _in("price", F.col("price").isNotNull())
     opening = F.struct("event_id", "token_address", "price", "size", "event_timestamp")
     series = lay_out(events, ("position_id",), ("event_timestamp", "event_id"), **layout)
     series = series.running(_open=Running("first", F.when(good_open, opening)))
@@ -87,7 +87,7 @@ def positions(replayed: DataFrame) -> DataFrame:
     """Current state of each position."""
     accepted = replayed.where(F.col("rejected").isNull())
     is_sale = F.col("amount_sold").isNotNull()
-    seen = F.when(_kind("price"), F.col("price"))
+    seen = F.when(_kind("price") & _in("price", F.col("price").isNotNull()), F.col("price"))
     state = accepted.groupBy("position_id").agg(
         F.min("_open").alias("_open"),
         F.min(F.when(is_sale, F.col("remaining_size"))).alias("_left"),

@@ -25,6 +25,8 @@ ship(__name__)
 MAX_GROUP_ROWS = 2_000_000
 BROADCAST_MODELS = 10_000
 STEPS, TOLERANCE, MAX_MOVE = 100, 1e-10, 2.0
+#: A deviation this small against the mean is rounding of a constant column; its scale is 1.
+CONSTANT = 1e-9
 
 
 def newton_step(weights: np.ndarray, gradient: np.ndarray, curvature: np.ndarray) -> np.ndarray:
@@ -42,8 +44,13 @@ def newton_step(weights: np.ndarray, gradient: np.ndarray, curvature: np.ndarray
 
 def fit_array(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(mean, scale, weights) of one training set."""
+    return newton_fit(x, y)[:3]
+
+
+def newton_fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool]:
+    """(mean, scale, weights, converged) of one training set."""
     mean, scale = x.mean(axis=0), x.std(axis=0)
-    scale = np.where(scale > 0, scale, 1.0)
+    scale = np.where(scale > CONSTANT * np.abs(mean), scale, 1.0)
     z = np.hstack([(x - mean) / scale, np.ones((len(x), 1))])
     w = np.zeros(z.shape[1])
     for _ in range(STEPS):
@@ -53,13 +60,19 @@ def fit_array(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
         w = nxt
         if done:
             break
-    return mean, scale, w
+    return mean, scale, w, bool(done)
 
 
 def _model_schema(df: DataFrame, keys: Sequence[str]) -> T.StructType:
     arrays = [T.StructField(n, T.ArrayType(T.DoubleType())) for n in ("mean", "scale", "coef")]
     return T.StructType(
-        [*df.select(*keys).schema.fields, *arrays, T.StructField("intercept", T.DoubleType()), T.StructField("n_train", T.LongType())]
+        [
+            *df.select(*keys).schema.fields,
+            *arrays,
+            T.StructField("intercept", T.DoubleType()),
+            T.StructField("n_train", T.LongType()),
+            T.StructField("converged", T.BooleanType()),
+        ]
     )
 
 
@@ -73,9 +86,9 @@ def _fit_small(train: DataFrame, keys: list[str], features: list[str], label: st
 
     def fit(table: pa.Table) -> pa.Table:
         x = np.column_stack([table.column(f).to_numpy() for f in features])
-        mean, scale, w = fit_array(x, table.column(label).to_numpy())
+        mean, scale, w, done = newton_fit(x, table.column(label).to_numpy())
         row = {k: table.column(k)[0].as_py() for k in keys}
-        row |= {"mean": mean, "scale": scale, "coef": w[:-1], "intercept": float(w[-1]), "n_train": len(x)}
+        row |= {"mean": mean, "scale": scale, "coef": w[:-1], "intercept": float(w[-1]), "n_train": len(x), "converged": done}
         return pa.Table.from_pydict({n: [v] for n, v in row.items()}, schema=arrow)
 
     doubles = [F.col(c).cast("double").alias(c) for c in (*features, label)]
@@ -112,11 +125,15 @@ def _fit_large(train: DataFrame, keys: list[str], features: list[str], label: st
     state = cut(
         train.groupBy(*keys)
         .agg(F.array(*[F.avg(x) for x in xs]).alias("mean"), spread.alias("scale"), F.count(F.lit(1)).alias("n_train"))
-        .withColumn("scale", F.transform("scale", lambda s: F.when(s > 0, s).otherwise(1.0)))
+        .withColumn("scale", F.zip_with("scale", "mean", lambda s, m: F.when(s > CONSTANT * F.abs(m), s).otherwise(1.0)))
         .withColumn("w", F.array_repeat(F.lit(0.0), size))
         .withColumn("move", F.lit(float("inf")))
     )
     z = [(x - F.col("mean")[i]) / F.col("scale")[i] for i, x in enumerate(xs)] + [F.lit(1.0)]
+    given = F.broadcast(state) if len(hot) <= BROADCAST_MODELS else state
+    standard = cut(  # standardised once, read at every step
+        train.join(given, keys).select(*keys, F.col(label).cast("double").alias("_y"), *[c.alias(f"_z{i}") for i, c in enumerate(z)])
+    )
     zc = [F.col(f"_z{i}") for i in range(size)]
     p = F.col("_p")
     gradient = [F.sum((p - F.col("_y")) * c) for c in zc]
@@ -124,9 +141,7 @@ def _fit_large(train: DataFrame, keys: list[str], features: list[str], label: st
     known = ["mean", "scale", "n_train", "w"]
     for _ in range(STEPS):
         current = F.broadcast(state) if len(hot) <= BROADCAST_MODELS else state
-        rows = train.join(current, keys).select(
-            *keys, *known, F.col(label).cast("double").alias("_y"), *[c.alias(f"_z{i}") for i, c in enumerate(z)]
-        )
+        rows = standard.join(current, keys)
         margin = sum((F.col("w")[i] * zc[i] for i in range(size)), F.lit(0.0))
         sums = (
             rows.withColumn("_p", 1 / (1 + F.exp(-margin)))
@@ -143,13 +158,14 @@ def _fit_large(train: DataFrame, keys: list[str], features: list[str], label: st
         F.slice("w", 1, size - 1).alias("coef"),
         F.col("w")[size - 1].alias("intercept"),
         "n_train",
+        (F.col("move") < TOLERANCE).alias("converged"),
     )
 
 
 def fit_models(
     train: DataFrame, features: Sequence[str], label: str, keys: Sequence[str] = ("token_address",), max_group_rows: int = MAX_GROUP_ROWS
 ) -> DataFrame:
-    """Model table: keys, mean, scale, coef (one entry per feature), intercept, n_train."""
+    """Model table: keys, mean, scale, coef (one entry per feature), intercept, n_train, converged."""
     keys, features = list(keys), list(features)
     schema = _model_schema(train, keys)
     _, hot = group_sizes(train, keys, max_group_rows)

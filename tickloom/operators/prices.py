@@ -68,6 +68,8 @@ def price_alerts(ticks: DataFrame, window: timedelta = timedelta(minutes=5), **l
         F.col("m.when").alias("_when"),
         F.col("m.question").alias("_question"),
     )
+    if "counted" not in layout:  # the key counts of the ticks are half those of the doubled rows
+        layout = {**layout, "counted": (seen, 2)}
     series = lay_out(rows, order=("_when", "_question", "-event_id"), **layout)
     tick = F.when(F.col("_question") == 0, F.struct("event_timestamp", "price"))
     found = series.running(base=Running("last", tick)).frame().where(F.col("_question") == 1)

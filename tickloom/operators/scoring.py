@@ -8,10 +8,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.operators.series import Running, lay_out, lookup
+from tickloom.session import cut
+from tickloom.sources.tables import latest_versions
 
 
 def score(rows: DataFrame, models: DataFrame, features: Sequence[str], keys: Sequence[str] = ("token_address",), **hot) -> DataFrame:
-    """Add ``probability`` from a model table (keys, mean, scale, coef, intercept). No model, no probability."""
+    """Add ``probability`` from a model table (keys, mean, scale, coef, intercept). No model, no probability.
+
+    A table of several runs (``run_id``, ``trained_at``) gives the newest model of each key; pick a run or the
+    champions beforehand to score with others.
+    """
+    if "trained_at" in models.columns:
+        models = latest_versions(models, keys, F.struct("trained_at", "run_id"))
     joined = lookup(rows, models.select(*keys, "mean", "scale", "coef", "intercept"), keys, **hot)
     x = F.array(*[F.col(f).cast("double") for f in features])
     centred = F.zip_with(x, "mean", lambda a, m: a - m)
@@ -26,21 +34,36 @@ def classifier_metrics(
 ) -> DataFrame:
     """Precision, recall, F1, ROC-AUC (null with one class), Brier score and positive rate per key.
 
-    AUC counts pairs with ties as one half. Rows are first summed per distinct probability, then a
-    running count of the negatives below gives the pairs.
+    AUC counts pairs with ties as one half. Rows are first summed per distinct probability, in one pass that is
+    written; everything else reads those sums, and a running count of the negatives below gives the pairs.
     """
     p, y = F.col(probability), F.col(label)
-    hit = p > 0.5
-    base = scored.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_test"),
-        F.count_if(hit & (y == 1)).alias("_tp"),
-        F.count_if(hit & (y == 0)).alias("_fp"),
-        F.count_if(~hit & (y == 1)).alias("_fn"),
-        F.avg((p - y) * (p - y)).alias("brier_score"),
-        F.avg(y.cast("double")).alias("positive_rate_test"),
+    steps = cut(
+        scored.groupBy(*keys, p.alias("_p")).agg(
+            F.count(F.lit(1)).alias("_rows"),
+            F.count_if(y == 1).cast("double").alias("_pos"),
+            F.count_if(y == 0).cast("double").alias("_neg"),
+            F.sum((p - y) * (p - y)).alias("_error"),
+        )
     )
-    steps = scored.groupBy(*keys, p.alias("_p")).agg(
-        F.count_if(y == 1).cast("double").alias("_pos"), F.count_if(y == 0).cast("double").alias("_neg")
+    hit = F.col("_p") > 0.5
+    total = {"_tp": F.when(hit, F.col("_pos")), "_fp": F.when(hit, F.col("_neg")), "_fn": F.when(~hit, F.col("_pos"))}
+    base = (
+        steps.groupBy(*keys)
+        .agg(
+            F.sum("_rows").alias("n_test"),
+            F.sum("_error").alias("_error"),
+            F.sum("_pos").alias("_ones"),
+            F.sum(F.col("_pos") + F.col("_neg")).alias("_known"),
+            F.sum(F.when(F.col("_p").isNotNull(), F.col("_pos") + F.col("_neg"))).alias("_judged"),
+            *[F.coalesce(F.sum(c), F.lit(0.0)).alias(n) for n, c in total.items()],
+        )
+        .withColumns(
+            {
+                "brier_score": F.try_divide("_error", "_judged"),
+                "positive_rate_test": F.try_divide("_ones", "_known"),
+            }
+        )
     )
     pairs = (
         lay_out(steps, keys, ("_p",), **layout)

@@ -36,12 +36,12 @@ def same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in names], F.lit(True))
 
 
-def group_sizes(df: DataFrame, keys: Sequence[str], max_rows: int) -> tuple[int, list]:
+def group_sizes(df: DataFrame, keys: Sequence[str], max_rows: int, times: int = 1) -> tuple[int, list]:
     """Rows of the largest group, and the groups above ``max_rows``.
 
     Reads the key columns only. The list is bounded: it has fewer than rows / max_rows entries.
     """
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    counted = df.groupBy(*keys).agg((F.count(F.lit(1)) * times).alias("_rows"))
     row = counted.agg(
         F.max("_rows").alias("longest"),
         F.collect_list(F.when(F.col("_rows") > max_rows, F.struct(*keys, "_rows"))).alias("hot"),
@@ -190,21 +190,22 @@ class Series:
         hot = cut(self._hot_rows().withColumns({n: a.over(local) for n, a in aggregates.items()}))
         carried = {n: f"_carried_{n}" for n in aggregates}
         so_far = Window.partitionBy(*self.keys).orderBy(_SEGMENT).rowsBetween(*up_to_here)
+        of = {k: f"_of_{k}" for k in by}
         ends = (
             hot.where(F.col(_INDEX) % self.segment_rows == self.segment_rows - 1)
             .select(*by, *aggregates)
             .select(
-                *self.keys,
-                (F.col(_SEGMENT) + 1).alias(_SEGMENT),
+                *[F.col(k).alias(of[k]) for k in self.keys],
+                (F.col(_SEGMENT) + 1).alias(of[_SEGMENT]),
                 *[_window_aggregate(a.kind, F.col(n)).over(so_far).alias(carried[n]) for n, a in aggregates.items()],
             )
         )
         if self.segments <= BROADCAST_SEGMENTS:
             ends = F.broadcast(ends)  # one row per segment, counted when the layout was made
         hot = (
-            hot.join(ends, by, "left")
+            hot.join(ends, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(o)) for k, o in of.items()]), "left")
             .withColumns({n: _combine(a.kind, F.col(carried[n]), F.col(n)) for n, a in aggregates.items()})
-            .drop(*carried.values())
+            .drop(*carried.values(), *of.values())
         )
         return replace(self, cold=cold, hot=hot, steps=(), before=0, after=0)
 
@@ -221,12 +222,14 @@ class Series:
         """Add the number of rows of the key."""
         if self.hot is None:
             return replace(self, cold=self._with_size(self.cold, name))
-        schema = self.hot.select(*self.keys).schema.add(name, "long")
+        of = {k: f"_of_{k}" for k in self.keys}
+        schema = self.hot.select(*[F.col(k).alias(o) for k, o in of.items()]).schema.add(name, "long")
         sizes = [(*(r[k] for k in self.keys), r["_rows"]) for r in self.hot_sizes]
         known = F.broadcast(self.hot.sparkSession.createDataFrame(sizes, schema))  # bounded, see group_sizes
+        on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(o)) for k, o in of.items()], F.lit(True))
 
         def step(d: DataFrame, _: WindowSpec) -> DataFrame:
-            return d.join(known, list(self.keys), "left") if _INDEX in d.columns else self._with_size(d, name)
+            return d.join(known, on, "left").drop(*of.values()) if _INDEX in d.columns else self._with_size(d, name)
 
         return self.bounded(step)
 
@@ -246,16 +249,19 @@ def lay_out(
     *,
     max_rows: int | None = None,
     segment_rows: int | None = None,
+    counted: tuple[DataFrame, int] | None = None,
 ) -> Series:
-    """Lay ``df`` out as series. ``order`` must be total within a key; keys must not be null."""
+    """Lay ``df`` out as series. ``order`` must be total within a key; rows with a null key are a series like any other.
+
+    ``max_rows`` decides on the plan alone: a series gives the same values whether it is hot or not.
+    """
     max_rows = MAX_ROWS if max_rows is None else max_rows
     segment_rows = SEGMENT_ROWS if segment_rows is None else segment_rows
     keys, order = tuple(keys), tuple(order)
-    longest, hot = group_sizes(df, keys, max_rows)
+    source, times = counted or (df, 1)  # a smaller table whose keys have 1 / times of the rows
+    longest, hot = group_sizes(source, keys, max_rows, times)
     if not hot:
         return Series(df, None, keys, order, segment_rows, 0, longest)
-    if any(r[k] is None for r in hot for k in keys):
-        raise ValueError(f"more than {max_rows} rows have a null key among {keys}")
     cold_rows, hot_rows = split_hot(df, keys, hot)
     segments = sum(-(-r["_rows"] // segment_rows) for r in hot)
     placed = cut(

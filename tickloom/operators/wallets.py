@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TRANSACTIONS = (
-    "array<struct<timestamp:bigint,tokenTransfers:array<struct<mint:string,fromUserAccount:string,"
+    "array<struct<signature:string,timestamp:bigint,tokenTransfers:array<struct<mint:string,fromUserAccount:string,"
     "toUserAccount:string,tokenAmount:double>>>>"
 )
 
@@ -18,10 +18,23 @@ def parse_transactions(envelopes: DataFrame) -> DataFrame:
 
 
 def transfers(wallets: DataFrame) -> DataFrame:
-    """One row per token transfer of each wallet's transactions."""
+    """One row per token transfer of each wallet's transactions.
+
+    Polls of a wallet overlap: a transfer that several of them show (same wallet, signature and place in the
+    transaction) counts once. Transactions without a signature cannot be told apart and all count.
+    """
+    listed = wallets.select("wallet", F.explode("transactions").alias("t"))
+    signature = F.col("t.signature") if "signature" in listed.schema["t"].dataType.names else F.lit(None).cast("string")
+    unsigned = F.when(signature.isNull(), F.monotonically_increasing_id())
     return (
-        wallets.select("wallet", F.explode("transactions").alias("t"))
-        .select("wallet", F.timestamp_seconds("t.timestamp").alias("tx_time"), F.explode("t.tokenTransfers").alias("x"))
+        listed.select(
+            "wallet",
+            signature.alias("signature"),
+            unsigned.alias("unsigned"),
+            F.timestamp_seconds("t.timestamp").alias("tx_time"),
+            F.posexplode("t.tokenTransfers").alias("place", "x"),
+        )
+        .dropDuplicates(["wallet", "signature", "unsigned", "place"])
         .select(
             "wallet",
             "tx_time",

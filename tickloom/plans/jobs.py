@@ -7,7 +7,7 @@ run again after a failure.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,15 +20,24 @@ from tickloom.operators.features import token_features, with_window_features
 from tickloom.operators.series import lay_out
 from tickloom.operators.silver import mark
 from tickloom.plans import models, signals
+from tickloom.session import cut, cuts_removed
 from tickloom.sources import feeds, landed, tables
 
 
 def ingest(
-    spark: SparkSession, source: str, domain: str, landed_path: str, bronze_path: str, by_token: bool = False
+    spark: SparkSession,
+    source: str,
+    domain: str,
+    landed_path: str,
+    bronze_path: str,
+    by_token: bool = False,
+    rejects_path: str | None = None,
 ) -> None:
-    """Landed responses of one source to bronze."""
-    adapter = landed.ADAPTERS[(source, domain)]
-    tables.write_bronze(adapter(landed.read_landed(spark, landed_path)), bronze_path, by_token)
+    """Landed responses of one source to bronze; lines that give no envelope to ``rejects_path`` with their reason."""
+    lines = landed.read_landed(spark, landed_path)
+    tables.write_bronze(landed.ADAPTERS[(source, domain)](lines), bronze_path, by_token)
+    if rejects_path is not None:
+        tables.write_parquet(landed.rejects(lines), rejects_path)
 
 
 def silver(
@@ -54,8 +63,16 @@ def silver(
         seen, F.count_if("is_valid").alias("valid"), F.count_if(~F.col("is_valid")).alias("quarantined")
     )
     rows = marked.withColumn(tables.QUALITY, F.when(F.col("is_valid"), "valid").otherwise("quarantine"))
+    only = None
+    if days is not None:
+        first, last = map(date.fromisoformat, days)
+        only = ("event_date", [str(first + timedelta(days=i)) for i in range((last - first).days + 1)])
     tables.write_partitioned(
-        rows.drop("is_valid"), silver_path, [tables.QUALITY, *partition_by], sort_by=["token_address", "event_timestamp"]
+        rows.drop("is_valid"),
+        silver_path,
+        [tables.QUALITY, *partition_by],
+        sort_by=["token_address", "event_timestamp"],
+        only=only,
     )
     return seen.get
 
@@ -85,12 +102,14 @@ def backtest(
 
 
 def train(spark: SparkSession, gold_path: str, models_path: str, runs_path: str) -> None:
-    """Entry and exit models of every token to the model table, their metrics to the runs table."""
+    """Entry and exit models of every token to the model table, their metrics to the runs table; a call's rows share
+    a ``run_id`` in both. ``models.models_of`` picks the models of champions or runs."""
     gold = tables.read_gold(spark, gold_path)
     for kind in (models.ENTRY, models.EXIT):
-        result = models.train(gold, kind)
-        result.models.write.mode("append").partitionBy("model_type").parquet(models_path)
-        result.runs.write.mode("append").partitionBy("model_type").parquet(runs_path)
+        with cuts_removed(spark):
+            result = models.train(gold, kind)
+            result.models.write.mode("append").partitionBy("model_type").parquet(models_path)
+            result.runs.write.mode("append").partitionBy("model_type").parquet(runs_path)
 
 
 def promote(spark: SparkSession, runs_path: str, champions: DataFrame | None, out_path: str) -> DataFrame:
@@ -103,8 +122,14 @@ def promote(spark: SparkSession, runs_path: str, champions: DataFrame | None, ou
     return decided
 
 
+def newest_snapshots(envelopes: DataFrame) -> DataFrame:
+    """The newest envelope of each token."""
+    return tables.latest_versions(envelopes, ["token_address"], F.struct("event_timestamp", "event_id"))
+
+
 def holder_report(holder_envelopes: DataFrame) -> DataFrame:
-    """Concentration and verdict of every token that has a holder envelope."""
+    """Concentration and verdict of every token that has a holder envelope, from its newest one."""
+    holder_envelopes = newest_snapshots(holder_envelopes)
     sample = holders.concentration(holders.explode_holders(holder_envelopes), holder_envelopes)
     return holders.verdicts(sample, holders.supply_figures(holder_envelopes))
 
@@ -150,7 +175,7 @@ def discover(spark: SparkSession, landed_path: str, bronze_path: str) -> tuple[D
 
 def latest_candidates(spark: SparkSession, bronze_path: str) -> tuple[DataFrame, DataFrame]:
     events = tables.read_bronze(spark, bronze_path).where(F.col("domain") == "discovery")
-    return discovery.split_candidates(discovery.parse_candidates(tables.latest_partition(events)))
+    return discovery.split_candidates(discovery.newest(discovery.parse_candidates(tables.latest_partition(events))))
 
 
 def watchlist_scan(
@@ -159,13 +184,14 @@ def watchlist_scan(
     news: DataFrame | None,
     probabilities: DataFrame | None,
     out_path: str | None = None,
-    max_to_score: int = 10,
+    max_to_score: int | None = 10,
     scan_time: Column | None = None,
 ) -> DataFrame:
-    """Busiest valid candidates, decided and ranked; optionally written under dt / run_id."""
-    chosen = discovery.with_momentum(discovery.top_by_volume(candidates, max_to_score))
+    """Busiest valid candidates (all with ``max_to_score`` None), decided and ranked, one row a token; optionally
+    written under dt / run_id."""
+    chosen = discovery.with_momentum(discovery.top_by_volume(discovery.newest(candidates), max_to_score))
     base = chosen.join(scores.select("token_address", "rug_risk_score", "risk_tier"), "token_address", "left")
-    decided = signals.decisions(base, news, probabilities, chosen)
+    decided = signals.decisions(base, news, probabilities)
     when = F.current_timestamp() if scan_time is None else scan_time
     ranked = watchlist.rank(decided)
     if out_path is not None:
@@ -188,15 +214,22 @@ def manual_watchlist(spark: SparkSession) -> DataFrame:
 
 
 def positions(events: DataFrame, out_path: str | None = None) -> DataFrame:
-    """Fold position events; the sale history and rejected events are written beside the positions."""
-    replayed = ledger.replay(events)
-    state = ledger.positions(replayed)
-    if out_path is not None:
-        stamped = state.withColumn("version", F.current_timestamp())
-        stamped.write.mode("append").parquet(f"{out_path}/positions")
-        ledger.sales(replayed).write.mode("overwrite").parquet(f"{out_path}/sales")
-        ledger.rejections(replayed).write.mode("overwrite").parquet(f"{out_path}/rejections")
-    return state
+    """Fold position events; sales and rejected events are appended beside the positions.
+
+    Events are replayed once. Running again over the same or more events adds newer versions of the rows, which
+    ``current_positions``, ``sale_history`` and ``rejected_events`` see through.
+    """
+    if out_path is None:
+        return ledger.positions(ledger.replay(events))
+    replayed = cut(ledger.replay(events))
+    now = F.lit(datetime.now(timezone.utc))
+    for name, rows in (
+        ("positions", ledger.positions(replayed)),
+        ("sales", ledger.sales(replayed)),
+        ("rejections", ledger.rejections(replayed)),
+    ):
+        rows.withColumn("version", now).write.mode("append").parquet(f"{out_path}/{name}")
+    return ledger.positions(replayed)
 
 
 def current_positions(spark: SparkSession, out_path: str) -> DataFrame:
@@ -205,6 +238,18 @@ def current_positions(spark: SparkSession, out_path: str) -> DataFrame:
     return tables.latest_versions(written, ["position_id"], F.col("version")).drop("version")
 
 
+def sale_history(spark: SparkSession, out_path: str) -> DataFrame:
+    """Every sale ever written by ``positions``, once."""
+    written = tables.read_table(spark, f"{out_path}/sales")
+    return tables.latest_versions(written, ["position_id", "event_id"], F.col("version")).drop("version")
+
+
+def rejected_events(spark: SparkSession, out_path: str) -> DataFrame:
+    """Every event ever rejected by ``positions``, once."""
+    written = tables.read_table(spark, f"{out_path}/rejections")
+    return tables.latest_versions(written, ["position_id", "event_id"], F.col("version")).drop("version")
+
+
 def open_positions_view(state: DataFrame, ticks: DataFrame) -> DataFrame:
     return ledger.mark_to_market(state.where(F.col("status") == "OPEN"), prices.latest_prices(ticks))
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -83,16 +85,25 @@ def train(
     )
     positive_rate = usable.where("is_train").groupBy("token_address").agg(F.avg(kind.label).alias("positive_rate_train"))
     measured = classifier_metrics(scored, kind.label, **layout).join(positive_rate, "token_address")
+    if run_id is None:
+        run_id = F.lit(uuid.uuid4().hex)  # one id for the call, the same in every task and retry
+    began = F.lit(datetime.now(timezone.utc))
     params = F.map_from_arrays(
         F.array(*[F.lit(n) for n in kind.params]), F.array(*[F.lit(float(v)) for v in kind.params.values()])
     )
-    tagged = {"model_type": F.lit(kind.name), "run_id": F.uuid() if run_id is None else run_id}
+    tagged = {"model_type": F.lit(kind.name), "run_id": run_id}
     runs = (
         measured.join(models.select("token_address", "n_train"), "token_address")
-        .withColumns({**tagged, "start_time": F.current_timestamp(), "params": params})
+        .withColumns({**tagged, "start_time": began, "params": params})
         .select("token_address", "model_type", "run_id", "start_time", "params", "n_train", "n_test", *METRICS)
     )
-    return Training(models.withColumn("model_type", F.lit(kind.name)), runs, scored)
+    return Training(models.withColumns({**tagged, "trained_at": began}), runs, scored)
+
+
+def models_of(stored: DataFrame, chosen: DataFrame, kind: ModelKind) -> DataFrame:
+    """The stored models of one kind that ``chosen`` (champions or runs: token_address, model_type, run_id) names."""
+    named = chosen.where(F.col("model_type") == kind.name).select("token_address", "model_type", "run_id").distinct()
+    return stored.where(F.col("model_type") == kind.name).join(named, ["token_address", "model_type", "run_id"], "left_semi")
 
 
 def latest_runs(runs: DataFrame) -> DataFrame:

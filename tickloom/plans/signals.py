@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.news import classify
-from tickloom.functions.rules import mint_flags, recommendation, rug_risk
+from tickloom.functions.rules import concentration_tier, mint_flags, recommendation, rug_risk
 
 
 def mint_signals(envelopes: DataFrame) -> DataFrame:
@@ -54,6 +54,11 @@ def security_scores(tokens: DataFrame, tiers: DataFrame, outflow_flags: DataFram
     return joined.withColumns(rug_risk(*signals))
 
 
+def supply_tiers(supply: DataFrame) -> DataFrame:
+    """(token_address, supply_tier) from the vendor's figures alone, all that risk scores need of the holders."""
+    return supply.select("token_address", concentration_tier(F.col("top10_hold_percent") / 100).alias("supply_tier"))
+
+
 def _optional(df: DataFrame, name: str, kind: str) -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast(kind)
 
@@ -66,10 +71,12 @@ def decisions(
 ) -> DataFrame:
     """One recommendation per scored token.
 
-    scores: token_address, rug_risk_score, risk_tier, and optionally symbol, the news topic. A token
+    scores: token_address, rug_risk_score, risk_tier, and optionally symbol, the news topic, and, without
+    ``momentum``, momentum_tier. A token
     whose topic has no news, or that lacks a probability or momentum, gets null for that signal.
     """
-    df = scores.select(*[c for c in ("token_address", "symbol", "rug_risk_score", "risk_tier") if c in scores.columns])
+    own = ["token_address", "symbol", "rug_risk_score", "risk_tier", *(["momentum_tier"] if momentum is None else [])]
+    df = scores.select(*[c for c in own if c in scores.columns])
     if probabilities is not None:
         df = df.join(probabilities.select("token_address", "probability"), "token_address", "left")
     if momentum is not None:

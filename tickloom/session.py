@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -18,20 +21,38 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; only a local session may fall back to /tmp."""
+    """The folder named by ``spark.checkpoint.dir``; only a session in one process may fall back to /tmp."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tickloom-"))
     return spark.sparkContext.getCheckpointDir()
 
 
+_written: list[str] = []
+
+
+@contextmanager
+def cuts_removed(spark: SparkSession) -> Iterator[None]:
+    """Deletes what ``cut`` writes inside the block, at its end. Only for jobs whose results are written by then."""
+    before = len(_written)
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for path in _written[before:]:
+            where = hadoop.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        del _written[before:]
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: short lineage that outlives executors."""
     spark = df.sparkSession
     path = f"{checkpoint_root(spark).rstrip('/')}/tickloom/{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

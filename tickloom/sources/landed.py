@@ -18,12 +18,19 @@ from tickloom.functions.times import iso_time, unix_seconds
 from tickloom.session import pin_utc
 from tickloom.sources.envelope import to_envelope
 
-MAX_PER_REQUEST = 100
+CORRUPT = "_corrupt_record"
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    """Malformed lines become rows with null fields and are dropped by the adapters."""
-    return pin_utc(spark).read.schema(LANDED_SCHEMA).option("mode", "PERMISSIVE").json(path)
+    """Landed lines; a malformed one has null fields, its text in ``_corrupt_record``, and gives no envelope."""
+    schema = f"{LANDED_SCHEMA}, {CORRUPT} string"
+    return pin_utc(spark).read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
+
+
+def rejects(landed: DataFrame) -> DataFrame:
+    """The lines no adapter can use, with the reason: no JSON, or no response in it."""
+    reason = F.when(F.col(CORRUPT).isNotNull(), "malformed").when(F.col("response").isNull(), "no_response")
+    return landed.withColumn("reason", reason).where(F.col("reason").isNotNull()).select("request_key", "received_at", CORRUPT, "reason")
 
 
 def _field(json: Column, path: str) -> Column:
@@ -138,8 +145,9 @@ def screened_tokens(landed: DataFrame) -> DataFrame:
     )
 
 
-def news_posts(landed: DataFrame, limit: int = 20) -> DataFrame:
-    """News posts of a currency; time is published, else created, else the landing time."""
+def news_posts(landed: DataFrame, limit: int | None = None) -> DataFrame:
+    """News posts of a currency, of each response the first ``limit`` if given; time is published, else created,
+    else the landing time."""
     rows = _items(landed, _field(F.col("response"), "$.results"), limit)
     item = F.col("item")
     written = F.coalesce(

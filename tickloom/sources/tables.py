@@ -44,20 +44,35 @@ def latest_partition(df: DataFrame, column: str = "dt") -> DataFrame:
 
 
 def write_partitioned(
-    df: DataFrame, path: str, partition_by: Sequence[str], *, append: bool = False, sort_by: Sequence[str] = ()
+    df: DataFrame, path: str, partition_by: Sequence[str], *, append: bool = False, sort_by: Sequence[str] = (),
+    only: tuple[str, Sequence[str]] | None = None,
 ) -> None:
     """Write with even files: small partitions share a task, large ones are split (AQE rebalance).
 
-    Without ``append`` only the partitions present in ``df`` are replaced, so a re-run is idempotent.
+    Without ``append`` the whole table is replaced, or, given ``only`` (a partition column and its values), those
+    partitions: they are removed first, so one that ``df`` no longer has does not stay, and a re-run is idempotent.
     """
     df = df.hint("rebalance", *partition_by)
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
     writer = df.write.partitionBy(*partition_by)
-    if append:
+    if only is not None:
+        remove_partitions(df.sparkSession, path, partition_by, *only)
+    if append or only is not None:
         writer.mode("append").parquet(path)
     else:
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+        writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+
+
+def remove_partitions(spark: SparkSession, path: str, partition_by: Sequence[str], column: str, values: Sequence[str]) -> None:
+    """Delete the folders of a table in which ``column`` has one of ``values``."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for value in values:
+        parts = [f"{c}={value}" if c == column else f"{c}=*" for c in partition_by]
+        pattern = hadoop.Path("/".join([path.rstrip("/"), *parts[: list(partition_by).index(column) + 1]]))
+        files = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for found in files.globStatus(pattern) or []:
+            files.delete(found.getPath(), True)
 
 
 def write_bronze(envelopes: DataFrame, path: str, by_token: bool = False) -> None:

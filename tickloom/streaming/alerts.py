@@ -1,8 +1,8 @@
 """Rolling price-move alerts on a stream, with the same answers as the batch operator.
 
-Ticks are read in event time. A tick later than the watermark is dropped by Spark; any other tick
-sees every accepted tick of its window. State per token is the ticks that a future tick can still
-need, in RocksDB; it is cleared by a timer once the watermark has passed them.
+Ticks are read in event time. A tick later than the watermark is dropped by Spark (``count_late`` keeps such ticks);
+any other tick sees every accepted tick of its window, whatever the micro-batches. State is in RocksDB, per token and
+time bucket, only ever appended to; a timer clears it once the watermark has passed the bucket.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from datetime import timedelta
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from tickloom.constants import MOVE_SEVERITIES
@@ -26,6 +27,8 @@ ALERT_SCHEMA = (
     "token_address string, event_id string, severity string, pct_change double, window_start_price double, "
     "current_price double, window_start_time timestamp, alert_time timestamp"
 )
+#: A time bucket is as long as so many windows; a tick near its end is also kept for the next.
+BUCKET_WINDOWS = 4
 TICK_STATE = "at bigint, event_id string, price double"
 
 
@@ -56,67 +59,95 @@ def find_alerts(known: pd.DataFrame, fresh: pd.DataFrame, window_micros: int) ->
 
 
 class MoveTracker(StatefulProcessor):
+    """State of one token and time bucket: its ticks, and those of the window before it, appended as they come."""
+
     def __init__(self, window: timedelta):
         self.window_micros = int(window.total_seconds() * 1_000_000)
+        self.bucket_micros = BUCKET_WINDOWS * self.window_micros
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.ticks = handle.getListState("ticks", TICK_STATE)
 
-    def _load(self) -> pd.DataFrame:
-        return pd.DataFrame(list(self.ticks.get()), columns=["at", "event_id", "price"])
-
-    def _keep(self, known: pd.DataFrame, watermark_ms: int) -> None:
-        """Store what a tick at the watermark or later can still see; come back when that is over."""
-        needed = known[known["at"] >= watermark_ms * 1000 - self.window_micros]
-        if needed.empty:
-            self.ticks.clear()
-            return
-        self.ticks.put(list(needed.itertuples(index=False, name=None)))
-        if not any(True for _ in self.handle.listTimers()):
-            self.handle.registerTimer(int((needed["at"].iloc[-1] + self.window_micros) // 1000 + 1))
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        fresh = pd.concat(list(rows))  # one token's ticks of one micro-batch, bounded by the source options
-        fresh = pd.DataFrame(
+        came = pd.concat(list(rows))  # one bucket's ticks of one micro-batch
+        new = pd.DataFrame(
             {
-                "at": fresh["event_timestamp"].astype("datetime64[us]").astype("int64"),
-                "event_id": fresh["event_id"],
-                "price": fresh["price"].astype("float64"),
+                "at": came["event_timestamp"].astype("datetime64[us]").astype("int64"),
+                "event_id": came["event_id"],
+                "price": came["price"].astype("float64"),
             }
         )
-        old = self._load()
-        known = fresh if old.empty else pd.concat([old, fresh])
+        old = pd.DataFrame(list(self.ticks.get()), columns=["at", "event_id", "price"])
+        if old.empty:
+            self.handle.registerTimer((int(key[1]) + 1) * self.bucket_micros // 1000 + 1)
+        self.ticks.appendList(list(new.itertuples(index=False, name=None)))
+        known = new if old.empty else pd.concat([old, new])
         known = known.sort_values(["at", "event_id"], ignore_index=True)
-        alerts = find_alerts(known, fresh, self.window_micros)
+        alerts = find_alerts(known, new[came["own"].to_numpy()], self.window_micros)
         alerts.insert(0, "token_address", key[0])
-        self._keep(known, timerValues.getCurrentWatermarkInMs())
         yield alerts
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.handle.deleteTimer(expiredTimerInfo.getExpiryTimeInMs())
-        old = self._load()
-        if not old.empty:
-            self._keep(old, timerValues.getCurrentWatermarkInMs())
+        self.ticks.clear()  # no tick of this bucket can come any more
         return iter([])
 
     def close(self) -> None:
         pass
 
 
+def in_buckets(ticks: DataFrame, window: timedelta) -> DataFrame:
+    """Each tick in its own time bucket and, if a later bucket's window reaches it, there as well (``own`` false)."""
+    micros = int(window.total_seconds() * 1_000_000)
+    size = BUCKET_WINDOWS * micros
+    at = F.unix_micros("event_timestamp")
+    bucket = F.floor(at / size)
+    late = at >= (bucket + 1) * size - micros
+    places = F.when(late, F.array(bucket, bucket + 1)).otherwise(F.array(bucket))
+    spread = ticks.select("token_address", "event_timestamp", "event_id", "price", F.posexplode(places).alias("copy", "bucket"))
+    return spread.withColumn("own", F.col("copy") == 0).drop("copy")
+
+
 def price_alerts(ticks: DataFrame, window: timedelta = timedelta(minutes=5), lateness: str = "1 minute") -> DataFrame:
-    """Streaming alerts of a tick stream (token_address, event_timestamp, event_id, price)."""
+    """Streaming alerts of a tick stream (token_address, event_timestamp, event_id, price).
+
+    A token's history is split by time, so buckets of a busy token are separate tasks and separate states.
+    """
     spark = pin_utc(ticks.sparkSession)  # state compares tick times with the watermark
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return (
-        ticks.withWatermark("event_timestamp", lateness)
-        .groupBy("token_address")
+        in_buckets(ticks.withWatermark("event_timestamp", lateness), window)
+        .groupBy("token_address", "bucket")
         .transformWithStateInPandas(
             statefulProcessor=MoveTracker(window), outputStructType=ALERT_SCHEMA, outputMode="Append", timeMode="EventTime"
         )
     )
 
 
+def count_late(ticks: DataFrame, path: str, checkpoint: str, lateness: timedelta = timedelta(minutes=1), every: str | None = "20 seconds") -> StreamingQuery:
+    """Late ticks to ``path/late``: those more than ``lateness`` older than the newest tick of all earlier micro-batches.
+
+    A micro-batch that is run again replaces what it wrote. Spark moves its watermark by the same rule, but drops a
+    tick only once the watermark has stood for a whole micro-batch, so what it drops is always counted here.
+    """
+    spark = ticks.sparkSession
+    mark_schema = "newest timestamp, batch bigint"
+
+    def keep(batch: DataFrame, number: int) -> None:
+        def write(df: DataFrame, name: str) -> None:
+            df.withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{path}/{name}")
+
+        before = spark.createDataFrame([], mark_schema).agg(F.max("newest")).first()[0]
+        if number:
+            marks = spark.read.schema(mark_schema).parquet(f"{path}/marks")
+            before = marks.where(F.col("batch") < number).agg(F.max("newest")).first()[0]
+        write(batch.agg(F.max("event_timestamp").alias("newest")), "marks")
+        edge = F.lit(None).cast("timestamp") if before is None else F.lit(before - lateness)
+        write(batch.where(F.col("event_timestamp") < edge), "late")
+
+    return ingest.start_foreach(ticks, keep, checkpoint, every)
+
+
 def run_alert_stream(
     messages: DataFrame,
     out_path: str,
