@@ -4,7 +4,7 @@ Components x become floor(1024 * x), computed in double precision; scores are in
 
 Cases: vectors that are null or hold null or non-finite components, and rows with a null id, take no part; an id that
 occurs more than once stands for its smallest vector; vectors of different lengths are not compared; ties go to the
-smaller id; scores beyond 64 bits are set to the nearest 64-bit value; other columns are ignored; an empty table
+smaller id; scores beyond 64 bits count as the nearest 64-bit value; other columns are ignored; an empty table
 gives an empty result.
 """
 
@@ -78,14 +78,13 @@ def tile_search(k: int) -> Callable[[pa.Table], pa.Table]:
                 q, c = (np.array([[int(v) for v in r] for r in m.tolist()], object).reshape(m.shape) for m in (q, c))
             for i in range(0, len(q), PRODUCT_ROWS):
                 scores = q[i : i + PRODUCT_ROWS] @ c.T
+                if not exact:
+                    scores = np.clip(scores, -(2**63), 2**63 - 1)
                 scores[q_ids[i : i + PRODUCT_ROWS, None] == c_ids[None]] = -np.inf
                 rows, cols = best_of(scores, k)
-                values = scores[rows, cols]
-                if not exact:
-                    values = [max(-(2**63), min(2**63 - 1, v)) for v in values]
                 out[0].append(q_ids[i + rows])
                 out[1].append(c_ids[cols])
-                out[2].append(np.array(values, np.int64))
+                out[2].append(scores[rows, cols].astype(np.int64))
         ids, found, values = (np.concatenate(x).astype(np.int64) if x else np.empty(0, np.int64) for x in out)
         number = group["shard"][0].as_py() if len(group) else 0
         return pa.table({"query_id": ids, "shard": np.full(len(ids), number, np.int64), "vec_id": found, "score": values})

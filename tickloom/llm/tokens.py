@@ -19,7 +19,9 @@ from tickloom.session import ship
 ship(__name__)
 
 #: Words that a worker keeps; later ones are encoded anew in each slice. Results don't depend on it.
-REMEMBERED = 500_000
+REMEMBERED = 750_000
+#: A mark at the end of a word of letters is a token of its own, so the word's ids serve with any of them.
+END_MARKS = frozenset(".,;:!?")
 #: Words encoded by one call.
 AT_ONCE = 20_000
 
@@ -38,7 +40,10 @@ def tokenizer_json(path: str | None = None) -> str:
 def worker_encoder(json_text: str) -> WordEncoder:
     """The encoder of this Python worker process, kept between its tasks."""
     held = sys.modules.setdefault("tickloom_worker_encoders", types.ModuleType("tickloom_worker_encoders"))
-    return held.__dict__.setdefault(str(hash(json_text)), WordEncoder(json_text))
+    key = str(hash(json_text))
+    if key not in held.__dict__:
+        held.__dict__[key] = WordEncoder(json_text)
+    return held.__dict__[key]
 
 
 class WordEncoder:
@@ -54,6 +59,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_str(json_text)
         self.tokenizer.encode_special_tokens = True
         self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.marks = {m: self.whole(m) for m in END_MARKS}
         self.known: dict[str, dict[str, bytes]] = {"": {}, " ": {}}
 
     def whole(self, text: str) -> bytes:
@@ -63,9 +69,11 @@ class WordEncoder:
         """Ids of words, each after ``lead``: many at once, a line each."""
         known = self.known[lead]
         new = [w for w in words if w not in known]
+        marked = [w for w in new if w[-1:] in END_MARKS and w[:-1].isalpha() and w[-2] < "\u0250"]
+        plain = list({*new}.difference(marked) | {w[:-1] for w in marked if w[:-1] not in known})
         out = {}
-        for i in range(0, len(new), AT_ONCE):
-            some = new[i : i + AT_ONCE]
+        for i in range(0, len(plain), AT_ONCE):
+            some = plain[i : i + AT_ONCE]
             text = "\n".join([lead + w for w in some])
             ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
             ends = [*np.flatnonzero(ids == self.line_end[0]).tolist(), len(ids)]
@@ -73,10 +81,12 @@ class WordEncoder:
             for w, end in zip(some, ends, strict=True):
                 out[w] = raw[4 * start : 4 * end]
                 start = end + 1
-        if len(known) + len(out) <= REMEMBERED:
+        for w in marked:
+            out[w] = (out.get(w[:-1]) or known[w[:-1]]) + self.marks[w[-1]]
+        if sum(map(len, self.known.values())) + len(out) <= REMEMBERED:
             known.update(out)
             return known
-        return known | out if len(out) * 4 > len(known) else _Either(out, known)
+        return _Either(out, known)
 
     def encode(self, texts: list[str | None], end: int | None = None) -> list[bytes]:
         last = b"" if end is None else np.uint32(end).astype("<u4").tobytes()
