@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demo import views
+from demo.queries import decided
 from tickloom import constants as K
 from tickloom.functions.times import feed_time
 from tickloom.operators import discovery, features, holders, labels, prices
@@ -402,6 +403,22 @@ def scan_counts(spark: SparkSession, sf: str) -> DataFrame:
     return micros(discovery.scan_counts(discovery.parse_candidates(envelopes)))
 
 
+def decision_reasons(spark: SparkSession, sf: str) -> DataFrame:
+    return decided(spark, sf).select("token_address", F.array_join("reasons", "; ").alias("reasons"))
+
+
+def promotion_reasons(spark: SparkSession, sf: str) -> DataFrame:
+    made = models.promotion_decisions(models.latest_runs(views.model_runs(spark, sf)), views.champions(spark, sf))
+    return made.select("token_address", "model_type", F.array_join("reasons", "; ").alias("reasons"))
+
+
+def position_values(spark: SparkSession, sf: str) -> DataFrame:
+    """What every open position is worth at the newest price of its token."""
+    quotes = views.position_events(spark, sf).where(F.col("event_type") == "price")
+    state = jobs.positions(views.position_events(spark, sf))
+    return rounded(jobs.open_positions_view(state, quotes).select("position_id", "position_value"))
+
+
 LAKE = {
     f.__name__: f
     for f in (
@@ -409,6 +426,7 @@ LAKE = {
         sales_table, rejections_table, position_changes, holder_report, held_amounts, outflow_report_job, security_report,
         security_metadata, discovered, watchlist_scan, landed_rejects, news_posts, rss_items, feed_times, news_report,
         exchanged_envelopes, dead_letter_table, train_entry_counts, train_exit_counts, fit_optimality, score_champion,
-        ema_long_series, prices_as_of_all, scan_counts,
+        ema_long_series, prices_as_of_all, scan_counts, decision_reasons,
+        promotion_reasons, position_values,
     )
 }

@@ -145,6 +145,41 @@ LAKE_ORACLES: dict[str, str] = {
             count(*) FILTER (liquidity > 0 AND volume >= 0 AND volume / liquidity <= 50) AS valid
             FROM (SELECT liquidity, poll, volume_24h_usd * CASE poll WHEN 0 THEN 0.5 ELSE 1 END AS volume FROM candidates, range(2) t(poll)) GROUP BY 1""",
     ),
+    "decision_reasons": _sql(
+        "decided",
+        """SELECT token_address, CASE act
+            WHEN 'tier' THEN 'SECURITY OVERRIDE: rug-risk tier is ' || risk_tier || ' (score ' || points || '/100) - this overrides any other bullish signal'
+            WHEN 'news' THEN 'SECURITY OVERRIDE: recent news classified as ' || chr(39) || news_event_type || chr(39) || ' (source credibility: ' || news_credibility
+              || ') - this overrides any other bullish signal, regardless of source credibility, since even an unconfirmed report of this severity warrants caution until verified'
+            ELSE concat_ws('; ', CASE WHEN risk_tier = 'LOW' THEN 'Rug-risk tier is LOW (score ' || points || '/100)' END,
+              CASE WHEN prob IS NULL THEN 'Entry model probability unavailable' END,
+              CASE WHEN act = 'WATCHLIST' THEN 'Discovery screening metrics (volume, liquidity, holders, trade count) are strong - this is a raw-data heuristic, NOT a model prediction, and does not by itself justify BUY' END,
+              CASE WHEN act = 'BUY' THEN 'Entry model probability is ' || printf('%.2f', CAST(prob AS DOUBLE)) || ' (bullish)'
+                   WHEN act = 'HOLD' AND prob IS NOT NULL THEN 'Entry model probability is ' || printf('%.2f', CAST(prob AS DOUBLE)) || ' (not strongly bullish or bearish)' END)
+            END AS reasons FROM decided""",
+    ),
+    "promotion_reasons": _sql(
+        "latest champions",
+        """SELECT token_address, model_type, CASE
+            WHEN first THEN 'No existing champion - promoting first model'
+            WHEN gain IS NULL THEN 'Cannot compare: roc_auc missing from champion or challenger metrics'
+            WHEN gain < 0.02 THEN 'ROC-AUC improvement (' || printf('%+.4f', gain) || ') is below the required minimum (0.02) - challenger is not clearly better, keeping current champion'
+            ELSE 'ROC-AUC improved by ' || printf('%+.4f (%.4f -> %.4f)', gain, old_auc, auc) || '; ' || CASE
+              WHEN loss > 0.01 THEN 'REJECTED despite ROC-AUC improvement: calibration (Brier score) regressed by ' || printf('%+.4f', loss)
+                || ', exceeding the allowed tolerance (0.01) - the challenger may be gaming ROC-AUC via overconfident predictions'
+              WHEN loss IS NOT NULL THEN 'Calibration (Brier score) did not regress meaningfully (' || printf('%+.4f', loss) || ')'
+              ELSE 'Brier score unavailable for one or both models - calibration check skipped, promotion decision based on ROC-AUC alone' END
+            END AS reasons
+            FROM (SELECT token_address, model_type, c.run_id IS NULL AS first, l.roc_auc AS auc, c.roc_auc AS old_auc,
+                         l.roc_auc - c.roc_auc AS gain, l.brier_score - c.brier_score AS loss
+                  FROM latest l LEFT JOIN champions c USING (token_address, model_type))""",
+    ),
+    "position_values": _sql(
+        "positions",
+        """SELECT position_id, round(remaining_size * price, 6) AS position_value
+           FROM positions LEFT JOIN (SELECT token_address, arg_max(price, event_timestamp) AS price FROM ledger
+             WHERE kind = 'price' GROUP BY 1) USING (token_address) WHERE status = 'OPEN'""",
+    ),
     "ema_long_series": """
         WITH RECURSIVE lagged AS (
             SELECT event_type AS token_address, CAST(event_id AS VARCHAR) AS event_id, value AS close,

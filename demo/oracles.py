@@ -3,7 +3,26 @@
 from __future__ import annotations
 
 from demo.views import DOMAINS, HEADLINES, NOW
-from tickloom.constants import ACUTE_NEWS, CREDIBLE_DOMAINS, NEWS_KEYWORDS
+
+# The categories, outlets and acute kinds of news as the definition has them, written out here so that a
+# wrong word in the library shows.
+NEWS_KEYWORDS = (
+    ("hack", ("hack", "hacked", "hacker", "compromised")),
+    ("exploit", ("exploit", "exploited", "vulnerability", "drained")),
+    ("rug_allegations", ("rug pull", "rugpull", "rugged", "scam alert")),
+    ("security_incident", ("security incident", "breach", "unauthorized access")),
+    ("lawsuit", ("lawsuit", "sued", "sec charges", "class action")),
+    ("regulation", ("regulation", "regulator", "sec ", "compliance", "banned")),
+    ("delisting", ("delist", "delisting", "removed from")),
+    ("exchange_listing", ("lists ", "listing", "now available on", "added to")),
+    ("network_outage", ("outage", "downtime", "network down", "halted")),
+    ("whale_activity", ("whale", "large transfer", "moved $")),
+    ("partnership", ("partnership", "partners with", "collaborat")),
+    ("developer_announcement", ("roadmap", "mainnet", "testnet", "upgrade", "release")),
+    ("token_launch", ("launches", "launch of", "airdrop", "new token")),
+)
+CREDIBLE_DOMAINS = ("coindesk.com", "cointelegraph.com", "theblock.co", "decrypt.co", "reuters.com", "bloomberg.com")
+ACUTE_NEWS = ("hack", "exploit", "rug_allegations", "security_incident")
 
 CTES = {
     "candles": """

@@ -289,7 +289,7 @@ def top_candidates(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(discovery.top_by_volume(views.candidates(spark, sf)).select("token_address", "volume_24h_usd"))
 
 
-def _decided(spark: SparkSession, sf: str) -> DataFrame:
+def decided(spark: SparkSession, sf: str) -> DataFrame:
     probabilities = views.table(spark, sf, "part").select(
         F.col("p_partkey").cast("string").alias("token_address"),
         F.when(F.col("p_partkey") % 4 != 0, (F.col("p_partkey") * 37 % 100) / 100.0).alias("probability"),
@@ -303,7 +303,7 @@ def _decided(spark: SparkSession, sf: str) -> DataFrame:
 
 def decisions(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(
-        _decided(spark, sf).select(
+        decided(spark, sf).select(
             "token_address",
             "action",
             "confidence",
@@ -315,7 +315,7 @@ def decisions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def watchlist_ranked(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(watchlist.rank(_decided(spark, sf)).select("rank", "token_address", "severity", "confidence"))
+    return rounded(watchlist.rank(decided(spark, sf)).select("rank", "token_address", "severity", "confidence"))
 
 
 def watchlist_union(spark: SparkSession, sf: str) -> DataFrame:
@@ -448,7 +448,7 @@ def candidate_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def watchlist_records(spark: SparkSession, sf: str) -> DataFrame:
-    record = watchlist.flat_record(watchlist.with_severity(_decided(spark, sf)), F.lit(views.NOW).cast("timestamp"))
+    record = watchlist.flat_record(watchlist.with_severity(decided(spark, sf)), F.lit(views.NOW).cast("timestamp"))
     return rounded(record.drop("reasons"))
 
 
@@ -457,7 +457,7 @@ def watchlist_view(spark: SparkSession, sf: str) -> DataFrame:
     manual = views.table(spark, sf, "nation").select(F.col("n_nationkey").cast("string").alias("token_address"))
     valid, _ = discovery.split_candidates(views.candidates(spark, sf))
     quotes = views.candles(spark, sf).withColumnRenamed("close", "price")
-    view = jobs.watchlist_view(manual, discovery.top_by_volume(valid), quotes, _decided(spark, sf))
+    view = jobs.watchlist_view(manual, discovery.top_by_volume(valid), quotes, decided(spark, sf))
     return view.select("token_address", "source", "price", "action")
 
 

@@ -142,9 +142,9 @@ DEFAULT_FEEDS = ("cointelegraph.com", "coindesk.com")
 # Texts of rug-risk reasons and of missing signals.
 RISK_TEXTS = {
     "concentration": "Holder concentration is %s (+%d points)",
-    "outflow": "Monitored wallet sent tokens out within the last 24h (+25 points)",
-    "mint": "Mint authority is still active - supply can be increased at will (+20 points)",
-    "freeze": "Freeze authority is still active - holder accounts can be frozen (+15 points)",
+    "outflow": "Monitored wallet sent tokens out within the last 24h (+%d points)" % OUTFLOW_POINTS,
+    "mint": "Mint authority is still active - supply can be increased at will (+%d points)" % MINT_POINTS,
+    "freeze": "Freeze authority is still active - holder accounts can be frozen (+%d points)" % FREEZE_POINTS,
     "clean": "No red flags detected in the signals that were available",
     "no_concentration": "holder concentration data unavailable",
     "no_outflow": "dev-wallet outflow data unavailable",

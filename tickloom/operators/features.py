@@ -109,7 +109,9 @@ def _ema(df: DataFrame, inputs: dict[str, tuple[str, int]], key: list[str], orde
 def ema_macd(
     df: DataFrame, key: list[str], order: list[str], fast: int, slow: int, signal: int, longest: int | None = None
 ) -> DataFrame:
-    """EMA of close (fast, slow), MACD and its signal, in window order. ``close`` is never null in silver."""
+    """EMA of close (fast, slow), MACD and its signal, in window order. Silver has no null ``close``; one is an error."""
+    no_price = F.raise_error(F.lit("close must not be null")).cast("double")
+    df = df.withColumn("close", F.coalesce("close", no_price))
     rows = _block_rows((fast, slow, signal))
     one_block = longest is not None and longest <= rows
     number = F.row_number().over(Window.partitionBy(*key).orderBy(*order)) - 1
