@@ -20,6 +20,7 @@ rows are judged each on its own; other columns are ignored; an empty table gives
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -30,7 +31,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import stored, text_slices
+from tickloom.llm.common import shared_path, stored, text_slices
 from tickloom.session import ship
 
 ship(__name__)
@@ -47,6 +48,7 @@ BINS = 1000
 PLAIN_DISCOUNTS = (0.5, 1.0, 1.5)
 
 BLOCKS = "block long, doc_ids array<long>, langs array<string>, sizes array<long>, texts binary"
+COUNTED = "gram long, n long"
 SCORED = "doc_id long, lang string, n_bytes long, nll double"
 
 
@@ -114,6 +116,30 @@ def to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield block()
 
 
+def block_table(docs: DataFrame) -> DataFrame:
+    """The texts as blocks, written once and dealt by block, so that meeting them by block moves no text again."""
+    spark = docs.sparkSession
+    name, path = f"blocks_{uuid.uuid4().hex}", shared_path(spark, "blocks")
+    blocks = docs.select("doc_id", "lang", "text").mapInArrow(to_blocks, BLOCKS)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks.write.bucketBy(parts, "block").option("path", path).option("compression", "none").saveAsTable(name)
+    return spark.table(name)
+
+
+def count_trusted(block: pa.Table, places: pa.Table) -> pa.Table:
+    """N-gram counts of the texts at ``places`` of a block."""
+    wanted = sorted(set(places["place"].to_pylist()))
+    grams_, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+    for row in block.to_pylist() if wanted else []:
+        texts = block_texts(row["sizes"], row["texts"])
+        for keys, _ in slices([texts[i] for i in wanted]):
+            some, n = np.unique(keys, return_counts=True)
+            both, place = np.unique(np.concatenate([grams_, some]), return_inverse=True)
+            counts = np.bincount(place, np.concatenate([counts, n]), len(both)).astype(np.int64)
+            grams_ = both
+    return pa.table({"gram": grams_, "n": counts})
+
+
 def block_texts(sizes: list[int], packed: bytes) -> list[bytes]:
     import zstandard
 
@@ -170,7 +196,11 @@ def lower(gram: str, order: int) -> Column:
 
 def train(trusted: DataFrame) -> Model:
     """Count tables of the texts in ``trusted``; all of them count."""
-    raw = trusted.select("text").mapInArrow(count_grams, "gram long, n long")
+    return model_of(trusted.select("text").mapInArrow(count_grams, COUNTED))
+
+
+def model_of(raw: DataFrame) -> Model:
+    """Count tables from counts (gram, n) of parts of the trusted texts."""
     counts = [stored(raw.groupBy("gram").agg(F.sum("n").alias("n")), "grams")]
     for order in range(ORDER - 1, 0, -1):
         counts.insert(0, stored(counts[0].groupBy(lower("gram", order).alias("gram")).agg(F.count("*").alias("n")), "grams"))
@@ -208,7 +238,10 @@ def costs(wanted: DataFrame, model: Model) -> DataFrame:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, lang, n_bytes, nll) of each row of ``docs``: the sum over its bytes of negative log probabilities."""
-    blocks = stored(docs.select("doc_id", "lang", "text").mapInArrow(to_blocks, BLOCKS), "blocks", "none")
+    return score_blocks(block_table(docs), model)
+
+
+def score_blocks(blocks: DataFrame, model: Model) -> DataFrame:
     found = stored(blocks.mapInArrow(block_grams, "block long, gram long"), "found")
     table = found.join(costs(found.select("gram").distinct(), model), "gram")
     empty = blocks.select("block", F.lit(-1).cast("long").alias("gram"), F.lit(0.0).alias("cost"))  # blocks of empty texts
@@ -242,8 +275,11 @@ def judge(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
     ``trusted_ids`` has the ``doc_id`` of trusted texts among them.
     """
     ids = trusted_ids.select("doc_id").filter("doc_id is not null").distinct()
-    trusted = docs.select("doc_id", "text").join(ids.filter(~calibrating()), "doc_id", "left_semi")
-    scored = stored(score(docs, train(trusted)), "scored")
+    blocks = block_table(docs)
+    places = blocks.select(F.col("block").alias("of_block"), F.posexplode("doc_ids").alias("place", "doc_id"))
+    places = places.join(ids.filter(~calibrating()), "doc_id", "left_semi").select("of_block", "place")
+    trusted = blocks.select("block", "sizes", "texts").groupBy("block").cogroup(places.groupBy("of_block"))
+    scored = stored(score_blocks(blocks, model_of(trusted.applyInArrow(count_trusted, COUNTED))), "scored")
     sets = limits(scored.join(ids.filter(calibrating()), "doc_id", "left_semi"))
     # One row a language.
     sets = stored(sets, "limits")
