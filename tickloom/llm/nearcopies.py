@@ -9,9 +9,9 @@ shingles of five words, or all its words as one if they are fewer, as 64-bit has
    population count of the rest estimates the similarity.
 2. Texts of equal digest are one class, stood for by its smallest id. Only these go on.
 3. In each band bucket all members are paired with the smallest; sketches drop the hopeless, full sets decide.
-4. Buckets whose members are not all connected by now are compared again by sketches, in square blocks: first the
-   likeliest pairs that would join what is apart (fewer than members), then, with what that joined, all pairs still
-   apart. Full sets decide on each. So no pair is left out, and none is made twice within a connected group.
+4. Buckets whose members are not all connected by now are compared again, in square blocks that hold their members'
+   sketches and full sets: every pair still apart that its sketches allow, likeliest first, is decided in the block,
+   which returns only links that connect something. So no pair is left out, and no list of pairs is made.
 
 Cases: texts that are null, empty or without words have an empty set and no links; a null ``doc_id`` has none either,
 a null component and is kept; rows that repeat a ``doc_id`` are one document, with the smallest (size, digest) of
@@ -20,7 +20,7 @@ them; other columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -176,49 +176,47 @@ def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
-def apart(spanning: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Likely pairs of one block pair's members that are not connected; if ``spanning``, the likeliest that join them."""
-
-    def block(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        ids, parts, n, side = (rows[c].to_numpy() for c in ("id", "component", "n", "block"))
-        sketch = bits(rows["sketch"])
-        i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
-        left, right = np.flatnonzero(side == i), np.flatnonzero(side == j)
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for at in left.tolist():
-            other = right[(ids[right] > ids[at]) if i == j else slice(None)]
-            other = other[(parts[other] != parts[at]) & (100 * np.minimum(n[other], n[at]) >= PERCENT * np.maximum(n[other], n[at]))]
-            if len(other):
-                about = similarity(np.bitwise_count(sketch[other] ^ sketch[at]).sum(axis=1))
-                good = about >= PERCENT / 100 - SLACK
-                found.append((np.full(int(good.sum()), at), other[good], about[good]))
-        if not found:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        x, y, about = (np.concatenate(c) for c in zip(*found, strict=True))
-        if spanning:
-            root = {}
-
-            def top(p: int) -> int:
-                while root.get(p, p) != p:
-                    root[p] = root.get(root[p], root[p])
-                    p = root[p]
-                return p
-
-            chosen = []
-            for k in np.argsort(-about, kind="stable").tolist():
-                p, q = top(int(parts[x[k]])), top(int(parts[y[k]]))
-                if p != q:
-                    root[max(p, q)] = min(p, q)
-                    chosen.append(k)
-            x, y = x[chosen], y[chosen]
-        return ids[x], ids[y]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in grouped(batches, ["key", "i", "j"]):
-            x, y = block(rows)
-            yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(x, y), pa.int64()), "b": pa.array(np.maximum(x, y), pa.int64())})
-
-    return run
+def apart(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Links between members of one block pair that are not connected yet: enough to connect all that belong together.
+
+    A pair that shares several bands is left to the first of them. Members that a link found here connects need no
+    further pairs.
+    """
+    ids, parts, n, side, band = (rows[c].to_numpy() for c in ("id", "component", "n", "block", "band"))
+    sketch = bits(rows["sketch"])
+    bands = np.stack([np.asarray(x) for x in rows["bands"].to_numpy()])
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows["shingles"]]
+    i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
+    left, right = np.flatnonzero(side == i), np.flatnonzero(side == j)
+    names, label = np.unique(parts, return_inverse=True)
+    links: list[tuple[int, int]] = []
+    for at in left.tolist():
+        other = right[(ids[right] > ids[at]) if i == j else slice(None)]
+        other = other[(label[other] != label[at]) & (100 * np.minimum(n[other], n[at]) >= PERCENT * np.maximum(n[other], n[at]))]
+        if len(other):
+            about = similarity(np.bitwise_count(sketch[other] ^ sketch[at]).sum(axis=1))
+            good = about >= PERCENT / 100 - SLACK
+            good[good] = (bands[other[good], : band[at]] != bands[at, : band[at]]).all(axis=1)
+            other = other[good][np.argsort(-about[good], kind="stable")]
+        while len(other):
+            some, other = other[:64], other[64:]
+            sizes = [len(sets[k]) for k in some.tolist()]
+            flat = np.concatenate([sets[k] for k in some.tolist()])
+            place = np.minimum(np.searchsorted(sets[at], flat), len(sets[at]) - 1)
+            common = np.add.reduceat((sets[at][place] == flat).astype(np.int64), np.cumsum([0, *sizes[:-1]]))
+            for k in some[100 * common >= PERCENT * (len(sets[at]) + np.array(sizes) - common)].tolist():
+                if label[k] != label[at]:
+                    links.append((at, k))
+                    label[label == label[k]] = label[at]
+            other = other[label[other] != label[at]]
+    x, y = (np.array(c, np.int64) for c in zip(*links, strict=True)) if links else (np.empty(0, np.int64),) * 2
+    return ids[x], ids[y]
+
+
+def compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows in grouped(batches, ["key", "i", "j"]):
+        x, y = apart(rows)
+        yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(x, y), pa.int64()), "b": pa.array(np.maximum(x, y), pa.int64())})
 
 
 def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -263,27 +261,20 @@ def near_copies(docs: DataFrame) -> DataFrame:
         "members",
     )
     reps = members.filter("bands is not null").select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "bands", "sketch")
-    banded = reps.select("id", F.explode("bands").alias("key"))
+    banded = reps.select("id", F.posexplode("bands").alias("band", "key"))
     buckets = banded.groupBy("key").agg(F.min("id").alias("pivot"), F.count("*").alias("size")).filter("size > 1")
     shared = stored(banded.join(buckets, "key"), "buckets")
     texts = docs.select("doc_id", "text")
     light = reps.select("id", "n", "sketch")
 
     stars = shared.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-    tested = sketch_filter(stars, light)
-    links = linked(tested, texts)
+    links = linked(sketch_filter(stars, light), texts)
     parts = components(links)
-    for spanning in (True, False):
-        open_ = open_buckets(shared, parts)
-        if open_.isEmpty():
-            break
-        candidates = block_pairs(open_, light, spanning).distinct().join(tested, ["a", "b"], "left_anti")
-        candidates = stored(candidates, "candidates")
-        if candidates.isEmpty():
-            break
-        tested = tested.unionByName(candidates)
-        links = links.unionByName(linked(candidates, texts))
-        parts = components(links)
+    open_ = open_buckets(shared, parts)
+    if not open_.isEmpty():
+        more = stored(block_links(open_, reps, texts).distinct(), "links")
+        if not more.isEmpty():
+            parts = components(links.unionByName(more))
 
     found = members.select("doc_id", "rep").join(parts.withColumnRenamed("id", "rep"), "rep", "left")
     found = found.select("doc_id", F.coalesce("component", "rep").alias("component_id"))
@@ -309,18 +300,22 @@ def linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def open_buckets(shared: DataFrame, parts: DataFrame) -> DataFrame:
-    """Rows (key, id, component, size) of buckets of three or more whose members are not all connected."""
-    rows = shared.filter("size > 2").join(parts, "id", "left").select("key", "id", "size", F.coalesce("component", "id").alias("component"))
+    """Rows (key, band, id, component, size) of buckets of three or more whose members are not all connected."""
+    rows = shared.filter("size > 2").join(parts, "id", "left")
+    rows = rows.select("key", "band", "id", "size", F.coalesce("component", "id").alias("component"))
     several = rows.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key")
     return stored(rows.join(several, "key"), "open")
 
 
-def block_pairs(rows: DataFrame, light: DataFrame, spanning: bool) -> DataFrame:
-    """Likely pairs (a, b) that are apart, found in square blocks of each bucket."""
+def block_links(rows: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between what is apart, found in square blocks of each open bucket."""
+    wanted = rows.select(F.col("id").alias("doc_id")).distinct()
+    sets = texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(full_sets, SETS)
+    known = stored(reps.join(sets, "id"), "known")
     blocks = F.ceil(F.col("size") / BLOCK)
     rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("long"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    rows = rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-    rows = rows.join(light, "id").select("key", "i", "j", "block", "id", "component", "n", "sketch")
+    rows = rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other", "blocks", "size")
     shares = ["key", "i", "j"]
-    return rows.repartition(*shares).sortWithinPartitions(*shares).mapInArrow(apart(spanning), PAIRS)
+    dealt = rows.join(known, "id").repartition(*shares).sortWithinPartitions(*shares)
+    return dealt.mapInArrow(compare_blocks, PAIRS)
