@@ -153,12 +153,12 @@ def test_pieces_equal_the_library(spark, trie):
 
     names, scores, plain = pieces.read_pieces(pieces.model_path())
     library = Tokenizer(models.Unigram([(n, s if p else -1000.0) for n, s, p in zip(names, scores, plain, strict=True)], unk_id=0, byte_fallback=True))
-    same = total = 0
     for r in table(spark, SF, "documents").limit(80).collect():
         want = library.encode("▁" + r.text.replace(" ", "▁"), add_special_tokens=False).ids
         got = np.frombuffer(pieces.Encoder(trie).encode([r.text])[0], "<u4").tolist()
-        same, total = same + (got == want), total + 1
-    assert same / total > 0.95  # ties aside
+        if got != want:  # one of several segmentations that score the same
+            assert abs(sum(scores[i] for i in got) - sum(scores[i] for i in want)) < 1e-6
+            assert [i for i in got if not plain[i]] == [i for i in want if not plain[i]]
 
 
 def test_pieces_of_rows(spark, trie):

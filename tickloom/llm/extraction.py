@@ -4,7 +4,8 @@ A page becomes a tree. Elements that are no part of an article by their name, ro
 notices, comments) are cut off. Every remaining node gets its composite text density, characters a tag, adjusted by
 how many of them are links against the whole body; a node's density sum adds up its children's densities. The node of
 the largest sum lies in the article; the least density on its path to the body is the threshold that other subtrees
-beside the path need to count as well, if they hold paragraphs, headings or the like. Where the largest sum lies in an
+beside the path need to count as well, if they hold paragraphs or the like; headings there count anyway, being too
+short to be dense. Where the largest sum lies in an
 ``article`` or ``main``, the choice is widened to all of it, so a dense part doesn't stand for the whole.
 
 Cases: null and empty pages give an empty text; a page without elements is its own text; tags left open end where
@@ -43,6 +44,8 @@ BLOCK = frozenset(
     "address article aside blockquote body br center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
+#: Of them, those that may hold a whole article.
+CONTAINERS = BLOCK - frozenset("p h1 h2 h3 h4 h5 h6 hgroup pre blockquote li dt dd br hr address summary figcaption figure legend option optgroup".split())
 #: A start tag ends an open element of these names, up to one of the scope.
 ENDS = {
     "li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)),
@@ -58,6 +61,7 @@ OTHER_ROLES = frozenset("navigation banner contentinfo complementary search form
 #: Elements that mark an article, and those that hold text by their name.
 MARKED = ("article", "main")
 TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure hgroup section".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 #: Words of a class or id that name something beside an article.
 OTHER_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion menu nav navbar navigation breadcrumb breadcrumbs sidebar "
@@ -218,8 +222,8 @@ def measure(nodes: list[Node], body: Node) -> None:
 
 
 def densest(nodes: list[Node]) -> Node:
-    """The node of the largest density sum, the outer and earlier of equals."""
-    return max(nodes, key=lambda n: n.sum)
+    """The container of the largest density sum, the outer and earlier of equals; a single paragraph is none."""
+    return max((n for n in nodes if n is nodes[0] or n.name in CONTAINERS), key=lambda n: n.sum)
 
 
 def main_text(page: str | None) -> str:
@@ -246,12 +250,22 @@ def main_text(page: str | None) -> str:
     picked = {id(best)}
     for node in path:
         for c in node.children:
-            if not c.other and c not in path and c is not best and c.density >= threshold and (c.sum or c.name in TEXTUAL):
+            if c.other or c in path or c is best:
+                continue
+            if c.density >= threshold and (c.sum or c.name in TEXTUAL) or heads(c, node is not body):
                 picked.add(id(c))
     parts = [n for n in nodes if id(n) in picked]
     return " ".join(x for n in parts if (x := " ".join(text_of(n).split())))
 
 
+def heads(node: Node, within: bool) -> bool:
+    """Whether a node beside the path is a heading, or, ``within`` the article, holds nothing but headings."""
+    if node.name in HEADINGS or not within:
+        return node.name in HEADINGS and node.chars > 0
+    kids = [c for c in node.children if not c.other and c.chars]
+    return bool(kids) and sum(c.chars for c in kids) == node.chars and all(heads(c, True) for c in kids)
+
+
 def ancestors(node: Node, body: Node) -> list[Node]:
     out = []
     while node is not body and node.parent is not None:
