@@ -12,7 +12,7 @@ from tickloom.llm.common import stored, table
 from tickloom.llm.queries import learnable, packed, trusted_ids
 
 #: The least probability of a language for a text to stay.
-SURE = 0.5
+SURE = 0.4
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -171,8 +171,9 @@ def train(labelled: DataFrame) -> Model | None:
 
 def scorer(shared: Broadcast, called: tuple[str, str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value and Model(*shared.value)
         for batch in text_slices(batches):
-            names, scores = judge(shared.value, batch.column("text").to_pylist())
+            names, scores = judge(model, batch.column("text").to_pylist())
             columns = [*batch.columns, pa.array(names, pa.string()), pa.array(scores)]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *called])
 
@@ -182,6 +183,8 @@ def scorer(shared: Broadcast, called: tuple[str, str]) -> Callable[[Iterator[pa.
 def predict(docs: DataFrame, model: Model | None, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """``docs`` with the language and score of each text, as columns ``names``; only ``text`` is looked at."""
     docs = docs.drop(*names)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain values: workers need no copy of this package to read them. Their size is the network's, some 40 kB.
+    parts = model and (model.languages, model.tables, model.bias, model.out, model.out_bias)
+    shared = docs.sparkSession.sparkContext.broadcast(parts)
     fields = [*docs.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())]
     return docs.mapInArrow(scorer(shared, names), T.StructType(fields))

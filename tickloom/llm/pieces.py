@@ -51,6 +51,10 @@ class Trie:
     byte_ids: np.ndarray
     pieces: list[bytes]
 
+    def parts(self) -> tuple:
+        """Plain values: workers need no copy of this package to read them."""
+        return self.base, self.check, self.value, self.scores, self.byte_ids, self.pieces
+
     @property
     def unknown(self) -> float:
         return float(self.scores.min()) - UNKNOWN_PENALTY
@@ -264,7 +268,7 @@ def decode(ids: bytes, trie: Trie) -> str:
 
 def encoder(shared: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Encoder(shared.value)
+        coder = Encoder(Trie(*shared.value))
         for batch in text_slices(batches):
             ids = coder.encode(batch.column("text").to_pylist())
             columns = [*batch.columns, pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())]
@@ -275,8 +279,9 @@ def encoder(shared: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
 
 def decoder(shared: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie = Trie(*shared.value)
         for batch in text_slices(batches, "ids"):
-            texts = [decode(x or b"", shared.value) for x in batch.column("ids").to_pylist()]
+            texts = [decode(x or b"", trie) for x in batch.column("ids").to_pylist()]
             columns = [*batch.columns, pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "text"])
 
@@ -287,7 +292,7 @@ def encode(docs: DataFrame, trie: Trie) -> DataFrame:
     """``docs`` with ``ids`` (little-endian unsigned 32-bit) and ``n_ids``. The trie's size is the vocabulary's."""
     docs = docs.drop("ids", "n_ids")
     fields = [*docs.schema.fields, T.StructField("ids", T.BinaryType()), T.StructField("n_ids", T.LongType())]
-    shared = docs.sparkSession.sparkContext.broadcast(trie)
+    shared = docs.sparkSession.sparkContext.broadcast(trie.parts())
     return docs.mapInArrow(encoder(shared), T.StructType(fields))
 
 
@@ -295,5 +300,5 @@ def decode_rows(encoded: DataFrame, trie: Trie) -> DataFrame:
     """``encoded`` with the ``text`` of its ``ids``."""
     encoded = encoded.drop("text")
     fields = [*encoded.schema.fields, T.StructField("text", T.StringType())]
-    shared = encoded.sparkSession.sparkContext.broadcast(trie)
+    shared = encoded.sparkSession.sparkContext.broadcast(trie.parts())
     return encoded.mapInArrow(decoder(shared), T.StructType(fields))

@@ -40,7 +40,7 @@ ORDER = 5
 #: Bytes of text of a block, and of a slice whose n-grams are sorted at once.
 BLOCK_BYTES, SLICE = 8_000_000, 2_000_000
 CALIBRATION, CALIBRATED = 4, 50
-LOW, HIGH, ROOM = 0.005, 0.99, 0.5
+LOW, HIGH, ROOM = 0.005, 0.99, 1.0
 PRIOR_BYTES = 60
 #: Quantiles are those of bits rounded to this many parts.
 BINS = 1000
