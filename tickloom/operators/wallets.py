@@ -6,14 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TRANSACTIONS = (
-    "array<struct<signature:string,timestamp:bigint,tokenTransfers:array<struct<mint:string,fromUserAccount:string,"
+    "array<struct<timestamp:bigint,tokenTransfers:array<struct<mint:string,fromUserAccount:string,"
     "toUserAccount:string,tokenAmount:double>>>>"
 )
 
+SIGNED_TRANSACTIONS = TRANSACTIONS.replace("struct<timestamp", "struct<signature:string,timestamp", 1)
+
 
 def parse_transactions(envelopes: DataFrame) -> DataFrame:
     """(wallet, transactions) from wallet envelopes."""
-    listed = F.from_json(F.get_json_object("payload", "$.transactions"), TRANSACTIONS)
+    listed = F.from_json(F.get_json_object("payload", "$.transactions"), SIGNED_TRANSACTIONS)
     return envelopes.select(F.col("token_address").alias("wallet"), listed.alias("transactions"))
 
 
