@@ -38,7 +38,7 @@ ship(__name__)
 
 ORDER = 5
 #: Bytes of text of a block, and of a slice whose n-grams are sorted at once.
-BLOCK_BYTES, SLICE = 8_000_000, 2_000_000
+BLOCK_BYTES, SLICE = 16_000_000, 2_000_000
 CALIBRATION, CALIBRATED = 4, 50
 LOW, HIGH, ROOM = 0.005, 0.99, 1.0
 PRIOR_BYTES = 60
