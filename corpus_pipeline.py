@@ -16,9 +16,12 @@ SURE = 0.4
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or of no language with probability SURE, go."""
+    """Documents without letters, or of no language with probability SURE, go; none if no language could be learned."""
     names = ("_language", "_probability")
-    judged = language.predict(docs, language.train(learnable(docs)), names)
+    model = language.train(learnable(docs))
+    if model is None:
+        return docs
+    judged = language.predict(docs, model, names)
     return judged.filter((F.col(names[0]) != language.UNKNOWN) & (F.col(names[1]) >= SURE)).select(*docs.columns)
 
 

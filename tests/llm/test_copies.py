@@ -103,6 +103,13 @@ def test_repeated_and_missing_ids(spark):
     assert nearcopies.near_copies(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
+def test_pieces_of_a_long_text(monkeypatch):
+    texts = [t for _, t in corpus()]
+    together = nearcopies.shingle_sets(texts)
+    monkeypatch.setattr(nearcopies, "PIECE", 20)
+    assert all((a == nearcopies.shingle_sets([t])[0]).all() for a, t in zip(together, texts, strict=True))
+
+
 def test_sketches_estimate_similarity():
     rng = np.random.default_rng(2)
     times, salts = nearcopies.odd_numbers(nearcopies.SAMPLES, 2), nearcopies.odd_numbers(nearcopies.SAMPLES, 3)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import subprocess
 import sys
+import zlib
 
 import corpus_pipeline
 from test_copies import plain_copies
@@ -33,7 +34,8 @@ def test_stages(spark):
 
 def test_odd_rows(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars long, score string, component_id string"
-    rows = [(1, None, None, None, None, "s", "c"), (None, "the to of and in is", "en", None, 5, "s", "c"), (2, "the to of and", "en", "a", 1, "s", "c"), (2, "the to of and", "en", "a", 1, "s", "c"), (3, "12", None, None, None, None, None)]
+    known = next(i for i in range(2, 100) if zlib.crc32(str(i).encode()) % 3 != 1)  # its language may be learned
+    rows = [(1, None, None, None, None, "s", "c"), (None, "the to of and in is", "en", None, 5, "s", "c"), (known, "the to of and", "en", "a", 1, "s", "c"), (known, "the to of and", "en", "a", 1, "s", "c"), (100, "12", None, None, None, None, None)]
     for given in (rows, []):
         docs = spark.createDataFrame(given, schema)
         for _, stage in corpus_pipeline.STAGES:
@@ -42,7 +44,7 @@ def test_odd_rows(spark):
                 assert out.columns == docs.columns
                 docs = spark.createDataFrame(out.collect(), schema)
         if given:
-            assert sorted((r.doc_id or 0) for r in docs.collect()) == [0, 2]
+            assert sorted((r.doc_id or 0) for r in docs.collect()) == [0, known]
 
 
 def test_entry_works_without_the_folder(tmp_path):

@@ -20,6 +20,7 @@ them; other columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,6 +44,9 @@ SAMPLES, SKETCH_BITS, SLACK = 256, 1024, 0.13
 #: Members of a block of a bucket; two meet in a task.
 BLOCK = 512
 SEED = 20240602
+#: Bytes of a long text whose words are found at once.
+PIECE = 4_000_000
+SPACE = re.compile(rb"[\x20\x09-\x0d]")
 
 SIGNED = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, sketch binary"
 SETS = "id long, shingles binary"
@@ -71,9 +75,8 @@ BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 2**64)
 
 
-def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
-    """Sorted distinct shingle hashes of each text."""
-    raw = [(t or "").encode("utf-8", "replace").lower() for t in texts]
+def word_hashes(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of texts one after the other, and where each text's words begin, the end included."""
     data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
     space = (data == 32) | ((data >= 9) & (data <= 13))
     edge = np.flatnonzero(np.diff(np.concatenate([[True], space]).astype(np.int8)))
@@ -82,7 +85,27 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(code[data] * powers(BASE, len(data)), out=sums[1:])
     words = mixed((sums[ends] - sums[starts]) * powers(INVERSE, len(data))[starts] + (ends - starts).astype(np.uint64))
-    firsts = np.searchsorted(starts, np.cumsum([0, *(len(r) + 1 for r in raw)]))
+    return words, np.searchsorted(starts, np.cumsum([0, *(len(r) + 1 for r in raw)]))
+
+
+def pieces(raw: bytes) -> Iterator[bytes]:
+    """A text cut at white space, so that only hashes of a very long one are held at once."""
+    at = 0
+    while at < len(raw):
+        found = SPACE.search(raw, at + PIECE)
+        end = found.start() if found else len(raw)
+        yield raw[at:end]
+        at = end
+
+
+def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each text."""
+    raw = [(t or "").encode("utf-8", "replace").lower() for t in texts]
+    if len(raw) == 1:
+        words = np.concatenate([np.empty(0, np.uint64), *(word_hashes([p])[0] for p in pieces(raw[0]))])
+        firsts = np.array([0, len(words)])
+    else:
+        words, firsts = word_hashes(raw)
     weight = odd_numbers(WORDS, 1)
     n = max(0, len(words) - WORDS + 1)
     rolling = np.zeros(n, np.uint64)

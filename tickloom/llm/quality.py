@@ -9,9 +9,9 @@ joins sharded by n-gram, and their logarithms come back to the block, which adds
 grows with the corpus is broadcast, and no row is made for each occurrence.
 
 A text is judged by bits a byte, drawn towards its language's median as if PRIOR_BYTES more bytes of that were read,
-so that a few odd bytes don't condemn a short text. Limits are quantiles of trusted texts that the model has not seen
-(one in CALIBRATION), by language: LOW and HIGH, each moved outwards by ROOM times its distance from the median. A
-text beyond a limit is rejected: strange text on the high side, repetition on the low one.
+so that a few odd bytes don't condemn a short text. The limit is a quantile of trusted texts that the model has not
+seen (one in CALIBRATION), by language: HIGH, moved up by ROOM times its distance from the median. A text above it is
+rejected. There is no lower limit: texts that the model has learned, and their copies, are low and good.
 
 Cases: a null or empty text has no bytes, the median for its bits, and is accepted; a null language is ``und``; a
 language without CALIBRATED trusted texts takes the limits of all; without any trusted text all are accepted; repeated
@@ -40,7 +40,7 @@ ORDER = 5
 #: Bytes of text of a block, and of a slice whose n-grams are sorted at once.
 BLOCK_BYTES, SLICE = 16_000_000, 2_000_000
 CALIBRATION, CALIBRATED = 4, 50
-LOW, HIGH, ROOM = 0.005, 0.99, 1.0
+HIGH, ROOM = 0.99, 1.0
 PRIOR_BYTES = 60
 #: Quantiles are those of bits rounded to this many parts.
 BINS = 1000
@@ -250,7 +250,7 @@ def score_blocks(blocks: DataFrame, model: Model) -> DataFrame:
 
 
 def limits(scored: DataFrame) -> DataFrame:
-    """(lang, median, low, high, texts) of trusted texts by language, and of all under a null language."""
+    """(lang, texts, median, high) of trusted texts by language, and of all under a null language."""
     bits = F.floor(BINS * F.col("nll") / F.col("n_bytes") / F.log(F.lit(2.0))).alias("bin")
     bins = scored.filter("n_bytes > 0").groupBy(F.coalesce("lang", F.lit("und")).alias("lang"), bits).agg(F.count("*").alias("k"))
     bins = bins.unionByName(bins.groupBy("bin").agg(F.sum("k").alias("k")).select(F.lit(None).cast("string").alias("lang"), "bin", "k"))
@@ -260,8 +260,8 @@ def limits(scored: DataFrame) -> DataFrame:
     def quantile(q: float) -> Column:
         return (F.min(F.when(F.col("upto") >= F.col("texts") * q, F.col("bin"))) + 0.5) / BINS
 
-    found = bins.groupBy("lang").agg(F.max("texts").alias("texts"), quantile(0.5).alias("median"), quantile(LOW).alias("low"), quantile(HIGH).alias("high"))
-    return found.select("lang", "texts", "median", (F.col("low") - ROOM * (F.col("median") - F.col("low"))).alias("low"), (F.col("high") + ROOM * (F.col("high") - F.col("median"))).alias("high"))
+    found = bins.groupBy("lang").agg(F.max("texts").alias("texts"), quantile(0.5).alias("median"), quantile(HIGH).alias("high"))
+    return found.select("lang", "texts", "median", (F.col("high") + ROOM * (F.col("high") - F.col("median"))).alias("high"))
 
 
 def calibrating(doc_id: str = "doc_id") -> Column:
@@ -270,7 +270,7 @@ def calibrating(doc_id: str = "doc_id") -> Column:
 
 
 def judge(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
-    """(doc_id, lang, n_bytes, perplexity, bits, low, high, accepted) of each row of ``docs``.
+    """(doc_id, lang, n_bytes, perplexity, bits, high, accepted) of each row of ``docs``.
 
     ``trusted_ids`` has the ``doc_id`` of trusted texts among them.
     """
@@ -283,15 +283,15 @@ def judge(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
     sets = limits(scored.join(ids.filter(calibrating()), "doc_id", "left_semi"))
     # One row a language.
     sets = stored(sets, "limits")
-    every = sets.filter("lang is null").select("median", "low", "high").first() or (None, None, None)
-    known = sets.filter(f"lang is not null and texts >= {CALIBRATED}").select(F.col("lang").alias("of"), "median", "low", "high")
+    every = sets.filter("lang is null").select("median", "high").first() or (None, None)
+    known = sets.filter(f"lang is not null and texts >= {CALIBRATED}").select(F.col("lang").alias("of"), "median", "high")
     rows = scored.withColumn("of", F.coalesce("lang", F.lit("und"))).join(F.broadcast(known), "of", "left")
-    rows = rows.withColumns({c: F.coalesce(c, F.lit(x).cast("double")) for c, x in zip(("median", "low", "high"), every, strict=True)})
+    rows = rows.withColumns({c: F.coalesce(c, F.lit(x).cast("double")) for c, x in zip(("median", "high"), every, strict=True)})
     per_byte = F.col("nll") / F.log(F.lit(2.0))
     bits = (per_byte + PRIOR_BYTES * F.col("median")) / (F.col("n_bytes") + PRIOR_BYTES)
     rows = rows.withColumn("bits", bits)
     return rows.select(
         "doc_id", "lang", "n_bytes",
-        F.exp(F.try_divide("nll", "n_bytes")).alias("perplexity"), "bits", "low", "high",
-        F.coalesce(F.col("bits").between(F.col("low"), F.col("high")), F.lit(True)).alias("accepted"),
+        F.exp(F.try_divide("nll", "n_bytes")).alias("perplexity"), "bits", "high",
+        F.coalesce(F.col("bits") <= F.col("high"), F.lit(True)).alias("accepted"),
     )
