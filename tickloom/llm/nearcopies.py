@@ -199,28 +199,52 @@ def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
+class Block:
+    """Members of one block pair of a bucket, and which of them may be linked though they are apart."""
+
+    def __init__(self, rows: pa.Table):
+        self.ids, self.n, self.band = (rows[c].to_numpy() for c in ("id", "n", "band"))
+        self.label = np.unique(rows["component"].to_numpy(), return_inverse=True)[1]
+        self.sketch = bits(rows["sketch"])
+        self.bands = np.stack([np.asarray(x) for x in rows["bands"].to_numpy()])
+        side = rows["block"].to_numpy()
+        i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
+        self.left, self.right, self.same = np.flatnonzero(side == i), np.flatnonzero(side == j), i == j
+
+    def candidates(self, at: int) -> np.ndarray:
+        """Members that row ``at`` may be linked to, likeliest first; a pair is left to the first band it shares."""
+        n, band = self.n, self.band[at]
+        other = self.right[(self.ids[self.right] > self.ids[at]) if self.same else slice(None)]
+        sizes = 100 * np.minimum(n[other], n[at]) >= PERCENT * np.maximum(n[other], n[at])
+        other = other[(self.label[other] != self.label[at]) & sizes]
+        if not len(other):
+            return other
+        about = similarity(np.bitwise_count(self.sketch[other] ^ self.sketch[at]).sum(axis=1))
+        good = about >= PERCENT / 100 - SLACK
+        good[good] = (self.bands[other[good], :band] != self.bands[at, :band]).all(axis=1)
+        return other[good][np.argsort(-about[good], kind="stable")]
+
+
+def undecided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of block pairs that take part in a pair which only full sets can decide."""
+    for rows in grouped(batches, ["key", "i", "j"]):
+        block, needed = Block(rows), np.zeros(len(rows), bool)
+        for at in block.left.tolist():
+            other = block.candidates(at)
+            needed[other] = True
+            needed[at] |= len(other) > 0
+        yield from rows.filter(pa.array(needed)).combine_chunks().to_batches()
+
+
 def apart(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Links between members of one block pair that are not connected yet: enough to connect all that belong together.
 
-    A pair that shares several bands is left to the first of them. Members that a link found here connects need no
-    further pairs.
+    Members that a link found here connects need no further pairs.
     """
-    ids, parts, n, side, band = (rows[c].to_numpy() for c in ("id", "component", "n", "block", "band"))
-    sketch = bits(rows["sketch"])
-    bands = np.stack([np.asarray(x) for x in rows["bands"].to_numpy()])
-    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows["shingles"]]
-    i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
-    left, right = np.flatnonzero(side == i), np.flatnonzero(side == j)
-    names, label = np.unique(parts, return_inverse=True)
-    links: list[tuple[int, int]] = []
-    for at in left.tolist():
-        other = right[(ids[right] > ids[at]) if i == j else slice(None)]
-        other = other[(label[other] != label[at]) & (100 * np.minimum(n[other], n[at]) >= PERCENT * np.maximum(n[other], n[at]))]
-        if len(other):
-            about = similarity(np.bitwise_count(sketch[other] ^ sketch[at]).sum(axis=1))
-            good = about >= PERCENT / 100 - SLACK
-            good[good] = (bands[other[good], : band[at]] != bands[at, : band[at]]).all(axis=1)
-            other = other[good][np.argsort(-about[good], kind="stable")]
+    block, sets = Block(rows), [np.frombuffer(x.as_buffer(), np.uint64) for x in rows["shingles"]]
+    label, links = block.label, []
+    for at in block.left.tolist():
+        other = block.candidates(at)
         while len(other):
             some, other = other[:64], other[64:]
             sizes = [len(sets[k]) for k in some.tolist()]
@@ -233,7 +257,7 @@ def apart(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
                     label[label == label[k]] = label[at]
             other = other[label[other] != label[at]]
     x, y = (np.array(c, np.int64) for c in zip(*links, strict=True)) if links else (np.empty(0, np.int64),) * 2
-    return ids[x], ids[y]
+    return block.ids[x], block.ids[y]
 
 
 def compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -331,14 +355,18 @@ def open_buckets(shared: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 def block_links(rows: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links (a, b) between what is apart, found in square blocks of each open bucket."""
-    wanted = rows.select(F.col("id").alias("doc_id")).distinct()
-    sets = texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(full_sets, SETS)
-    known = stored(reps.join(sets, "id"), "known")
+    """Links (a, b) between what is apart, found in square blocks of each open bucket.
+
+    Sketches come first; full sets go only to the rows that are in a pair left undecided by them.
+    """
     blocks = F.ceil(F.col("size") / BLOCK)
     rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("long"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    rows = rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other", "blocks", "size")
+    rows = rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
     shares = ["key", "i", "j"]
-    dealt = rows.join(known, "id").repartition(*shares).sortWithinPartitions(*shares)
-    return dealt.mapInArrow(compare_blocks, PAIRS)
+    light = rows.select(*shares, "block", "band", "id", "component").join(reps, "id")
+    dealt = light.repartition(*shares).sortWithinPartitions(*shares)
+    left = stored(dealt.mapInArrow(undecided, light.schema), "undecided")
+    wanted = left.select(F.col("id").alias("doc_id")).distinct()
+    sets = stored(texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(full_sets, SETS), "sets")
+    return left.join(sets, "id").repartition(*shares).sortWithinPartitions(*shares).mapInArrow(compare_blocks, PAIRS)
