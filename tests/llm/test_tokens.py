@@ -36,6 +36,25 @@ def test_words_give_the_ids_of_the_whole_text(rows):
         assert np.frombuffer(encoder.encode([t])[0], "<u4").tolist() == whole_ids(t)
 
 
+SPACES = ["\xa0", "\t", "\r", "\x0b", "\x1c", "\x85", "\u1680", "\u180e", "\u2003", "\u200b", "\u2028", "\u202f", "\u3000", "\ufeff", " ", "\n"]
+EDGES = [e for s in SPACES for e in (f"{s}a b", f"{s}{s}a b", f"a b{s}", f"a b{s}{s}", f"a\n{s}b", f"a\n{s}{s}b", f"a{s}\nb c", f"a{s} b", f"a {s}b", f"a {s}{s}b c", f"a{s}b")]
+
+
+def test_white_space_at_edges_gives_the_ids_of_the_whole_text():
+    """Other white space at the ends of texts, lines and words: a text alone, and all in one slice with plain ones."""
+    for t in EDGES:
+        assert np.frombuffer(encoder().encode([t])[0], "<u4").tolist() == whole_ids(t), repr(t)
+    mixed = [x for e in EDGES for x in (e, "a b\nc the", "the\na word. b")]
+    got = tokens.WordEncoder(tokens.tokenizer_json()).encode(mixed)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [whole_ids(t) for t in mixed]
+
+
+def encoder():
+    if not hasattr(encoder, "held"):
+        encoder.held = tokens.WordEncoder(tokens.tokenizer_json())
+    return encoder.held
+
+
 def test_full_memory_changes_nothing(rows, monkeypatch):
     monkeypatch.setattr(tokens, "REMEMBERED", 50)
     encoder = tokens.WordEncoder(tokens.tokenizer_json())

@@ -46,6 +46,14 @@ def worker_encoder(json_text: str) -> WordEncoder:
     return held.__dict__[key]
 
 
+def is_plain(text: str | None) -> bool:
+    """Whether a text has words and no white space but a single space or line end between two of them."""
+    if not text:
+        return False
+    words = text.split()
+    return bool(words) and " ".join(words) == text.replace("\n", " ")
+
+
 class WordEncoder:
     """Ids of texts as little-endian unsigned 32-bit bytes, the same as of ``Tokenizer.encode`` on the whole text.
 
@@ -92,7 +100,7 @@ class WordEncoder:
         last = b"" if end is None else np.uint32(end).astype("<u4").tobytes()
         plain = [
             [line.split(" ") for line in t.split("\n")]
-            if t and len(t.split()) == t.count(" ") + t.count("\n") + 1
+            if is_plain(t)
             else None
             for t in texts
         ]
