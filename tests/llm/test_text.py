@@ -225,6 +225,26 @@ def test_quality_keeps_clean_and_rejects_junk(spark):
     assert np.mean(good) > 0.98 and np.mean(bad) < 0.5
 
 
+def test_quality_rejects_repetition_and_most_junk(spark):
+    docs, labels = (table(spark, "/root/testdata/sf0.1", name) for name in ("documents", "labels"))
+    trusted = labels.filter("quality = 1 and toxic = 0").select("doc_id")
+    got = quality.judge(docs, trusted).join(labels, "doc_id").collect()
+    good, bad = ([r.accepted for r in got if r.quality == q] for q in (1, 0))
+    assert np.mean(good) > 0.98 and np.mean(bad) < 0.03
+    assert not any(r.accepted for r in got if r.repeated > 0.6 and r.n_bytes > 100)
+
+
+def test_repeats_equal_a_plain_count(monkeypatch):
+    monkeypatch.setattr(quality, "SLICE", 700)
+    rng = random.Random(3)
+    for text in (b"", b"a", b"word " * 400, bytes(rng.choices(b"ab ", k=3000)), bytes(range(256)) * 9, bytes(rng.choices(range(256), k=1500))):
+        keys, last, want = quality.grams(text).tolist(), {}, 0
+        for i, k in enumerate(keys):
+            want += k in last and i - last[k] <= quality.NEAR
+            last[k] = i
+        assert quality.repeats(text) == want
+
+
 def test_quality_without_trusted_texts_and_rows(spark):
     df = spark.createDataFrame([(1, "abc", "en", 1.0), (None, None, None, 2.0)], "doc_id long, text string, lang string, nll double")
     none = spark.createDataFrame([(None,)], "doc_id long")

@@ -9,9 +9,11 @@ joins sharded by n-gram, and their logarithms come back to the block, which adds
 grows with the corpus is broadcast, and no row is made for each occurrence.
 
 A text is judged by bits a byte, drawn towards its language's median as if PRIOR_BYTES more bytes of that were read,
-so that a few odd bytes don't condemn a short text. The limit is a quantile of trusted texts that the model has not
-seen (one in CALIBRATION), by language: HIGH, moved up by ROOM times its distance from the median. A text above it is
-rejected. There is no lower limit: texts that the model has learned, and their copies, are low and good.
+so that a few odd bytes don't condemn a short text. The limit is the HIGH quantile of trusted texts that the model has
+not seen (one in CALIBRATION), by language. A text above it is rejected. There is no lower limit on bits: texts that the
+model has learned, and their copies, are low and good. Repetition, which is cheap too, shows in the text alone, learned or
+not: the share of its n-grams that stand at most NEAR bytes before as well may not be above the MOST quantile of the same
+trusted texts.
 
 Cases: a null or empty text has no bytes, the median for its bits, and is accepted; a null language is ``und``; a
 language without CALIBRATED trusted texts takes the limits of all; without any trusted text all are accepted; repeated
@@ -28,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.broadcast import Broadcast
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import shared_path, stored, text_slices
@@ -40,7 +42,9 @@ ORDER = 5
 #: Bytes of text of a block, and of a slice whose n-grams are sorted at once.
 BLOCK_BYTES, SLICE = 16_000_000, 2_000_000
 CALIBRATION, CALIBRATED = 4, 50
-HIGH, ROOM = 0.99, 1.0
+HIGH = 0.99
+#: An n-gram within so many bytes of its like is a repeat, at any length of text; the quantile of trusted texts' repeats.
+NEAR, MOST = 256, 0.995
 PRIOR_BYTES = 60
 #: Quantiles are those of bits rounded to this many parts.
 BINS = 1000
@@ -49,7 +53,7 @@ PLAIN_DISCOUNTS = (0.5, 1.0, 1.5)
 
 BLOCKS = "block long, doc_ids array<long>, langs array<string>, sizes array<long>, texts binary"
 COUNTED = "gram long, n long"
-SCORED = "doc_id long, lang string, n_bytes long, nll double"
+SCORED = "doc_id long, lang string, n_bytes long, nll double, repeats long"
 
 
 def grams(text: bytes) -> np.ndarray:
@@ -78,6 +82,20 @@ def slices(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield np.concatenate([p for p, _ in held]), np.repeat([i for _, i in held], [len(p) for p, _ in held])
 
 
+def repeats(text: bytes) -> int:
+    """How many n-grams of a text also end at most NEAR bytes before."""
+    found = 0
+    for at in range(0, len(text), SLICE):
+        first = max(0, at - NEAR)
+        start = max(0, first - ORDER + 1)
+        keys = grams(text[start : at + SLICE])[first - start :]
+        order = np.argsort(keys, kind="stable")
+        same = keys[order[1:]] == keys[order[:-1]]
+        later, gap = order[1:][same], np.diff(order)[same]
+        found += int(((gap <= NEAR) & (later >= at - first)).sum())
+    return found
+
+
 def as_bytes(texts: list[str | None]) -> list[bytes]:
     return [(t or "").encode("utf-8", "replace") for t in texts]
 
@@ -165,10 +183,12 @@ def add_up(block: pa.Table, table: pa.Table) -> pa.Table:
     """Negative log-likelihood of each text of a block, by the block's table of n-grams."""
     order = np.argsort(table["gram"].to_numpy())
     known, cost = table["gram"].to_numpy()[order], table["cost"].to_numpy()[order]
-    ids, langs, sizes, total = [], [], [], []
+    ids, langs, sizes, total, again = [], [], [], [], []
     for row in block.to_pylist():
         sums = np.zeros(len(row["sizes"]))
-        for keys, owner in slices(block_texts(row["sizes"], row["texts"])):
+        texts = block_texts(row["sizes"], row["texts"])
+        again += map(repeats, texts)
+        for keys, owner in slices(texts):
             place = np.minimum(np.searchsorted(known, keys), max(0, len(known) - 1))
             if len(known) == 0 or (known[place] != keys).any():
                 raise ValueError(f"block {row['block']} lacks n-grams")
@@ -177,7 +197,7 @@ def add_up(block: pa.Table, table: pa.Table) -> pa.Table:
         langs += row["langs"]
         sizes += row["sizes"]
         total += sums.tolist()
-    return pa.table({"doc_id": pa.array(ids, pa.int64()), "lang": pa.array(langs, pa.string()), "n_bytes": pa.array(sizes, pa.int64()), "nll": pa.array(total, pa.float64())})
+    return pa.table({"doc_id": pa.array(ids, pa.int64()), "lang": pa.array(langs, pa.string()), "n_bytes": pa.array(sizes, pa.int64()), "nll": pa.array(total, pa.float64()), "repeats": pa.array(again, pa.int64())})
 
 
 @dataclass
@@ -237,7 +257,7 @@ def costs(wanted: DataFrame, model: Model) -> DataFrame:
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, lang, n_bytes, nll) of each row of ``docs``: the sum over its bytes of negative log probabilities."""
+    """(doc_id, lang, n_bytes, nll, repeats) of each row of ``docs``: nll sums its bytes' negative log probabilities."""
     return score_blocks(block_table(docs), model)
 
 
@@ -249,19 +269,27 @@ def score_blocks(blocks: DataFrame, model: Model) -> DataFrame:
     return blocks.groupBy("block").cogroup(table.groupBy("block")).applyInArrow(add_up, SCORED)
 
 
-def limits(scored: DataFrame) -> DataFrame:
-    """(lang, texts, median, high) of trusted texts by language, and of all under a null language."""
-    bits = F.floor(BINS * F.col("nll") / F.col("n_bytes") / F.log(F.lit(2.0))).alias("bin")
-    bins = scored.filter("n_bytes > 0").groupBy(F.coalesce("lang", F.lit("und")).alias("lang"), bits).agg(F.count("*").alias("k"))
-    bins = bins.unionByName(bins.groupBy("bin").agg(F.sum("k").alias("k")).select(F.lit(None).cast("string").alias("lang"), "bin", "k"))
-    whole = Window.partitionBy("lang")
-    bins = bins.withColumns({"upto": F.sum("k").over(whole.orderBy("bin")), "texts": F.sum("k").over(whole)})
+def measures(scored: DataFrame) -> DataFrame:
+    """Counts (of, kind, bin, k) of non-empty texts by language: kind 0 is bits a byte, 1 the share of repeats."""
+    bits = F.col("nll") / F.col("n_bytes") / F.log(F.lit(2.0))
+    bins = F.transform(F.array(bits, F.col("repeats") / F.col("n_bytes")), lambda x: F.floor(x * BINS))
+    rows = scored.filter("n_bytes > 0").select(F.coalesce("lang", F.lit("und")).alias("of"), F.posexplode(bins).alias("kind", "bin"))
+    return rows.groupBy("of", "kind", "bin").agg(F.count("*").alias("k"))
 
-    def quantile(q: float) -> Column:
-        return (F.min(F.when(F.col("upto") >= F.col("texts") * q, F.col("bin"))) + 0.5) / BINS
 
-    found = bins.groupBy("lang").agg(F.max("texts").alias("texts"), quantile(0.5).alias("median"), quantile(HIGH).alias("high"))
-    return found.select("lang", "texts", "median", (F.col("high") + ROOM * (F.col("high") - F.col("median"))).alias("high"))
+def spread(counts: DataFrame, *by: str) -> DataFrame:
+    """(by, kind, texts, median, high) of counted measures."""
+    high = F.when(F.col("kind") == 0, F.percentile("bin", HIGH, F.col("k"))).otherwise(F.percentile("bin", MOST, F.col("k")))
+    found = counts.groupBy(*by, "kind").agg(F.sum("k").alias("texts"), F.percentile("bin", 0.5, F.col("k")).alias("median"), high.alias("high"))
+    return found.withColumns({c: (F.col(c) + 0.5) / BINS for c in ("median", "high")})
+
+
+def limits(scored: DataFrame) -> DataFrame:
+    """(of, texts, median, high, most) of trusted texts by language, and of all under a null language."""
+    counts = stored(measures(scored), "measures")
+    found = spread(counts, "of").unionByName(spread(counts).withColumn("of", F.lit(None).cast("string")))
+    bits, again = F.col("kind") == 0, F.col("kind") == 1
+    return found.groupBy("of").agg(F.max("texts").alias("texts"), F.max(F.when(bits, F.col("median"))).alias("median"), F.max(F.when(bits, F.col("high"))).alias("high"), F.max(F.when(again, F.col("high"))).alias("most"))
 
 
 def calibrating(doc_id: str = "doc_id") -> Column:
@@ -270,7 +298,7 @@ def calibrating(doc_id: str = "doc_id") -> Column:
 
 
 def judge(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
-    """(doc_id, lang, n_bytes, perplexity, bits, high, accepted) of each row of ``docs``.
+    """(doc_id, lang, n_bytes, perplexity, bits, high, repeated, most, accepted) of each row of ``docs``.
 
     ``trusted_ids`` has the ``doc_id`` of trusted texts among them.
     """
@@ -283,15 +311,15 @@ def judge(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
     sets = limits(scored.join(ids.filter(calibrating()), "doc_id", "left_semi"))
     # One row a language.
     sets = stored(sets, "limits")
-    every = sets.filter("lang is null").select("median", "high").first() or (None, None)
-    known = sets.filter(f"lang is not null and texts >= {CALIBRATED}").select(F.col("lang").alias("of"), "median", "high")
+    every = sets.filter("of is null").select("median", "high", "most").first() or (None, None, None)
+    known = sets.filter(f"of is not null and texts >= {CALIBRATED}").drop("texts")
     rows = scored.withColumn("of", F.coalesce("lang", F.lit("und"))).join(F.broadcast(known), "of", "left")
-    rows = rows.withColumns({c: F.coalesce(c, F.lit(x).cast("double")) for c, x in zip(("median", "high"), every, strict=True)})
+    rows = rows.withColumns({c: F.coalesce(c, F.lit(x).cast("double")) for c, x in zip(("median", "high", "most"), every, strict=True)})
     per_byte = F.col("nll") / F.log(F.lit(2.0))
     bits = (per_byte + PRIOR_BYTES * F.col("median")) / (F.col("n_bytes") + PRIOR_BYTES)
-    rows = rows.withColumn("bits", bits)
+    rows = rows.withColumns({"bits": bits, "repeated": F.coalesce(F.try_divide("repeats", "n_bytes"), F.lit(0.0))})
     return rows.select(
         "doc_id", "lang", "n_bytes",
-        F.exp(F.try_divide("nll", "n_bytes")).alias("perplexity"), "bits", "high",
-        F.coalesce(F.col("bits") <= F.col("high"), F.lit(True)).alias("accepted"),
+        F.exp(F.try_divide("nll", "n_bytes")).alias("perplexity"), "bits", "high", "repeated", "most",
+        F.coalesce((F.col("bits") <= F.col("high")) & (F.col("repeated") <= F.col("most")), F.lit(True)).alias("accepted"),
     )
