@@ -234,6 +234,19 @@ def test_quality_rejects_repetition_and_most_junk(spark):
     assert not any(r.accepted for r in got if r.repeated > 0.6 and r.n_bytes > 100)
 
 
+def test_quality_of_languages_with_few_or_no_trusted_texts(spark):
+    """A language nobody trusted keeps its documents; one with a few trusted texts is held to its own limits."""
+    rng = random.Random(5)
+    words = {"aa": "lo na mi ke ra tu so pe".split(), "bb": "дом кот лес мир сон год".split(), "cc": "水 山 火 木 人 日".split()}
+    rows = [(i, " ".join(rng.choices(words[k], k=60)), k) for i, k in enumerate(["aa"] * 240 + ["bb"] * 30 + ["cc"] * 30)]
+    junk = [(1000 + i, "".join(rng.choices("#%&=~^|<>{}0123456789", k=400)), k) for i, k in enumerate(["aa", "bb"] * 5)]
+    df = spark.createDataFrame(rows + junk, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in quality.judge(df, df.filter("lang <> 'cc' and doc_id < 1000")).collect()}
+    assert np.mean([got[i].accepted for i, _, k in rows if k == "aa"]) > 0.97
+    assert all(got[i].accepted for i, _, k in rows if k != "aa")
+    assert not any(got[i].accepted for i, _, _ in junk)
+
+
 def test_repeats_equal_a_plain_count(monkeypatch):
     monkeypatch.setattr(quality, "SLICE", 700)
     rng = random.Random(3)

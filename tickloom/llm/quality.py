@@ -15,8 +15,12 @@ model has learned, and their copies, are low and good. Repetition, which is chea
 not: the share of its n-grams that stand at most NEAR bytes before as well may not be above the MOST quantile of the same
 trusted texts.
 
-Cases: a null or empty text has no bytes, the median for its bits, and is accepted; a null language is ``und``; a
-language without CALIBRATED trusted texts takes the limits of all; without any trusted text all are accepted; repeated
+A language's limits are its own at every size. Those of few texts are drawn towards the distance from the median that
+trusted texts of all languages have, and moved up by what the median of so few may be wrong. A language whose trusted
+texts are all learned takes the quantiles of all its documents. One of which nothing trusted was learned has no limits:
+its documents are accepted.
+
+Cases: a null or empty text has no bytes, the median for its bits, and is accepted; a null language is ``und``; repeated
 rows are judged each on its own; other columns are ignored; an empty table gives an empty result.
 """
 
@@ -41,7 +45,9 @@ ship(__name__)
 ORDER = 5
 #: Bytes of text of a block, and of a slice whose n-grams are sorted at once.
 BLOCK_BYTES, SLICE = 16_000_000, 2_000_000
-CALIBRATION, CALIBRATED = 4, 50
+CALIBRATION = 4
+#: Of so many texts, a distance from the median counts half; the distances taken where no text tells them, by kind.
+FEW, WIDE = 50, (1.0, 0.2)
 HIGH = 0.99
 #: An n-gram within so many bytes of its like is a repeat, at any length of text; the quantile of trusted texts' repeats.
 NEAR, MOST = 256, 0.995
@@ -269,27 +275,44 @@ def score_blocks(blocks: DataFrame, model: Model) -> DataFrame:
     return blocks.groupBy("block").cogroup(table.groupBy("block")).applyInArrow(add_up, SCORED)
 
 
-def measures(scored: DataFrame) -> DataFrame:
-    """Counts (of, kind, bin, k) of non-empty texts by language: kind 0 is bits a byte, 1 the share of repeats."""
+def measures(scored: DataFrame, ids: DataFrame) -> DataFrame:
+    """Counts (of, held, kind, bin, k) of non-empty texts by language: kind 0 is bits a byte, 1 the share of repeats.
+
+    ``held`` is whether a trusted text is kept from the model, null for other texts.
+    """
     bits = F.col("nll") / F.col("n_bytes") / F.log(F.lit(2.0))
     bins = F.transform(F.array(bits, F.col("repeats") / F.col("n_bytes")), lambda x: F.floor(x * BINS))
-    rows = scored.filter("n_bytes > 0").select(F.coalesce("lang", F.lit("und")).alias("of"), F.posexplode(bins).alias("kind", "bin"))
-    return rows.groupBy("of", "kind", "bin").agg(F.count("*").alias("k"))
+    rows = scored.filter("n_bytes > 0").join(ids.select("doc_id", calibrating().alias("held")), "doc_id", "left")
+    rows = rows.select(F.coalesce("lang", F.lit("und")).alias("of"), "held", F.posexplode(bins).alias("kind", "bin"))
+    return rows.groupBy("of", "held", "kind", "bin").agg(F.count("*").alias("k"))
 
 
 def spread(counts: DataFrame, *by: str) -> DataFrame:
-    """(by, kind, texts, median, high) of counted measures."""
+    """(by, kind, texts, median, own) of counted measures; ``own`` is the distance of the high quantile."""
     high = F.when(F.col("kind") == 0, F.percentile("bin", HIGH, F.col("k"))).otherwise(F.percentile("bin", MOST, F.col("k")))
     found = counts.groupBy(*by, "kind").agg(F.sum("k").alias("texts"), F.percentile("bin", 0.5, F.col("k")).alias("median"), high.alias("high"))
-    return found.withColumns({c: (F.col(c) + 0.5) / BINS for c in ("median", "high")})
-
-
-def limits(scored: DataFrame) -> DataFrame:
-    """(of, texts, median, high, most) of trusted texts by language, and of all under a null language."""
-    counts = stored(measures(scored), "measures")
-    found = spread(counts, "of").unionByName(spread(counts).withColumn("of", F.lit(None).cast("string")))
+    return found.select(*by, "kind", "texts", ((F.col("median") + 0.5) / BINS).alias("median"), ((F.col("high") - F.col("median")) / BINS).alias("own"))
+
+
+def limits(scored: DataFrame, ids: DataFrame) -> DataFrame:
+    """(of, median, high, most) by language; no limits where nothing trusted was learned."""
+    counts = stored(measures(scored, ids), "measures")
+    every, trusted = spread(counts, "of"), spread(counts.filter("held"), "of")
+    away = counts.filter("held").join(trusted.select("of", "kind", "median"), ["of", "kind"])
+    away = spread(away.withColumn("bin", F.col("bin") + 0.5 - F.col("median") * BINS))
+    wide = [F.lit(x) for x in WIDE]
+    pooled = {r.kind: (r.texts, r.own) for r in away.collect()}
+    for kind, (texts, own) in pooled.items():
+        wide[kind] = F.lit((texts * own + FEW * WIDE[kind]) / (texts + FEW))
+    learned = counts.filter("not held").select("of").distinct().withColumn("learned", F.lit(True))
+    rows = every.join(trusted.select("of", "kind", *[F.col(c).alias(f"its_{c}") for c in ("texts", "median", "own")]), ["of", "kind"], "left").join(learned, "of", "left")
+    rows = rows.select("of", "kind", "learned", *[F.coalesce(f"its_{c}", c).alias(c) for c in ("texts", "median", "own")])
+    usual = F.when(F.col("kind") == 0, wide[0]).otherwise(wide[1])
+    drawn = F.greatest(F.lit(0.0), usual - F.col("own")) * FEW / (F.col("texts") + FEW)
+    limit = F.when(F.col("learned"), F.col("median") + F.col("own") + drawn + usual / F.sqrt("texts"))
+    rows = rows.withColumn("limit", limit)
     bits, again = F.col("kind") == 0, F.col("kind") == 1
-    return found.groupBy("of").agg(F.max("texts").alias("texts"), F.max(F.when(bits, F.col("median"))).alias("median"), F.max(F.when(bits, F.col("high"))).alias("high"), F.max(F.when(again, F.col("high"))).alias("most"))
+    return rows.groupBy("of").agg(F.max(F.when(bits, F.col("median"))).alias("median"), F.max(F.when(bits, F.col("limit"))).alias("high"), F.max(F.when(again, F.col("limit"))).alias("most"))
 
 
 def calibrating(doc_id: str = "doc_id") -> Column:
@@ -308,13 +331,9 @@ def judge(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
     places = places.join(ids.filter(~calibrating()), "doc_id", "left_semi").select("of_block", "place")
     trusted = blocks.select("block", "sizes", "texts").groupBy("block").cogroup(places.groupBy("of_block"))
     scored = stored(score_blocks(blocks, model_of(trusted.applyInArrow(count_trusted, COUNTED))), "scored")
-    sets = limits(scored.join(ids.filter(calibrating()), "doc_id", "left_semi"))
     # One row a language.
-    sets = stored(sets, "limits")
-    every = sets.filter("of is null").select("median", "high", "most").first() or (None, None, None)
-    known = sets.filter(f"of is not null and texts >= {CALIBRATED}").drop("texts")
-    rows = scored.withColumn("of", F.coalesce("lang", F.lit("und"))).join(F.broadcast(known), "of", "left")
-    rows = rows.withColumns({c: F.coalesce(c, F.lit(x).cast("double")) for c, x in zip(("median", "high", "most"), every, strict=True)})
+    sets = stored(limits(scored, ids), "limits")
+    rows = scored.withColumn("of", F.coalesce("lang", F.lit("und"))).join(sets, "of", "left")
     per_byte = F.col("nll") / F.log(F.lit(2.0))
     bits = (per_byte + PRIOR_BYTES * F.col("median")) / (F.col("n_bytes") + PRIOR_BYTES)
     rows = rows.withColumns({"bits": bits, "repeated": F.coalesce(F.try_divide("repeats", "n_bytes"), F.lit(0.0))})
