@@ -89,6 +89,13 @@ def test_main_text(html):
     assert extraction.main_text(html) == PAGES[html]
 
 
+def test_parts_of_an_article_and_link_lists_in_it():
+    parts = page(f"<article><p>{LONG * 3}</p></article><article><p>{LONG * 3}</p><p>{LONG}</p></article><article><a href=x>More</a> <a href=y>news</a></article>")
+    assert extraction.main_text(parts) == (LONG * 7).strip()
+    links = "".join(f"<li><a href=/{i}>Some other story {i}</a></li>" for i in range(9))
+    assert extraction.main_text(page(f"<main><p>{LONG * 5}</p><div class=tagcloud><ul>{links}</ul></div><p>End <a href=x>here</a>.</p></main>")) == f"{LONG * 5}End here."
+
+
 def test_extract_keeps_pages_and_columns(spark):
     rows = [(i, "u", h, "own") for i, h in enumerate(PAGES)] + [(None, None, None, None)]
     got = extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()

@@ -6,7 +6,8 @@ how many of them are links against the whole body; a node's density sum adds up
 the largest sum lies in the article; the least density on its path to the body is the threshold that other subtrees
 beside the path need to count as well, if they hold paragraphs or the like; headings there count anyway, being too
 short to be dense. Where the largest sum lies in an
-``article`` or ``main``, the choice is widened to all of it, so a dense part doesn't stand for the whole.
+``article`` or ``main``, the tag decides: the choice is widened to all of it, so a dense part doesn't stand for the whole,
+and to the other outermost ones that reach the threshold. Lists of links in it that don't reach the threshold go.
 
 Cases: null and empty pages give an empty text; a page without elements is its own text; tags left open end where
 HTML lets them; unknown character references stay as they are; white space is what Python's ``str.split`` takes for
@@ -61,6 +62,7 @@ OTHER_ROLES = frozenset("navigation banner contentinfo complementary search form
 #: Elements that mark an article, and those that hold text by their name.
 MARKED = ("article", "main")
 TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure hgroup section".split())
+LISTS = frozenset("ul ol dl".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 #: Words of a class or id that name something beside an article.
 OTHER_WORDS = frozenset(
@@ -243,7 +245,11 @@ def main_text(page: str | None) -> str:
     threshold = min(n.density for n in path)
     whole = [n for n in path if n.name in MARKED]
     if whole:
-        return " ".join(text_of(whole[-1]).split())
+        outer = [n for n in nodes if n.name in MARKED and not any(a.name in MARKED for a in ancestors(n, body))]
+        parts = [n for n in outer if n is whole[-1] or n.density >= threshold]
+        for node in (n for part in parts for n in in_order(part)[1:]):
+            node.other = is_link_list(node) and node.density < threshold
+        return " ".join(x for n in parts if (x := " ".join(text_of(n).split())))
     while best is not body and best.parent not in (None, body) and any(isinstance(x, str) and not x.isspace() for x in best.parent.parts):
         best = best.parent
     path = ancestors(best, body)
@@ -258,6 +264,12 @@ def main_text(page: str | None) -> str:
     return " ".join(x for n in parts if (x := " ".join(text_of(n).split())))
 
 
+def is_link_list(node: Node) -> bool:
+    """Whether most of a block's text are several links."""
+    several = sum(c.name == "a" or c.link_tags > 0 for c in node.children if not c.other) > 1 or node.link_tags > 3
+    return (node.name in CONTAINERS or node.name in LISTS) and several and 2 * node.link_chars > node.chars
+
+
 def heads(node: Node, within: bool) -> bool:
     """Whether a node beside the path is a heading, or, ``within`` the article, holds nothing but headings."""
     if node.name in HEADINGS or not within:
