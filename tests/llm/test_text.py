@@ -96,6 +96,14 @@ def test_parts_of_an_article_and_link_lists_in_it():
     assert extraction.main_text(page(f"<main><p>{LONG * 5}</p><div class=tagcloud><ul>{links}</ul></div><p>End <a href=x>here</a>.</p></main>")) == f"{LONG * 5}End here."
 
 
+@pytest.mark.parametrize("name", ["class='entry-content has-sidebar'", "class='layout no-sidebar'", "class=post-share-enabled", "class=page-with-comments", "id=main-widget-area", "id=related-work"])
+def test_layout_classes_cut_no_article(name):
+    text = f"<h2>Head</h2><p>{LONG * 2}</p><p>{LONG}</p>"
+    links = "<div class='sidebar-left'><ul><li><a href=a>One</a></li><li><a href=b>Two</a></li></ul></div><div class=sidebar><p>Beside.</p></div>"
+    assert extraction.main_text(page(f"<div {name}>{text}</div>{links}")) == f"Head {LONG * 3}".strip()
+    assert extraction.main_text(page(f"<article><p>{LONG}</p><section class=related><p>{LONG * 3}</p></section><div {name}><p>{LONG * 3}</p></div></article>")) == (LONG * 7).strip()
+
+
 def test_extract_keeps_pages_and_columns(spark):
     rows = [(i, "u", h, "own") for i, h in enumerate(PAGES)] + [(None, None, None, None)]
     got = extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()

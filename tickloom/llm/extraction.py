@@ -70,38 +70,56 @@ OTHER_WORDS = frozenset(
     "footer cookie cookies consent notice notices popup modal overlay newsletter subscribe signup login share sharing social related recommended "
     "recommendations comment comments disqus reply replies respond widget toolbar pagination pager skip".split()
 )
+#: Of them, those that sections of an article have as well.
+VAGUE_WORDS = frozenset("notice notices related reply replies respond share sharing social promotion widget skip".split())
 #: Words that name the top of a site, unless within an article.
 TOP_WORDS = frozenset("header masthead banner topbar".split())
 
 
 class Node:
-    __slots__ = ("chars", "children", "density", "link_chars", "link_tags", "name", "other", "parent", "parts", "sum", "tags")
+    __slots__ = ("chars", "children", "density", "doubt", "link_chars", "link_tags", "name", "other", "parent", "parts", "sum", "tags")
 
     def __init__(self, name: str, parent: Node | None, other: bool = False):
-        self.name, self.parent, self.other = name, parent, other
+        self.name, self.parent, self.other, self.doubt = name, parent, other, 0
         self.parts: list[str | Node] = []  # texts and elements in page order
         self.children: list[Node] = []
 
 
-def is_other(name: str, attributes: str, within: bool) -> bool:
-    """Whether an element is no part of an article; ``within``: it stands inside one."""
+def is_other(name: str, attributes: str, within: bool) -> tuple[bool, int]:
+    """Whether an element is no part of an article; ``within``: it stands inside one. Then what its class and id say:
+    0 nothing, 1 that it may be something else, 2 that it is, unless most of the page is in it.
+    """
     if name in KEEP:
-        return False
+        return False, 0
     if name in OTHER or (name == "header" and not within):
-        return True
+        return True, 0
     if not attributes or "=" not in attributes and "hidden" not in attributes:
-        return False
-    words = set()
+        return False, 0
+    tokens = set()
     for key, *values in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), "".join(values).lower()
         if key in ("class", "id"):
-            words.update(PART.findall(value))
+            tokens.update(value.split())
         elif key == "role" and value in OTHER_ROLES or key == "aria-hidden" and value == "true":
-            return True
+            return True, 0
         elif key == "style" and "display:none" in value.replace(" ", ""):
-            return True
-    rest = ATTRIBUTE.sub(" ", attributes).lower().split()
-    return "hidden" in rest or not words.isdisjoint(OTHER_WORDS) or (not within and not words.isdisjoint(TOP_WORDS))
+            return True, 0
+    if "hidden" in ATTRIBUTE.sub(" ", attributes).lower().split():
+        return True, 0
+    named = OTHER_WORDS if within else OTHER_WORDS | TOP_WORDS
+    if not tokens.isdisjoint(named - VAGUE_WORDS):
+        return False, 2
+    return False, int(any(w in named for t in tokens for w in PART.findall(t)))
+
+
+def settle(nodes: list[Node], body: Node) -> None:
+    """Cut what class or id name as something else, by density where that is in doubt; never most of the page."""
+    for node in nodes:
+        if not node.doubt or any(a.other for a in ancestors(node, body)):
+            continue
+        most = node.sum > 0 and 2 * node.chars > body.chars and not any(n.name in MARKED for n in ancestors(node, body))
+        dense = node.doubt == 1 and node.density >= body.density and 3 * node.link_chars < node.chars
+        node.other = not (most or dense)
 
 
 def tree(page: str) -> Node:
@@ -167,7 +185,9 @@ def tree(page: str) -> Node:
         if name in ("html", "body") and open_names.get(name):
             continue
         within = bool(open_names.get("article") or open_names.get("main"))
-        node = Node(name, at, is_other(name, m[3], within))
+        other, doubt = is_other(name, m[3], within)
+        node = Node(name, at, other)
+        node.doubt = doubt
         at.parts.append(node)
         at.children.append(node)
         if name in VOID or m[3].endswith("/") and name not in BLOCK and name not in RAW and name != "a":
@@ -237,6 +257,10 @@ def main_text(page: str | None) -> str:
     body = next((n for n in nodes if n.name == "body"), root)
     nodes = in_order(body)
     measure(nodes, body)
+    if any(n.doubt for n in nodes):
+        settle(nodes, body)
+        nodes = in_order(body)
+        measure(nodes, body)
     best = densest(nodes)
     marked = [n for n in nodes if n.name in MARKED and n.chars]
     if marked and not any(n.name in MARKED for n in [best, *ancestors(best, body)]):
