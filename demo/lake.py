@@ -262,11 +262,16 @@ def landed_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_table(spark, out).groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
 
 
+def _post_responses(docs: DataFrame, most: int = 500) -> DataFrame:
+    """Landed responses of news posts, each of one language and of ids in a range of ``most``."""
+    post = F.struct(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("title"))
+    rows = docs.groupBy("lang", F.floor(F.col("doc_id") / most).alias("part")).agg(F.collect_list(post).alias("results"))
+    return rows.select(F.col("lang").alias("request_key"), _now().alias("received_at"), F.to_json(F.struct("results")).alias("response"))
+
+
 def news_posts(spark: SparkSession, sf: str) -> DataFrame:
-    """documents as news posts, all of a language in one response: none is lost."""
-    post = F.struct(F.col("doc_id").cast("string").alias("id"), F.substring("text", 1, 40).alias("title"))
-    rows = views.table(spark, sf, "documents").groupBy("lang").agg(F.collect_list(post).alias("results"))
-    responses = rows.select(F.col("lang").alias("request_key"), _now().alias("received_at"), F.to_json(F.struct("results")).alias("response"))
+    """documents as news posts, whole texts in bounded responses of a language: none is lost."""
+    responses = _post_responses(views.table(spark, sf, "documents"))
     found = _ingested(spark, "cryptopanic", "news", responses)
     return found.select("token_address", F.get_json_object("payload", "$._post_id").cast("long").alias("doc_id"))
 
@@ -283,9 +288,10 @@ def _feed(spark: SparkSession, items: DataFrame, per_file: int = 500) -> str:
 
 def rss_items(spark: SparkSession, sf: str) -> DataFrame:
     """documents as two RSS feeds, written as XML, read, cut to the first items of each and brought into envelopes."""
-    text = F.regexp_replace(F.substring("text", 1, 60), "[^a-z ]", "")
+    text = F.regexp_replace("text", r"[\x00-\x08\x0b\x0c\x0e-\x1f\ufffe\uffff]", "")  # not allowed in XML
+    text = F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     item = F.concat(
-        F.lit("<item><title>n"), F.col("doc_id").cast("string"), F.lit("</title><description>"), text,
+        F.lit("<item><title>n"), F.col("doc_id").cast("string"), F.lit("</title><description>"), F.coalesce(text, F.lit("")),
         F.lit("</description><link>https://x.example/"), F.col("doc_id").cast("string"),
         F.lit("</link><pubDate>"), F.date_format(F.timestamp_seconds(F.col("doc_id") * 60), "EEE, dd MMM yyyy HH:mm:ss 'GMT'"), F.lit("</pubDate></item>"),
     )

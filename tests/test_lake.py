@@ -247,3 +247,12 @@ def test_discovery_job(spark, tmp_path):
     ranked = jobs.watchlist_scan(valid, scores, None, None, str(tmp_path / "scans"), scan_time=F.lit(at(0)))
     assert ranked.first()["action"] == "HOLD"
     assert spark.read.parquet(str(tmp_path / "scans")).first()["severity"] == "INFO"
+
+
+def test_news_posts_land_whole_texts_in_bounded_responses(spark):
+    from demo import lake
+
+    docs = spark.range(1200).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.repeat(F.lit("word "), 30).alias("text"))
+    found = [json.loads(r.response)["results"] for r in lake._post_responses(docs).collect()]
+    assert sorted(len(x) for x in found) == [200, 500, 500]
+    assert sorted(int(p["id"]) for x in found for p in x) == list(range(1200)) and all(p["title"] == "word " * 30 for x in found for p in x)
