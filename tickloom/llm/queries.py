@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import chat, extraction, language, nearcopies, packing, pieces, quality, search, tokenfile, vectorcopies
+from tickloom.llm import (
+    centroids,
+    chat,
+    extraction,
+    language,
+    lexical,
+    licenses,
+    nearcopies,
+    packing,
+    pieces,
+    quality,
+    search,
+    tokenfile,
+    vectorcopies,
+)
 from tickloom.llm.common import shared_path, table
 
 
@@ -109,6 +123,18 @@ def op10_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.summary(licenses.scan(table(spark, sf_dir, "documents")))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.with_inertia(*centroids.cluster(table(spark, sf_dir, "embeddings")))
+
+
+def op13_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_file": op1_token_file,
     "op2_language": op2_language,
@@ -120,4 +146,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_curve_packing": op10_curve_packing,
+    "op11_license_scan": op11_license_scan,
+    "op12_centroids": op12_centroids,
+    "op13_ranked": op13_ranked,
 }
