@@ -122,10 +122,13 @@ def rejections_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def position_changes(spark: SparkSession, sf: str) -> DataFrame:
-    """Positions of the older half of the events, replaced by those of all where the key is the same."""
+    """Positions of the older half of the events, upserted by those of all events of positions that have newer ones."""
     events = views.position_events(spark, sf)
-    old = jobs.positions(events.where(F.col("position_id") % 3 != 0))
-    return rounded(tables.upsert(old, jobs.positions(events.where(F.col("position_id") % 2 == 0)), ["position_id"]))
+    at = F.unix_micros("event_timestamp")
+    middle = events.agg(((F.min(at) + F.max(at)) / 2).alias("middle")).scalar()
+    older = jobs.positions(events.where(at <= middle))
+    moved = events.where(at > middle).select("position_id").distinct()
+    return rounded(tables.upsert(older, jobs.positions(events.join(moved, "position_id", "left_semi")), ["position_id"]))
 
 
 def _land(spark: SparkSession, rows: DataFrame, name: str) -> str:

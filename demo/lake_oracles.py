@@ -73,7 +73,7 @@ LAKE_ORACLES: dict[str, str] = {
     "positions_table": ORACLES["position_ledger"],
     "sales_table": ORACLES["position_sales"],
     "rejections_table": ORACLES["position_rejections"],
-    "position_changes": f"SELECT * FROM ({ORACLES['position_ledger']}) WHERE position_id % 3 <> 0 OR position_id % 2 = 0",
+    "position_changes": ORACLES["position_ledger"],
     "holder_report": _sql(
         "concentration",
         """SELECT CAST(p_partkey AS VARCHAR) AS token_address, coalesce(holder_count, 0) AS holder_count, round(coalesce(top10_share, 0), 6) AS top10_share,

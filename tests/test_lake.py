@@ -223,7 +223,7 @@ def test_batch_pipeline(spark, tmp_path):
     assert jobs.silver(spark, bronze, silver_path, days=("2026-08-02", "2026-08-03")) == {"valid": 2 * 48, "quarantined": 0}
     assert tables.read_silver(spark, silver_path).count() == 120
     assert tables.read_silver(spark, silver_path, "quarantine").first()["quarantine_reasons"] == ["close_out_of_range"]
-    assert tables.read_gold(spark, gold).count() == 120 and spark.read.parquet(out).count() == 120
+    assert tables.read_gold(spark, gold).count() == 120 and tables.read_table(spark, out).count() == 120
 
 
 def test_backfill_chunks(spark):

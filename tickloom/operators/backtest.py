@@ -79,6 +79,10 @@ def metrics(df: DataFrame, keys=("token_address",), order=("event_timestamp", "e
         F.coalesce(F.sum(F.when(active & (r > 0), r)), F.lit(0.0)).alias("_won"),
         F.coalesce(F.sum(F.when(active & (r < 0), r)), F.lit(0.0)).alias("_lost"),
     )
+    return _figures(base, keys, initial_capital)
+
+
+def _figures(base: DataFrame, keys, initial_capital: float) -> DataFrame:
     total = F.col("_equity") / initial_capital - 1
     hold = F.col("_hold") / initial_capital - 1
     return base.select(
@@ -115,3 +119,132 @@ def run_backtest(
     """Backtest rows of every token in a table that has ``rsi_14`` and ``return_1h``."""
     series = lay_out(add_rsi_signals(gold, oversold, overbought), **layout)
     return simulate(series, fee_bps, initial_capital).frame()
+
+
+#: What a part of a series tells of itself, for one way of entering it.
+_SUMMARY = (
+    "exit", "growth", "top", "low", "drop", "hold", "n", "mean", "m2", "dn", "dmean", "dm2", "active", "wins", "losses", "won", "lost"
+)
+
+
+def summarise(
+    gold: DataFrame, part: str = "event_date", oversold: float = 30.0, overbought: float = 70.0, fee_bps: float = 10.0, **layout
+) -> DataFrame:
+    """One row for each token and part (a day) of a series, from the rows of that part alone: ``entries``, a summary for
+    each of the four ways to enter it.
+
+    A part is entered with a position held on the row before it and a position that it begins with: entry
+    ``2 * held + begins``. Each summary says how the part is left (``exit``, the entry of the next one), how capital of 1
+    grew, its highest, lowest and largest fall, and counts, means and squared deviations of returns. Summaries of parts
+    in order compose (``fold``), so a changed day is summarised anew by itself.
+    """
+    begins, held = F.col("entry") % 2, F.floor(F.col("entry") / 2).cast("int")
+    rows = add_rsi_signals(gold, oversold, overbought).select(
+        "token_address", part, "event_timestamp", "event_id", "signal", "return_1h", F.explode(F.array(*map(F.lit, range(4)))).alias("entry")
+    )
+    keys = ("token_address", part, "entry")
+    side = F.when(F.col("signal") == "BUY", 1).when(F.col("signal") == "SELL", 0)
+    series = lay_out(rows, keys, **layout).bounded(
+        lambda d, w: d.withColumns(
+            {"_late_1": F.lag(side, 1).over(w), "_late_2": F.lag(side, 2).over(w), "_first": F.lag("event_id", 1).over(w).isNull()}
+        ),
+        before=2,
+    )
+    series = series.running(
+        position=Running("last", F.col("_late_1")), _late_position=Running("last", F.col("_late_2")), _side=Running("last", side)
+    )
+    series = series.with_columns(
+        {
+            "position": F.coalesce("position", begins),
+            "_late_position": F.when(F.col("_first"), held).otherwise(F.coalesce("_late_position", begins)),
+            "_side": F.coalesce("_side", begins),
+        }
+    )
+    done = with_drawdown(with_equity(series, fee_bps, 1.0)).frame()
+    r, active, at = F.col("strategy_return"), F.col("position") == 1, F.struct("event_timestamp", "event_id")
+    fell = F.when(r < 0, r)
+
+    def total(value: Column) -> Column:
+        return F.coalesce(F.sum(value), F.lit(0.0))
+
+    def count(test: Column) -> Column:
+        return F.count(F.when(test, 1)).cast("double")
+
+    figures = done.groupBy(*keys).agg(
+        F.max_by(2 * F.col("position") + F.col("_side"), at).cast("int").alias("exit"),
+        F.max_by("equity", at).alias("growth"),
+        F.max("equity").alias("top"),
+        F.min("equity").alias("low"),
+        F.min("drawdown").alias("drop"),
+        F.max_by("buy_hold_equity", at).alias("hold"),
+        F.count(r).cast("double").alias("n"),
+        F.coalesce(F.avg(r), F.lit(0.0)).alias("mean"),
+        F.coalesce(F.var_pop(r) * F.count(r), F.lit(0.0)).alias("m2"),
+        F.count(fell).cast("double").alias("dn"),
+        F.coalesce(F.avg(fell), F.lit(0.0)).alias("dmean"),
+        F.coalesce(F.var_pop(fell) * F.count(fell), F.lit(0.0)).alias("dm2"),
+        count(active).alias("active"),
+        count(active & (r > 0)).alias("wins"),
+        count(active & (r < 0)).alias("losses"),
+        total(F.when(active & (r > 0), r)).alias("won"),
+        total(F.when(active & (r < 0), r)).alias("lost"),
+    )
+    entries = F.transform(F.sort_array(F.collect_list(F.struct("entry", F.struct(*_SUMMARY).alias("s")))), lambda e: e["s"])
+    return figures.groupBy("token_address", part).agg(entries.alias("entries"))
+
+
+def _moments(n: Column, mean: Column, m2: Column, part: tuple[Column, Column, Column]) -> tuple[Column, Column, Column]:
+    """Count, mean and squared deviations of two sets of values together."""
+    n2, mean2, m22 = part
+    both, apart = n + n2, mean2 - mean
+    share = F.when(both > 0, n2 / both).otherwise(F.lit(0.0))
+    return both, mean + apart * share, m2 + m22 + apart * apart * n * share
+
+
+def fold(parts: DataFrame, part: str = "event_date") -> DataFrame:
+    """The ten figures of ``metrics`` per token from the summaries of its parts; no row of the series is read.
+
+    A token's summaries are folded in one row: some hundred bytes a day. Growth is taken to be positive, as it is for
+    prices above zero and a fee below the fall that would end a series.
+    """
+    start = F.struct(
+        *[
+            (F.lit(0).cast("int") if n == "exit" else F.lit(None).cast("double") if n in ("top", "drop") else F.lit(1.0) if n in ("growth", "hold") else F.lit(0.0)).alias(n)
+            for n in _SUMMARY
+            if n != "low"
+        ]
+    )
+
+    def step(so_far: Column, day: Column) -> Column:
+        s = day["entries"][so_far["exit"]]
+        n, mean, m2 = _moments(so_far["n"], so_far["mean"], so_far["m2"], (s["n"], s["mean"], s["m2"]))
+        dn, dmean, dm2 = _moments(so_far["dn"], so_far["dmean"], so_far["dm2"], (s["dn"], s["dmean"], s["dm2"]))
+        below = F.try_divide(so_far["growth"] * s["low"] - so_far["top"], so_far["top"])
+        new = {
+            "exit": s["exit"],
+            "growth": so_far["growth"] * s["growth"],
+            "top": F.greatest(so_far["top"], so_far["growth"] * s["top"]),
+            "drop": F.least(so_far["drop"], s["drop"], below),
+            "hold": so_far["hold"] * s["hold"],
+            "n": n, "mean": mean, "m2": m2, "dn": dn, "dmean": dmean, "dm2": dm2,
+        }
+        new |= {c: so_far[c] + s[c] for c in ("active", "wins", "losses", "won", "lost")}
+        return F.struct(*[new[c].alias(c) for c in _SUMMARY if c != "low"])
+
+    days = F.sort_array(F.collect_list(F.struct(part, "entries")))
+    folded = parts.groupBy("token_address").agg(days.alias("days")).select("token_address", F.aggregate("days", start, step).alias("s"))
+    base = folded.select(
+        "token_address",
+        F.col("s.growth").alias("_equity"),
+        F.col("s.hold").alias("_hold"),
+        F.when(F.col("s.n") > 0, F.col("s.mean")).alias("_mean"),
+        F.when(F.col("s.n") > 1, F.sqrt(F.col("s.m2") / (F.col("s.n") - 1))).alias("_std"),
+        F.when(F.col("s.dn") > 1, F.sqrt(F.col("s.dm2") / (F.col("s.dn") - 1))).alias("_down"),
+        F.col("s.drop").alias("max_drawdown"),
+        F.col("s.active").cast("long").alias("num_active_periods"),
+        F.col("s.wins").alias("_wins"),
+        F.col("s.losses").alias("_losses"),
+        F.col("s.won").alias("_won"),
+        F.col("s.lost").alias("_lost"),
+    )
+    return _figures(base, ("token_address",), 1.0)

@@ -13,6 +13,12 @@ from tickloom.operators.series import Series, lay_out
 # An EMA forgets: after this many e-folds the weight of older rows is below 1e-30.
 _EFOLDS = math.log(1e30)
 
+#: Rows of a series that features of later rows look back on, besides the averages carried in the last of them.
+TAIL_ROWS = 24
+#: Before the names of averages that a row brings instead of its own.
+SEED = "_seed_"
+_CARRIED = ("ema_fast", "ema_slow", "macd_signal")
+
 
 def _trailing(w: WindowSpec, rows: int) -> WindowSpec:
     return w.rowsBetween(1 - rows, 0)
@@ -124,10 +130,17 @@ def ema_macd(
     )
     if one_block:
         df = df.withColumn("_block", F.lit(0))
-    df = _ema(df, {"ema_fast": ("close", fast), "ema_slow": ("close", slow)}, key, order, one_block)
-    df = df.withColumn("macd", F.col("ema_fast") - F.col("ema_slow"))
-    df = _ema(df, {"macd_signal": ("macd", signal)}, key, order, one_block)
-    return df.drop("_number", "_block", "_at", "_block_rows")
+    # A first row that stands for a series so far brings the averages up to it in place of its own values.
+    seeds = [c for c in df.columns if c.startswith(SEED)]
+
+    def source(name: str, value: str) -> Column:
+        return F.coalesce(SEED + name, value) if SEED + name in seeds else F.col(value)
+
+    df = df.withColumns({"_x_fast": source("ema_fast", "close"), "_x_slow": source("ema_slow", "close")})
+    df = _ema(df, {"ema_fast": ("_x_fast", fast), "ema_slow": ("_x_slow", slow)}, key, order, one_block)
+    df = df.withColumn("macd", F.col("ema_fast") - F.col("ema_slow")).withColumn("_x_macd", source("macd_signal", "macd"))
+    df = _ema(df, {"macd_signal": ("_x_macd", signal)}, key, order, one_block)
+    return df.drop("_number", "_block", "_at", "_block_rows", "_x_fast", "_x_slow", "_x_macd", *seeds)
 
 
 def _spec_columns(series: Series, df: DataFrame) -> list[str]:
@@ -182,3 +195,25 @@ def with_window_features(series: Series) -> Series:
 def token_features(df: DataFrame, **layout) -> DataFrame:
     """The gold feature table of all tokens."""
     return with_ema_macd(with_window_features(lay_out(df, **layout))).frame()
+
+
+def features_after(df: DataFrame, tails: DataFrame, **layout) -> DataFrame:
+    """Features of rows whose series go on after ``tails`` (see ``series_tails``): those of the whole series.
+
+    All rows of a series must be later than its tail. What is read and sorted is these rows and the tails alone.
+    """
+    carried = {SEED + n: F.when(F.col("place") == 1, F.col(n)) for n in _CARRIED}
+    before = tails.select(*df.columns, "place", *[c.alias(n) for n, c in carried.items()])
+    rows = df.unionByName(before, allowMissingColumns=True)
+    series = with_window_features(lay_out(rows, **layout))
+    # Averages start from the last row of the tail; the others have served their turn.
+    series = series.rows(lambda d: d.where(F.col("place").isNull() | (F.col("place") == 1)))
+    return with_ema_macd(series).frame().where(F.col("place").isNull()).drop("place")
+
+
+def series_tails(features: DataFrame, tails: DataFrame | None = None) -> DataFrame:
+    """The last ``TAIL_ROWS`` rows of each series with their features and ``place`` from the end, from the rows of some
+    days and the tails before them; series without new rows keep theirs."""
+    rows = features if tails is None else features.unionByName(tails.select(*features.columns))
+    last = Window.partitionBy("token_address").orderBy(F.desc("event_timestamp"), F.desc("event_id"))
+    return rows.withColumn("place", F.row_number().over(last)).where(F.col("place") <= TAIL_ROWS)

@@ -22,16 +22,33 @@ def _in(value: str, test: Column) -> Column:
     return F.coalesce(test & ~F.isnan(value), F.lit(False))
 
 
-def replay(events: DataFrame, **layout) -> DataFrame:
-    """Every event with the state of its position and, if it was not accepted, the reason."""
+def replay(events: DataFrame, carried: DataFrame | None = None, **layout) -> DataFrame:
+    """Every event with the state of its position and, if it was not accepted, the reason.
+
+    With ``carried`` (rows of ``states``) positions go on from there; the events must be later than the states' last.
+    """
     good_open = _kind("open") & _in("price", F.col("price") > 0) & _in("size", F.col("size") > 0)
     fraction = F.col("sell_fraction")
     good_sell = _kind("sell") & _in("sell_fraction", (fraction > 0) & (fraction <= 1)) & _in("price", F.col("price").isNotNull())
     opening = F.struct("event_id", "token_address", "price", "size", "event_timestamp")
+    seed = events.select(opening.alias("_o")).schema["_o"].dataType
+    if carried is None:
+        events = events.withColumns({"_seed_open": F.lit(None).cast(seed), "_seed_left": F.lit(None).cast("double"), "_seed": F.lit(False)})
+    else:
+        # The last event of a position stands for all before it; its columns beside these are null.
+        before = carried.select(
+            "position_id",
+            F.col("last.event_timestamp").alias("event_timestamp"),
+            F.col("last.event_id").alias("event_id"),
+            F.col("opening").cast(seed).alias("_seed_open"),
+            F.col("left").alias("_seed_left"),
+            F.lit(True).alias("_seed"),
+        )
+        events = events.withColumn("_seed", F.lit(False)).unionByName(before, allowMissingColumns=True)
     series = lay_out(events, ("position_id",), ("event_timestamp", "event_id"), **layout)
-    series = series.running(_open=Running("first", F.when(good_open, opening)))
+    series = series.running(_open=Running("first", F.coalesce("_seed_open", F.when(good_open, opening))))
     selling = good_sell & F.col("_open").isNotNull()
-    series = series.running(_left=Running("product", F.when(selling, 1 - fraction)))
+    series = series.running(_left=Running("product", F.coalesce("_seed_left", F.when(selling, 1 - fraction))))
     series = series.bounded(lambda d, w: d.withColumn("_left_before", F.lag("_left", 1).over(w)), before=1)
 
     size = F.col("_open.size")
@@ -48,6 +65,7 @@ def replay(events: DataFrame, **layout) -> DataFrame:
     sold = F.when(_kind("sell") & F.col("rejected").isNull(), before * fraction)
     return (
         series.frame()
+        .where(~F.col("_seed"))
         .withColumn("rejected", rejected)
         .withColumn("amount_sold", sold)
         .withColumns(
@@ -59,7 +77,7 @@ def replay(events: DataFrame, **layout) -> DataFrame:
                 ),
             }
         )
-        .drop("_left", "_left_before")
+        .drop("_left_before", "_seed", "_seed_open", "_seed_left")
     )
 
 
@@ -83,27 +101,51 @@ def rejections(replayed: DataFrame) -> DataFrame:
     )
 
 
-def positions(replayed: DataFrame) -> DataFrame:
-    """Current state of each position."""
-    accepted = replayed.where(F.col("rejected").isNull())
-    is_sale = F.col("amount_sold").isNotNull()
-    seen = F.when(_kind("price") & _in("price", F.col("price").isNotNull()), F.col("price"))
-    state = accepted.groupBy("position_id").agg(
-        F.min("_open").alias("_open"),
-        F.min(F.when(is_sale, F.col("remaining_size"))).alias("_left"),
-        F.max(seen).alias("_high"),
-        F.coalesce(F.sum("realized_pnl"), F.lit(0.0)).alias("realized_pnl"),
+def states(replayed: DataFrame, carried: DataFrame | None = None) -> DataFrame:
+    """What later events need to know of each position, also of one that has no accepted event yet."""
+    accepted, is_sale = F.col("rejected").isNull(), F.col("amount_sold").isNotNull()
+    seen = F.when(accepted & _kind("price") & _in("price", F.col("price").isNotNull()), F.col("price"))
+    at = F.struct("event_timestamp", "event_id")
+    state = replayed.groupBy("position_id").agg(
+        F.max(at).alias("last"),
+        F.min("_open").alias("opening"),
+        F.max_by("_left", at).alias("left"),
+        F.min(F.when(is_sale, F.col("remaining_size"))).alias("remaining"),
+        F.max(seen).alias("high"),
+        F.coalesce(F.sum(F.when(accepted, F.col("realized_pnl"))), F.lit(0.0)).alias("realized_pnl"),
         F.count(F.when(is_sale, 1)).alias("sales"),
     )
-    closed = F.col("_left").isNotNull() & (F.col("_left") <= CLOSED_SIZE)
-    return state.select(
+    if carried is None:
+        return state
+    old = carried.select("position_id", *[F.col(c).alias(f"_old_{c}") for c in ("remaining", "high", "realized_pnl", "sales")])
+    return state.join(old, "position_id", "left").select(
+        "position_id",
+        "last",
+        "opening",
+        "left",
+        F.least("remaining", "_old_remaining").alias("remaining"),
+        F.greatest("high", "_old_high").alias("high"),
+        (F.coalesce("_old_realized_pnl", F.lit(0.0)) + F.col("realized_pnl")).alias("realized_pnl"),
+        (F.coalesce("_old_sales", F.lit(0)) + F.col("sales")).alias("sales"),
+    )
+
+
+def positions(replayed: DataFrame) -> DataFrame:
+    """Current state of each position."""
+    return positions_of(states(replayed))
+
+
+def positions_of(state: DataFrame) -> DataFrame:
+    """Positions from their states; one that was never opened is none."""
+    closed = F.col("remaining").isNotNull() & (F.col("remaining") <= CLOSED_SIZE)
+    return state.where(F.col("opening").isNotNull()).select(
         "position_id",
-        F.col("_open.token_address").alias("token_address"),
-        F.col("_open.price").alias("entry_price"),
-        F.col("_open.event_timestamp").alias("entry_timestamp"),
-        F.col("_open.size").alias("initial_size"),
-        F.coalesce("_left", "_open.size").alias("remaining_size"),
-        F.greatest("_open.price", "_high").alias("highest_price"),
+        F.col("opening.token_address").alias("token_address"),
+        F.col("opening.price").alias("entry_price"),
+        F.col("opening.event_timestamp").alias("entry_timestamp"),
+        F.col("opening.size").alias("initial_size"),
+        F.coalesce("remaining", "opening.size").alias("remaining_size"),
+        F.greatest("opening.price", "high").alias("highest_price"),
         "realized_pnl",
         "sales",
         F.when(closed, "CLOSED").otherwise("OPEN").alias("status"),

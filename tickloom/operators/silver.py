@@ -66,7 +66,12 @@ def sound() -> Column:
 
 def mark(envelopes: DataFrame) -> DataFrame:
     """Deduplicated, flattened rows with ``quarantine_reasons`` and ``is_valid`` (never null)."""
-    rows = flatten(dedup(envelopes)).withColumn("is_valid", sound())
+    return judged(dedup(envelopes))
+
+
+def judged(envelopes: DataFrame) -> DataFrame:
+    """``mark`` for envelopes that have no copies."""
+    rows = flatten(envelopes).withColumn("is_valid", sound())
     return rows.withColumn("quarantine_reasons", F.when(F.col("is_valid"), F.array().cast("array<string>")).otherwise(problems()))
 
 

@@ -1,13 +1,13 @@
 """End-to-end jobs: each reads tables, declares one plan and writes tables.
 
-Jobs take paths. Every write is an append or a replacement of whole partitions, so a job can be
-run again after a failure.
+Jobs take paths. Every write is an append or a replacement of whole partitions that is seen whole or
+not at all, so a job can be run again after a failure and readers always find a whole table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, datetime, timedelta, timezone
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ from tickloom.operators.series import lay_out
 from tickloom.operators.silver import mark
 from tickloom.plans import models, signals
 from tickloom.session import cut, cuts_removed
-from tickloom.sources import feeds, landed, tables
+from tickloom.sources import feeds, keyed, landed, tables, versions
 
 
 def ingest(
@@ -98,7 +98,7 @@ def backtest(
     """Backtest rows to ``out_path``; returns the metrics per token read from them."""
     rows = bt.run_backtest(tables.read_gold(spark, gold_path), oversold, overbought, fee_bps)
     tables.write_partitioned(rows, out_path, ["event_date"], sort_by=["token_address", "event_timestamp"])
-    return bt.metrics(spark.read.schema(rows.schema).parquet(out_path))
+    return bt.metrics(tables.read_table(spark, out_path))
 
 
 def train(spark: SparkSession, gold_path: str, models_path: str, runs_path: str) -> None:
@@ -214,40 +214,74 @@ def manual_watchlist(spark: SparkSession) -> DataFrame:
 
 
 def positions(events: DataFrame, out_path: str | None = None) -> DataFrame:
-    """Fold position events; sales and rejected events are appended beside the positions.
+    """Fold position events into the tables of ``out_path``; returns the positions that they touch.
 
-    Events are replayed once. Running again over the same or more events adds newer versions of the rows, which
-    ``current_positions``, ``sale_history`` and ``rejected_events`` see through.
+    Call it with new events only: a position goes on from its stored state, and only positions with events are written.
+    Events that are not later than the last of their position (late ones, or ones sent again) make it be replayed from
+    its events in the event table, where an event counts once; its older sales and rejections no longer count then.
+    Tables are read with ``current_positions``, ``sale_history`` and ``rejected_events``. A call that failed can be
+    repeated: states are written last.
     """
     if out_path is None:
         return ledger.positions(ledger.replay(events))
-    replayed = cut(ledger.replay(events))
-    now = F.lit(datetime.now(timezone.utc))
-    for name, rows in (
-        ("positions", ledger.positions(replayed)),
-        ("sales", ledger.sales(replayed)),
-        ("rejections", ledger.rejections(replayed)),
-    ):
-        rows.withColumn("version", now).write.mode("append").parquet(f"{out_path}/{name}")
-    return ledger.positions(replayed)
+    spark = events.sparkSession
+    names = {n: f"{out_path.rstrip('/')}/{n}" for n in ("events", "states", "sales", "rejections")}
+    run = keyed.next_run(spark, names["states"])
+    with cuts_removed(spark):
+        new = cut(events.dropDuplicates(["position_id", "event_id"]))
+        touched = new.groupBy("position_id").agg(F.min(F.struct("event_timestamp", "event_id")).alias("first"))
+        known = versions.numbers(spark, names["states"])
+        if known:
+            old = cut(_states(spark, out_path).join(touched, "position_id"))
+            carried, again = old.where(F.col("first") > F.col("last")), old.where(F.col("first") <= F.col("last"))
+        history = new.hint("rebalance").sortWithinPartitions("position_id")
+        versions.append(history, names["events"])
+        if not known:
+            replayed = cut(ledger.replay(new))
+            states = ledger.states(replayed).withColumn("since", F.lit(run))
+        else:
+            replayed = cut(ledger.replay(new.join(again, "position_id", "left_anti"), carried))
+            since = carried.select("position_id", "since")
+            states = ledger.states(replayed, carried).join(since, "position_id", "left")
+            states = states.withColumn("since", F.coalesce("since", F.lit(run)))
+            if not again.isEmpty():
+                whole = versions.read(spark, names["events"]).join(again.select("position_id"), "position_id", "left_semi")
+                late = cut(ledger.replay(whole.dropDuplicates(["position_id", "event_id"])))
+                states = states.unionByName(ledger.states(late).withColumn("since", F.lit(run)))
+                replayed = replayed.unionByName(late)
+        for name, rows, keys in (
+            ("sales", ledger.sales(replayed), ["position_id", "event_id"]),
+            ("rejections", ledger.rejections(replayed), ["position_id", "event_id"]),
+            ("states", states, ["position_id"]),
+        ):
+            keyed.put(rows.withColumn("version", F.lit(run)), names[name], keys, "version")
+    return ledger.positions_of(_states(spark, out_path).where(F.col("version") == run))
+
+
+def _states(spark: SparkSession, out_path: str) -> DataFrame:
+    return keyed.read(spark, f"{out_path.rstrip('/')}/states", ["position_id"], "version")
 
 
 def current_positions(spark: SparkSession, out_path: str) -> DataFrame:
     """The newest state of every position ever written by ``positions``; filter on status or position_id."""
-    written = tables.read_table(spark, f"{out_path}/positions")
-    return tables.latest_versions(written, ["position_id"], F.col("version")).drop("version")
+    return ledger.positions_of(_states(spark, out_path))
+
+
+def _of_positions(spark: SparkSession, out_path: str, name: str) -> DataFrame:
+    """Rows of a position's events that hold since it was last replayed."""
+    rows = keyed.read(spark, f"{out_path.rstrip('/')}/{name}", ["position_id", "event_id"], "version")
+    since = _states(spark, out_path).select("position_id", "since")
+    return rows.join(since, "position_id").where(F.col("version") >= F.col("since")).drop("version", "since")
 
 
 def sale_history(spark: SparkSession, out_path: str) -> DataFrame:
-    """Every sale ever written by ``positions``, once."""
-    written = tables.read_table(spark, f"{out_path}/sales")
-    return tables.latest_versions(written, ["position_id", "event_id"], F.col("version")).drop("version")
+    """Every sale that holds, once."""
+    return _of_positions(spark, out_path, "sales")
 
 
 def rejected_events(spark: SparkSession, out_path: str) -> DataFrame:
-    """Every event ever rejected by ``positions``, once."""
-    written = tables.read_table(spark, f"{out_path}/rejections")
-    return tables.latest_versions(written, ["position_id", "event_id"], F.col("version")).drop("version")
+    """Every rejected event that holds, once."""
+    return _of_positions(spark, out_path, "rejections")
 
 
 def open_positions_view(state: DataFrame, ticks: DataFrame) -> DataFrame:

@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.constants import ENVELOPE_SCHEMA, GOLD_SCHEMA, SILVER_SCHEMA
 from tickloom.session import pin_utc
+from tickloom.sources import versions
 
 QUALITY = "quality"
+Keep = Callable[[dict[str, str | None]], bool]
 
 
 def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """Read Parquet. With a schema nothing is inferred, so partition values such as ``001`` stay text."""
+    """Read a table by its newest version, or plain Parquet. With a schema nothing is inferred, so partition values such
+    as ``001`` stay text."""
+    if versions.numbers(spark, path):
+        return versions.read(spark, path, schema)
     reader = pin_utc(spark).read
     return (reader.schema(schema) if schema else reader).parquet(path)
 
@@ -23,14 +29,28 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, path, ENVELOPE_SCHEMA + ", dt date, token string")
 
 
-def read_silver(spark: SparkSession, path: str, quality: str = "valid") -> DataFrame:
+def within(column: str, first: date | None, last: date | None) -> Keep:
+    """Chooses partitions by days, both ends included; None is open."""
+
+    def keep(partition: dict[str, str | None]) -> bool:
+        day = partition.get(column)
+        return day is not None and (first is None or day >= str(first)) and (last is None or day <= str(last))
+
+    return keep
+
+
+def read_silver(spark: SparkSession, path: str, quality: str = "valid", keep: Keep | None = None) -> DataFrame:
     schema = SILVER_SCHEMA + f", quarantine_reasons array<string>, {QUALITY} string"
-    df = read_table(spark, path, schema).where(F.col(QUALITY) == quality).drop(QUALITY)
+    if keep is None:
+        df = read_table(spark, path, schema)
+    else:
+        df = versions.read(spark, path, schema, keep=lambda p: p.get(QUALITY) == quality and keep(p))
+    df = df.where(F.col(QUALITY) == quality).drop(QUALITY)
     return df.drop("quarantine_reasons") if quality == "valid" else df
 
 
-def read_gold(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path, GOLD_SCHEMA)
+def read_gold(spark: SparkSession, path: str, keep: Keep | None = None) -> DataFrame:
+    return read_table(spark, path, GOLD_SCHEMA) if keep is None else versions.read(spark, path, GOLD_SCHEMA, keep=keep)
 
 
 def table_files(df: DataFrame) -> DataFrame:
@@ -45,34 +65,22 @@ def latest_partition(df: DataFrame, column: str = "dt") -> DataFrame:
 
 def write_partitioned(
     df: DataFrame, path: str, partition_by: Sequence[str], *, append: bool = False, sort_by: Sequence[str] = (),
-    only: tuple[str, Sequence[str]] | None = None,
+    only: tuple[str, Sequence[str]] | None = None, note: tuple[str, str] | None = None,
 ) -> None:
     """Write with even files: small partitions share a task, large ones are split (AQE rebalance).
 
     Without ``append`` the whole table is replaced, or, given ``only`` (a partition column and its values), those
-    partitions: they are removed first, so one that ``df`` no longer has does not stay, and a re-run is idempotent.
+    partitions, also where ``df`` no longer has rows for them. A write is seen whole or not at all, so a re-run is
+    idempotent, a failed one leaves the table as it was, and ``df`` may read the table. An append with a ``note``
+    that the table has already does nothing.
     """
     df = df.hint("rebalance", *partition_by)
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
-    writer = df.write.partitionBy(*partition_by)
-    if only is not None:
-        remove_partitions(df.sparkSession, path, partition_by, *only)
-    if append or only is not None:
-        writer.mode("append").parquet(path)
+    if append:
+        versions.append(df, path, partition_by, note)
     else:
-        writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-
-
-def remove_partitions(spark: SparkSession, path: str, partition_by: Sequence[str], column: str, values: Sequence[str]) -> None:
-    """Delete the folders of a table in which ``column`` has one of ``values``."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    for value in values:
-        parts = [f"{c}={value}" if c == column else f"{c}=*" for c in partition_by]
-        pattern = hadoop.Path("/".join([path.rstrip("/"), *parts[: list(partition_by).index(column) + 1]]))
-        files = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        for found in files.globStatus(pattern) or []:
-            files.delete(found.getPath(), True)
+        versions.overwrite(df, path, partition_by, only)
 
 
 def write_bronze(envelopes: DataFrame, path: str, by_token: bool = False) -> None:
