@@ -8,11 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demo import views
-from demo.lake import _bronze, _path, _silver, micros, rounded
-from demo.lake_oracles import LAKE_ORACLES
+from demo.lake import _path, _silver, micros, rounded
+from demo.lake_oracles import _ENTRY, _EXIT, LAKE_ORACLES, _from_silver
+from demo.oracles import _ENTRY as _ENTRY_LABEL
+from demo.oracles import _LABEL, ORACLES, _micros, _sql
+from demo.queries import ALERT_WINDOW, RETURNS
+from demo.queries import rounded as rounded_but
 from tickloom import constants as K
+from tickloom.operators import features
 from tickloom.plans import daily, jobs
 from tickloom.sources import keyed, tables, versions
+from tickloom.streaming import alerts, as_of, ingest
 from tickloom.streaming import silver as silver_stream
 
 
@@ -142,6 +148,80 @@ def bronze_compacted(spark: SparkSession, sf: str) -> DataFrame:
     return micros(days.withColumn("one_file_a_day", F.lit(small)))
 
 
+def labels_daily(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels closed run by run, and the rows still open at the end."""
+    gold, runs = _daily_gold(spark, sf)
+    path, waiting = _path(spark, "labels"), _path(spark, "open")
+    for first, last in runs[:-1]:
+        for _ in range(2):  # a run again changes nothing
+            daily.labels(spark, gold, path, waiting, first, last)
+    rows = tables.read_table(spark, path).unionByName(tables.read_table(spark, waiting), allowMissingColumns=True)
+    return micros(rows.select("token_address", "event_timestamp", "label", "exit_label"))
+
+
+def prices_as_of_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Ticks land in four parts, with a request for each a minute earlier; a last tick moves time past all of them."""
+    run = _path(spark, "as-of")
+    slices = views.tick_slices(spark, sf)
+    ask = (F.col("event_timestamp") - F.expr("interval 1 minute")).alias("event_timestamp")
+    kinds = {"ticks": slices.drop("slice"), "asks": slices.select(F.col("event_id").alias("request_id"), "token_address", ask)}
+    end = slices.agg(F.lit("end").alias("event_id"), F.lit("~").alias("token_address"), (F.max("event_timestamp") + F.expr("interval 1 day")).alias("event_timestamp"), F.lit(0.0).alias("price"))
+
+    def serve() -> None:
+        ticks, asks = (spark.readStream.schema(df.schema).parquet(f"{run}/{name}") for name, df in kinds.items())
+        found = as_of.prices_as_of(asks, ticks, "2 minutes")
+        ingest.start_table_sink(found, f"{run}/out", f"{run}/checkpoint", None).awaitTermination()
+
+    for part in range(4):
+        here = slices.where(F.col("slice") == part)
+        here.select(kinds["ticks"].columns).write.mode("append").parquet(f"{run}/ticks")
+        here.select(F.col("event_id").alias("request_id"), "token_address", ask).write.mode("append").parquet(f"{run}/asks")
+        serve()
+    end.select(kinds["ticks"].columns).write.mode("append").parquet(f"{run}/ticks")
+    serve()
+    return rounded(spark.read.schema(as_of.AS_OF_SCHEMA).parquet(f"{run}/out").select("request_id", "token_address", "price"))
+
+
+def _alert_job(spark: SparkSession, sf: str) -> str:
+    """The alert job over messages that land in four parts; every ninth tick also sends a message that is none."""
+    run = _path(spark, "alert-job")
+    time = F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    fields = (("event_id", F.col("event_id")), ("token_address", F.col("token_address")), ("event_timestamp", time))
+    message = F.to_json(F.struct(*[c.alias(n) for n, c in fields], F.struct(F.col("price").cast("string").alias("value")).alias("payload")))
+    ninth = F.pmod(F.col("event_id").cast("long"), F.lit(9)) == 0
+    slices = views.tick_slices(spark, sf).select("slice", F.explode(F.when(ninth, F.array(message, F.lit("junk"))).otherwise(F.array(message))).alias("value"))
+    for part in range(4):
+        slices.where(F.col("slice") == part).drop("slice").write.mode("append").text(f"{run}/in")
+        for query in alerts.run_alert_stream(ingest.file_messages(spark, f"{run}/in"), f"{run}/out", f"{run}/checkpoint", ALERT_WINDOW, None):
+            query.awaitTermination()
+    return f"{run}/out"
+
+
+def alert_job(spark: SparkSession, sf: str) -> DataFrame:
+    return micros(spark.read.schema(alerts.ALERT_SCHEMA).parquet(f"{_alert_job(spark, sf)}/alerts"))
+
+
+def alert_job_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    dead = spark.read.schema("value string, problem string").parquet(f"{_alert_job(spark, sf)}/dead_letters")
+    return dead.groupBy("value", "problem").agg(F.count(F.lit(1)).alias("messages"))
+
+
+def train_job(spark: SparkSession, sf: str) -> DataFrame:
+    """The training job over a gold table, read back: the models of both kinds with the counts of their runs."""
+    gold, stored, runs = (_path(spark, n) for n in ("gold", "models", "runs"))
+    tables.write_partitioned(features.token_features(views.candles(spark, sf)).withColumn("event_date", F.to_date("event_timestamp")), gold, ["event_date"])
+    jobs.train(spark, gold, stored, runs)
+    done = tables.read_table(spark, stored).select("token_address", "model_type", "run_id", "converged")
+    rows = tables.read_table(spark, runs).join(done, ["token_address", "model_type", "run_id"])
+    return rounded(rows.select("token_address", "model_type", "n_train", "n_test", "positive_rate_train", "positive_rate_test", "converged"))
+
+
+def token_features_split(spark: SparkSession, sf: str) -> DataFrame:
+    """All features with every series of more than thirty rows cut into segments."""
+    df = features.token_features(views.candles(spark, sf), max_rows=30, segment_rows=20)
+    return rounded_but(df.select("event_id", "token_address", "event_timestamp", "close", "volume", *K.ENTRY_FEATURES), RETURNS)
+
+
 DAILY = {
     "silver_stream_table": silver_stream_table,
     "silver_stream_quarantine": silver_stream_quarantine,
@@ -152,6 +232,12 @@ DAILY = {
     "rejections_folded": rejections_folded,
     "positions_upserted": positions_upserted,
     "bronze_compacted": bronze_compacted,
+    "labels_daily": labels_daily,
+    "prices_as_of_stream": prices_as_of_stream,
+    "alert_job": alert_job,
+    "alert_job_rejects": alert_job_rejects,
+    "train_job": train_job,
+    "token_features_split": token_features_split,
 }
 
 #: The same rows as in one run.
@@ -166,4 +252,17 @@ DAILY_ORACLES = {
     "positions_upserted": f"SELECT *, true AS few_runs FROM ({LAKE_ORACLES['positions_table']})",
     "bronze_compacted": """SELECT 'market' AS domain, strftime(ts, '%Y-%m-%d') AS dt, 2 * count(*) AS events, count(*) AS ids,
         true AS one_file_a_day FROM events GROUP BY ALL""",
+    "labels_daily": _from_silver(
+        _sql(
+            "lagged",
+            f"""SELECT token_address, {_micros("event_timestamp")}, {_ENTRY_LABEL}, CASE WHEN lead(rn, 6) OVER w IS NOT NULL THEN
+                CAST(CASE WHEN (least(lead(close, 1) OVER w, lead(close, 2) OVER w, lead(close, 3) OVER w) - close) / close <= -0.01
+                     THEN 1 ELSE 0 END AS DOUBLE) END AS exit_label FROM lagged {_LABEL}""",
+        )
+    ),
+    "prices_as_of_stream": LAKE_ORACLES["prices_as_of_all"],
+    "alert_job": ORACLES["price_alerts"],
+    "alert_job_rejects": "SELECT 'junk' AS value, 'token' AS problem, count(*) AS messages FROM events WHERE event_id % 9 = 0",
+    "train_job": f"SELECT * FROM ({_ENTRY}) UNION ALL SELECT * FROM ({_EXIT})",
+    "token_features_split": ORACLES["token_features"],
 }

@@ -213,7 +213,7 @@ def holder_tiers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _outflows(spark: SparkSession, sf: str) -> DataFrame:
-    moves = wallets.transfers(views.wallet_transactions(spark, sf))
+    moves = wallets.transfers(views.wallet_transactions(spark, sf), sent=True)
     return wallets.outflows(moves, F.lit(views.NOW).cast("timestamp"), views.RECENCY_HOURS)
 
 
@@ -389,7 +389,7 @@ def late_ticks(spark: SparkSession, sf: str) -> DataFrame:
     """Ticks that come too late when the third of four parts comes last, by token."""
     run = _scratch(spark, "late")
     _fed(spark, sf, (0, 1, 3, 2), run, lambda ticks: alerts.count_late(ticks, run, f"{run}/checkpoint", every=None))
-    late = spark.read.schema("token_address string, batch bigint").parquet(f"{run}/late")
+    late = tables.read_table(spark, f"{run}/late")
     return late.groupBy("token_address").agg(F.count(F.lit(1)).alias("late"))
 
 

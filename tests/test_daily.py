@@ -219,3 +219,29 @@ def test_silver_stream_by_time_of_files(spark, tmp_path):
         tables.write_bronze(envelopes(spark, [("a", 5, 60, 1.0), ("b", 6, 61, 0.0)]), bronze)
         silver_stream.start(spark, bronze, path, checkpoint, every=None).awaitTermination()
     assert tables.read_silver(spark, path).count() == 1 and tables.read_silver(spark, path, "quarantine").count() == 1
+
+
+def test_labels_become_final_once(spark, tmp_path):
+    from tickloom.operators import labels as lb
+    from tickloom.operators.series import lay_out
+
+    gold, path, waiting = (str(tmp_path / n) for n in ("gold", "labels", "open"))
+    rows = ft.token_features(candles(spark, 8, rows=90))
+    missing = {c: F.lit(None).cast(k) for c, k in (x.split(" ") for x in tables.GOLD_SCHEMA.split(", ")) if c not in rows.columns}
+    rows = rows.withColumns(missing).select(*[c.split(" ")[0] for c in tables.GOLD_SCHEMA.split(", ")])
+    tables.write_partitioned(rows, gold, ["event_date"])
+    days = sorted(r[0] for r in rows.select("event_date").distinct().collect())
+    cuts = [days[3], days[4], days[len(days) // 2], days[-1]]
+    first, final = days[0], 0
+    for last in cuts:
+        seen = daily.labels(spark, gold, path, waiting, first, last)
+        final += seen["final"]
+        assert daily.labels(spark, gold, path, waiting, first, last)["final"] == 0
+        assert tables.read_table(spark, path).count() == final
+        first = last + timedelta(days=1)
+    with pytest.raises(ValueError, match="final up to"):
+        daily.labels(spark, gold, path, waiting, days[0], days[1])
+    want = lb.with_exit_label(lb.with_entry_label(lay_out(tables.read_gold(spark, gold)))).frame().where("label is not null")
+    columns = ("event_id", "label", "exit_label")
+    assert rounded_rows(tables.read_table(spark, path).select(*columns)) == rounded_rows(want.select(*columns))
+    assert seen["open"] == rows.count() - final

@@ -256,3 +256,13 @@ def test_news_posts_land_whole_texts_in_bounded_responses(spark):
     found = [json.loads(r.response)["results"] for r in lake._post_responses(docs).collect()]
     assert sorted(len(x) for x in found) == [200, 500, 500]
     assert sorted(int(p["id"]) for x in found for p in x) == list(range(1200)) and all(p["title"] == "word " * 30 for x in found for p in x)
+
+
+def test_first_items_of_long_feeds(spark):
+    """Beyond the limit that Spark thins by, a feed is ranked by position, in one task or many."""
+    rows = spark.createDataFrame([(f, i) for f, n in (("a", 2500), ("b", 30), ("c", 1)) for i in range(n)], "feed string, place int")
+    for layout in ({}, {"max_rows": 100, "segment_rows": 70}):
+        found = feeds.first_items(rows.orderBy(F.rand(1)), 1200, **layout)
+        assert {(r["feed"], r["n"], r["last"]) for r in found.groupBy("feed").agg(F.count("*").alias("n"), F.max("place").alias("last")).collect()} == {("a", 1200, 1199), ("b", 30, 29), ("c", 1, 0)}
+        assert found.where(F.col("item_rank") != F.col("place") + 1).count() == 0
+    assert feeds.first_items(rows, 3).count() == 7

@@ -224,6 +224,20 @@ def test_outflows(spark):
     assert got["untimed"]["latest_outflow"] is None
 
 
+def test_transfers_of_overlapping_polls(spark):
+    """Signed transfers count once however many polls show them; unsigned ones all count, equal ones too."""
+    move, other = ("T", "w", "x", 5.0), ("T", "x", "w", 7.0)
+    first = [("s1", 10, [move, move, other]), (None, 20, [move, move])]
+    again = [("s1", 10, [move, move, other]), ("s2", 10, [move]), (None, 20, [move])]
+    df = spark.createDataFrame([("w", first), ("w", again), ("v", first)], f"wallet string, transactions {wallets.SIGNED_TRANSACTIONS}")
+    counts = {(r["wallet"], r["sender"]): r["count"] for r in wallets.transfers(df).groupBy("wallet", "sender").count().collect()}
+    assert counts == {("w", "w"): 2 + 3 + 1, ("w", "x"): 1, ("v", "w"): 2 + 2, ("v", "x"): 1}
+    sent = wallets.transfers(df, sent=True)
+    assert {(r["wallet"], r["sender"]): r["count"] for r in sent.groupBy("wallet", "sender").count().collect()} == {("w", "w"): 6}
+    plain = wallets.transfers(spark.createDataFrame([("w", [(1, [move, move])])], f"wallet string, transactions {wallets.TRANSACTIONS}"))
+    assert plain.count() == 2 and "Exchange" not in plain._jdf.queryExecution().toString()
+
+
 def test_news_classification(spark):
     rows = [
         ("Exchange hacked amid partnership", "x.com", ""),

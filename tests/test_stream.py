@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import os
 from datetime import timedelta
 
 import pytest
@@ -108,3 +109,121 @@ def test_state_of_idle_tokens_is_cleared(spark, tmp_path):
             q.awaitTermination()
     state = spark.read.format("statestore").option("path", str(tmp_path / "cp" / "alerts")).option("stateVarName", "ticks").load()
     assert {r["key"]["token_address"] for r in state.collect()} == {"C"}
+
+
+class Held:
+    """State in memory that counts the rows read from it."""
+
+    def __init__(self):
+        self.rows, self.map, self.value, self.timers = 0, {}, None, []
+
+    def getMapState(self, *_):  # noqa: N802
+        return self
+
+    def getValueState(self, *_):  # noqa: N802
+        return Value()
+
+    def registerTimer(self, at):  # noqa: N802
+        self.timers.append(at)
+
+    def getValue(self, key):  # noqa: N802
+        self.rows += len(self.map[key][0])
+        return self.map[key]
+
+    def updateValue(self, key, value):  # noqa: N802
+        self.map[key] = value
+
+
+class Value:
+    held = None
+
+    def exists(self):
+        return self.held is not None
+
+    def get(self):
+        return self.held
+
+    def update(self, value):
+        self.held = value
+
+
+def test_state_read_for_a_tick_does_not_grow_with_the_bucket():
+    import random
+
+    import pandas as pd
+
+    window = timedelta(minutes=5)
+    rng, read = random.Random(1), []
+    tracker, state = alerts.MoveTracker(window), Held()
+    tracker.init(state)
+    all_ticks, got = [], []
+    for batch in range(60):
+        ticks = [(batch * 20_000_000 + i * 500_000, f"{batch:03d}-{i:02d}", rng.uniform(90, 110)) for i in range(40) if batch % 7 != 3]
+        ticks.append((batch * 20_000_000 + 1, f"{batch:03d}-zz", 100.0))
+        rng.shuffle(ticks)
+        all_ticks += ticks
+        frame = pd.DataFrame(ticks, columns=["at", "event_id", "price"])
+        frame["event_timestamp"], frame["own"] = pd.to_datetime(frame["at"], unit="us"), True
+        before = state.rows
+        for out in tracker.handleInputRows(("A", 0), iter([frame.iloc[:5], frame.iloc[5:]]), None):
+            got += list(out[["event_id", "pct_change"]].itertuples(index=False, name=None))
+        read.append(state.rows - before)
+    want = []
+    ordered = sorted(all_ticks)
+    for at_, event, price in ordered:
+        batch_end = (int(event[:3]) + 1) * 20_000_000
+        base = next(t for t in ordered if t[0] >= at_ - 300_000_000 and t[0] < batch_end)
+        if abs(price / base[2] - 1) >= 0.02:
+            want.append((event, price / base[2] - 1))
+    assert [e for e, _ in sorted(got)] == [e for e, _ in sorted(want)]
+    assert [c for _, c in sorted(got)] == pytest.approx([c for _, c in sorted(want)])
+    held = sum(len(v[0]) for v in state.map.values())
+    assert state.timers and held > 2000 and max(read[40:]) <= 80 and max(read[40:]) <= max(read[16:40]) + 12
+
+
+def test_late_ticks_leave_few_files(spark, tmp_path, monkeypatch):
+    from tickloom.sources import versions
+
+    folder, run = tmp_path / "in", str(tmp_path / "run")
+    folder.mkdir()
+    monkeypatch.setattr(alerts, "TIDY_BATCHES", 5)
+    for i in range(24):
+        rows = [{"token_address": "A", "event_timestamp": at(100 * i).isoformat()}]
+        rows += [{"token_address": "B", "event_timestamp": at(100 * (i - 3)).isoformat()}] if i in (5, 6, 11) else []
+        file = folder / f"{i:02d}.json"
+        file.write_text("\n".join(json.dumps(r) for r in rows))
+        os.utime(file, (1_700_000_000 + 10 * i,) * 2)  # files are taken in this order
+    stream = spark.readStream.schema("token_address string, event_timestamp timestamp").option("maxFilesPerTrigger", 1).json(str(folder))
+    alerts.count_late(stream, run, f"{run}/check", every=None).awaitTermination()
+    late = versions.read(spark, f"{run}/late")
+    assert sorted((r["token_address"], r["batch"]) for r in late.collect()) == [("B", 5), ("B", 6), ("B", 11)]
+    assert len(versions.numbers(spark, f"{run}/late")) <= 2 + 5 and len(versions.current(spark, f"{run}/late").files) <= 2
+    assert versions.current(spark, f"{run}/late").notes["batch"] == "23"
+    alerts.count_late(stream, run, f"{run}/check", every=None).awaitTermination()
+    assert versions.read(spark, f"{run}/late").count() == 3
+
+
+def test_as_of_stream_equals_batch(spark, tmp_path):
+    import random
+
+    from tickloom.operators.prices import prices_as_of
+    from tickloom.streaming import as_of
+
+    rng = random.Random(4)
+    quotes = sorted((rng.randrange(0, 900), t, None if rng.random() < 0.1 else rng.uniform(1, 9)) for t in "AB" for _ in range(60))
+    quotes = [(t, at(s), f"q{i:03d}", p) for i, (s, t, p) in enumerate(quotes)]
+    asks = sorted((rng.randrange(0, 900), t) for t in "ABC" for _ in range(40))
+    asks = [(f"r{i:03d}", t, at(s)) for i, (s, t) in enumerate(asks)]
+    q_schema, a_schema = "token_address string, event_timestamp timestamp, event_id string, price double", "request_id string, token_address string, event_timestamp timestamp"
+    for part in range(4):
+        span = [r for r in quotes if at(300 * part) <= r[1] < at(300 * part + 300)] + ([("Z", at(90_000), "end", 1.0)] if part == 3 else [])
+        spark.createDataFrame(span, q_schema).write.mode("append").parquet(str(tmp_path / "q"))
+        spark.createDataFrame([r for r in asks if at(300 * part) <= r[2] < at(300 * part + 300)], a_schema).write.mode("append").parquet(str(tmp_path / "a"))
+        found = as_of.prices_as_of(spark.readStream.schema(a_schema).parquet(str(tmp_path / "a")), spark.readStream.schema(q_schema).parquet(str(tmp_path / "q")))
+        ingest.start_table_sink(found, str(tmp_path / "out"), str(tmp_path / "check"), None).awaitTermination()
+
+    def key(df):
+        return sorted((r["request_id"], r["token_address"], r["price"]) for r in df.select("request_id", "token_address", F.coalesce("price", F.lit(-1.0)).alias("price")).collect())
+
+    want = prices_as_of(spark.createDataFrame(asks, a_schema), spark.createDataFrame(quotes, q_schema))
+    assert key(spark.read.schema(as_of.AS_OF_SCHEMA).parquet(str(tmp_path / "out"))) == key(want)

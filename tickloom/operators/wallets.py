@@ -19,32 +19,36 @@ def parse_transactions(envelopes: DataFrame) -> DataFrame:
     return envelopes.select(F.col("token_address").alias("wallet"), listed.alias("transactions"))
 
 
-def transfers(wallets: DataFrame) -> DataFrame:
-    """One row per token transfer of each wallet's transactions.
+def transfers(wallets: DataFrame, sent: bool = False) -> DataFrame:
+    """One row per token transfer of each wallet's transactions, or of those that the wallet itself ``sent``.
 
     Polls of a wallet overlap: a transfer that several of them show (same wallet, signature and place in the
-    transaction) counts once. Transactions without a signature cannot be told apart and all count.
+    transaction) counts once. Transactions without a signature cannot be told apart and all count. Only what is kept is
+    shuffled, and nothing where no transaction can have a signature.
     """
     listed = wallets.select("wallet", F.explode("transactions").alias("t"))
-    signature = F.col("t.signature") if "signature" in listed.schema["t"].dataType.names else F.lit(None).cast("string")
-    unsigned = F.when(signature.isNull(), F.monotonically_increasing_id())
-    return (
-        listed.select(
-            "wallet",
-            signature.alias("signature"),
-            unsigned.alias("unsigned"),
-            F.timestamp_seconds("t.timestamp").alias("tx_time"),
-            F.posexplode("t.tokenTransfers").alias("place", "x"),
-        )
-        .dropDuplicates(["wallet", "signature", "unsigned", "place"])
-        .select(
-            "wallet",
-            "tx_time",
-            F.col("x.mint").alias("token_address"),
-            F.col("x.fromUserAccount").alias("sender"),
-            F.col("x.tokenAmount").alias("amount"),
-        )
+    signed = "signature" in listed.schema["t"].dataType.names
+    move = F.struct(
+        F.col("tx_time"),
+        F.col("x.mint").alias("token_address"),
+        F.col("x.fromUserAccount").alias("sender"),
+        F.col("x.tokenAmount").alias("amount"),
     )
+    moves = listed.select(
+        "wallet",
+        (F.col("t.signature") if signed else F.lit(None).cast("string")).alias("signature"),
+        F.timestamp_seconds("t.timestamp").alias("tx_time"),
+        F.posexplode("t.tokenTransfers").alias("place", "x"),
+    ).select("wallet", "signature", "place", move.alias("move"))
+    if sent:
+        moves = moves.where(F.col("move.sender") == F.col("wallet"))
+    if signed:
+        # Without a signature a transfer is told by all it says, and its copies are counted, not dropped.
+        own = F.when(F.col("signature").isNull(), F.col("move"))
+        once = moves.groupBy("wallet", "signature", "place", own.alias("own")).agg(F.min("move").alias("move"), F.count(F.lit(1)).alias("n"))
+        times = F.when(F.col("signature").isNull(), F.col("n")).otherwise(F.lit(1)).cast("int")
+        moves = once.select("wallet", F.explode(F.array_repeat("move", times)).alias("move"))
+    return moves.select("wallet", "move.*")
 
 
 def outflows(moves: DataFrame, now: Column, recency_hours: float = 24.0) -> DataFrame:

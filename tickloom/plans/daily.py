@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from tickloom.operators import backtest as bt
 from tickloom.operators import features as ft
+from tickloom.operators import labels as lb
+from tickloom.operators.series import lay_out
 from tickloom.session import cut, cuts_removed
 from tickloom.sources import tables, versions
 
@@ -88,3 +90,30 @@ def backtest(
 
 def metrics(spark: SparkSession, parts_path: str) -> DataFrame:
     return bt.fold(tables.read_table(spark, parts_path))
+
+
+def labels(spark: SparkSession, gold_path: str, labels_path: str, open_path: str, first: date, last: date) -> dict[str, int]:
+    """Entry and exit labels of the days ``first`` to ``last``, which follow those done before.
+
+    A label looks ahead, so the last rows of a series stay open: they wait in ``open_path`` until later days close
+    them. A row goes to ``labels_path`` once, when its labels are final. What is read is these days and the open rows. A run
+    that is repeated after a failure changes nothing that was written; days once done are refused, since their labels are final.
+    """
+    done = {p: versions.current(spark, p) for p in (labels_path, open_path)}
+    through = {p: v.notes.get("through", "") if v else "" for p, v in done.items()}
+    if through[open_path] == str(last):
+        return {"final": 0, "open": tables.read_table(spark, open_path).count()}
+    if str(first) <= through[open_path]:
+        raise ValueError(f"labels are final up to {through[open_path]}")
+    gold = tables.read_gold(spark, gold_path, keep=tables.within("event_date", first, last))
+    if done[open_path]:
+        gold = gold.unionByName(tables.read_table(spark, open_path))
+    with cuts_removed(spark):
+        rows = cut(lb.with_exit_label(lb.with_entry_label(lay_out(gold))).frame())
+        # The entry label looks further ahead, so a row with it has both.
+        final, waiting = rows.where(F.col("label").isNotNull()), rows.where(F.col("label").isNull()).drop("label", "exit_label")
+        tables.write_partitioned(
+            final, labels_path, ["event_date"], append=True, sort_by=["token_address", "event_timestamp"], note=("through", str(last))
+        )
+        versions.overwrite(waiting, open_path, note=("through", str(last)))
+        return {"final": final.count(), "open": waiting.count()}

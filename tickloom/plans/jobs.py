@@ -138,7 +138,7 @@ def outflow_report(
     wallet_envelopes: DataFrame, monitored: DataFrame, now: Column, recency_hours: float = 24.0
 ) -> DataFrame:
     """Outflows of every monitored (wallet, token_address)."""
-    moves = wallets.transfers(wallets.parse_transactions(wallet_envelopes))
+    moves = wallets.transfers(wallets.parse_transactions(wallet_envelopes), sent=True)
     return wallets.outflow_report(monitored, wallets.outflows(moves, now, recency_hours))
 
 

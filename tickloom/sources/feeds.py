@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.news import mentions
 from tickloom.functions.times import feed_time
+from tickloom.operators.series import lay_out
 from tickloom.session import pin_utc
 from tickloom.sources.envelope import to_envelope
 
 logger = logging.getLogger(__name__)
 
+#: Spark keeps a window's first rows before the shuffle up to this rank.
+THINNED = 1000
 ITEM_SCHEMA = "title string, description string, link string, pubDate string"
 
 
@@ -57,8 +60,11 @@ def read_feeds(spark: SparkSession, feeds: dict[str, str]) -> DataFrame:
     return out
 
 
-def first_items(items: DataFrame, limit: int) -> DataFrame:
-    """The first ``limit`` items of each feed, before any topic filter."""
+def first_items(items: DataFrame, limit: int, **layout) -> DataFrame:
+    """The first ``limit`` items of each feed, before any topic filter. Small limits thin items before the shuffle; with
+    a larger one a feed of any length is ranked by many tasks."""
+    if limit > THINNED:
+        return lay_out(items, ("feed",), ("place",), **layout).index("item_rank").frame().where(F.col("item_rank") <= limit)
     w = Window.partitionBy("feed").orderBy("place")
     return items.withColumn("item_rank", F.row_number().over(w)).where(F.col("item_rank") <= limit)
 

@@ -2,11 +2,14 @@
 
 Ticks are read in event time. A tick later than the watermark is dropped by Spark (``count_late`` keeps such ticks);
 any other tick sees every accepted tick of its window, whatever the micro-batches. State is in RocksDB, per token and
-time bucket, only ever appended to; a timer clears it once the watermark has passed the bucket.
+time bucket; a timer clears it once the watermark has passed the bucket. Inside a bucket ticks are kept by short slots of
+time: a tick asks for the oldest one of its window, so it reads the slot in which its window starts, or the next that
+has ticks, and a new tick rewrites its own slot alone.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from datetime import timedelta
 
@@ -18,6 +21,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from tickloom.constants import MOVE_SEVERITIES
 from tickloom.session import pin_utc, ship
+from tickloom.sources import versions
 from tickloom.streaming import ingest
 
 ship(__name__)
@@ -29,16 +33,17 @@ ALERT_SCHEMA = (
 )
 #: A time bucket is as long as so many windows; a tick near its end is also kept for the next.
 BUCKET_WINDOWS = 4
-TICK_STATE = "at bigint, event_id string, price double"
+#: Slots of a window; state is read and written by slot.
+WINDOW_SLOTS = 64
+SLOT_STATE = "at array<bigint>, event_id array<string>, price array<double>"
+TICK = ["at", "event_id", "price"]
 
 
-def find_alerts(known: pd.DataFrame, fresh: pd.DataFrame, window_micros: int) -> pd.DataFrame:
-    """Alerts for the ticks in ``fresh``, given all ticks ``known`` (which include them).
+def moves(fresh: pd.DataFrame, base: pd.DataFrame) -> pd.DataFrame:
+    """Alerts for the ticks in ``fresh``, each against the tick in the same row of ``base``.
 
-    Both have at (microseconds), event_id, price; ``known`` is sorted by at, event_id.
+    Both have at (microseconds), event_id, price.
     """
-    oldest = np.searchsorted(known["at"].to_numpy(), fresh["at"].to_numpy() - window_micros, side="left")
-    base = known.iloc[oldest]
     start, price = base["price"].to_numpy(), fresh["price"].to_numpy()
     with np.errstate(divide="ignore", invalid="ignore"):
         change = np.where(start != 0, (price - start) / start, 0.0)
@@ -59,37 +64,76 @@ def find_alerts(known: pd.DataFrame, fresh: pd.DataFrame, window_micros: int) ->
 
 
 class MoveTracker(StatefulProcessor):
-    """State of one token and time bucket: its ticks, and those of the window before it, appended as they come."""
+    """State of one token and time bucket: its ticks, and those of the window before it, by slot."""
 
     def __init__(self, window: timedelta):
         self.window_micros = int(window.total_seconds() * 1_000_000)
         self.bucket_micros = BUCKET_WINDOWS * self.window_micros
+        self.slot_micros = max(self.window_micros // WINDOW_SLOTS, 1)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.ticks = handle.getListState("ticks", TICK_STATE)
+        self.slots = handle.getMapState("ticks", "slot bigint", SLOT_STATE)
+        self.held = handle.getValueState("held", "slots array<bigint>")
+
+    def _slot(self, number: int) -> pd.DataFrame:
+        """The ticks of a slot, oldest first."""
+        return pd.DataFrame(dict(zip(TICK, self.slots.getValue((number,)), strict=True)))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         came = pd.concat(list(rows))  # one bucket's ticks of one micro-batch
         new = pd.DataFrame(
             {
-                "at": came["event_timestamp"].astype("datetime64[us]").astype("int64"),
-                "event_id": came["event_id"],
-                "price": came["price"].astype("float64"),
+                "at": came["event_timestamp"].astype("datetime64[us]").astype("int64").to_numpy(),
+                "event_id": came["event_id"].to_numpy(),
+                "price": came["price"].astype("float64").to_numpy(),
+                "own": came["own"].to_numpy(),
             }
-        )
-        old = pd.DataFrame(list(self.ticks.get()), columns=["at", "event_id", "price"])
-        if old.empty:
+        ).sort_values(["at", "event_id"], ignore_index=True)
+        held = set(self.held.get()[0]) if self.held.exists() else set()
+        if not held:
             self.handle.registerTimer((int(key[1]) + 1) * self.bucket_micros // 1000 + 1)
-        self.ticks.appendList(list(new.itertuples(index=False, name=None)))
-        known = new if old.empty else pd.concat([old, new])
-        known = known.sort_values(["at", "event_id"], ignore_index=True)
-        alerts = find_alerts(known, new[came["own"].to_numpy()], self.window_micros)
+        known: dict[int, pd.DataFrame] = {}
+        for number, ticks in new.groupby(new["at"] // self.slot_micros):
+            number, ticks = int(number), ticks[TICK]
+            if number in held:
+                ticks = pd.concat([self._slot(number), ticks]).sort_values(["at", "event_id"], ignore_index=True)
+            known[number] = ticks.reset_index(drop=True)
+            self.slots.updateValue((number,), tuple(ticks[c].tolist() for c in TICK))
+        if not known.keys() <= held:
+            held |= known.keys()
+            self.held.update((sorted(held),))
+        alerts = self._alerts(new[new["own"]][TICK], sorted(held), known)
         alerts.insert(0, "token_address", key[0])
         yield alerts
 
+    def _alerts(self, fresh: pd.DataFrame, held: list[int], known: dict[int, pd.DataFrame]) -> pd.DataFrame:
+        """Each tick against the oldest of its window: in the slot where the window starts, or the next that is held."""
+
+        def slot(number: int) -> pd.DataFrame:
+            if number not in known:
+                known[number] = self._slot(number)
+            return known[number]
+
+        bases = []
+        starts = fresh["at"].to_numpy() - self.window_micros
+        for number in np.unique(starts // self.slot_micros):
+            here = starts[starts // self.slot_micros == number]
+            after = held[bisect_right(held, number) :]
+            ticks = slot(int(number)) if bisect_left(held, number) < len(held) - len(after) else None
+            place = np.searchsorted(ticks["at"].to_numpy(), here, side="left") if ticks is not None else np.zeros(len(here), int)
+            inside = place < len(ticks) if ticks is not None else np.zeros(len(here), bool)
+            if inside.any():
+                bases.append(ticks.iloc[place[inside]])
+            if not inside.all():
+                # The tick itself is held, so there is a next slot; starts are in order, and so are the bases.
+                bases.append(slot(after[0]).iloc[[0] * int((~inside).sum())])
+        base = pd.concat(bases) if bases else fresh.iloc[:0]
+        return moves(fresh, base)
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.ticks.clear()  # no tick of this bucket can come any more
+        self.slots.clear()  # no tick of this bucket can come any more
+        self.held.clear()
         return iter([])
 
     def close(self) -> None:
@@ -124,26 +168,39 @@ def price_alerts(ticks: DataFrame, window: timedelta = timedelta(minutes=5), lat
     )
 
 
+#: Micro-batches after which the table of late ticks is compacted and old versions of it go.
+TIDY_BATCHES = 10
+
+
 def count_late(ticks: DataFrame, path: str, checkpoint: str, lateness: timedelta = timedelta(minutes=1), every: str | None = "20 seconds") -> StreamingQuery:
-    """Late ticks to ``path/late``: those more than ``lateness`` older than the newest tick of all earlier micro-batches.
+    """Late ticks to the table ``path/late``: those more than ``lateness`` older than the newest tick of all earlier
+    micro-batches.
 
-    A micro-batch that is run again replaces what it wrote. Spark moves its watermark by the same rule, but drops a
-    tick only once the watermark has stood for a whole micro-batch, so what it drops is always counted here.
+    The newest time is a note of the table, committed with a micro-batch's rows, so one that is run again changes
+    nothing, and nothing is kept for a micro-batch without late ticks. Spark moves its watermark by the same rule, but
+    drops a tick only once the watermark has stood for a whole micro-batch, so what it drops is always counted here.
     """
-    spark = ticks.sparkSession
-    mark_schema = "newest timestamp, batch bigint"
+    spark, where = ticks.sparkSession, f"{path}/late"
+    micros = int(lateness.total_seconds() * 1_000_000)
 
     def keep(batch: DataFrame, number: int) -> None:
-        def write(df: DataFrame, name: str) -> None:
-            df.withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{path}/{name}")
-
-        before = spark.createDataFrame([], mark_schema).agg(F.max("newest")).first()[0]
-        if number:
-            marks = spark.read.schema(mark_schema).parquet(f"{path}/marks")
-            before = marks.where(F.col("batch") < number).agg(F.max("newest")).first()[0]
-        write(batch.agg(F.max("event_timestamp").alias("newest")), "marks")
-        edge = F.lit(None).cast("timestamp") if before is None else F.lit(before - lateness)
-        write(batch.where(F.col("event_timestamp") < edge), "late")
+        version = versions.current(spark, where)
+        notes = version.notes if version else {}
+        if int(notes.get("batch", -1)) >= number:
+            return
+        at, before = F.unix_micros("event_timestamp"), notes.get("newest")
+        edge = F.lit(None if before is None else int(before) - micros).cast("long")
+        newest, late = batch.agg(F.max(at), F.count(F.when(at < edge, 1))).first()
+        times = [t for t in (before and int(before), newest) if t is not None]
+        more = {"newest": str(max(times))} if times else {}
+        rows = batch.where(at < edge).withColumn("batch", F.lit(number).cast("long"))
+        if late or version is None:
+            versions.append(rows, where, note=("batch", str(number)), more=more)
+        else:
+            versions.take_note(spark, where, {"batch": str(number), **more})
+        if number % TIDY_BATCHES == TIDY_BATCHES - 1:
+            versions.compact(spark, where)
+            versions.vacuum(spark, where)
 
     return ingest.start_foreach(ticks, keep, checkpoint, every)
 
