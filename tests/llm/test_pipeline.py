@@ -60,3 +60,33 @@ def test_entry_works_without_the_folder(tmp_path):
     )
     root = str(__import__("pathlib").Path(__file__).resolve().parents[2])
     subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
+
+
+def test_rows_with_one_id_are_documents_of_their_own(spark):
+    """Every distinct clean text survives exactly once, whatever ids repeat."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    texts = {k: " ".join(f"{k}{i % 37}x{i}" for i in range(60)) for k in "ABCD"}
+    near = texts["B"] + " more"
+    rows = [(1, texts["A"]), (1, texts["B"]), (2, texts["A"]), (3, texts["B"]), (4, near), (5, texts["C"]), (5, texts["C"]), (None, texts["D"]), (6, None), (6, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], schema)
+    out = [(r.doc_id, r.text) for r in corpus_pipeline.without_copies(spark, docs, SF).collect()]
+    assert sorted(t for _, t in out if t) == sorted(texts.values())
+    assert {i for i, t in out if t} == {1, 5, None} and sorted(str(t) for i, t in out if i == 6) == ["", "None"]
+    found = {(r.doc_id, r.n_shingles): r for r in __import__("tickloom.llm.nearcopies", fromlist=["x"]).near_copies(docs).collect()}
+    assert len(found) == 7  # one row a document id, the null one included
+
+
+def test_rejected_rows_take_no_others_with_them(spark):
+    """Of two rows with one id, junk goes and the clean one stays, all columns as they were."""
+    docs = table(spark, SF, "documents")
+    good = table(spark, SF, "labels").where("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id")
+    unlabelled = docs.join(good, "doc_id", "left_anti")  # what is trusted is learned
+    kept = {r.doc_id for r in corpus_pipeline.good_quality(spark, docs, SF).collect()}
+    some = [r for r in unlabelled.collect() if r.doc_id in kept][:5]
+    junk = spark.createDataFrame([(r.doc_id, "zq xk " * 400, r.lang, "junk", 7) for r in some], docs.schema)
+    out = corpus_pipeline.good_quality(spark, docs.unionByName(junk), SF)
+    rows = out.collect()
+    assert out.schema == docs.schema and {r.doc_id for r in some} <= {r.doc_id for r in rows if r.source != "junk"}
+    assert not any(r.source == "junk" for r in rows)
+    whole = {tuple(r) for r in docs.collect()}
+    assert all(tuple(r) in whole for r in rows)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import stored, text_slices
+from tickloom.llm.common import stored, text_slices, with_ids
 from tickloom.llm.components import components
 from tickloom.session import ship
 
@@ -49,7 +49,7 @@ PIECE = 4_000_000
 SPACE = re.compile(rb"[\x20\x09-\x0d]")
 
 SIGNED = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, sketch binary"
-SETS = "id long, shingles binary"
+SETS = "id long, n long, d1 long, d2 long, shingles binary"
 PAIRS = "a long, b long"
 
 
@@ -156,13 +156,13 @@ def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         samples = np.stack([minima(s, times, salts) for s in sets])
         rows = samples[:, : BANDS * ROWS].reshape(len(sets), BANDS, ROWS)
         keys = mixed((rows * weight).sum(axis=2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64) * np.uint64(BASE))
-        digests = [[mixed(s ^ np.uint64(salt)).sum(dtype=np.uint64) for s in sets] for salt in (11, 22)]
+        d1, d2 = digests(sets)
         yield pa.RecordBatch.from_pydict(
             {
                 "doc_id": batch.column("doc_id").cast(pa.int64()),
                 "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
-                "d1": pa.array(np.array(digests[0], np.uint64).view(np.int64)),
-                "d2": pa.array(np.array(digests[1], np.uint64).view(np.int64)),
+                "d1": d1,
+                "d2": d2,
                 "bands": pa.array(list(keys.view(np.int64)), pa.list_(pa.int64())),
                 "sketch": pa.array([x.tobytes() for x in sketches(samples)], pa.binary()),
             }
@@ -172,7 +172,29 @@ def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in text_slices(batches):
         sets = shingle_sets(batch.column("text").to_pylist())
-        yield pa.RecordBatch.from_pydict({"id": batch.column("doc_id").cast(pa.int64()), "shingles": pa.array([s.tobytes() for s in sets], pa.binary())})
+        d1, d2 = digests(sets)
+        yield pa.RecordBatch.from_pydict(
+            {
+                "id": batch.column("doc_id").cast(pa.int64()),
+                "n": pa.array([len(s) for s in sets], pa.int64()),
+                "d1": d1,
+                "d2": d2,
+                "shingles": pa.array([s.tobytes() for s in sets], pa.binary()),
+            }
+        )
+
+
+def digests(sets: list[np.ndarray]) -> list[pa.Array]:
+    """Two 64-bit digests of each set."""
+    sums = ([mixed(s ^ np.uint64(salt)).sum(dtype=np.uint64) for s in sets] for salt in (11, 22))
+    return [pa.array(np.array(x, np.uint64).view(np.int64)) for x in sums]
+
+
+def sets_of(texts: DataFrame, wanted: DataFrame, repeated: bool) -> DataFrame:
+    """(id, shingles) of the wanted documents: of rows with one id, of the one that ``signatures`` chose."""
+    made = with_ids(texts, wanted).mapInArrow(full_sets, SETS)
+    chosen = F.min_by("shingles", F.struct("n", "d1", "d2")).alias("shingles")
+    return stored(made.groupBy("id").agg(chosen) if repeated else made.select("id", "shingles"), "sets")
 
 
 def bits(column: pa.Array) -> np.ndarray:
@@ -286,19 +308,23 @@ def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         yield pa.Table.from_batches(held)
 
 
-def signatures(docs: DataFrame) -> DataFrame:
-    """One row a document (SIGNED), written once."""
+def repeats_ids(docs: DataFrame) -> bool:
+    counts = docs.agg(F.count("doc_id"), F.count_distinct("doc_id")).first()
+    return counts[0] != counts[1]
+
+
+def signatures(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """One row a document (SIGNED), written once, and whether ids repeat."""
     signed = stored(docs.select("doc_id", "text").mapInArrow(sign, SIGNED), "signed")
-    counts = signed.agg(F.count("doc_id"), F.count_distinct("doc_id")).first()
-    if counts[0] == counts[1]:
-        return signed
+    if not repeats_ids(signed):
+        return signed, False
     one = signed.filter("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("n_shingles", "d1", "d2", "bands", "sketch")).alias("s"))
-    return stored(one.select("doc_id", "s.*").unionByName(signed.filter("doc_id is null")), "signed")
+    return stored(one.select("doc_id", "s.*").unionByName(signed.filter("doc_id is null")), "signed"), True
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row a document."""
-    signed = signatures(docs)
+    signed, repeated = signatures(docs)
     usable = signed.filter("n_shingles > 0 and doc_id is not null")
     digest = ["n_shingles", "d1", "d2"]
     classes = usable.groupBy(*digest).agg(F.min("doc_id").alias("rep"))
@@ -315,11 +341,11 @@ def near_copies(docs: DataFrame) -> DataFrame:
     light = reps.select("id", "n", "sketch")
 
     stars = shared.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-    links = linked(sketch_filter(stars, light), texts)
+    links = linked(sketch_filter(stars, light), texts, repeated)
     parts = components(links)
     open_ = open_buckets(shared, parts)
     if not open_.isEmpty():
-        more = stored(block_links(open_, reps, texts).distinct(), "links")
+        more = stored(block_links(open_, reps, texts, repeated).distinct(), "links")
         if not more.isEmpty():
             parts = components(links.unionByName(more))
 
@@ -337,10 +363,10 @@ def sketch_filter(pairs: DataFrame, light: DataFrame) -> DataFrame:
     return stored(pairs.join(a, "a").join(b, "b").mapInArrow(likely, PAIRS), "likely")
 
 
-def linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def linked(pairs: DataFrame, texts: DataFrame, repeated: bool) -> DataFrame:
     """The pairs whose full sets are similar enough; sets are made anew from the texts of these documents alone."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = stored(texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(full_sets, SETS), "sets")
+    sets = sets_of(texts, wanted, repeated)
     a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
     return stored(pairs.join(a, "a").join(b, "b").mapInArrow(decide, PAIRS), "links")
@@ -354,7 +380,7 @@ def open_buckets(shared: DataFrame, parts: DataFrame) -> DataFrame:
     return stored(rows.join(several, "key"), "open")
 
 
-def block_links(rows: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
+def block_links(rows: DataFrame, reps: DataFrame, texts: DataFrame, repeated: bool) -> DataFrame:
     """Links (a, b) between what is apart, found in square blocks of each open bucket.
 
     Sketches come first; full sets go only to the rows that are in a pair left undecided by them.
@@ -368,5 +394,5 @@ def block_links(rows: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame
     dealt = light.repartition(*shares).sortWithinPartitions(*shares)
     left = stored(dealt.mapInArrow(undecided, light.schema), "undecided")
     wanted = left.select(F.col("id").alias("doc_id")).distinct()
-    sets = stored(texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(full_sets, SETS), "sets")
+    sets = sets_of(texts, wanted, repeated)
     return left.join(sets, "id").repartition(*shares).sortWithinPartitions(*shares).mapInArrow(compare_blocks, PAIRS)

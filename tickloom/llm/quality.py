@@ -37,14 +37,14 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import shared_path, stored, text_slices
+from tickloom.llm.common import keep, shared_path, stored, text_slices, working_tables
 from tickloom.session import ship
 
 ship(__name__)
 
 ORDER = 5
 #: Bytes of text of a block, and of a slice whose n-grams are sorted at once.
-BLOCK_BYTES, SLICE = 16_000_000, 2_000_000
+BLOCK_BYTES, SLICE = 32_000_000, 2_000_000
 CALIBRATION = 4
 #: Of so many texts, a distance from the median counts half; the distances taken where no text tells them, by kind.
 FEW, WIDE = 50, (1.0, 0.2)
@@ -57,9 +57,9 @@ BINS = 1000
 #: Discounts where counts of counts are too few to estimate them.
 PLAIN_DISCOUNTS = (0.5, 1.0, 1.5)
 
-BLOCKS = "block long, doc_ids array<long>, langs array<string>, sizes array<long>, texts binary"
+BLOCKS = "block long, doc_ids array<long>, langs array<string>, sizes array<long>, texts binary, rest binary"
 COUNTED = "gram long, n long"
-SCORED = "doc_id long, lang string, n_bytes long, nll double, repeats long"
+SCORED = "doc_id long, lang string, n_bytes long, nll double, repeats long, block long, place int"
 
 
 def grams(text: bytes) -> np.ndarray:
@@ -114,40 +114,71 @@ def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows as blocks: texts compressed together, and all other columns as they are, in ``rest``."""
     import zstandard
 
     press = zstandard.ZstdCompressor(level=3)
     partition, number = TaskContext.get().partitionId(), 0
-    held: list[tuple[int | None, str | None, bytes]] = []
+    held: list[tuple[pa.RecordBatch, list[bytes]]] = []
     size = 0
 
     def block() -> pa.RecordBatch:
-        row = {
-            "block": [(partition << 32) | number], "doc_ids": [[h[0] for h in held]], "langs": [[h[1] for h in held]],
-            "sizes": [[len(h[2]) for h in held]], "texts": [press.compress(b"".join(h[2] for h in held))],
-        }
-        kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.int64()), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row.values(), kinds, strict=True)], names=list(row))
+        rows = pa.Table.from_batches([b for b, _ in held])
+        texts = [t for _, some in held for t in some]
+        # The text's place is taken by whether it is null.
+        rest = rows.set_column(rows.schema.get_field_index("text"), "text", rows["text"].is_null())
+        columns = [
+            pa.array([(partition << 32) | number], pa.int64()),
+            pa.array([rows["doc_id"].to_pylist()], pa.list_(pa.int64())),
+            pa.array([rows["lang"].to_pylist()], pa.list_(pa.string())),
+            pa.array([[len(t) for t in texts]], pa.list_(pa.int64())),
+            pa.array([press.compress(b"".join(texts))], pa.binary()),
+            pa.array([press.compress(ipc_bytes(rest))], pa.binary()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["block", "doc_ids", "langs", "sizes", "texts", "rest"])
 
     for batch in text_slices(batches):
-        for row in zip(batch.column("doc_id").to_pylist(), batch.column("lang").to_pylist(), as_bytes(batch.column("text").to_pylist()), strict=True):
-            held.append(row)
-            size += len(row[2])
+        texts, first = as_bytes(batch.column("text").to_pylist()), 0
+        for at, text in enumerate(texts, 1):
+            size += len(text)
             if size >= BLOCK_BYTES:
+                held.append((batch.slice(first, at - first), texts[first:at]))
                 yield block()
-                number, held, size = number + 1, [], 0
+                number, held, size, first = number + 1, [], 0, at
+        if first < len(texts):
+            held.append((batch.slice(first), texts[first:]))
     if held:
         yield block()
 
 
+def ipc_bytes(rows: pa.Table) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, rows.schema) as writer:
+        writer.write_table(rows)
+    return out.getvalue().to_pybytes()
+
+
+def rebuild(block: pa.Table, places: pa.Table) -> pa.Table:
+    """The rows at ``places`` of a block, as they were."""
+    import zstandard
+
+    row = block.to_pylist()[0]
+    rest = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(row["rest"])).read_all()
+    wanted = pa.array(sorted(places["place"].to_pylist()), pa.int64())
+    texts, missing = block_texts(row["sizes"], row["texts"]), rest["text"].to_pylist()
+    whole = pa.array([None if missing[i] else texts[i].decode() for i in wanted.to_pylist()], pa.string())
+    return rest.take(wanted).set_column(rest.schema.get_field_index("text"), "text", whole)
+
+
 def block_table(docs: DataFrame) -> DataFrame:
-    """The texts as blocks, written once and dealt by block, so that meeting them by block moves no text again."""
+    """The rows as blocks, written once and dealt by block, so that meeting them by block moves no text again."""
     spark = docs.sparkSession
     name, path = f"blocks_{uuid.uuid4().hex}", shared_path(spark, "blocks")
-    blocks = docs.select("doc_id", "lang", "text").mapInArrow(to_blocks, BLOCKS)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks.write.bucketBy(parts, "block").option("path", path).option("compression", "none").saveAsTable(name)
-    return spark.table(name)
+    docs.mapInArrow(to_blocks, BLOCKS).write.bucketBy(parts, "block").option("path", path).option("compression", "none").saveAsTable(name)
+    blocks = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the catalog's entry; the files stay for those who read them
+    return blocks
 
 
 def count_trusted(block: pa.Table, places: pa.Table) -> pa.Table:
@@ -189,8 +220,10 @@ def add_up(block: pa.Table, table: pa.Table) -> pa.Table:
     """Negative log-likelihood of each text of a block, by the block's table of n-grams."""
     order = np.argsort(table["gram"].to_numpy())
     known, cost = table["gram"].to_numpy()[order], table["cost"].to_numpy()[order]
-    ids, langs, sizes, total, again = [], [], [], [], []
-    for row in block.to_pylist():
+    ids, langs, sizes, total, again, of, places = [], [], [], [], [], [], []
+    for row in block.select(["block", "doc_ids", "langs", "sizes", "texts"]).to_pylist():
+        of += [row["block"]] * len(row["sizes"])
+        places += range(len(row["sizes"]))
         sums = np.zeros(len(row["sizes"]))
         texts = block_texts(row["sizes"], row["texts"])
         again += map(repeats, texts)
@@ -203,7 +236,7 @@ def add_up(block: pa.Table, table: pa.Table) -> pa.Table:
         langs += row["langs"]
         sizes += row["sizes"]
         total += sums.tolist()
-    return pa.table({"doc_id": pa.array(ids, pa.int64()), "lang": pa.array(langs, pa.string()), "n_bytes": pa.array(sizes, pa.int64()), "nll": pa.array(total, pa.float64()), "repeats": pa.array(again, pa.int64())})
+    return pa.table({"doc_id": pa.array(ids, pa.int64()), "lang": pa.array(langs, pa.string()), "n_bytes": pa.array(sizes, pa.int64()), "nll": pa.array(total, pa.float64()), "repeats": pa.array(again, pa.int64()), "block": pa.array(of, pa.int64()), "place": pa.array(places, pa.int32())})
 
 
 @dataclass
@@ -264,7 +297,7 @@ def costs(wanted: DataFrame, model: Model) -> DataFrame:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, lang, n_bytes, nll, repeats) of each row of ``docs``: nll sums its bytes' negative log probabilities."""
-    return score_blocks(block_table(docs), model)
+    return score_blocks(block_table(docs.select("doc_id", "lang", "text")), model).drop("block", "place")
 
 
 def score_blocks(blocks: DataFrame, model: Model) -> DataFrame:
@@ -325,8 +358,27 @@ def judge(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
 
     ``trusted_ids`` has the ``doc_id`` of trusted texts among them.
     """
+    return judge_blocks(block_table(docs.select("doc_id", "lang", "text")), trusted_ids).drop("block", "place")
+
+
+def accepted(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` accepts, each judged by itself, taken out of the blocks that they lie in."""
+    with working_tables(docs.sparkSession):
+        blocks = block_table(docs)
+        good = stored(judge_blocks(blocks, trusted_ids).filter("accepted").select(F.col("block").alias("of_block"), "place"), "accepted")
+        pairs = blocks.groupBy("block").cogroup(good.groupBy("of_block"))
+        return keep(stored(pairs.applyInArrow(rebuild_any(docs.columns), docs.schema), "accepted"))
+
+
+def rebuild_any(columns: list[str]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    def rows(block: pa.Table, places: pa.Table) -> pa.Table:
+        return rebuild(block, places).select(columns)
+
+    return rows
+
+
+def judge_blocks(blocks: DataFrame, trusted_ids: DataFrame) -> DataFrame:
     ids = trusted_ids.select("doc_id").filter("doc_id is not null").distinct()
-    blocks = block_table(docs)
     places = blocks.select(F.col("block").alias("of_block"), F.posexplode("doc_ids").alias("place", "doc_id"))
     places = places.join(ids.filter(~calibrating()), "doc_id", "left_semi").select("of_block", "place")
     trusted = blocks.select("block", "sizes", "texts").groupBy("block").cogroup(places.groupBy("of_block"))
@@ -341,4 +393,5 @@ def judge(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
         "doc_id", "lang", "n_bytes",
         F.exp(F.try_divide("nll", "n_bytes")).alias("perplexity"), "bits", "high", "repeated", "most",
         F.coalesce((F.col("bits") <= F.col("high")) & (F.col("repeated") <= F.col("most")), F.lit(True)).alias("accepted"),
+        "block", "place",
     )
