@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import language, nearcopies, quality
-from tickloom.llm.common import stored, table
+from tickloom.llm.common import keep, stored, table, with_ids, working_tables
 from tickloom.llm.queries import learnable, packed, trusted_ids
 
 #: The least probability of a language for a text to stay.
@@ -26,18 +26,26 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents beyond their language's limits go, with all rows of their id; rows without id stay."""
-    rejected = quality.judge(docs, trusted_ids(spark, sf_dir)).filter("not accepted").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+    """Rows beyond their language's limits go, each judged by itself, whatever ids repeat."""
+    return quality.accepted(docs, trusted_ids(spark, sf_dir))
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group stays, in one row; rows without id stay."""
-    found = stored(nearcopies.near_copies(docs), "copies")
-    out = docs.join(found.filter("not kept").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
-    if found.filter("doc_id is not null").count() == docs.filter("doc_id is not null").count():
-        return out
-    return out.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(out.filter("doc_id is null"))
+    """The document with the smallest id of each group stays, in one row; rows without id stay.
+
+    Where ids repeat, each row is a document of its own: of equal ids the one with the smaller hash of its text is first.
+    """
+    with working_tables(spark):
+        known, unknown = docs.filter("doc_id is not null"), docs.filter("doc_id is null")
+        if not nearcopies.repeats_ids(known):
+            gone = keep(stored(nearcopies.near_copies(docs).filter("not kept").select("doc_id"), "copies"))
+            return with_ids(docs, gone, "left_anti").select(*docs.columns)
+        order = ["doc_id", "_tie"]
+        placed = known.withColumn("_tie", F.xxhash64("text")).repartitionByRange(*order).sortWithinPartitions(*order)
+        rows = keep(stored(placed.drop("_tie").withColumn("_row", F.monotonically_increasing_id()), "rows"))
+        copies = nearcopies.near_copies(rows.select(F.col("_row").alias("doc_id"), "text"))
+        gone = keep(stored(copies.filter("not kept").select(F.col("doc_id").alias("_row")), "copies"))
+        return with_ids(rows, gone, "left_anti", "_row").select(*docs.columns).unionByName(unknown)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
