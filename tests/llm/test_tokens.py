@@ -24,6 +24,27 @@ def whole_ids(text):
     return whole_ids.tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
+def test_long_words_and_words_of_one_hash_go_to_the_library_whole(monkeypatch):
+    texts = ["a " + "x" * n + " b" for n in (7, 8, 9, 199, 200, 201, 202, 5000)] + ["é" * 100 + " c", "é" * 101, "12345678 123456789 1234567", "a\na a"]
+    coder = tokens.WordEncoder(tokens.tokenizer_json())
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode(texts)] == [whole_ids(t) for t in texts]
+    monkeypatch.setattr(tokens, "mixed", lambda x: x & np.uint64(1))
+    clashing = tokens.WordEncoder(tokens.tokenizer_json())
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u4").tolist() for x in clashing.encode(texts)] == [whole_ids(t) for t in texts]
+    for some in (["a b"], ["b a"], ["c"]):  # words of one hash in different slices
+        assert [np.frombuffer(x, "<u4").tolist() for x in clashing.encode(some)] == [whole_ids(t) for t in some]
+
+
+@pytest.mark.parametrize("hashed", [1, 40, 3000])
+def test_lots_change_nothing(rows, monkeypatch, hashed):
+    monkeypatch.setattr(tokens, "HASHED", hashed)
+    some = [t for _, t in rows[:25]] + ODD
+    got = tokens.WordEncoder(tokens.tokenizer_json()).encode(some, 7)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [whole_ids(t) + [7] for t in some]
+
+
 @pytest.fixture(scope="module")
 def rows(spark):
     given = [(r.doc_id, r.text) for r in table(spark, SF, "documents").collect()]
@@ -61,7 +82,7 @@ def test_full_memory_changes_nothing(rows, monkeypatch):
     some = [t for _, t in rows[:60]]
     for _ in range(2):
         assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(some, 0)] == [whole_ids(t) + [0] for t in some]
-    assert all(len(k) <= 50 for k in encoder.known.values())
+    assert len(encoder.place) <= 50
 
 
 def test_file_gives_all_documents_back(spark, rows, monkeypatch):
