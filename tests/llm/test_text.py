@@ -176,6 +176,28 @@ def test_pieces_equal_the_library(spark, trie):
             assert [i for i in got if not plain[i]] == [i for i in want if not plain[i]]
 
 
+@pytest.mark.parametrize("lot", [1, 50, 5000])
+def test_lots_of_parts_change_nothing(spark, trie, monkeypatch, lot):
+    texts = [r.text for r in table(spark, SF, "documents").limit(20).collect()] + ["a" * 3000 + " b", "", "▁a▁ b"]
+    want = pieces.Encoder(trie).encode(texts)
+    monkeypatch.setattr(pieces, "LOT", lot)
+    assert pieces.Encoder(trie).encode(texts) == want
+
+
+def test_distinct_words_take_bounded_memory(trie):
+    import random
+    import tracemalloc
+
+    rng = random.Random(1)
+    text = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyzé", k=rng.randint(3, 10))) for _ in range(550_000))
+    assert len(text.encode()) > 4_000_000
+    tracemalloc.start()
+    ids = pieces.Encoder(trie).encode([text])
+    assert pieces.decode(ids[0], trie) == text
+    assert tracemalloc.get_traced_memory()[1] < 350e6
+    tracemalloc.stop()
+
+
 def test_pieces_of_rows(spark, trie):
     rows = [(1, None, 5), (2, "", 5), (3, "a b", 5), (3, "a b", 5), (None, "x", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_ids int")

@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from pathlib import Path
 
 import numpy as np
@@ -35,6 +36,10 @@ MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Parts that a worker keeps between slices; results don't depend on it.
 REMEMBERED = 300_000
+#: Bytes of distinct parts that are segmented together: each takes some hundred bytes of arrays. A longer part is alone.
+LOT = 262_144
+#: Bytes of text, and of ids, that a worker handles at once.
+SLICE = 1_000_000
 #: In a text, the marker is replaced by this byte, which UTF-8 never has, so that it isn't taken for a space.
 FOREIGN_MARK = b"\xff"
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -55,6 +60,12 @@ class Trie:
         """Plain values: workers need no copy of this package to read them."""
         return self.base, self.check, self.value, self.scores, self.byte_ids, self.pieces
 
+    @cached_property
+    def spoken(self) -> list[bytes]:
+        """What each piece is in a text: the marker is a space, but not where bytes stand for themselves."""
+        fallback = set(self.byte_ids.tolist())
+        return [p if i in fallback else p.replace(MARK.encode(), b" ") for i, p in enumerate(self.pieces)]
+
     @property
     def unknown(self) -> float:
         return float(self.scores.min()) - UNKNOWN_PENALTY
@@ -94,9 +105,10 @@ def build_trie(texts: list[str], scores: list[float], plain: list[bool]) -> Trie
                 continue
             children[key[: k + 1]] = []
             children[key[:k]].append(key[k])
-    size = 300 * len(children)  # room enough for any layout; cut to what is used below
-    base, check, value = np.zeros(size, np.int32), np.full(size, -1, np.int32), np.full(size, -1, np.int32)
-    used = bytearray(size)
+    base: dict[int, int] = {}
+    check: dict[int, int] = {}
+    value: dict[int, int] = {}
+    used = bytearray(4 * len(children) + 1024)  # cells taken; it grows with them
     used[0] = 1
     place = {b"": 0}
     free = last = 1
@@ -105,6 +117,8 @@ def build_trie(texts: list[str], scores: list[float], plain: list[bool]) -> Trie
         value[state] = keys.get(prefix, -1)
         if not codes:
             continue
+        if len(used) < last + 2048:
+            used.extend(bytes(len(used)))
         if len(codes) == 1:  # an only child takes the first free place that its byte can reach
             free = used.index(0, free)
             at = max(1, used.index(0, max(free, codes[0] + 1)) - codes[0])
@@ -119,6 +133,10 @@ def build_trie(texts: list[str], scores: list[float], plain: list[bool]) -> Trie
             place[prefix + bytes([c])] = at + c
             last = max(last, at + c)
     top = max(place.values()) + 257
+    cells = []
+    for found, none in ((base, 0), (check, -1), (value, -1)):
+        cells.append(np.full(top, none, np.int32))
+        cells[-1][list(found)] = list(found.values())
     byte_ids = np.full(256, -1, np.int64)
     for i, t in enumerate(texts):
         m = BYTE_PIECE.fullmatch(t)
@@ -128,17 +146,33 @@ def build_trie(texts: list[str], scores: list[float], plain: list[bool]) -> Trie
         raise ValueError("the model has no byte pieces")
     raw = [bytes([int(m[1], 16)]) if not p and (m := BYTE_PIECE.fullmatch(t)) else t.encode() if p else b"" for t, p in zip(texts, plain, strict=True)]
     kept = np.array([s if p else np.inf for s, p in zip(scores, plain, strict=True)])
-    return Trie(base[:top], check[:top], value[:top], np.where(np.isinf(kept), kept[np.isfinite(kept)].min(), kept), byte_ids, raw)
+    return Trie(*cells, np.where(np.isinf(kept), kept[np.isfinite(kept)].min(), kept), byte_ids, raw)
 
 
 def load(path: str | None = None) -> Trie:
     return build_trie(*read_pieces(path or model_path()))
 
 
+def lots(parts: list[bytes]) -> Iterator[list[bytes]]:
+    """Parts in lots of about LOT bytes."""
+    held: list[bytes] = []
+    size = 0
+    for part in parts:
+        if held and size + len(part) > LOT:
+            yield held
+            held, size = [], 0
+        held.append(part)
+        size += len(part)
+    if held:
+        yield held
+
+
 def segment(parts: list[bytes], trie: Trie) -> list[bytes]:
     """Ids of each part's best segmentation, as little-endian unsigned 32-bit bytes."""
-    if not parts:
-        return []
+    return [ids for lot in lots(parts) for ids in segment_lot(lot, trie)]
+
+
+def segment_lot(parts: list[bytes], trie: Trie) -> list[bytes]:
     lengths = np.array([len(p) for p in parts], np.int64)
     data = np.frombuffer(b"".join(parts), np.uint8).astype(np.int32)
     offset = np.concatenate([[0], np.cumsum(lengths)])
@@ -260,16 +294,17 @@ def words_of(text: bytes) -> list[bytes]:
 
 def decode(ids: bytes, trie: Trie) -> str:
     """The text of ids."""
-    pieces, mark = trie.pieces, MARK.encode()
-    fallback = set(trie.byte_ids.tolist())
-    raw = b"".join([pieces[i] if i in fallback else pieces[i].replace(mark, b" ") for i in np.frombuffer(ids, "<u4").tolist()])
+    spoken = trie.spoken
+    found = np.frombuffer(ids, "<u4")
+    # Some ids at a time, so that a long text is not a list of all its pieces at once.
+    raw = b"".join([b"".join([spoken[i] for i in found[a : a + 65_536].tolist()]) for a in range(0, len(found), 65_536)])
     return raw[1:].decode("utf-8", "replace")
 
 
 def encoder(shared: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Encoder(Trie(*shared.value))
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, most=SLICE):
             ids = coder.encode(batch.column("text").to_pylist())
             columns = [*batch.columns, pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "ids", "n_ids"])
@@ -280,7 +315,7 @@ def encoder(shared: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
 def decoder(shared: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie(*shared.value)
-        for batch in text_slices(batches, "ids"):
+        for batch in text_slices(batches, "ids", SLICE):
             texts = [decode(x or b"", trie) for x in batch.column("ids").to_pylist()]
             columns = [*batch.columns, pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "text"])
