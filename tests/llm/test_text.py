@@ -104,6 +104,99 @@ def test_layout_classes_cut_no_article(name):
     assert extraction.main_text(page(f"<article><p>{LONG}</p><section class=related><p>{LONG * 3}</p></section><div {name}><p>{LONG * 3}</p></div></article>")) == (LONG * 7).strip()
 
 
+def test_density_comes_before_tags():
+    body = f"<h2>Head</h2><p>{LONG * 3}</p><p>{LONG * 2}</p>"
+    want = f"Head {LONG * 5}".strip()
+    teaser = "<article class=card><h3>Other story</h3><p>short teaser</p></article>"
+    assert extraction.main_text(page(f"<div class=post>{body}</div>{teaser}")) == want
+    assert extraction.main_text(page(f"<div class=post>{body}</div><div class=leftSidebar><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div>")) == want
+    assert extraction.main_text(page(f"<article>{body}<div class=user-responses><div><b>Ann</b><p>{LONG}</p></div><div><b>Bob</b><p>{LONG}</p></div></div></article>")) == want
+    third = f"<p>{LONG * 2}</p>"
+    assert extraction.main_text(page(f"<article>{third}</article><article>{third}</article><article>{third}</article><div class=sidebar><p>{LONG}</p></div>")) == (LONG * 6).strip()
+
+
+def test_lists_of_links_under_a_heading_stay():
+    links = "".join(f"<li><a href=/{i}>Source number {i}</a></li>" for i in range(6))
+    sources = " ".join(f"Source number {i}" for i in range(6))
+    for wrap in ("{0}{1}", "<section>{0}{1}</section>", "{0}<div>{1}</div>"):
+        inner = wrap.format("<h2>References</h2>", f"<ul>{links}</ul>")
+        assert extraction.main_text(page(f"<article><p>{LONG * 4}</p>{inner}</article>")) == f"{LONG * 4}References {sources}"
+    related = extraction.main_text(page(f"<article><p>{LONG * 4}</p><h2>Related stories</h2><ul>{links}</ul></article>"))
+    assert sources not in related
+
+
+def plain_measures(page):
+    """Densities and sums by the standard library's parser and plain recursion, for pages without odd markup."""
+    from html.parser import HTMLParser
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.root = {"name": "", "parts": []}
+            self.open = [self.root]
+
+        def handle_starttag(self, tag, attrs):
+            self.open[-1]["parts"].append({"name": tag, "parts": []})
+            self.open.append(self.open[-1]["parts"][-1])
+
+        def handle_endtag(self, tag):
+            self.open.pop()
+
+        def handle_data(self, data):
+            self.open[-1]["parts"].append(data)
+
+    reader = Reader()
+    reader.feed(page)
+
+    def count(n):
+        kids = [p for p in n["parts"] if isinstance(p, dict)]
+        for k in kids:
+            count(k)
+        n["kids"] = kids
+        n["c"] = sum(len(" ".join(p.split())) for p in n["parts"] if isinstance(p, str)) + sum(k["c"] for k in kids)
+        n["t"] = sum(k["t"] + 1 for k in kids)
+        link = n["name"] == "a"
+        n["lc"] = n["c"] if link else sum(k["lc"] for k in kids)
+        n["lt"] = n["t"] + 1 if link else sum(k["lt"] for k in kids)
+
+    body = next(p for p in reader.root["parts"][0]["parts"] if isinstance(p, dict) and p["name"] == "body")
+    count(body)
+    out = []
+
+    def density(n):
+        c, t, lc, lt = n["c"], max(1, n["t"]), n["lc"], max(1, n["lt"])
+        own = 0.0
+        if c:
+            base = math.log(c / max(1, c - lc) * lc + body["lc"] / max(1, body["c"]) * c + math.e)
+            own = c / t * math.log(max(1.0, c / max(1, lc) * t / lt)) / (math.log(base) if base > 1 else 1)
+        at = len(out)
+        out.append(None)
+        out[at] = (n["name"], own, sum(density(k) for k in n["kids"]))
+        return own
+
+    density(body)
+    return out
+
+
+def test_densities_equal_a_plain_count():
+    rng = random.Random(5)
+
+    def block(depth):
+        if depth == 0 or rng.random() < 0.3:
+            return f"<p>{LONG[: rng.randint(1, 70)]}<b>{'x' * rng.randint(0, 9)}</b></p>" if rng.random() < 0.7 else f"<div><a>{LONG[: rng.randint(1, 40)]}</a></div>"
+        return f"<div>{''.join(block(depth - 1) for _ in range(rng.randint(1, 4)))}</div>"
+
+    for _ in range(60):
+        given = f"<html><body>{block(4)}{block(3)}</body></html>"
+        want = plain_measures(given)
+        body = extraction.in_order(extraction.tree(given))[2]
+        nodes = extraction.in_order(body)
+        extraction.measure(nodes, body)
+        assert [(n.name, pytest.approx(n.density), pytest.approx(n.sum)) for n in nodes] == want
+        best = extraction.densest(nodes)
+        assert best.sum == pytest.approx(max(s for name, _, s in want if name in extraction.CONTAINERS or name == "body"))
+
+
 def test_extract_keeps_pages_and_columns(spark):
     rows = [(i, "u", h, "own") for i, h in enumerate(PAGES)] + [(None, None, None, None)]
     got = extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()

@@ -5,9 +5,9 @@ notices, comments) are cut off. Every remaining node gets its composite text den
 how many of them are links against the whole body; a node's density sum adds up its children's densities. The node of
 the largest sum lies in the article; the least density on its path to the body is the threshold that other subtrees
 beside the path need to count as well, if they hold paragraphs or the like; headings there count anyway, being too
-short to be dense. Where the largest sum lies in an
-``article`` or ``main``, the tag decides: the choice is widened to all of it, so a dense part doesn't stand for the whole,
-and to the other outermost ones that reach the threshold. Lists of links in it that don't reach the threshold go.
+short to be dense. Where the largest sum lies in an ``article`` or ``main``, or most of its text does, the choice is widened
+to all of that element, so a dense part doesn't stand for the whole, and to the other outermost ones that reach the threshold;
+an ``article`` elsewhere changes nothing. Lists of links in it that don't reach the threshold go, but not those under a heading.
 
 Cases: null and empty pages give an empty text; a page without elements is its own text; tags left open end where
 HTML lets them; unknown character references stay as they are; white space is what Python's ``str.split`` takes for
@@ -34,7 +34,8 @@ ship(__name__)
 
 MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
-PART = re.compile(r"[a-z]+")
+#: Parts of a compound name: by signs between them, or by capitals.
+PART = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]*")
 
 #: Elements without content, and those whose content is no markup.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -68,8 +69,12 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 OTHER_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion menu nav navbar navigation breadcrumb breadcrumbs sidebar "
     "footer cookie cookies consent notice notices popup modal overlay newsletter subscribe signup login share sharing social related recommended "
-    "recommendations comment comments disqus reply replies respond widget toolbar pagination pager skip".split()
+    "recommendations comment comments disqus reply replies respond responses discussion widget toolbar pagination pager skip".split()
 )
+#: Parts of a layout's name that say what is beside the element, not what it is.
+LAYOUT_WORDS = frozenset("no has with without hide enabled disabled".split())
+#: Headings of link lists that are no part of an article.
+LIST_TITLES = OTHER_WORDS | frozenset("more tags topics popular latest trending links".split())
 #: Of them, those that sections of an article have as well.
 VAGUE_WORDS = frozenset("notice notices related reply replies respond share sharing social promotion widget skip".split())
 #: Words that name the top of a site, unless within an article.
@@ -97,9 +102,10 @@ def is_other(name: str, attributes: str, within: bool) -> tuple[bool, int]:
         return False, 0
     tokens = set()
     for key, *values in ATTRIBUTE.findall(attributes):
-        key, value = key.lower(), "".join(values).lower()
+        key, given = key.lower(), "".join(values)
+        value = given.lower()
         if key in ("class", "id"):
-            tokens.update(value.split())
+            tokens.update(given.split())
         elif key == "role" and value in OTHER_ROLES or key == "aria-hidden" and value == "true":
             return True, 0
         elif key == "style" and "display:none" in value.replace(" ", ""):
@@ -107,9 +113,15 @@ def is_other(name: str, attributes: str, within: bool) -> tuple[bool, int]:
     if "hidden" in ATTRIBUTE.sub(" ", attributes).lower().split():
         return True, 0
     named = OTHER_WORDS if within else OTHER_WORDS | TOP_WORDS
-    if not tokens.isdisjoint(named - VAGUE_WORDS):
-        return False, 2
-    return False, int(any(w in named for t in tokens for w in PART.findall(t)))
+    doubt = 0
+    for token in tokens:
+        words = [w.lower() for w in PART.findall(token)]
+        layout = not LAYOUT_WORDS.isdisjoint(words)
+        # A name's last word says what it is: leftSidebar, user-responses.
+        if token.lower() in named - VAGUE_WORDS or words and not layout and words[-1] in named - VAGUE_WORDS:
+            return False, 2
+        doubt |= any(w in named for w in words)
+    return False, int(doubt)
 
 
 def settle(nodes: list[Node], body: Node) -> None:
@@ -264,7 +276,10 @@ def main_text(page: str | None) -> str:
     best = densest(nodes)
     marked = [n for n in nodes if n.name in MARKED and n.chars]
     if marked and not any(n.name in MARKED for n in [best, *ancestors(best, body)]):
-        best = max(marked, key=lambda n: n.sum)
+        inside = [n for n in marked if best in ancestors(n, body) or n is best]
+        outer = [n for n in inside if not any(a.name in MARKED for a in ancestors(n, body))]
+        if 2 * sum(n.chars - n.link_chars for n in outer) > best.chars - best.link_chars:
+            best = max(inside, key=lambda n: n.sum)
     path = [best, *ancestors(best, body)]
     threshold = min(n.density for n in path)
     whole = [n for n in path if n.name in MARKED]
@@ -272,7 +287,7 @@ def main_text(page: str | None) -> str:
         outer = [n for n in nodes if n.name in MARKED and not any(a.name in MARKED for a in ancestors(n, body))]
         parts = [n for n in outer if n is whole[-1] or n.density >= threshold]
         for node in (n for part in parts for n in in_order(part)[1:]):
-            node.other = is_link_list(node) and node.density < threshold
+            node.other = is_link_list(node) and node.density < threshold and not titled(node)
         return " ".join(x for n in parts if (x := " ".join(text_of(n).split())))
     while best is not body and best.parent not in (None, body) and any(isinstance(x, str) and not x.isspace() for x in best.parent.parts):
         best = best.parent
@@ -294,6 +309,23 @@ def is_link_list(node: Node) -> bool:
     return (node.name in CONTAINERS or node.name in LISTS) and several and 2 * node.link_chars > node.chars
 
 
+def titled(node: Node) -> bool:
+    """Whether a block is under a heading of the article, or begins with one."""
+
+    def is_title(found: Node | None) -> bool:
+        return found is not None and found.name in HEADINGS and LIST_TITLES.isdisjoint(re.findall(r"\w+", text_of(found).lower()))
+
+    inside = [c for c in node.children if not c.other and c.chars]
+    before = None
+    for c in node.parent.children if node.parent else []:
+        if c is node:
+            break
+        if not c.other and c.chars:
+            before = c
+    only = node.parent is not None and sum(not c.other and c.chars > 0 for c in node.parent.children) == 1
+    return is_title(inside[0] if inside else None) or is_title(before) or (only and node.parent.name not in (*MARKED, "body", "") and titled(node.parent))
+
+
 def heads(node: Node, within: bool) -> bool:
     """Whether a node beside the path is a heading, or, ``within`` the article, holds nothing but headings."""
     if node.name in HEADINGS or not within:
