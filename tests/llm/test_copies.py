@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 import re
 
@@ -123,6 +124,11 @@ def test_sketches_estimate_similarity():
     assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.045
 
 
+def plain_cosine(a, b):
+    dot, na, nb = (math.fsum(x * y for x, y in zip(u, v, strict=True)) for u, v in ((a, b), (a, a), (b, b)))
+    return dot / (math.sqrt(na) * math.sqrt(nb))
+
+
 def plain_vectors(rows, cosine=0.9):
     unit = {}
     for i, v in rows:
@@ -130,10 +136,9 @@ def plain_vectors(rows, cosine=0.9):
             unit[i] = min(unit.get(i, v), v)
     for i, v in unit.items():
         x = np.array(v, np.float32).astype(np.float64)
-        x /= np.abs(x).max()
-        unit[i] = x / np.linalg.norm(x)
+        unit[i] = (x / np.abs(x).max()).tolist()
     ids = sorted({i for i, _ in rows if i is not None})
-    links = [(a, b) for k, a in enumerate(ids) for b in ids[k + 1 :] if a in unit and b in unit and len(unit[a]) == len(unit[b]) and round(float(unit[a] @ unit[b]), 12) >= cosine]
+    links = [(a, b) for k, a in enumerate(ids) for b in ids[k + 1 :] if a in unit and b in unit and len(unit[a]) == len(unit[b]) and plain_cosine(unit[a], unit[b]) >= cosine]
     best = reach(ids, links)
     n = {i: 0 for i in ids}
     for a, b in links:
@@ -173,6 +178,20 @@ def test_near_vectors_repeats_nulls_and_nothing(spark):
     assert vectorcopies.near_vectors(spark.createDataFrame([], schema)).collect() == []
 
 
+def test_no_link_below_the_threshold(spark):
+    """Cosines a little above, at and below 0.9, of doubles."""
+    rows, want = [(0, [1.0, 0.0])], {}
+    for i, c in enumerate([0.9 - 3e-13, 0.9 - 1e-12, 0.9 + 3e-13, 0.9 + 1e-9, 0.9 - 1e-9, 0.9 - 2e-16], 1):
+        v = [c, math.sqrt(1 - c * c)]
+        # Each turned by an angle of its own, so that no two of them are near but through the first.
+        rows.append((i, v if i % 2 else [v[0], -v[1]]))
+        want[i] = plain_cosine(rows[0][1], rows[i][1]) >= 0.9
+    for i, linked in want.items():
+        got = vectorcopies.near_vectors(spark.createDataFrame([rows[0], rows[i]], "vec_id long, embedding array<double>")).collect()
+        assert {r.n_links for r in got} == {int(linked)}, i
+    assert set(want.values()) == {True, False}
+
+
 def test_hashing_finds_pairs_at_the_threshold(spark):
     """Recall of pairs whose cosine is just above 0.9, with several directions a table."""
     rng = np.random.default_rng(6)

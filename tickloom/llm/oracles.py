@@ -40,7 +40,7 @@ ORACLES = {
         ), links AS (
             SELECT x.vec_id AS a, y.vec_id AS b
             FROM usable x JOIN usable y ON x.vec_id <> y.vec_id
-            WHERE round(list_cosine_similarity(x.v, y.v), 12) >= 0.9
+            WHERE list_cosine_similarity(x.v, y.v) >= 0.9
         ), reach AS (
             SELECT vec_id AS id, vec_id AS other FROM embeddings
             UNION

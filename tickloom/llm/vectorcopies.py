@@ -10,6 +10,9 @@ the number of tables with it, so that a pair at the threshold is missed with pro
 
 Equal vectors are one class, compared once: its members are all linked to each other.
 
+A cosine within CLOSE of the threshold, where the order of summing could decide, is taken again from the components as they
+are given: three sums without rounding on the way, two roots, a division.
+
 Cases: vectors that are null, empty or zero, or hold null or non-finite components, and rows with a null id, link
 with nothing; vectors of different lengths are not linked; an id that occurs more than once stands for its smallest
 usable vector, and gives one row; a null id gives a row without component that is kept; other columns are ignored; an
@@ -26,6 +29,7 @@ import pyarrow as pa
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.llm.common import stored
 from tickloom.llm.components import components
@@ -41,10 +45,10 @@ MATES = BLOCK = 1024
 #: Bucket width over the distance of two vectors at the threshold.
 WIDTH = 4.0
 SEED = 20240603
-#: Decimals at which cosines are held against the threshold: 0.9 itself is linked whatever the order of summing.
-DECIMALS = 12
+#: So near the threshold a matrix product's rounding may decide.
+CLOSE = 1e-9
 
-HASHED = "id long, weight long, keys array<long>, unit binary"
+HASHED = "id long, weight long, keys array<long>, vector binary"
 FOUND = "a long, b long, links long"
 
 
@@ -63,6 +67,18 @@ def plan(n: int, cosine: float = COSINE) -> tuple[int, int, float]:
     return directions, tables, width
 
 
+def units(given: np.ndarray) -> np.ndarray:
+    x = given.astype(np.float64)
+    x /= np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def exact_cosine(a: np.ndarray, b: np.ndarray) -> float:
+    """The cosine of two vectors from sums that are rounded once."""
+    x, y = ((v * 2.0 ** -np.frexp(np.abs(v).max())[1]) for v in (a.astype(np.float64), b.astype(np.float64)))
+    return math.fsum((x * y).tolist()) / (math.sqrt(math.fsum((x * x).tolist())) * math.sqrt(math.fsum((y * y).tolist())))
+
+
 def hasher(directions: int, tables: int, width: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def hash_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight = mixed(np.random.default_rng(SEED).integers(0, 2**63, directions, np.uint64)) | np.uint64(1)
@@ -71,9 +87,8 @@ def hasher(directions: int, tables: int, width: float) -> Callable[[Iterator[pa.
             lengths = pa.compute.list_value_length(vectors).to_numpy(zero_copy_only=False)
             for dim in np.unique(lengths).tolist():
                 rows = batch.filter(pa.array(lengths == dim))
-                x = rows.column("embedding").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
-                x /= np.abs(x).max(axis=1, keepdims=True)
-                x /= np.linalg.norm(x, axis=1, keepdims=True)
+                given = rows.column("embedding").flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+                x = units(given)
                 rng = np.random.default_rng([SEED, dim])
                 lines = rng.standard_normal((dim, tables * directions))
                 shift = rng.uniform(0, width, tables * directions)
@@ -84,29 +99,34 @@ def hasher(directions: int, tables: int, width: float) -> Callable[[Iterator[pa.
                         "id": rows.column("vec_id").cast(pa.int64()),
                         "weight": rows.column("weight"),
                         "keys": pa.array(list(keys.view(np.int64)), pa.list_(pa.int64())),
-                        "unit": pa.array([v.tobytes() for v in x], pa.binary()),
+                        "vector": pa.array([v.tobytes() for v in given], pa.binary()),
                     }
                 )
 
     return hash_rows
 
 
-def compare(cosine: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Links in one pair of blocks of a bucket."""
+def compare(cosine: float, kind: str = "f4") -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Links in one pair of blocks of a bucket; ``kind`` is the type of the vectors' components."""
 
     def block(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         ids, weight, side = (rows[c].to_numpy() for c in ("id", "weight", "block"))
         table, i, j = (rows[c][0].as_py() for c in ("table", "i", "j"))
-        units = rows["unit"].to_pylist()
-        same = np.array([len(u) for u in units]) == len(units[0])  # lengths differ only if two buckets' keys collide
+        vectors = rows["vector"].to_pylist()
+        same = np.array([len(v) for v in vectors]) == len(vectors[0])  # lengths differ only if two buckets' keys collide
         keep = np.flatnonzero(same)
-        x = np.frombuffer(b"".join(units[k] for k in keep), np.float64).reshape(len(keep), -1)
+        given = np.frombuffer(b"".join(vectors[k] for k in keep), kind).reshape(len(keep), -1)
+        x = units(given)
         keys = np.stack([np.asarray(k) for k in rows["keys"].to_numpy()])[keep]
         ids, weight, side = ids[keep], weight[keep], side[keep]
         left, right = np.flatnonzero(side == i), np.flatnonzero(side == j)
-        close = np.round(x[left] @ x[right].T, DECIMALS) >= cosine
-        p, q = np.nonzero(close)
+        cosines = x[left] @ x[right].T
+        p, q = np.nonzero(cosines >= cosine - CLOSE)
+        unsure = np.flatnonzero(cosines[p, q] < cosine + CLOSE)
         p, q = left[p], right[q]
+        sure = np.ones(len(p), bool)
+        sure[unsure] = [exact_cosine(given[a], given[b]) >= cosine for a, b in zip(p[unsure].tolist(), q[unsure].tolist(), strict=True)]
+        p, q = p[sure], q[sure]
         good = p < q if i == j else np.ones(len(p), bool)
         p, q = p[good], q[good]
         if table:
@@ -149,6 +169,7 @@ def classes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
 def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """(vec_id, n_links, component_id, kept), one row an id."""
     members, reps = classes(vectors)
+    kind = "f8" if vectors.schema["embedding"].dataType.elementType == T.DoubleType() else "f4"
     n = members.filter("vec_id = rep").count()
     directions, tables, width = plan(n, cosine)
     hashed = stored(reps.mapInArrow(hasher(directions, tables, width), HASHED), "hashed")
@@ -161,7 +182,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     rows = rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other"), "table": F.col("table").cast("long")})
     rows = rows.select("id", "table", "key", "i", "j", "block").join(hashed, "id")
     shares = ["table", "key", "i", "j"]
-    found = stored(rows.repartition(*shares).sortWithinPartitions(*shares).mapInArrow(compare(cosine), FOUND), "found")
+    found = stored(rows.repartition(*shares).sortWithinPartitions(*shares).mapInArrow(compare(cosine, kind), FOUND), "found")
 
     links = found.groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     parts = components(found.select("a", "b")).withColumnRenamed("id", "rep")
