@@ -45,7 +45,9 @@ SAMPLES, SKETCH_BITS, SLACK = 256, 1024, 0.13
 BLOCK = 512
 SEED = 20240602
 #: Bytes of a long text whose words are found at once.
-PIECE = 4_000_000
+PIECE = 1_000_000
+#: Bytes of text whose sets are made at once.
+SLICE = 1_000_000
 SPACE = re.compile(rb"[\x20\x09-\x0d]")
 
 SIGNED = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, sketch binary"
@@ -151,7 +153,7 @@ def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Size, digest, band keys and sketch of each text's set."""
     times, salts = odd_numbers(SAMPLES, 2), odd_numbers(SAMPLES, 3)
     weight = odd_numbers(ROWS, 4)
-    for batch in text_slices(batches):
+    for batch in text_slices(batches, most=SLICE):
         sets = shingle_sets(batch.column("text").to_pylist())
         samples = np.stack([minima(s, times, salts) for s in sets])
         rows = samples[:, : BANDS * ROWS].reshape(len(sets), BANDS, ROWS)
@@ -170,7 +172,7 @@ def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in text_slices(batches):
+    for batch in text_slices(batches, most=SLICE):
         sets = shingle_sets(batch.column("text").to_pylist())
         d1, d2 = digests(sets)
         yield pa.RecordBatch.from_pydict(

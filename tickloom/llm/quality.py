@@ -43,8 +43,9 @@ from tickloom.session import ship
 ship(__name__)
 
 ORDER = 5
-#: Bytes of text of a block, and of a slice whose n-grams are sorted at once.
-BLOCK_BYTES, SLICE = 32_000_000, 2_000_000
+#: Bytes of text of a block, of one whose rows are taken out again, and of a slice whose n-grams are sorted at once.
+#: Larger blocks share more n-grams; a block's rows are held by one worker.
+BLOCK_BYTES, ROW_BLOCK_BYTES, SLICE = 32_000_000, 12_000_000, 2_000_000
 CALIBRATION = 4
 #: Of so many texts, a distance from the median counts half; the distances taken where no text tells them, by kind.
 FEW, WIDE = 50, (1.0, 0.2)
@@ -113,7 +114,14 @@ def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict({"gram": pa.array(gram), "n": pa.array(n.astype(np.int64))})
 
 
-def to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def blocker(most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return to_blocks(batches, most)
+
+    return run
+
+
+def to_blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """Rows as blocks: texts compressed together, and all other columns as they are, in ``rest``."""
     import zstandard
 
@@ -141,7 +149,7 @@ def to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, first = as_bytes(batch.column("text").to_pylist()), 0
         for at, text in enumerate(texts, 1):
             size += len(text)
-            if size >= BLOCK_BYTES:
+            if size >= most:
                 held.append((batch.slice(first, at - first), texts[first:at]))
                 yield block()
                 number, held, size, first = number + 1, [], 0, at
@@ -170,12 +178,12 @@ def rebuild(block: pa.Table, places: pa.Table) -> pa.Table:
     return rest.take(wanted).set_column(rest.schema.get_field_index("text"), "text", whole)
 
 
-def block_table(docs: DataFrame) -> DataFrame:
+def block_table(docs: DataFrame, most: int | None = None) -> DataFrame:
     """The rows as blocks, written once and dealt by block, so that meeting them by block moves no text again."""
     spark = docs.sparkSession
     name, path = f"blocks_{uuid.uuid4().hex}", shared_path(spark, "blocks")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs.mapInArrow(to_blocks, BLOCKS).write.bucketBy(parts, "block").option("path", path).option("compression", "none").saveAsTable(name)
+    docs.mapInArrow(blocker(most or BLOCK_BYTES), BLOCKS).write.bucketBy(parts, "block").option("path", path).option("compression", "none").saveAsTable(name)
     blocks = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # the catalog's entry; the files stay for those who read them
     return blocks
@@ -364,7 +372,7 @@ def judge(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
     """The rows of ``docs`` that ``judge`` accepts, each judged by itself, taken out of the blocks that they lie in."""
     with working_tables(docs.sparkSession):
-        blocks = block_table(docs)
+        blocks = block_table(docs, ROW_BLOCK_BYTES)
         good = stored(judge_blocks(blocks, trusted_ids).filter("accepted").select(F.col("block").alias("of_block"), "place"), "accepted")
         pairs = blocks.groupBy("block").cogroup(good.groupBy("of_block"))
         return keep(stored(pairs.applyInArrow(rebuild_any(docs.columns), docs.schema), "accepted"))

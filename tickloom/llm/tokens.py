@@ -28,7 +28,7 @@ from tickloom.session import ship
 ship(__name__)
 
 #: Words that a worker keeps; later ones are encoded anew in each slice. Results don't depend on it.
-REMEMBERED = 750_000
+REMEMBERED = 400_000
 #: A mark at the end of a word of letters is a token of its own, so the word's ids serve with any of them.
 END_MARKS = b".,;:!?"
 #: Words encoded by one call.
