@@ -72,11 +72,12 @@ def curve_places(documents: list[np.ndarray]) -> np.ndarray:
     plane = np.linalg.qr(rng.standard_normal((BINS, DIMENSIONS)))[0]
     lengths = np.array([len(d) for d in documents], np.int64)
     flat = np.concatenate(documents).astype(np.uint32)
-    mixed = flat * np.uint32(2654435761)
-    row = np.repeat(np.arange(len(documents)), lengths)
-    sign = 1.0 - 2.0 * ((mixed >> np.uint32(15)) & np.uint32(1))
-    cells = row * BINS + (mixed >> np.uint32(24)).astype(np.int64)
-    vectors = np.bincount(cells, sign, len(documents) * BINS).reshape(-1, BINS)
+    # The bin and sign of each id, looked up for ids from 0 to the largest.
+    mixed = np.arange(int(flat.max(initial=0)) + 1, dtype=np.uint32) * np.uint32(2654435761)
+    sign, bin_of = 1.0 - 2.0 * ((mixed >> np.uint32(15)) & np.uint32(1)), (mixed >> np.uint32(24)).astype(np.int64)
+    cells = np.repeat(np.arange(len(documents)) * BINS, lengths)
+    cells += bin_of[flat]
+    vectors = np.bincount(cells, sign[flat], len(documents) * BINS).reshape(-1, BINS)
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
     spread = np.tanh(vectors @ plane * np.sqrt(BINS) / 2) / 2 + 0.5
     return hilbert_key(np.minimum((spread * (1 << BITS)).astype(np.int64), (1 << BITS) - 1))
