@@ -71,8 +71,15 @@ def stored(df: DataFrame, what: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Memory that this Python worker has freed goes back to the system; its next task may be another operator's."""
+    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):  # the second also trims what numpy and Python freed
+        pool.release_unused()
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Batches cut so that each holds at most ``most`` bytes of the column ``text``, or one row."""
+    """Batches cut so that each holds at most ``most`` bytes of the column ``text``, or one row; freed memory goes back
+    to the system after each batch."""
     for batch in batches:
         sizes = pa.compute.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes, dtype=np.int64)
@@ -82,3 +89,4 @@ def text_slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int
             stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+        give_back()

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import stored, text_slices, with_ids
+from tickloom.llm.common import give_back, stored, text_slices, with_ids
 from tickloom.llm.components import components
 from tickloom.session import ship
 
@@ -308,6 +308,7 @@ def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
             last = here
     if held:
         yield pa.Table.from_batches(held)
+    give_back()
 
 
 def repeats_ids(docs: DataFrame) -> bool:

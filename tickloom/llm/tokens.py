@@ -147,19 +147,22 @@ class WordEncoder:
         self.mark_ids = np.zeros(256, np.uint32)
         for m in END_MARKS:
             (self.mark_ids[m],) = self.ids(chr(m))
-        # Known words: their place by hash; by place, head, and where their ids lie in ``pool``.
-        self.place: dict[int, int] = {}
-        self.heads, self.at, self.size = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        # Known words: their hashes, rising; at the place of a word's hash also its head, and where its ids lie in ``pool``.
+        # The first entry is no word, as no word has its head.
+        self.place, self.heads = np.zeros(1, np.uint64), np.full(1, 2**64 - 1, np.uint64)
+        self.at, self.size = np.zeros(1, np.int32), np.zeros(1, np.int32)
         self.pool = np.empty(0, np.uint32)
 
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def learn(self, words: Words, new: np.ndarray, hashes: np.ndarray, heads: np.ndarray) -> None:
-        """Take up the words at ``new``: many are encoded at once, a line each, and their ids stay as they come."""
+    def learn(self, words: Words, new: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A pool with the ids of the words at ``new`` put behind the known ones, where each begins there and its number of ids.
+
+        Many words are encoded at once, a line each, and their ids stay as they come."""
         raw, pool, pooled = words.raw, [self.pool], len(self.pool)
         spaced = words.before[new] == SPACED
-        at, size = np.empty(len(new), np.int64), np.empty(len(new), np.int64)
+        at, size = np.empty(len(new), np.int32), np.empty(len(new), np.int32)
         for lead, group in ((b" ", np.flatnonzero(spaced)), (b"", np.flatnonzero(~spaced))):
             for i in range(0, len(group), AT_ONCE):
                 some = group[i : i + AT_ONCE]
@@ -174,11 +177,17 @@ class WordEncoder:
                 pooled += len(ids)
         # A line end stands in front of each word's ids, so a word after one takes it with it.
         lined = words.before[new] == LINED
-        first = len(self.at)
-        self.place.update(zip(hashes[new].tolist(), range(first, first + len(new)), strict=True))
-        self.heads = np.concatenate([self.heads, heads[new]])
-        self.at, self.size = np.concatenate([self.at, at - lined]), np.concatenate([self.size, size + lined])
-        self.pool = np.concatenate(pool)
+        return np.concatenate(pool), at - lined, size + lined
+
+    def remember(self, pool: np.ndarray, hashes: np.ndarray, heads: np.ndarray, at: np.ndarray, size: np.ndarray) -> None:
+        """Keep what a slice brought, unless that makes more than REMEMBERED words."""
+        if len(self.place) + len(hashes) > REMEMBERED:
+            return
+        order = np.argsort(hashes)
+        before = np.searchsorted(self.place, hashes[order], side="right")
+        self.place, self.heads = (np.insert(x, before, y[order]) for x, y in ((self.place, hashes), (self.heads, heads)))
+        self.at, self.size = (np.insert(x, before, y[order]) for x, y in ((self.at, at), (self.size, size)))
+        self.pool = pool
 
     def of_words(self, words: Words) -> list[bytes] | None:
         """Ids of the plain texts; None if two of their words share a hash."""
@@ -189,15 +198,18 @@ class WordEncoder:
         first = np.flatnonzero(np.concatenate([[True], top[1:] > top[:-1]]))
         if (heads != heads[first][codes]).any():
             return None
-        known, kept = distinct.tolist(), (self.heads, self.at, self.size, self.pool)
-        new = np.array([i for i, h in zip(first.tolist(), known, strict=True) if h not in self.place], np.int64)
-        if len(new):
-            self.learn(words, new, hashes, heads)
-        place = np.array([self.place[h] for h in known], np.int64)
-        if (self.heads[place] != heads[first]).any():
+        row = np.searchsorted(self.place, distinct, side="right") - 1
+        known = self.place[row] == distinct
+        if (self.heads[row] != heads[first])[known].any():
             return None
+        at, size, pool = self.at[row], self.size[row], self.pool
+        if not known.all():
+            new = first[~known]
+            pool, at[~known], size[~known] = self.learn(words, new)
+            self.remember(pool, distinct[~known], heads[new], at[~known], size[~known])
+        del hashes, heads, row
         out, marked = [], words.marks > 0
-        sizes = self.size[place][codes] + marked
+        sizes = size[codes] + marked
         ends = np.concatenate([[0], np.cumsum(sizes)])
         texts = len(words.first_words) - 1
         step = max(1, texts * HASHED // max(len(words.data), 1))  # the ids of some texts at a time
@@ -206,17 +218,13 @@ class WordEncoder:
             x, y = int(bounds[0]), int(bounds[-1])
             n, stops = sizes[x:y], ends[x + 1 : y + 1] - ends[x]
             ids = np.empty(int(stops[-1]), np.uint32)
-            source = np.repeat(self.at[place[codes[x:y]]] - (stops - n), n) + np.arange(len(ids))
+            source = np.repeat(at[codes[x:y]] - (stops - n), n) + np.arange(len(ids))
             # Where a mark ends a word, the pool's next id stands in its place for the moment.
-            np.take(self.pool, source, out=ids, mode="clip")
+            np.take(pool, source, out=ids, mode="clip")
             here = marked[x:y]
             ids[stops[here] - 1] = self.mark_ids[words.marks[x:y][here]]
             raw, cuts = ids.tobytes(), ((ends[bounds] - ends[x]) * 4).tolist()
             out += [raw[p:q] for p, q in zip(cuts[:-1], cuts[1:], strict=True)]
-        if len(self.place) > REMEMBERED:  # what this slice brought goes with it
-            for h in hashes[new].tolist():
-                del self.place[h]
-            self.heads, self.at, self.size, self.pool = kept
         return out
 
     def encode(self, texts: list[str | None], end: int | None = None) -> list[bytes]:
