@@ -134,3 +134,24 @@ def test_hot_group_is_found_and_bounded(mixed):
     assert {r["token_address"] for r in series.hot_sizes} == {"hot", "warm"}
     sizes = series.hot.groupBy("token_address", "_segment").count().toPandas()["count"]
     assert sizes.max() <= 23
+
+
+def test_short_segments_do_not_multiply_rows(spark, mixed):
+    """The averages look 2,700 rows back, over more than a hundred segments: a row still has few copies."""
+    series = features.with_ema_macd(lay_out(mixed, max_rows=40, segment_rows=5))
+    copies = []
+
+    def seen(d, w):
+        copies.append(d.count())
+        return d
+
+    series.bounded(seen).frame()
+    assert sum(copies[1:]) < 6 * 490  # the hot rows; before, each had 540 copies
+    same(features.token_features(mixed), features.token_features(mixed, max_rows=40, segment_rows=5))
+
+
+def test_range_partitions_follow_rows(mixed):
+    """Segments of two rows: as many range partitions as rows need, not one for each segment."""
+    hot = lay_out(mixed, max_rows=40, segment_rows=2).hot
+    assert hot.select("_segment").distinct().count() == 200
+    assert len(hot.inputFiles()) <= 4  # the shuffle partitions of this session

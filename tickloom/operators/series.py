@@ -5,7 +5,8 @@ than ``max_rows`` (a *hot* key) is range-partitioned on its order instead, its r
 position, and positions are cut into segments of ``segment_rows``:
 
 * frames that look a fixed number of rows back or ahead run per segment, after the few rows at
-  each segment edge are copied next door (``bounded``);
+  each segment edge are copied next door (``bounded``); where they look over many segments, some
+  neighbours are taken together, so that a row has few copies;
 * running sums, products, maxima and last values run per segment and are then combined with the
   total of the segments before (``running``).
 
@@ -27,8 +28,12 @@ MAX_ROWS = 4_000_000
 SEGMENT_ROWS = 1_000_000
 BROADCAST_SEGMENTS = 200_000
 RANGE_PARTITIONS = 20_000
+#: Rows of a range partition at least, where there are more of them than shuffle partitions.
+RANGE_ROWS = 100_000
+#: Segments that a chain of steps may look over before neighbours are taken together.
+REACH_SEGMENTS = 4
 
-_ID, _INDEX, _SEGMENT, _HOME = "_row_id", "_row_index", "_segment", "_home_segment"
+_ID, _INDEX, _LAST, _SEGMENT, _HOME = "_row_id", "_row_index", "_last_index", "_segment", "_home_segment"
 
 
 def same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
@@ -148,7 +153,7 @@ class Series:
         """Keep the key, the order and ``names``. Worth saying before ``running``, which writes hot rows."""
         own = [*self.keys, *[n.removeprefix("-") for n in self.order]]
         wanted = list(dict.fromkeys([*own, *names]))
-        inner = (_INDEX, _SEGMENT, _HOME)
+        inner = (_INDEX, _LAST, _SEGMENT, _HOME)
         return self.rows(lambda d: d.select(*wanted, *[c for c in inner if c in d.columns]))
 
     def bounded(self, fn: Step, before: int = 0, after: int = 0) -> Series:
@@ -165,14 +170,22 @@ class Series:
         w = self._segment_window()
         if not self.before and not self.after:
             return reduce(lambda d, fn: fn(d, w), self.steps, self.hot)
-        index, size = F.col(_INDEX), F.lit(self.segment_rows)
+        joined = self._joined_segments()
+        index, size = F.col(_INDEX), F.lit(self.segment_rows * joined)
         first = F.greatest(F.lit(0), F.floor((index - self.after) / size))
-        last = F.floor((index + self.before) / size)
-        spread = self.hot.withColumn(_HOME, F.col(_SEGMENT)).withColumn(
+        last = F.floor(F.least(index + self.before, F.col(_LAST)) / size)
+        spread = self.hot.withColumn(_HOME, F.floor(index / size).cast("long")).withColumn(
             _SEGMENT, F.explode(F.sequence(first.cast("long"), last.cast("long")))
         )
         done = reduce(lambda d, fn: fn(d, w), self.steps, spread)
-        return done.where(F.col(_SEGMENT) == F.col(_HOME)).drop(_HOME)
+        own = done.where(F.col(_SEGMENT) == F.col(_HOME)).drop(_HOME)
+        return own if joined == 1 else own.withColumn(_SEGMENT, F.floor(index / self.segment_rows).cast("long"))
+
+    def _joined_segments(self) -> int:
+        """How many neighbouring segments the collected steps run over together. No step looks further than the longest
+        series, so short ones are still cut."""
+        reach = min(self.before + self.after, self.longest)
+        return max(1, -(-reach // (self.segment_rows * REACH_SEGMENTS)))
 
     def running(self, **aggregates: Running) -> Series:
         """Add running aggregates from the first row of the key to the current row.
@@ -239,7 +252,7 @@ class Series:
     def frame(self) -> DataFrame:
         if self.hot is None:
             return self.cold
-        return self.cold.unionByName(self._hot_rows().drop(_INDEX, _SEGMENT))
+        return self.cold.unionByName(self._hot_rows().drop(_INDEX, _LAST, _SEGMENT))
 
 
 def lay_out(
@@ -264,25 +277,29 @@ def lay_out(
         return Series(df, None, keys, order, segment_rows, 0, longest)
     cold_rows, hot_rows = split_hot(df, keys, hot)
     segments = sum(-(-r["_rows"] // segment_rows) for r in hot)
+    even = -(-sum(r["_rows"] for r in hot) // RANGE_ROWS)
+    ranges = max(even, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     placed = cut(
-        hot_rows.repartitionByRange(min(segments, RANGE_PARTITIONS), *keys, *sort_columns(order))
+        hot_rows.repartitionByRange(min(segments, ranges, RANGE_PARTITIONS), *keys, *sort_columns(order))
         .sortWithinPartitions(*keys, *sort_columns(order))
         .withColumn(_ID, F.monotonically_increasing_id())
     )
     part, at = F.shiftright(_ID, 33), F.col(_ID).bitwiseAND(F.lit((1 << 33) - 1))
     placed = placed.withColumns({"_part": part, "_at": at}).drop(_ID)
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     starts = (
         placed.groupBy(*keys, "_part")
         .agg(F.count(F.lit(1)).alias("_rows"), F.min("_at").alias("_first"))
         .withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first"))
+        .withColumn(_LAST, F.sum("_rows").over(whole) - 1)
         .drop("_rows", "_first")
     )
     starts = F.broadcast(starts)  # at most one row per range partition and hot key
     indexed = (
         placed.alias("p")
         .join(starts.alias("s"), _same_place(keys))
-        .select("p.*", (F.col("p._at") + F.col("s._offset")).alias(_INDEX))
+        .select("p.*", (F.col("p._at") + F.col("s._offset")).alias(_INDEX), f"s.{_LAST}")
         .drop("_part", "_at")
         .withColumn(_SEGMENT, F.floor(F.col(_INDEX) / segment_rows).cast("long"))
     )
