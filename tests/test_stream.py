@@ -227,3 +227,85 @@ def test_as_of_stream_equals_batch(spark, tmp_path):
 
     want = prices_as_of(spark.createDataFrame(asks, a_schema), spark.createDataFrame(quotes, q_schema))
     assert key(spark.read.schema(as_of.AS_OF_SCHEMA).parquet(str(tmp_path / "out"))) == key(want)
+
+
+class _Kept:
+    """A state variable and the calls to it."""
+
+    def __init__(self):
+        self.rows, self.calls = [], 0
+
+    def exists(self):
+        return bool(self.rows)
+
+    def get(self):
+        self.calls += 1
+        return self.rows[0] if len(self.rows) == 1 and self.kind == "value" else iter(list(self.rows))
+
+    def appendValue(self, row):
+        self.calls += 1
+        self.rows.append(row)
+
+    def update(self, row):
+        self.rows = [row]
+
+    def clear(self):
+        self.rows = []
+
+
+class _Handle:
+    def __init__(self):
+        self.made, self.timers = {}, set()
+
+    def _make(self, name, kind):
+        self.made[name] = _Kept()
+        self.made[name].kind = kind
+        return self.made[name]
+
+    def getListState(self, name, schema):
+        return self._make(name, "list")
+
+    def getValueState(self, name, schema):
+        return self._make(name, "value")
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.discard(at)
+
+
+class _Watermark:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def test_as_of_state_takes_lots_and_one_timer(monkeypatch):
+    """Many rows of many seconds: a few calls to the state and one timer, and what is not due waits."""
+    import pandas as pd
+
+    from tickloom.streaming import as_of
+
+    monkeypatch.setattr(as_of, "LOT", 100)
+    handle, job = _Handle(), as_of.AsOf()
+    job.init(handle)
+    n = 1000
+    time = pd.to_datetime([1_000_000_000 + i * 1_000_000 for i in range(n)], unit="us")
+    rows = pd.DataFrame({"event_timestamp": time, "kind": [i % 2 for i in range(n)], "id": [f"i{i}" for i in range(n)], "price": [None if i % 2 else float(i) for i in range(n)]})
+    assert list(job.handleInputRows(("A",), iter([rows[500:], rows[:500]]), None)) == []
+    assert handle.timers == {1_001_000} and job.waiting.calls == 2
+
+    handle.timers.clear()
+    found = list(job.handleExpiredTimer(("A",), _Watermark(1_600_000), None))
+    assert max(map(len, found)) <= 100
+    found = pd.concat(found)
+    assert found["request_id"].tolist() == [f"i{i}" for i in range(1, 600, 2)]
+    assert found["price"].tolist() == [float(i - 1) for i in range(1, 600, 2)]
+    assert handle.timers == {1_601_000} and job.waiting.calls == 2 + 1 + 4 and job.last.get() == (598.0,)
+
+    handle.timers.clear()
+    found = pd.concat(job.handleExpiredTimer(("A",), _Watermark(9_000_000), None))
+    assert len(found) == 200 and not handle.timers and not job.waiting.exists()
