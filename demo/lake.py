@@ -134,7 +134,7 @@ def position_changes(spark: SparkSession, sf: str) -> DataFrame:
 def _land(spark: SparkSession, rows: DataFrame, name: str) -> str:
     """Landed responses as NDJSON files."""
     path = _path(spark, name)
-    rows.write.json(path, ignoreNullFields=False)
+    rows.write.json(path, ignoreNullFields=False, compression="gzip")
     return path
 
 
@@ -159,10 +159,11 @@ def holder_lists(spark: SparkSession, sf: str) -> DataFrame:
 
 def wallet_polls(spark: SparkSession, sf: str) -> DataFrame:
     """Two overlapping polls of each supplier's history: its lines up to the fourth of an order, then all."""
-    tx = views.wallet_transactions(spark, sf, signed=True)
-    polls = F.explode(F.when(F.col("line") <= 4, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))).alias("poll")
-    listed = tx.select("wallet", "line", F.explode("transactions").alias("t")).select("wallet", "t", polls)
-    rows = listed.groupBy("wallet", "poll").agg(F.collect_list("t").alias("ts"))
+    first = F.filter("history", lambda h: h["line"] <= 4)
+    polls = F.array(F.struct(F.lit(0).alias("poll"), first.alias("items")), F.struct(F.lit(1).alias("poll"), F.col("history").alias("items")))
+    rows = views.wallet_histories(spark, sf).select("wallet", F.explode(polls).alias("p")).select("wallet", "p.poll", F.col("p.items.t").alias("ts"))
+    # A poll that lists nothing is not there; a line without a number is in the second alone.
+    rows = rows.where(F.size("ts") > 0)
     at = F.timestamp_micros(F.unix_micros(_now()) + F.col("poll") * 3_600_000_000)
     return rows.select(F.col("wallet").alias("request_key"), at.alias("received_at"), F.to_json("ts").alias("response"))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,9 +96,12 @@ def market_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem as holders: token = part, owner = supplier."""
+    # Dealt by token, which serves both this grouping and one by token.
     return (
         table(spark, sf_dir, "lineitem")
-        .groupBy(_text("l_partkey").alias("token_address"), _text("l_suppkey").alias("owner"))
+        .select(_text("l_partkey").alias("token_address"), _text("l_suppkey").alias("owner"), "l_quantity")
+        .repartition("token_address")
+        .groupBy("token_address", "owner")
         .agg(F.sum("l_quantity").alias("amount"))
     )
 
@@ -115,11 +120,34 @@ def wallet_transactions(spark: SparkSession, sf_dir: str, signed: bool = False)
 
     ``signed`` adds a signature to each transaction, and its line number beside it.
     """
-    wallet = _text("l_suppkey")
-    other = F.concat(F.lit("order-"), _text("l_orderkey"))
-    outgoing = F.col("l_linestatus") == "O"
-    amount = F.when(F.col("l_returnflag") != "N", F.col("l_quantity"))
-    when = F.when(F.col("l_tax") > 0, F.unix_timestamp("l_shipdate"))
+    tx = _transaction(F.col, signed)
+    line = [F.col("l_linenumber").alias("line")] * signed
+    return table(spark, sf_dir, "lineitem").select(_text("l_suppkey").alias("wallet"), F.array(tx).alias("transactions"), *line)
+
+
+def wallet_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The signed transactions of each wallet with their line numbers in one row. Lines are shuffled as they are, and made
+    into transactions, which are several times as wide, after that."""
+    of = ("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+    lines = table(spark, sf_dir, "lineitem").select("l_suppkey", *of).repartition("l_suppkey")
+    listed = lines.groupBy("l_suppkey").agg(F.collect_list(F.struct(*of)).alias("lines"))
+
+    def item(row: Column) -> Column:
+        def field(name: str) -> Column:
+            return F.col("l_suppkey") if name == "l_suppkey" else row[name]
+
+        return F.struct(row["l_linenumber"].alias("line"), _transaction(field, True).alias("t"))
+
+    return listed.select(_text("l_suppkey").alias("wallet"), F.transform("lines", item).alias("history"))
+
+
+def _transaction(field: Callable[[str], Column], signed: bool) -> Column:
+    """The transaction of a line, by its columns."""
+    wallet = field("l_suppkey").cast("string")
+    other = F.concat(F.lit("order-"), field("l_orderkey").cast("string"))
+    outgoing = field("l_linestatus") == "O"
+    amount = F.when(field("l_returnflag") != "N", field("l_quantity"))
+    when = F.when(field("l_tax") > 0, F.unix_timestamp(field("l_shipdate")))
 
     def transfer(mint: Column, sender: Column, receiver: Column, value: Column) -> Column:
         return F.struct(
@@ -127,13 +155,11 @@ def wallet_transactions(spark: SparkSession, sf_dir: str, signed: bool = False)
         )
 
     moves = F.array(
-        transfer(_text("l_partkey"), F.when(outgoing, wallet).otherwise(other), F.when(outgoing, other).otherwise(wallet), amount),
-        transfer(F.lit("fee"), wallet, other, F.col("l_tax")),
+        transfer(field("l_partkey").cast("string"), F.when(outgoing, wallet).otherwise(other), F.when(outgoing, other).otherwise(wallet), amount),
+        transfer(F.lit("fee"), wallet, other, field("l_tax")),
     )
-    signature = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    tx = F.struct(*[signature.alias("signature")] * signed, when.alias("timestamp"), moves.alias("tokenTransfers"))
-    line = [F.col("l_linenumber").alias("line")] * signed
-    return table(spark, sf_dir, "lineitem").select(wallet.alias("wallet"), F.array(tx).alias("transactions"), *line)
+    signature = F.concat_ws("-", *[field(n) for n in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
+    return F.struct(*[signature.alias("signature")] * signed, when.alias("timestamp"), moves.alias("tokenTransfers"))
 
 
 def mint_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,6 +13,10 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Of tables and cuts: ids and payloads take half of what they take with Spark's default.
+CODEC = "zstd"
+
+
 def pin_utc(spark: SparkSession) -> SparkSession:
     """All timestamps are UTC; bare ISO strings are read as UTC."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
@@ -53,7 +57,7 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_root(spark).rstrip('/')}/tickloom/{uuid.uuid4().hex}"
     _written.append(path)
-    df.write.parquet(path)
+    df.write.option("compression", CODEC).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
