@@ -70,3 +70,42 @@ def test_security_report_and_decisions(spark, responses, holder_envelopes):
     decided = {r["token_address"]: r for r in signals.decisions(report, None, probabilities).collect()}
     assert decided["A"]["override_triggered"] and decided["B"]["action"] == "BUY"
     assert decided["C"]["action"] == "HOLD" and decided["D"]["action"] == "AVOID"
+
+
+def test_outflow_report_parses_monitored_wallets_alone(spark, responses, monkeypatch):
+    """Histories of other wallets are left out before they are parsed, unless too many are monitored to send around."""
+    now = at(0)
+    sent = [{"signature": "s", "timestamp": int(now.timestamp()), "tokenTransfers": [{"mint": "A", "fromUserAccount": w, "toUserAccount": "x", "tokenAmount": 5}]} for w in "WV"]
+    envelopes = responses(landed.wallet_history, {"W": sent[:1], "V": sent[1:]})
+    monitored = spark.createDataFrame([("W", "A"), ("W", "B"), (None, "A")], "wallet string, token_address string")
+
+    def rows(report):
+        return sorted(map(tuple, report.collect()), key=str)
+
+    few = jobs.outflow_report(envelopes, monitored, F.lit(now))
+    assert "LeftSemi" in few._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(jobs, "MAX_WATCHED", 0)
+    many = jobs.outflow_report(envelopes, monitored, F.lit(now))
+    assert "LeftSemi" not in many._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(few) == rows(many) and len(rows(few)) == 3
+
+
+def test_wallet_polls_are_made_after_the_shuffle(spark, tmp_path):
+    """A poll up to the fourth line and one of all, from lines shuffled as they are; they land compressed."""
+    from demo import lake
+
+    schema = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+    lines = [(o, 10 + o, s, n, 2.0, 0.1, "R", "O", at(0)) for o, s, n in ((1, 7, 1), (1, 7, 5), (2, 7, None), (3, 8, 6), (4, None, 2))]
+    spark.createDataFrame(lines, schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    polls = lake.wallet_polls(spark, str(tmp_path))
+    got = {(r.request_key, r.received_at.hour): sorted(t["signature"] for t in json.loads(r.response)) for r in polls.collect()}
+    first, second = sorted({h for _, h in got})
+    assert got == {
+        ("7", first): ["1-1-11-7"], ("7", second): ["1-1-11-7", "1-5-11-7", "2-12-7"], ("8", second): ["3-6-13-8"],
+        (None, first): ["4-2-14"], (None, second): ["4-2-14"],
+    }
+    plan = polls._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("tokenTransfers") < plan.index("RepartitionByExpression")  # above it in the plan
+    path = lake._land(spark, polls, "landed")
+    files = spark.read.format("binaryFile").load(path).select("path").collect()
+    assert files and all(f.path.endswith(".json.gz") for f in files)

@@ -24,6 +24,10 @@ from tickloom.session import cut, cuts_removed
 from tickloom.sources import feeds, keyed, landed, tables, versions
 
 
+#: Monitored wallets, some dozen bytes each, that are broadcast at most.
+MAX_WATCHED = 1_000_000
+
+
 def ingest(
     spark: SparkSession,
     source: str,
@@ -138,6 +142,10 @@ def outflow_report(
     wallet_envelopes: DataFrame, monitored: DataFrame, now: Column, recency_hours: float = 24.0
 ) -> DataFrame:
     """Outflows of every monitored (wallet, token_address)."""
+    # Histories of other wallets are neither parsed nor shuffled, if the monitored ones can be sent to every executor.
+    watched = cut(monitored.select(F.col("wallet").alias("token_address")).distinct())
+    if watched.count() <= MAX_WATCHED:
+        wallet_envelopes = wallet_envelopes.join(F.broadcast(watched), "token_address", "left_semi")
     moves = wallets.transfers(wallets.parse_transactions(wallet_envelopes), sent=True)
     return wallets.outflow_report(monitored, wallets.outflows(moves, now, recency_hours))
 
