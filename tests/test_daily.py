@@ -245,3 +245,21 @@ def test_labels_become_final_once(spark, tmp_path):
     columns = ("event_id", "label", "exit_label")
     assert rounded_rows(tables.read_table(spark, path).select(*columns)) == rounded_rows(want.select(*columns))
     assert seen["open"] == rows.count() - final
+
+
+def test_tails_are_one_narrow_row_a_series(spark, tmp_path):
+    """What a later run reads is a row with the closes, and goes on as the whole tail does, also where a time repeats."""
+    rows = candles(spark, 3, rows=60)
+    rows = rows.withColumn("event_timestamp", F.date_trunc("day", "event_timestamp"))
+    days = sorted(r[0] for r in rows.select("event_date").distinct().collect())
+    early, late = rows.where(F.col("event_date") < days[-1]), rows.where(F.col("event_date") == days[-1])
+    tails = ft.series_tails(ft.token_features(early))
+    packed = ft.packed_tails(tails)
+    assert packed.columns == ["token_address", "event_timestamp", "event_id", "ema_fast", "ema_slow", "macd_signal", "closes"]
+    assert packed.count() == rows.select("token_address").distinct().count()
+    again = ft.unpacked_tails(packed)
+    key = lambda df: sorted((r["token_address"], r["place"], r["close"]) for r in df.collect())
+    assert key(again) == key(tails)
+    same_rows(table(ft.features_after(late, again)), table(ft.features_after(late, tails)))
+    ends = [ft.series_tails(ft.features_after(late, t), t) for t in (again, tails)]
+    assert key(ends[0]) == key(ends[1])

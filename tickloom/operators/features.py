@@ -18,6 +18,8 @@ TAIL_ROWS = 24
 #: Before the names of averages that a row brings instead of its own.
 SEED = "_seed_"
 _CARRIED = ("ema_fast", "ema_slow", "macd_signal")
+#: What later rows need of a row in a tail, besides the averages; all window features come from closes.
+_TAIL = ("token_address", "event_timestamp", "event_id", "close")
 
 
 def _trailing(w: WindowSpec, rows: int) -> WindowSpec:
@@ -203,7 +205,7 @@ def features_after(df: DataFrame, tails: DataFrame, **layout) -> DataFrame:
     All rows of a series must be later than its tail. What is read and sorted is these rows and the tails alone.
     """
     carried = {SEED + n: F.when(F.col("place") == 1, F.col(n)) for n in _CARRIED}
-    before = tails.select(*df.columns, "place", *[c.alias(n) for n, c in carried.items()])
+    before = tails.select(*_TAIL, "place", *[c.alias(n) for n, c in carried.items()])
     rows = df.unionByName(before, allowMissingColumns=True)
     series = with_window_features(lay_out(rows, **layout))
     # Averages start from the last row of the tail; the others have served their turn.
@@ -212,8 +214,33 @@ def features_after(df: DataFrame, tails: DataFrame, **layout) -> DataFrame:
 
 
 def series_tails(features: DataFrame, tails: DataFrame | None = None) -> DataFrame:
-    """The last ``TAIL_ROWS`` rows of each series with their features and ``place`` from the end, from the rows of some
-    days and the tails before them; series without new rows keep theirs."""
-    rows = features if tails is None else features.unionByName(tails.select(*features.columns))
+    """The last ``TAIL_ROWS`` rows of each series with what later rows need of them and ``place`` from the end, from the
+    rows of some days and the tails before them; series without new rows keep theirs."""
+    columns = (*_TAIL, *_CARRIED)
+    rows = features.select(*columns)
+    if tails is not None:
+        rows = rows.unionByName(tails.select(*columns))
     last = Window.partitionBy("token_address").orderBy(F.desc("event_timestamp"), F.desc("event_id"))
     return rows.withColumn("place", F.row_number().over(last)).where(F.col("place") <= TAIL_ROWS)
+
+
+def packed_tails(tails: DataFrame) -> DataFrame:
+    """Tails as one row a series: its last row, and the closes of the tail, newest first."""
+    newest = F.first(F.when(F.col("place") == 1, F.struct("event_timestamp", "event_id", *_CARRIED)), ignorenulls=True)
+    closes = F.transform(F.sort_array(F.collect_list(F.struct("place", "close"))), lambda r: r["close"])
+    return tails.groupBy("token_address").agg(newest.alias("_last"), closes.alias("closes")).select("token_address", "_last.*", "closes")
+
+
+def unpacked_tails(packed: DataFrame) -> DataFrame:
+    """Tails from their packed rows. Rows before the last of a series have times a microsecond apart and no id: they keep
+    their order, which is all that later rows see of it."""
+    rows = packed.select("*", F.posexplode("closes").alias("_at", "close")).drop("closes")
+    last = F.col("_at") == 0
+    return rows.withColumns(
+        {
+            "event_timestamp": F.timestamp_micros(F.unix_micros("event_timestamp") - F.col("_at")),
+            "event_id": F.when(last, F.col("event_id")),
+            **{n: F.when(last, F.col(n)) for n in _CARRIED},
+            "place": F.col("_at") + 1,
+        }
+    ).drop("_at")

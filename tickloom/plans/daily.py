@@ -25,6 +25,8 @@ KEPT_TAILS = 14
 def tail_days(spark: SparkSession, tails_path: str) -> list[date]:
     """Days after which tails are there, oldest first."""
     version = versions.current(spark, tails_path)
+    if version and '"closes"' not in version.schema:
+        raise ValueError(f"{tails_path} has tails of an older layout: take another folder and begin at the first day")
     found = {f.partition["as_of"] for f in version.files} if version else set()
     return sorted(date.fromisoformat(d) for d in found)
 
@@ -40,7 +42,7 @@ def features(
 
     Begins after the newest tails before ``first``, so no day between is left out (with none, at the beginning), and goes
     on to the newest day done before. ``first``, ``last`` and ``rows`` of what was done are returned; ``first`` is None
-    for the beginning. Tails take ``TAIL_ROWS`` rows a series and kept day.
+    for the beginning. Tails take one row with ``TAIL_ROWS`` closes a series and kept day.
     """
     known = tail_days(spark, tails_path)
     before = [d for d in known if d < first]
@@ -50,17 +52,21 @@ def features(
     with cuts_removed(spark):
         if before:
             as_of = str(before[-1])
-            tails = versions.read(spark, tails_path, keep=lambda p: p["as_of"] == as_of).drop("as_of")
+            tails = ft.unpacked_tails(versions.read(spark, tails_path, keep=lambda p: p["as_of"] == as_of).drop("as_of"))
             gold = ft.features_after(silver, tails)
         else:
             tails, gold = None, ft.token_features(silver)
         seen = Observation()
-        gold = cut(gold.observe(seen, F.count(F.lit(1)).alias("rows")))
+        gold = gold.observe(seen, F.count(F.lit(1)).alias("rows"))
         only = ("event_date", _days(begin, last)) if begin else None
-        tables.write_partitioned(gold, gold_path, ["event_date"], sort_by=["token_address", "event_timestamp"], only=only)
-        ends = ft.series_tails(gold, tails.drop("place") if tails is not None else None).withColumn("as_of", F.lit(str(last)))
+        done = tables.write_partitioned(gold, gold_path, ["event_date"], sort_by=["token_address", "event_timestamp"], only=only)
+        # The tails come from the rows as written, by that version.
+        days = set(only[1]) if only else None
+        written = versions.read(spark, gold_path, version=done, keep=lambda p: days is None or p["event_date"] in days)
+        ends = ft.series_tails(written, tails)
         gone = [str(d) for d in known if d >= first] + [str(d) for d in before[: -(kept - 1)] if kept > 1]
-        tables.write_partitioned(ends, tails_path, ["as_of"], only=("as_of", sorted({str(last), *gone})))
+        # One partition, dealt by series already.
+        versions.overwrite(ft.packed_tails(ends).withColumn("as_of", F.lit(str(last))), tails_path, ["as_of"], ("as_of", sorted({str(last), *gone})))
     return {"first": begin, "last": last, "rows": seen.get["rows"]}
 
 

@@ -66,7 +66,7 @@ def latest_partition(df: DataFrame, column: str = "dt") -> DataFrame:
 def write_partitioned(
     df: DataFrame, path: str, partition_by: Sequence[str], *, append: bool = False, sort_by: Sequence[str] = (),
     only: tuple[str, Sequence[str]] | None = None, note: tuple[str, str] | None = None,
-) -> None:
+) -> versions.Version:
     """Write with even files: small partitions share a task, large ones are split (AQE rebalance).
 
     Without ``append`` the whole table is replaced, or, given ``only`` (a partition column and its values), those
@@ -78,9 +78,8 @@ def write_partitioned(
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
     if append:
-        versions.append(df, path, partition_by, note)
-    else:
-        versions.overwrite(df, path, partition_by, only)
+        return versions.append(df, path, partition_by, note)
+    return versions.overwrite(df, path, partition_by, only)
 
 
 def write_bronze(envelopes: DataFrame, path: str, by_token: bool = False) -> None:
