@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from tests.conftest import CANDLE, at
 from tickloom.constants import ENVELOPE_SCHEMA
+from tickloom.functions import canonical
 from tickloom.operators import backtest as bt
 from tickloom.operators import features as ft
-from tickloom.operators import ledger
+from tickloom.operators import ledger, series, silver
 from tickloom.plans import daily, jobs
 from tickloom.sources import keyed, tables, versions
 from tickloom.streaming import silver as silver_stream
@@ -263,3 +264,90 @@ def test_tails_are_one_narrow_row_a_series(spark, tmp_path):
     same_rows(table(ft.features_after(late, again)), table(ft.features_after(late, tails)))
     ends = [ft.series_tails(ft.features_after(late, t), t) for t in (again, tails)]
     assert key(ends[0]) == key(ends[1])
+
+
+def test_ids_are_packed_in_shuffles(spark):
+    """Half the bytes for digests, the same ids behind the shuffle, whatever they are."""
+    digest = "0123456789abcdef" * 4
+    ids = [digest, digest.upper(), digest + "\n", digest[:-1], digest + "0", "g" * 64, "x" * 31, "x" * 32, "x" * 33, "é" * 16, "\x00", "", None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(ids)], "n int, event_id string")
+    packed = canonical.packed(df)
+    sizes = [r[0] for r in packed.orderBy("n").select(F.length("event_id")).collect()]
+    assert sizes[0] == 32 and 32 not in sizes[1:] and packed.select("event_id").distinct().count() == len(ids)
+    assert [r["event_id"] for r in canonical.unpacked(packed).orderBy("n").collect()] == ids
+    plans = {
+        "RepartitionByExpression": series.dealt(df, ["n"]),
+        "RebalancePartitions": canonical.unpacked(canonical.packed(df).hint("rebalance", "n")),
+        "Window": silver.dedup(envelopes(spark, [("a", 5, 60, 1.0)])),
+    }
+    for shuffled, made in plans.items():
+        above, below = made._jdf.queryExecution().optimizedPlan().toString().split(shuffled, 1)
+        assert "hex(" in above and "unhex(" not in above and "unhex(" in below, shuffled
+
+
+def test_dedup_tells_ids_apart_as_texts(spark):
+    digest = "ab" * 32
+    rows = [(e, 5, i, float(i)) for i, e in enumerate([digest, digest.upper(), digest, "x", "x", None, None, "x" * 32], 1)]
+    kept = silver.dedup(envelopes(spark, rows))
+    assert kept.schema["event_id"].dataType.simpleString() == "string"
+    found = {(r["event_id"], r["s"]) for r in kept.select("event_id", F.unix_seconds("ingestion_timestamp").alias("s")).collect()}
+    assert found == {(digest, 1), (digest.upper(), 2), ("x", 4), (None, 6), ("x" * 32, 8)}
+
+
+@pytest.mark.parametrize("layout", [{}, {"max_rows": 30, "segment_rows": 20}])
+@pytest.mark.parametrize("digests", [False, True])
+def test_packed_tails_are_spread_behind_the_shuffle(spark, layout, digests):
+    """Features and next tails from packed tails are those from all their rows, also where a time repeats."""
+    rows = candles(spark, 4, rows=60).withColumn("event_timestamp", F.date_trunc("day", "event_timestamp"))
+    if digests:
+        rows = rows.withColumn("event_id", F.sha2("event_id", 256))
+    days = sorted(r[0] for r in rows.select("event_date").distinct().collect())
+    early, late = rows.where(F.col("event_date") < days[-2]), rows.where(F.col("event_date") >= days[-2])
+    tails = ft.series_tails(ft.token_features(early))
+    small = ft.packed_tails(tails)
+    made = ft.features_after(late, small, deal=True, **layout)
+    same_rows(table(made), table(ft.features_after(late, tails, **layout)))
+    key = lambda df: sorted((r["token_address"], r["place"], r["close"], r["ema_slow"] if r["place"] == 1 else 0) for r in df.collect())
+    assert key(ft.series_tails(made, small)) == [(t, p, c, pytest.approx(e)) for t, p, c, e in key(ft.series_tails(made, tails))]
+    again = {r["token_address"]: r["closes"] for r in ft.packed_tails(ft.series_tails(made, small)).collect()}
+    assert again == {r["token_address"]: r["closes"] for r in ft.packed_tails(ft.series_tails(made, tails)).collect()}
+
+
+def test_labels_are_written_once_and_after_a_failure(spark, tmp_path, monkeypatch):
+    """Labels and open rows come from one job without a table in between; a run that broke off between the two goes on."""
+    gold, path, waiting = (str(tmp_path / n) for n in ("gold", "labels", "open"))
+    rows = ft.token_features(candles(spark, 9, rows=40))
+    missing = {c: F.lit(None).cast(k) for c, k in (x.split(" ") for x in tables.GOLD_SCHEMA.split(", ")) if c not in rows.columns}
+    rows = rows.withColumns(missing).select(*[c.split(" ")[0] for c in tables.GOLD_SCHEMA.split(", ")])
+    tables.write_partitioned(rows, gold, ["event_date"])
+    days = sorted(r[0] for r in rows.select("event_date").distinct().collect())
+    broken = lambda *a, **k: (_ for _ in ()).throw(RuntimeError("broken"))
+    with monkeypatch.context() as m:
+        m.setattr(daily, "cut", broken)
+        seen = daily.labels(spark, gold, path, waiting, days[0], days[2])
+    columns = [c.split(" ")[0] for c in tables.GOLD_SCHEMA.split(", ")]
+    assert tables.read_table(spark, waiting).columns == columns and tables.read_table(spark, path).columns == [*columns, "label", "exit_label"]
+    assert tables.read_table(spark, waiting).where("event_date is null").isEmpty()
+    assert tables.read_table(spark, path).count() == seen["final"] and tables.read_table(spark, waiting).count() == seen["open"]
+    with monkeypatch.context() as m:
+        m.setattr(daily.versions, "overwrite", broken)
+        with pytest.raises(RuntimeError, match="broken"):
+            daily.labels(spark, gold, path, waiting, days[3], days[-1])
+    count = tables.read_table(spark, path).count()
+    seen |= daily.labels(spark, gold, path, waiting, days[3], days[-1])
+    assert tables.read_table(spark, path).count() == count and seen["open"] == rows.count() - count
+    left = [p.name for p in (tmp_path / "labels" / "files").iterdir()]
+    assert all(n.startswith("write_id=a-") for n in left), left
+
+
+def test_labels_of_rows_all_open_or_none(spark, tmp_path):
+    gold, path, waiting = (str(tmp_path / n) for n in ("gold", "labels", "open"))
+    rows = ft.token_features(candles(spark, 9, tokens=("C",)))
+    missing = {c: F.lit(None).cast(k) for c, k in (x.split(" ") for x in tables.GOLD_SCHEMA.split(", ")) if c not in rows.columns}
+    rows = rows.withColumns(missing).select(*[c.split(" ")[0] for c in tables.GOLD_SCHEMA.split(", ")])
+    tables.write_partitioned(rows, gold, ["event_date"])
+    days = sorted(r[0] for r in rows.select("event_date").distinct().collect())
+    empty = days[0] - timedelta(days=3)
+    assert daily.labels(spark, gold, path, waiting, empty, empty) == {"final": 0, "open": 0}
+    assert daily.labels(spark, gold, path, waiting, days[0], days[-1]) == {"final": 0, "open": 6}
+    assert tables.read_table(spark, path).count() == 0

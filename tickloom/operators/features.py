@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tickloom.functions.canonical import is_digest, packed, unpacked
 from tickloom.operators.series import Series, lay_out
 
 # An EMA forgets: after this many e-folds the weight of older rows is below 1e-30.
@@ -20,6 +21,7 @@ SEED = "_seed_"
 _CARRIED = ("ema_fast", "ema_slow", "macd_signal")
 #: What later rows need of a row in a tail, besides the averages; all window features come from closes.
 _TAIL = ("token_address", "event_timestamp", "event_id", "close")
+_PACKED = _TAIL[:-1]
 
 
 def _trailing(w: WindowSpec, rows: int) -> WindowSpec:
@@ -202,10 +204,21 @@ def token_features(df: DataFrame, **layout) -> DataFrame:
 def features_after(df: DataFrame, tails: DataFrame, **layout) -> DataFrame:
     """Features of rows whose series go on after ``tails`` (see ``series_tails``): those of the whole series.
 
-    All rows of a series must be later than its tail. What is read and sorted is these rows and the tails alone.
+    All rows of a series must be later than its tail. What is read and sorted is these rows and the tails alone. Packed
+    tails (see ``packed_tails``) stay so until they are dealt by series.
     """
-    carried = {SEED + n: F.when(F.col("place") == 1, F.col(n)) for n in _CARRIED}
-    before = tails.select(*_TAIL, "place", *[c.alias(n) for n, c in carried.items()])
+    if "closes" in tails.columns:
+        before = tails.select(*_PACKED, "closes", *[F.col(n).alias(SEED + n) for n in _CARRIED])
+
+        def arrived(rows: DataFrame) -> DataFrame:
+            rows = _spread(rows)
+            rows = rows.withColumns({SEED + n: F.when(F.col("_at") == 0, F.col(SEED + n)) for n in _CARRIED})
+            return rows.withColumn("place", F.col("_at") + 1).drop("_at")
+
+        layout = {**layout, "arrived": arrived}
+    else:
+        carried = {SEED + n: F.when(F.col("place") == 1, F.col(n)) for n in _CARRIED}
+        before = tails.select(*_TAIL, "place", *[c.alias(n) for n, c in carried.items()])
     rows = df.unionByName(before, allowMissingColumns=True)
     series = with_window_features(lay_out(rows, **layout))
     # Averages start from the last row of the tail; the others have served their turn.
@@ -215,13 +228,39 @@ def features_after(df: DataFrame, tails: DataFrame, **layout) -> DataFrame:
 
 def series_tails(features: DataFrame, tails: DataFrame | None = None) -> DataFrame:
     """The last ``TAIL_ROWS`` rows of each series with what later rows need of them and ``place`` from the end, from the
-    rows of some days and the tails before them; series without new rows keep theirs."""
+    rows of some days and the tails before them; series without new rows keep theirs. A packed tail is older than all
+    new rows of its series: it is one row among them until these are counted."""
     columns = (*_TAIL, *_CARRIED)
     rows = features.select(*columns)
-    if tails is not None:
+    is_packed = tails is not None and "closes" in tails.columns
+    if is_packed:
+        rows = rows.unionByName(tails.select(*_PACKED, *_CARRIED, "closes"), allowMissingColumns=True)
+    elif tails is not None:
         rows = rows.unionByName(tails.select(*columns))
+    # Packed ids have the order of the ids if all of them are digests.
+    if rows.where(~is_digest(F.col("event_id"))).isEmpty():
+        rows = packed(rows)
     last = Window.partitionBy("token_address").orderBy(F.desc("event_timestamp"), F.desc("event_id"))
-    return rows.withColumn("place", F.row_number().over(last)).where(F.col("place") <= TAIL_ROWS)
+    rows = unpacked(rows.withColumn("place", F.row_number().over(last)).where(F.col("place") <= TAIL_ROWS))
+    if not is_packed:
+        return rows
+    rows = _spread(rows).withColumn("place", F.col("place") + F.coalesce("_at", F.lit(0)))
+    alone = {n: F.when(F.coalesce("_at", F.lit(0)) == 0, F.col(n)) for n in _CARRIED}
+    return rows.withColumns(alone).where(F.col("place") <= TAIL_ROWS).drop("_at")
+
+
+def _spread(rows: DataFrame) -> DataFrame:
+    """Packed tails, rows with ``closes``, as their rows with ``_at`` from the last; other rows stay and have none. Rows before
+    the last of a series have times a microsecond apart and no id: they keep their order, which is all that later rows see."""
+    rows = rows.select("*", F.posexplode_outer("closes").alias("_at", "_close")).drop("closes")
+    before = F.col("_at") > 0
+    return rows.withColumns(
+        {
+            "event_timestamp": F.timestamp_micros(F.unix_micros("event_timestamp") - F.coalesce("_at", F.lit(0))),
+            "event_id": F.when(before, F.lit(None)).otherwise(F.col("event_id")),
+            "close": F.when(F.col("_at").isNull(), F.col("close")).otherwise(F.col("_close")),
+        }
+    ).drop("_close")
 
 
 def packed_tails(tails: DataFrame) -> DataFrame:
@@ -231,16 +270,8 @@ def packed_tails(tails: DataFrame) -> DataFrame:
     return tails.groupBy("token_address").agg(newest.alias("_last"), closes.alias("closes")).select("token_address", "_last.*", "closes")
 
 
-def unpacked_tails(packed: DataFrame) -> DataFrame:
-    """Tails from their packed rows. Rows before the last of a series have times a microsecond apart and no id: they keep
-    their order, which is all that later rows see of it."""
-    rows = packed.select("*", F.posexplode("closes").alias("_at", "close")).drop("closes")
-    last = F.col("_at") == 0
-    return rows.withColumns(
-        {
-            "event_timestamp": F.timestamp_micros(F.unix_micros("event_timestamp") - F.col("_at")),
-            "event_id": F.when(last, F.col("event_id")),
-            **{n: F.when(last, F.col(n)) for n in _CARRIED},
-            "place": F.col("_at") + 1,
-        }
-    ).drop("_at")
+def unpacked_tails(tails: DataFrame) -> DataFrame:
+    """Tails from their packed rows."""
+    rows = _spread(tails.withColumn("close", F.lit(None).cast("double")))
+    alone = {n: F.when(F.col("_at") == 0, F.col(n)) for n in _CARRIED}
+    return rows.withColumns({**alone, "place": F.col("_at") + 1}).drop("_at")

@@ -22,6 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tickloom.functions.canonical import packed, unpacked
 from tickloom.session import cut
 
 MAX_ROWS = 4_000_000
@@ -80,6 +81,11 @@ def lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], max_rows: int
     )
 
 
+def dealt(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of a key in one partition."""
+    return unpacked(packed(df).repartition(*keys))
+
+
 def sort_columns(order: Sequence[str]) -> list[Column]:
     """Sort order from column names; a leading ``-`` means descending."""
     return [F.col(n[1:]).desc() if n.startswith("-") else F.col(n).asc() for n in order]
@@ -263,19 +269,24 @@ def lay_out(
     max_rows: int | None = None,
     segment_rows: int | None = None,
     counted: tuple[DataFrame, int] | None = None,
+    deal: bool = False,
+    arrived: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> Series:
     """Lay ``df`` out as series. ``order`` must be total within a key; rows with a null key are a series like any other.
 
-    ``max_rows`` decides on the plan alone: a series gives the same values whether it is hot or not.
+    ``max_rows`` decides on the plan alone: a series gives the same values whether it is hot or not. ``deal`` is for rows
+    that are not dealt by key yet, as those of a table: they are, with their ids packed on the way. ``arrived`` makes of the
+    rows, once dealt, those to be laid out, with the same key.
     """
     max_rows = MAX_ROWS if max_rows is None else max_rows
     segment_rows = SEGMENT_ROWS if segment_rows is None else segment_rows
     keys, order = tuple(keys), tuple(order)
-    source, times = counted or (df, 1)  # a smaller table whose keys have 1 / times of the rows
+    source, times = counted or (arrived(df), 1)  # a smaller table whose keys have 1 / times of the rows
     longest, hot = group_sizes(source, keys, max_rows, times)
     if not hot:
-        return Series(df, None, keys, order, segment_rows, 0, longest)
+        return Series(arrived(dealt(df, keys) if deal else df), None, keys, order, segment_rows, 0, longest)
     cold_rows, hot_rows = split_hot(df, keys, hot)
+    cold_rows, hot_rows = arrived(dealt(cold_rows, keys) if deal else cold_rows), arrived(hot_rows)
     segments = sum(-(-r["_rows"] // segment_rows) for r in hot)
     even = -(-sum(r["_rows"] for r in hot) // RANGE_ROWS)
     ranges = max(even, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.functions.canonical import packed, unpacked
+
 PAYLOAD = "o string, h string, l string, c string, v string, vUsd string, currency string"
 PRICES = ("open", "high", "low", "close")
 
@@ -16,7 +18,8 @@ def dedup(envelopes: DataFrame) -> DataFrame:
     repeated event costs one row per input task."""
     order = ("ingestion_timestamp", "source", "event_timestamp", "token_address", "payload")
     w = Window.partitionBy("event_id").orderBy(*order)
-    return envelopes.withColumn("_copy", F.row_number().over(w)).where(F.col("_copy") == 1).drop("_copy")
+    numbered = packed(envelopes).withColumn("_copy", F.row_number().over(w))
+    return unpacked(numbered.where(F.col("_copy") == 1).drop("_copy"))
 
 
 def flatten(envelopes: DataFrame) -> DataFrame:

@@ -52,10 +52,10 @@ def features(
     with cuts_removed(spark):
         if before:
             as_of = str(before[-1])
-            tails = ft.unpacked_tails(versions.read(spark, tails_path, keep=lambda p: p["as_of"] == as_of).drop("as_of"))
-            gold = ft.features_after(silver, tails)
+            tails = versions.read(spark, tails_path, keep=lambda p: p["as_of"] == as_of).drop("as_of")
+            gold = ft.features_after(silver, tails, deal=True)
         else:
-            tails, gold = None, ft.token_features(silver)
+            tails, gold = None, ft.token_features(silver, deal=True)
         seen = Observation()
         gold = gold.observe(seen, F.count(F.lit(1)).alias("rows"))
         only = ("event_date", _days(begin, last)) if begin else None
@@ -115,11 +115,13 @@ def labels(spark: SparkSession, gold_path: str, labels_path: str, open_path: str
     if done[open_path]:
         gold = gold.unionByName(tables.read_table(spark, open_path))
     with cuts_removed(spark):
-        rows = cut(lb.with_exit_label(lb.with_entry_label(lay_out(gold))).frame())
+        rows = lb.with_exit_label(lb.with_entry_label(lay_out(gold, deal=True))).frame()
         # The entry label looks further ahead, so a row with it has both.
-        final, waiting = rows.where(F.col("label").isNotNull()), rows.where(F.col("label").isNull()).drop("label", "exit_label")
-        tables.write_partitioned(
-            final, labels_path, ["event_date"], append=True, sort_by=["token_address", "event_timestamp"], note=("through", str(last))
-        )
-        versions.overwrite(waiting, open_path, note=("through", str(last)))
-        return {"final": final.count(), "open": waiting.count()}
+        closed, note = F.col("label").isNotNull(), ("through", str(last))
+        if through[labels_path] == str(last):  # a run that broke off between its two writes
+            rows = cut(rows)
+            final, waiting = rows.where(closed).count(), rows.where(~closed)
+        else:
+            final, waiting = tables.append_closed(rows, closed, labels_path, ["event_date"], ["token_address", "event_timestamp"], note)
+        versions.overwrite(waiting.drop("label", "exit_label"), open_path, note=note)
+        return {"final": final, "open": tables.read_table(spark, open_path).count()}

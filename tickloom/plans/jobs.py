@@ -86,7 +86,7 @@ def features(
 ) -> dict[str, int]:
     """Silver to the gold feature table."""
     seen = Observation()
-    gold = token_features(tables.read_silver(spark, silver_path)).observe(seen, F.count(F.lit(1)).alias("rows"))
+    gold = token_features(tables.read_silver(spark, silver_path), deal=True).observe(seen, F.count(F.lit(1)).alias("rows"))
     tables.write_partitioned(gold, gold_path, partition_by, sort_by=["token_address", "event_timestamp"])
     return seen.get
 

@@ -40,7 +40,7 @@ _written: list[str] = []
 
 @contextmanager
 def cuts_removed(spark: SparkSession) -> Iterator[None]:
-    """Deletes what ``cut`` writes inside the block, at its end. Only for jobs whose results are written by then."""
+    """Deletes what ``cut`` writes inside the block, and folders given to ``removed_later``, at its end. Only for jobs whose results are written by then."""
     before = len(_written)
     try:
         yield
@@ -52,11 +52,16 @@ def cuts_removed(spark: SparkSession) -> Iterator[None]:
         del _written[before:]
 
 
+def removed_later(path: str) -> str:
+    """A folder that ``cuts_removed`` deletes too."""
+    _written.append(path)
+    return path
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: short lineage that outlives executors."""
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark).rstrip('/')}/tickloom/{uuid.uuid4().hex}"
-    _written.append(path)
+    path = removed_later(f"{checkpoint_root(spark).rstrip('/')}/tickloom/{uuid.uuid4().hex}")
     df.write.option("compression", CODEC).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.constants import ENVELOPE_SCHEMA, GOLD_SCHEMA, SILVER_SCHEMA
+from tickloom.functions.canonical import packed, unpacked
 from tickloom.session import pin_utc
 from tickloom.sources import versions
 
@@ -74,7 +75,7 @@ def write_partitioned(
     idempotent, a failed one leaves the table as it was, and ``df`` may read the table. An append with a ``note``
     that the table has already does nothing.
     """
-    df = df.hint("rebalance", *partition_by)
+    df = unpacked(packed(df).hint("rebalance", *partition_by))
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
     if append:
@@ -82,6 +83,15 @@ def write_partitioned(
     return versions.overwrite(df, path, partition_by, only)
 
 
+def append_closed(
+    df: DataFrame, closed: Column, path: str, partition_by: Sequence[str], sort_by: Sequence[str], note: tuple[str, str]
+) -> tuple[int, DataFrame]:
+    """Append the rows that are ``closed`` (never null), with even files, and write the others apart in the same job; see
+    ``versions.append_apart``."""
+    final = unpacked(packed(df.where(closed)).hint("rebalance", *partition_by))
+    return versions.append_apart(final, df.where(~closed), path, partition_by, sort_by, note)
+
+
 def write_bronze(envelopes: DataFrame, path: str, by_token: bool = False) -> None:
     """Append to bronze under domain / dt, sorted by token. File names never collide, so nothing is lost.
 
