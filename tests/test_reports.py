@@ -90,6 +90,20 @@ def test_outflow_report_parses_monitored_wallets_alone(spark, responses, monkeyp
     assert rows(few) == rows(many) and len(rows(few)) == 3
 
 
+def test_no_history_is_parsed_below_the_choice_of_wallets(spark, responses):
+    """An inner explode has Spark ask for lists that are not empty below the join, which parses those of all wallets."""
+    now = at(0)
+    sent = {"signature": "s", "timestamp": int(now.timestamp()), "tokenTransfers": [{"mint": "A", "fromUserAccount": "W", "toUserAccount": "x", "tokenAmount": 5}]}
+    envelopes = responses(landed.wallet_history, {"W": [sent, {"signature": "t"}, None], "V": [], "U": [sent], "T": None})
+    monitored = spark.createDataFrame([(w, "A") for w in "WVT"], "wallet string, token_address string")
+    report = jobs.outflow_report(envelopes, monitored, F.lit(now))
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("LeftSemi")
+    assert "from_json" in above and "from_json" not in below
+    got = {r["wallet"]: (r["total_outflow"], r["outflow_count"]) for r in report.collect()}
+    assert got == {"W": (5, 1), "V": (0, 0), "T": (0, 0)}
+
+
 def test_wallet_polls_are_made_after_the_shuffle(spark, tmp_path):
     """A poll up to the fourth line and one of all, from lines shuffled as they are; they land compressed."""
     from demo import lake

@@ -26,7 +26,9 @@ def transfers(wallets: DataFrame, sent: bool = False) -> DataFrame:
     transaction) counts once. Transactions without a signature cannot be told apart and all count. Only what is kept is
     shuffled, and nothing where no transaction can have a signature.
     """
-    listed = wallets.select("wallet", F.explode("transactions").alias("t"))
+    # An inner explode would have Spark look for empty lists first, below joins that choose wallets, so all would be parsed
+    # there. A wallet without transactions gives a null one here, which has no transfers.
+    listed = wallets.select("wallet", F.explode_outer("transactions").alias("t"))
     signed = "signature" in listed.schema["t"].dataType.names
     move = F.struct(
         F.col("tx_time"),
