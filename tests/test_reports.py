@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import json
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import at
 from tickloom.operators.holders import explode_holders
 from tickloom.plans import jobs, signals
-from tickloom.sources import landed
+from tickloom.sources import landed, tables
 
 
 @pytest.fixture
@@ -104,6 +105,27 @@ def test_no_history_is_parsed_below_the_choice_of_wallets(spark, responses):
     assert got == {"W": (5, 1), "V": (0, 0), "T": (0, 0)}
 
 
+def test_security_report_parses_histories_of_answered_wallets_alone(spark, responses, holder_envelopes, tmp_path):
+    """From bronze, whose long payloads don't share a row group; all histories are there, one row a wallet."""
+    now = at(0)
+    move = {"mint": "A", "fromUserAccount": "W", "toUserAccount": "x" * 1000, "tokenAmount": 5}
+    sent = [{"signature": f"s{i}", "timestamp": int(now.timestamp()), "tokenTransfers": [move]} for i in range(2000)]
+    wallets = responses(landed.wallet_history, {w: sent for w in ("W", *(f"V{i}" for i in range(29)))})
+    mints = responses(landed.mint_info, {"A": mint()})
+    tables.write_bronze(wallets.coalesce(1), f"{tmp_path}/bronze")
+    files = [pq.ParquetFile(f).metadata for f in (tmp_path / "bronze" / "files").rglob("*.parquet")]
+    sizes = [f.row_group(i).total_byte_size for f in files for i in range(f.num_row_groups)]
+    assert sum(f.num_rows for f in files) == 30 and sum(sizes) > 60e6 and max(sizes) < 50e6
+    tokens = spark.createDataFrame([("A",), ("B",)], "token_address string")
+    monitored = spark.createDataFrame([("W", "A"), ("unanswered", "B")], "wallet string, token_address string")
+    report = jobs.security_report(tokens, holder_envelopes, tables.read_bronze(spark, f"{tmp_path}/bronze"), mints, monitored, F.lit(now))
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    parsing = [line for line in plan.split("\n") if "from_json" in line and "tokenTransfers" in line]
+    assert parsing and not any("Filter" in line for line in parsing)
+    got = {r["token_address"]: (r["rug_risk_score"], "dev-wallet outflow data unavailable" in r["data_gaps"]) for r in report.collect()}
+    assert got == {"A": (75, False), "B": (0, True)}
+
+
 def test_wallet_polls_are_made_after_the_shuffle(spark, tmp_path):
     """A poll up to the fourth line and one of all, from lines shuffled as they are; they land compressed."""
     from demo import lake
